@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from .chat import OP3_SQL, op3_chat
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .mixing import OP1_SQL, op1_mixing
+from .secret_scan import op2_secrets
 from .sharding import op4_sharding
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_secrets": op2_secrets,
+    "op3_chat": op3_chat,
     "op4_sharding": op4_sharding,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLES = {
     "op1_mixing": OP1_SQL,
+    "op3_chat": OP3_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
