@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat import OP3_SQL, op3_chat
+from .decontaminate import OP6_SQL, op6_decontaminate
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .mixing import OP1_SQL, op1_mixing
 from .secret_scan import op2_secrets
@@ -13,11 +14,13 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op3_chat": op3_chat,
     "op4_sharding": op4_sharding,
+    "op6_decontaminate": op6_decontaminate,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLES = {
     "op1_mixing": OP1_SQL,
     "op3_chat": OP3_SQL,
+    "op6_decontaminate": OP6_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
