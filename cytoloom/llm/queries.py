@@ -6,15 +6,21 @@ from .chat import OP3_SQL, op3_chat
 from .decontaminate import OP6_SQL, op6_decontaminate
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .mixing import OP1_SQL, op1_mixing
+from .quality import op7_quality
 from .secret_scan import op2_secrets
 from .sharding import op4_sharding
+from .tokens import op5_tokens
+from .urls import op8_urls
 
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_secrets": op2_secrets,
     "op3_chat": op3_chat,
     "op4_sharding": op4_sharding,
+    "op5_tokens": op5_tokens,
     "op6_decontaminate": op6_decontaminate,
+    "op7_quality": op7_quality,
+    "op8_urls": op8_urls,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
