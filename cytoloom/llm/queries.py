@@ -6,6 +6,7 @@ from .chat import OP3_SQL, op3_chat
 from .decontaminate import OP6_SQL, op6_decontaminate
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .mixing import OP1_SQL, op1_mixing
+from .near_dup import op10_near_dup
 from .quality import op7_quality
 from .secret_scan import op2_secrets
 from .sharding import op4_sharding
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_urls": op8_urls,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_near_dup": op10_near_dup,
 }
 
 ORACLES = {

@@ -37,7 +37,7 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...]) -> C
     if len(rules) > MOST_RULES:
         raise ValueError(f"more than {MOST_RULES} rules")
     out = F.lit(None)
-    for verdict, rule in sorted(rules, key=lambda r: (len(r[1]), r[1]), reverse=False):
+    for verdict, rule in sorted(sorted(rules, key=lambda r: r[1], reverse=True), key=lambda r: len(r[1])):
         name, slash, rest = rule.partition("/")
         fits = ((host == name) | F.endswith(host, F.lit(f".{name}"))) & F.startswith(path, F.lit(slash + rest))
         out = F.when(fits, F.struct(F.lit(verdict).alias("verdict"), F.lit(rule).alias("rule"))).otherwise(out)
