@@ -1 +1,8 @@
 """Spark-native engine for spatial single-cell tables."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run on executors travel with the query, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
