@@ -264,14 +264,15 @@ def score(df: DataFrame, field: Field, text_col: str = "text", keep: list[str] |
     """
     taken_names(df, "score", "__text")
     keep = df.columns if keep is None else keep
-    shared = df.sparkSession.sparkContext.broadcast(field)
+    shared = df.sparkSession.sparkContext.broadcast((field.weights, field.bias, field.pairs, field.start, field.end))
 
     def run(batches):
+        here = Field(*shared.value)
         for batch in batches:
             found = []
             for texts in _chunks(batch.column(len(keep)).to_pylist()):
                 bins, lengths, n_lines = line_features(texts)
-                found.append(shared.value.scores(with_neighbours(bins, n_lines), lengths, n_lines))
+                found.append(here.scores(with_neighbours(bins, n_lines), lengths, n_lines))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())], names=[*keep, "score"])
 
     schema = T.StructType([*df.select(*keep).schema.fields, T.StructField("score", T.DoubleType())])
