@@ -1,4 +1,6 @@
 """All queries of the library and their SQL, by name."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import assets, expression, layout, relational, scans, spatial, statistics, validation, views  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
