@@ -131,7 +131,7 @@ class Field:
         """P(good) of every line; expected label pairs, by document; log of the partition function."""
         e = self.emission(x)
         psi = np.stack((np.exp(-e / 2 - np.abs(e) / 2), np.exp(e / 2 - np.abs(e) / 2)), axis=1)
-        shift = np.abs(e) / 2 + 0.0
+        shift = (e + np.abs(e)) / 2
         pair, first, last = np.exp(self.pairs), np.exp(self.start), np.exp(self.end)
         order = np.argsort(-n_lines, kind="stable")
         at = (np.cumsum(n_lines) - n_lines)[order]

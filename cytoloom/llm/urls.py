@@ -5,7 +5,7 @@ don't count). Rules give seeds: the share of a host's pages that a block rule de
 distrust, the share an allow rule decides seeds trust. Personalised PageRank moves trust
 along the edges, from a host to those it links to, and distrust against them, from a host
 to those that link to it. A host is blocked if distrust exceeds trust by at least `margin`
-of what a wholly blocked host has of itself. Scores are whole numbers of 10^-12, so sums
+of what a wholly blocked host has of itself. Scores are whole numbers of 10^-9, so sums
 don't depend on their order.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, small, staged, table
 
-ONE = 10**12
+ONE = 10**9
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
@@ -52,24 +52,22 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, steps: int = 30, tolerance: float = 1e-6) -> DataFrame:
-    """(host, trust, distrust) in units of 10^-12 from seeds (host, trust, distrust in 0..1) and edges (src, dst, w).
+    """(host, trust, distrust) in units of 10^-9 from seeds (host, trust, distrust in 0..1) and edges (src, dst, w).
 
     Stops after `steps`, or when no score moves by more than the tolerance. Both walks share
     one table: edges forward carry trust, edges backward distrust. Hosts that are only
     linked to take part; an empty table of edges leaves the seeds.
     """
-    keep, pass_on = round((1 - damping) * 10**6), round(damping * 10**6)
     both = edges.selectExpr("src as a", "dst as b", "w", "'trust' as k").unionByName(edges.selectExpr("dst as a", "src as b", "w", "'distrust' as k"))
     total = both.groupBy("a", "k").agg(F.sum("w").alias("t"))
     both = staged(both.join(total, ["a", "k"]), "host-edges")
-    base = seeds.select("host", F.expr("stack(2, 'trust', trust, 'distrust', distrust) as (k, seed)")).select("host", "k", F.round(F.col("seed") * ONE).cast("long").alias("seed"))
-    base = staged(base.where("seed > 0").withColumn("own", F.expr(f"seed div 1000000 * {keep}")), "host-seeds")
+    base = seeds.select("host", F.expr("stack(2, 'trust', trust, 'distrust', distrust) as (k, seed)")).where("seed > 0")
+    base = staged(base.select("host", "k", F.round(F.col("seed") * ((1 - damping) * ONE)).cast("long").alias("own")), "host-seeds")
     ranks = base.select("host", "k", F.col("own").alias("x"))
     if both.limit(1).count():
         ranks = staged(ranks, "host-ranks")
         for _ in range(steps):
-            # damped first: x * damping * w stays below 2^63 for w up to 9 million; larger weights are divided alike
-            share = F.expr(f"cast(x div 1000000 * {pass_on} * (cast(w as double) / t) as bigint)")
+            share = F.floor(F.col("x") * (damping * F.col("w") / F.col("t")))
             sent = both.join(ranks.withColumnRenamed("host", "a"), ["a", "k"]).select(F.col("b").alias("host"), "k", share.alias("x"))
             new = sent.unionByName(base.select("host", "k", F.col("own").alias("x"))).groupBy("host", "k").agg(F.sum("x").alias("x"))
             new = staged(new, "host-ranks")
@@ -81,7 +79,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, steps:
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES, damping: float = 0.85, margin: float = 0.5) -> DataFrame:
-    """id, host, path, rule, verdict, trust and distrust (units of 10^-12) of every row.
+    """id, host, path, rule, verdict, trust and distrust (units of 10^-9) of every row.
 
     Null urls and urls without :// have an empty host and path, which no rule fits and no
     link reaches: allowed. Null html has no links. Repeated rows count as pages of their
