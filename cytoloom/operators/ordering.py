@@ -27,17 +27,21 @@ def section_ranks(sections: DataFrame) -> DataFrame:
 def placed(ds: Dataset) -> DataFrame:
     """Cells with qx, qy, morton, section_rank, core_rank and idx, their place in the layout.
 
-    The place is global without a global sort in one task: cells are numbered within their
-    core, and each core starts where the cores before it end.
+    The place is global without a task that sorts a whole core: cells are numbered within
+    one of the 1,024 top Z-order squares of their core; squares start where those before
+    them end, and cores likewise.
     """
     cells = ds.cells.join(section_quantisers(ds.sections), "section_id").join(core_ranks(ds.cores), "core_id").join(section_ranks(ds.sections), "section_id")
     cells = cells.withColumns({"qx": quant_encode(F.col("x_um"), F.col("q_offset"), F.col("q_scale")), "qy": quant_encode(F.col("y_um"), F.col("q_offset"), F.col("q_scale"))})
-    cells = cells.withColumn("morton", morton(F.col("qx"), F.col("qy")))
-    sizes = cells.groupBy("section_rank", "core_rank").agg(F.count("*").alias("c"))
-    first = F.coalesce(F.sum("c").over(Window.orderBy("section_rank", "core_rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("section_rank", "core_rank", first.alias("first"))
-    within = F.row_number().over(Window.partitionBy("section_rank", "core_rank").orderBy("morton", "cell_id")) - 1
-    return cells.join(starts, ["section_rank", "core_rank"]).withColumn("idx", F.col("first") + within).drop("first")
+    cells = cells.withColumn("morton", morton(F.col("qx"), F.col("qy"))).withColumn("square", F.shiftright("morton", 22).cast("int"))
+    core = ["section_rank", "core_rank"]
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    squares = cells.groupBy(*core, "square").agg(F.count("*").alias("c"))
+    cores = squares.groupBy(*core).agg(F.sum("c").alias("n")).withColumn("core_first", F.coalesce(F.sum("n").over(before.orderBy(*core)), F.lit(0)))
+    within_core = F.coalesce(F.sum("c").over(before.partitionBy(*core).orderBy("square")), F.lit(0))
+    starts = squares.withColumn("w", within_core).join(cores, core).select(*core, "square", (F.col("w") + F.col("core_first")).alias("first"))
+    own = F.row_number().over(Window.partitionBy(*core, "square").orderBy("morton", "cell_id")) - 1
+    return cells.join(starts, [*core, "square"]).withColumn("idx", F.col("first") + own).drop("first", "square")
 
 
 def core_ranges(placed_: DataFrame) -> DataFrame:

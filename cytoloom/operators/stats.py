@@ -28,12 +28,18 @@ def average_ranks(samples: DataFrame, by: list[str], value: str = "v") -> DataFr
 def rank_sum(samples: DataFrame, by: list[str], group: str = "g", value: str = "v") -> DataFrame:
     """(n_a, n_b, u, rank_biserial, z): group a against b, z with tie and continuity correction.
 
-    Ranks come from counts of values below, so distinct values are what is ordered: they are
-    aggregated first, and no task holds a group's rows.
+    Ranks come from counts of values below. Equal values fold first; distinct values fall
+    into 4,096 equal ranges of their group, whose counts give each range's start, and only
+    values of one range are ordered in a task.
     """
     counts = samples.groupBy(*by, value).agg(*[F.sum(F.when(F.col(group) == g, 1).otherwise(0)).alias(f"c_{g}") for g in "ab"]).withColumn("c", F.col("c_a") + F.col("c_b"))
-    w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    below = counts.withColumn("below", F.coalesce(F.sum("c").over(w), F.lit(0)))
+    span = counts.groupBy(*by).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
+    place = F.when(F.col("hi") > F.col("lo"), F.floor((F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo")) * 4095)).otherwise(0).cast("int")
+    counts = (counts.join(span, by) if by else counts.crossJoin(F.broadcast(span))).withColumn("rng", place).drop("lo", "hi")  # without groups span is one row
+    upto = Window.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = counts.groupBy(*by, "rng").agg(F.sum("c").alias("n")).withColumn("start", F.coalesce(F.sum("n").over(upto.partitionBy(*by).orderBy("rng")), F.lit(0))).drop("n")
+    own = F.coalesce(F.sum("c").over(upto.partitionBy(*by, "rng").orderBy(value)), F.lit(0))
+    below = counts.withColumn("own", own).join(ranges, [*by, "rng"]).withColumn("below", F.col("own") + F.col("start"))
     s = below.groupBy(*by).agg(
         F.sum("c_a").alias("n_a"), F.sum("c_b").alias("n_b"),
         F.sum(F.col("c_a") * (F.col("below") + (F.col("c") + 1) / 2.0)).alias("r"),
