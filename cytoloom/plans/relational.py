@@ -73,7 +73,7 @@ def j7(spark, d):
 
 
 @query("j8_index_maps", canon("cells", "clusters", "cores") + """
-, cr as (select core_id, row_number() over (order by section_id, core_id) - 1 as core_ix from cores)
+, cr as (select core_id, (row_number() over (order by section_id, core_id) - 1)::int as core_ix from cores)
 select cell_id, "order"::int as cluster_ix, core_ix, ascii(substr(section_id,2)) - 49 as section_ix from cells join clusters using (cluster_id) join cr using (core_id)""")
 def j8(spark, d):
     from ..operators.ordering import core_ranks, section_ranks
@@ -172,7 +172,7 @@ def a6(spark, d):
     return _cells(spark, d).groupBy("core_id").agg(F.floor(F.min("x_um")).alias("x0"), F.floor(F.min("y_um")).alias("y0"), F.ceil(F.max("x_um")).alias("x1"), F.ceil(F.max("y_um")).alias("y1"), F.round(F.max("x_um") - F.min("x_um"), 6).alias("span"))
 
 
-@query("a9_share_differing", canon("cells") + "select avg((has_umap <> (n_transcripts > 100))::int) as share, count_if(n_transcripts = 0) as zero from cells")
+@query("a9_share_differing", canon("cells") + "select avg((has_umap <> (n_transcripts > 100))::int) as share, count_if(n_transcripts = 0)::bigint as zero from cells")
 def a9(spark, d):
     return _cells(spark, d).agg(F.avg((F.col("has_umap") != (F.col("n_transcripts") > 100)).cast("int")).alias("share"), F.count_if(F.col("n_transcripts") == 0).alias("zero"))
 
@@ -192,7 +192,7 @@ def a22(spark, d):
     return warehouse.read(spark, d, "orders", "o_orderpriority", "o_orderstatus", "o_orderkey").groupBy(F.col("o_orderpriority").alias("grp")).agg(F.min_by("o_orderstatus", "o_orderkey").alias("first"))
 
 
-@query("a24_status_counts", "select count_if(o_orderstatus='F') as done, count_if(o_orderstatus in ('O','P')) as open, bool_and(o_totalprice > 0) as all_ok, bool_or(o_totalprice > 400000) as any_big from orders")
+@query("a24_status_counts", "select count_if(o_orderstatus='F')::bigint as done, count_if(o_orderstatus in ('O','P'))::bigint as open, bool_and(o_totalprice > 0) as all_ok, bool_or(o_totalprice > 400000) as any_big from orders")
 def a24(spark, d):
     s = F.col("o_orderstatus")
     return warehouse.read(spark, d, "orders", "o_orderstatus", "o_totalprice").agg(F.count_if(s == "F").alias("done"), F.count_if(s.isin("O", "P")).alias("open"), F.bool_and(F.col("o_totalprice") > 0).alias("all_ok"), F.bool_or(F.col("o_totalprice") > 400000).alias("any_big"))
@@ -227,7 +227,7 @@ def w6(spark, d):
     return warehouse.read(spark, d, "part", "p_name").groupBy(F.lower("p_name").alias("name")).agg(F.count("*").alias("n")).where("n > 1")
 
 
-@query("o3_group_order", """select o_orderpriority as grp, count(*) as n, row_number() over (order by lower(o_orderpriority) = '4-not specified', count(*) desc, o_orderpriority) - 1 as place from orders group by 1""")
+@query("o3_group_order", """select o_orderpriority as grp, count(*) as n, (row_number() over (order by lower(o_orderpriority) = '4-not specified', count(*) desc, o_orderpriority) - 1)::int as place from orders group by 1""")
 def o3(spark, d):
     g = warehouse.read(spark, d, "orders", "o_orderpriority").groupBy(F.col("o_orderpriority").alias("grp")).agg(F.count("*").alias("n"))
     return g.withColumn("place", F.row_number().over(Window.orderBy(F.lower("grp") == "4-not specified", F.col("n").desc(), "grp")) - 1)
@@ -238,7 +238,7 @@ def o4(spark, d):
     return warehouse.clusters(spark, d).orderBy(F.col("n_cells").desc(), "order").limit(3).select("cluster_id", "n_cells")
 
 
-@query("o5_top_genes", canon("expression") + ", t as (select gene_id, count(*) as nnz from expression group by 1 order by nnz desc, gene_id limit 150) select gene_id, nnz, row_number() over (order by gene_id) - 1 as ix from t")
+@query("o5_top_genes", canon("expression") + ", t as (select gene_id, count(*) as nnz from expression group by 1 order by nnz desc, gene_id limit 150) select gene_id, nnz, (row_number() over (order by gene_id) - 1)::int as ix from t")
 def o5(spark, d):
     t = warehouse.expression(spark, d).groupBy("gene_id").agg(F.count("*").alias("nnz")).orderBy(F.col("nnz").desc(), "gene_id").limit(150)
     return t.withColumn("ix", F.row_number().over(Window.orderBy("gene_id")) - 1)

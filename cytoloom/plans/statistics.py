@@ -32,7 +32,7 @@ def a17(spark, d):
 
 
 @query("m6_suite", _S + """, x as (select false as control, (count(*) filter (where g='a'))::double as z, 0.9e0 as d from s union all select true, 1.0e0, 0.1e0 union all select false, 9.0e0, 1.0e0)
-select not (bool_or(control and z > 4.753424e0 and d >= 0.8e0)) and bool_and(control or (z > 4.753424e0 and d >= 0.8e0)) and bool_or(control) and bool_or(not control) as passed, count_if(z > 4.753424e0 and d >= 0.8e0) as n_passed from x""")
+select not (bool_or(control and z > 4.753424e0 and d >= 0.8e0)) and bool_and(control or (z > 4.753424e0 and d >= 0.8e0)) and bool_or(control) and bool_or(not control) as passed, count_if(z > 4.753424e0 and d >= 0.8e0)::bigint as n_passed from x""")
 def m6(spark, d):
     n = _samples(spark, d).agg(F.lit(False).alias("control"), F.count_if(F.col("g") == "a").cast("double").alias("z"), F.lit(0.9).alias("d"))
     fixed = spark.sql("select true as control, 1.0D as z, 0.1D as d union all select false, 9.0D, 1.0D")

@@ -80,7 +80,7 @@ def q7(spark, d):
     return warehouse.cores(spark, d).where("patient_id = 'P02'").select("core_id", "section_id")
 
 
-@query("q8_visible", canon("cells") + "select count_if(has_umap) as visible, count_if(not has_umap) as without from cells")
+@query("q8_visible", canon("cells") + "select count_if(has_umap)::bigint as visible, count_if(not has_umap)::bigint as without from cells")
 def q8(spark, d):
     return warehouse.cells(spark, d).agg(F.count_if("has_umap").alias("visible"), F.count_if(~F.col("has_umap")).alias("without"))
 
