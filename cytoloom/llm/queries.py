@@ -8,8 +8,8 @@ from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .mixing import OP1_SQL, op1_mixing
 from .near_dup import op10_near_dup
 from .quality import op7_quality
-from .secret_scan import op2_secrets
-from .sharding import op4_sharding
+from .secret_scan import OP2_SQL, op2_secrets
+from .sharding import OP4_SQL, op4_sharding
 from .tokens import op5_tokens
 from .urls import op8_urls
 
@@ -28,7 +28,9 @@ QUERIES = {
 
 ORACLES = {
     "op1_mixing": OP1_SQL,
+    "op2_secrets": OP2_SQL,
     "op3_chat": OP3_SQL,
+    "op4_sharding": OP4_SQL,
     "op6_decontaminate": OP6_SQL,
     "op9_exact_dedup": OP9_SQL,
 }

@@ -116,3 +116,39 @@ def op2_secrets(spark, sf_dir: str) -> DataFrame:
         F.expr(f"sha2(cast({text.format('filter(findings, f -> f.rank < 4)')} as binary), 256)").alias("base_sha256"),
         F.expr(text.format("findings")).alias("spans"),
     )
+
+
+def _oracle() -> str:
+    q = lambda p: "'" + p.replace("'", "''") + "'"
+    fold = lambda word: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)  # noqa: E731  RE2 would fold other letters too
+    assign = ASSIGN.replace("(?i:password|passwd|secret|token|api_?key)", "|".join(map(fold, ("password", "passwd", "secret", "token", "api_?key"))))
+    run = "|".join(f"{re_escape(c)}{{6}}" for c in ALPHABET)
+    allowed = " or ".join(f"regexp_matches(c, {q(run if p.startswith('(.)') else p)})" for p in ALLOWED)
+    most = " ".join(f"when regexp_matches(c, {q(p)}) then {math.floor((math.log2(WINDOW) - h) * WINDOW * 1e6)}" for p, h in CLASSES)
+    kinds = " union all ".join(
+        f"select doc_id, '{k}' as kind, {r} as rank, string_split_regex(t, {q(p)}) as gaps, regexp_extract_all(t, {q(p)}) as ms, regexp_extract_all(t, {q(p)}, {g}) as gs from d"
+        for k, r, p, g in (("assign", 1, assign, 2), ("access", 2, "AKIA[A-Z0-9]+", 0), ("hex", 3, "[0-9a-f]+", 0), ("entropy", 4, CANDIDATE, 0))
+    )
+    return f"""
+with d as (select doc_id, coalesce(text,'') as t from documents), m as ({kinds}),
+ p as (select *, unnest(range(1, len(ms)+1)) as i from m),
+ s as (select doc_id, kind, rank, ms[i] as c, length(gs[i]) as g, (list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i-1], lambda x: length(x))), 0))::bigint as b from p),
+ base as (select doc_id, kind, rank, b, b + length(c) as e from s where (kind = 'assign' and g >= {LEAST}) or (kind = 'access' and g >= 20) or (kind = 'hex' and g >= 24)),
+ cand as (select doc_id, b, c, case {most} end as most from s where kind = 'entropy' and not ({allowed})),
+ win as (select *, unnest(range(0, length(c) - {WINDOW} + 1)) as w from cand),
+ ch as (select doc_id, b, w, most, unnest(string_split(substr(c, w+1, {WINDOW}), '')) as x from win),
+ cnt as (select doc_id, b, w, most, x, count(*) as n from ch group by all),
+ hot as (select doc_id, b, w from cnt group by doc_id, b, w, most having sum(round(n*log2(n)*1e6)) <= most),
+ ent as (select doc_id, 'entropy' as kind, 4 as rank, b + min(w) as b, b + max(w) + {WINDOW} as e from hot group by doc_id, b),
+ f as (select * from base union all select doc_id, kind, rank, b, e from ent),
+ j as (select doc_id, count(*) filter (where rank=1) as n_assign, count(*) filter (where rank=2) as n_access, count(*) filter (where rank=3) as n_hex, count(*) filter (where rank=4) as n_entropy,
+   string_agg(kind || ':' || b || ':' || e, ',' order by b, rank) filter (where rank < 4) as base, string_agg(kind || ':' || b || ':' || e, ',' order by b, rank) as spans from f group by doc_id)
+select d.doc_id, coalesce(n_assign,0) as n_assign, coalesce(n_access,0) as n_access, coalesce(n_hex,0) as n_hex, coalesce(n_entropy,0) as n_entropy, sha256(coalesce(base,'')) as base_sha256, coalesce(spans,'') as spans from d left join j using (doc_id)
+"""
+
+
+def re_escape(c: str) -> str:
+    return c if c.isalnum() else f"[{c}]"
+
+
+OP2_SQL = _oracle()

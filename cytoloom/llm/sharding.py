@@ -79,14 +79,14 @@ def place(x: int, n: int, seed: int) -> int:
 def shard(df: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", seed: int = 4) -> DataFrame:
     """df with size, text_crc32, row_no, shard and slot; the law is `rows`.
 
-    Row numbers follow (bucket of the values, id, crc, size, text hash). Rows equal in all
+    Row numbers follow (bucket of id and crc, id, crc, size, text hash). Rows equal in all
     these are interchangeable; null ids and texts are values like any other. An empty table
     gives an empty result; df must not have columns of the added names.
     """
     taken_names(df, "size", "text_crc32", "row_no", "shard", "slot", "__bucket", "__hash", "__first")
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = df.withColumns({"size": F.octet_length(text).cast("long") + 16, "text_crc32": F.crc32(text), "__hash": F.xxhash64(text)})
-    rows = rows.withColumn("__bucket", F.pmod(F.xxhash64(id_col, "text_crc32", "size"), F.lit(BUCKETS)).cast("int"))
+    rows = rows.withColumn("__bucket", ((F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) + F.col("text_crc32")) % BUCKETS).cast("int"))
     counts = staged(rows.groupBy("__bucket").agg(F.count("*").alias("c")), "shard-counts")
     n = counts.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     before = F.sum("c").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
@@ -104,3 +104,30 @@ def op4_sharding(spark, sf_dir: str) -> DataFrame:
     """40 shards of all documents under the law `rows`."""
     rows = shard(table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row_no")
+
+
+def _oracle() -> str:
+    crc = "xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length({h}), 2), lambda i: ((instr('0123456789ABCDEF', {h}[i]) - 1) * 16 + instr('0123456789ABCDEF', {h}[i+1]) - 1)::bigint)), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295)"
+    rounds, last = [], "r0"
+    for i, k in enumerate(keys(4)):
+        t1 = f"(q * {k[0]} + {k[1]}) % {PRIME}"
+        rounds.append(f"f{i} as (select *, {t1} as t from {last})")
+        rounds.append(f"g{i} as (select *, (xor(t, t >> 15) % {PRIME}) * {k[2]} % {PRIME} as u from f{i})")
+        rounds.append(f"r{i + 1} as (select x, q as p, (p + xor(u, u >> 13)) % {'a' if i % 2 == 0 else 'b'} as q, a, b, n from g{i})")
+        last = f"r{i + 1}"
+    return f"""
+with recursive bits(i, k, v) as (select i, 0, i from range(256) t(i) union all select i, k+1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from bits where k < 8),
+ tab as (select list(v order by i) as tab from bits where k = 8),
+ d as (select doc_id, octet_length(encode(coalesce(text,'')))::bigint + 16 as size, hex(encode(coalesce(text,''))) as h, hex(encode(coalesce(doc_id::varchar,''))) as ih from documents),
+ c as (select doc_id, size, {crc.format(h="h")} as crc, {crc.format(h="ih")} as icrc from d, tab),
+ o as (select doc_id, size, crc, row_number() over (order by (icrc + crc) % {BUCKETS}, doc_id nulls first, crc, size) - 1 as row_no from c),
+ s as (select count(*) as n, floor(sqrt(count(*)))::bigint as a, ceil(count(*) / floor(sqrt(count(*))))::bigint as b from documents),
+ r0 as (select x, x % a as p, x // a as q, a, b, n from s, range(0, (select a*b from s)) t(x)), {", ".join(rounds)},
+ perm as (select x, q * a + p as y, n from {last}),
+ w(r, x, n) as (select x, y, n from perm union all select w.r, perm.y, w.n from w join perm on perm.x = w.x where w.x >= w.n),
+ pl as (select r, x as place from w where x < n)
+select doc_id, size, crc::bigint as text_crc32, 'rows' as law, (place % 40)::int as shard, (place // 40)::bigint as slot, null::int as grown_shard, row_no::bigint as row_no from o join pl on pl.r = o.row_no
+"""
+
+
+OP4_SQL = _oracle()
