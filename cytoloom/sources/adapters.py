@@ -16,14 +16,14 @@ from ..operators import derive, knn, spatial
 from . import files, warehouse
 
 log = logging.getLogger("cytoloom.adapters")
-#: Versions of the instrument's software whose files were tried.
-VERSIONS = ("xenium-3.", "xenium-2.", "xenium-1.")
+#: Versions of the instrument's software whose files were tried. (fixed values)
+VERSIONS = ("xenium-3.0.0.15",)
 SECTION, PATIENT = "S1", "P01"
 
 
-def check_version(version: str) -> str:
-    if not version.startswith(VERSIONS):
-        raise ValueError(f"files of {version!r} are not known; known: {', '.join(VERSIONS)}")
+def check_version(version: str, known: tuple[str, ...] = VERSIONS) -> str:
+    if version not in known:
+        raise ValueError(f"files of {version!r} are not known; known: {', '.join(known)}")
     return version
 
 

@@ -88,7 +88,7 @@ def test_gates(spark, valid, tmp_path):
         publish.run(spark, Config("d", "derived", path=str(tmp_path / "none")), str(tmp_path / "c"))
 
 
-def raw(spark, root, groups=None, version="xenium-3.1.0"):
+def raw(spark, root, groups=None, version="xenium-3.0.0.15"):
     (root / "outs").mkdir(parents=True)
     (root / "supplemental").mkdir()
     (root / "outs/experiment.xenium").write_text(json.dumps({"analysis_sw_version": version, "pixel_size": 0.2125}))
