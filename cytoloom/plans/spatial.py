@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import derive, raster, spatial
+from ..operators import align, derive, raster, spatial
 from ..sources import warehouse
 from .registry import canon, query
 
@@ -141,3 +141,31 @@ def i9(spark, d):
     p = raster.Pyramid.fit((100.0, 100.0, 500.0, 400.0), 0.5)
     t = raster.build_tiles(spark, p, "he/C001", reader, np.array([[2.0, 0, 0], [0, 2.0, 0], [0, 0, 1]]), 0.5)
     return t.select("rel", "z", "tx", "ty", "w", "h", F.sha2("payload", 256).alias("sha256"))
+
+
+_U = "(('0x' || substr(md5('{s}:' || {k}),1,13))::bigint / 4503599627370496.0e0)"
+
+
+@query("g15_random_points", f"select i as id, round(100 + 400*{_U.format(s='gx', k='i')},6) as x_um, round(50 + 200*{_U.format(s='gy', k='i')},6) as y_um from range(2000) t(i)")
+def g15(spark, d):
+    p = align.random_points(spark, 2000, (100.0, 50.0, 500.0, 250.0), "g")
+    return p.select("id", F.round("x_um", 6).alias("x_um"), F.round("y_um", 6).alias("y_um"))
+
+
+@query("g15_tissue_points", _PIX + f", m as (select x//10 as u, y//10 as v from px group by 1,2 having sum(r+g+b)/300.0e0 < 140), p as (select i as id, 160*{_U.format(s='tx', k='i')} as x, 120*{_U.format(s='ty', k='i')} as y from range(200) t(i)) select id from p where (floor((x+0.5e0)/10), floor((y+0.5e0)/10)) in (select (u::double, v::double) from m) order by id limit 50")
+def g15t(spark, d):
+    """Points accepted by a mask of the darker half of a procedural image."""
+    mask = raster.tissue(_pixels(spark), 10).select("u", "v", (F.col("gray") < 140).alias("tissue"))
+    one = F.array(*[F.lit(float(v)) for v in (1, 0, 0, 0, 1, 0, 0, 0, 1)])
+    return align.accepted(spark, 50, (0.0, 0.0, 160.0, 120.0), "t", lambda p: align.in_mask(p, mask, one, 10)).select("id")
+
+
+@query("g16_shifted", canon("cells") + f"select cell_id as id, round(x_um + 25*cos(2*pi()*{_U.format(s='s', k='cell_id')}),4) as x_um, round(y_um + 25*sin(2*pi()*{_U.format(s='s', k='cell_id')}),4) as y_um from cells")
+def g16(spark, d):
+    p = align.shifted(warehouse.cells(spark, d).select(F.col("cell_id").alias("id"), "x_um", "y_um"), "s")
+    return p.select("id", F.round("x_um", 4).alias("x_um"), F.round("y_um", 4).alias("y_um"))
+
+
+@query("o7_sampled_cells", canon("cells") + f"select cell_id as id from cells order by {_U.format(s='cells', k='cell_id')}, cell_id limit 1000")
+def o7(spark, d):
+    return align.sample_cells(warehouse.cells(spark, d)).select("id")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cytoloom.functions import codec
-from cytoloom.operators import derive, expression, integrity, knn, ordering, raster, spatial, stats, validation
+from cytoloom.operators import align, derive, embedding, expression, integrity, knn, ordering, raster, spatial, stats, validation
 from cytoloom.sources import files, warehouse
 
 
@@ -256,3 +256,30 @@ def test_stream_counts(ds, spark, tmp_path):
 
 def test_u16_bytes(spark):
     assert spark.range(1).select(F.lower(codec.u16_hex(F.lit(0x1234))), F.lower(codec.u32_hex(F.lit(0x01020304)))).first()[:] == ("3412", "04030201")
+
+
+def test_alignment_passes_and_its_control_fails(spark):
+    """Dark spots at the cells of a bright image: centers stand out, points 25 um away don't."""
+    rng = np.random.default_rng(3)
+    img = rng.integers(225, 250, (400, 400, 3))
+    centers = [(40 + 60 * i, 40 + 60 * j) for i in range(6) for j in range(6)]
+    for x, y in centers:
+        img[y - 4 : y + 5, x - 4 : x + 5] = (70, 40, 140)
+    pixels = spark.createDataFrame([(x, y, *map(int, img[y, x])) for y in range(400) for x in range(400)], "x long, y long, r int, g int, b int")
+    cells = spark.createDataFrame([(f"c{i}", float(x), float(y)) for i, (x, y) in enumerate(centers)], "cell_id string, x_um double, y_um double")
+    one = F.array(*[F.lit(float(v)) for v in (1, 0, 0, 0, 1, 0, 0, 0, 1)])
+    randoms = {"box": align.random_points(spark, 200, (20.0, 20.0, 380.0, 380.0), "r"), "near": align.accepted(spark, 100, (20.0, 20.0, 380.0, 380.0), "n", lambda p: align.near_cells(p, cells.withColumn("x_um", F.col("x_um") + 15)))}
+    rows, passed = align.run_suite(cells, randoms, pixels, one, 2)
+    assert passed and len(rows) == 4 and all((r["d"] >= 0.8) != r["control"] for r in rows)
+
+
+def test_embeddings_are_kept_by_content(spark, tmp_path):
+    rng = random.Random(2)
+    e = spark.createDataFrame([(f"c{i}", f"g{j}", rng.randint(1, 9)) for i in range(30) for j in range(5) if rng.random() < 0.8], "cell_id string, gene_id string, count int")
+    genes = spark.createDataFrame([(f"g{j}",) for j in range(5)], "gene_id string")
+    make = lambda: embedding.components(e, genes)
+    first, hit = embedding.cached(e, {"k": 2}, str(tmp_path), make)
+    again, hit_again = embedding.cached(e, {"k": 2}, str(tmp_path), lambda: 1 / 0)
+    assert (hit, hit_again) == (False, True) and first.count() == again.count() == e.select("cell_id").distinct().count()
+    with pytest.raises(ZeroDivisionError):
+        embedding.cached(e, {"k": 3}, str(tmp_path), lambda: 1 / 0)
