@@ -15,10 +15,15 @@ from cytoloom.llm import decontaminate, mixing, near_dup, quality, sharding
 from cytoloom.llm.common import staged, table
 
 
+def whole(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns, and every row as one value, so that columns of any name pass through."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *columns)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line field scores 0.5 or more."""
     field = quality.train(docs, table(spark, sf_dir, "labels"), usable=quality.fold(F.col("doc_id")) != 1)
-    return quality.score(docs, field).where("score >= 0.5").select(*docs.columns)
+    return quality.score(whole(docs, "text"), field, keep=["row"]).where("score >= 0.5").select("row.*")
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,16 +33,16 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    return decontaminate.mark(docs, table(spark, sf_dir, "benchmark")).where("n_hit = 0").select(*docs.columns)
+    return decontaminate.mark(whole(docs, "text"), table(spark, sf_dir, "benchmark"), keep=["row"]).where("n_hit = 0").select("row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    return mixing.repeat(mixing.mix(docs), docs.columns)
+    return mixing.repeat(mixing.mix(whole(docs, "doc_id", "text", "source")), ["row.*"])
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard of 40 and its slot in it."""
+    """Every row with its shard of 40 and its slot in it; columns of these names are replaced."""
     return sharding.shard(docs, 40)
 
 

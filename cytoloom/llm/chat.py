@@ -38,7 +38,8 @@ def examples(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
     turn is lost. Null roles and texts count as empty; rows of a conversation with one turn
     number follow role and text, a null turn number comes first, null conversation ids are
     one conversation. Other columns are not read. A conversation's turns meet in one task,
-    as its output is one text; different conversations don't.
+    as its output is one text; different conversations don't. Examples repeat their context,
+    so the text of a conversation's examples grows with the square of its turns.
     """
     turn = F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     convs = df.groupBy(F.col(conv_col).alias(conv_col)).agg(F.sort_array(F.collect_list(turn)).alias("turns"))

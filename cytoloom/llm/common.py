@@ -83,7 +83,12 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def taken_names(df: DataFrame, *names: str) -> None:
-    """Operators add columns under a prefix; an input that has them already is an error rather than a silent overwrite."""
-    if clash := {x.lower() for x in names} & {x.lower() for x in df.columns}:
-        raise ValueError(f"the input already has the columns {sorted(clash)}")
+def safe(df: DataFrame, columns: list[str]) -> list[Column]:
+    """The columns under names of our own, so that no input can clash with what an operator adds."""
+    return [df[f"`{c}`"].alias(f"__c{i}") for i, c in enumerate(columns)]
+
+
+def restored(df: DataFrame, columns: list[str], added: list[str]) -> DataFrame:
+    """Columns of safe() under their names again, and those an operator added; of equal names (in any case) the added one holds."""
+    new = {x.lower() for x in added}
+    return df.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(columns) if c.lower() not in new], *added)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged, table, taken_names
+from .common import restored, safe, staged, table
 
 #: Bytes to word bytes: A-Z lower-cased; other ASCII that is neither digit nor letter separates. Bytes of non-ASCII characters are word bytes.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -97,12 +97,13 @@ def mark(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col:
 
     Null texts have no words; an empty benchmark marks nothing; repeated items count once by
     id. Every word of a document and every window of the benchmark takes part. Columns of
-    df of the added names are an error, other columns pass through.
+    df of the added names are replaced, other columns pass through.
     """
-    taken_names(df, "n_words", "n_hit", "items", "__ranges", "__text")
     spark = df.sparkSession
-    keep = df.columns if keep is None else keep
-    rows = df.select(*keep, F.col(text_col).cast("binary").alias("__text"))
+    columns = df.columns if keep is None else keep
+    rows = df.select(*safe(df, columns), F.col(text_col).cast("binary").alias("__text"))
+    keep = [f"__c{i}" for i in range(len(columns))]
+    kept = rows.select(*keep).schema.fields
     added = [T.StructField("n_words", T.LongType()), T.StructField("__ranges", T.ArrayType(T.LongType())), T.StructField("items", T.ArrayType(T.StringType()))]
     extra = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string())]
 
@@ -141,10 +142,11 @@ def mark(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col:
 
         if not first:
             rows = staged(rows, "decontaminate")
-        rows = rows.mapInArrow(find, T.StructType([*df.select(*keep).schema.fields, T.StructField("__text", T.BinaryType()), *added]))
+        rows = rows.mapInArrow(find, T.StructType([*kept, T.StructField("__text", T.BinaryType()), *added]))
         first = False
     n_hit = F.aggregate(F.sequence(F.lit(0), F.size("__ranges") - 1), F.lit(0).cast("long"), lambda a, i: a + F.when(i % 2 == 1, 1).otherwise(-1) * F.coalesce(F.get("__ranges", i), F.lit(0)))
-    return rows.select(*keep, "n_words", F.when(F.size("__ranges") == 0, 0).otherwise(n_hit).cast("long").alias("n_hit"), "items")
+    rows = rows.withColumn("n_hit", F.when(F.size("__ranges") == 0, 0).otherwise(n_hit).cast("long"))
+    return restored(rows, columns, ["n_words", "n_hit", "items"])
 
 
 def op6_decontaminate(spark, sf_dir: str) -> DataFrame:

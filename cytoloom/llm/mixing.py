@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, null_safe, small, staged, table, taken_names
+from .common import WORD, null_safe, restored, safe, small, staged, table
 
 #: Hash ranges of a source.
 RANGES = 4096
@@ -52,21 +52,21 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     """df with size, source_size, target and copies: how often the mix takes each row.
 
     Null texts have size 0; null sources are a source; null ids order as an empty string.
-    Rows that agree in id, size and text hash are interchangeable. carry=False returns no
-    other columns than id and source beside these.
+    Rows that agree in id, size and text hash are interchangeable. Columns of df of the added
+    names are replaced. carry=False returns no other columns than id and source beside these.
     """
-    taken_names(df, "size", "source_size", "target", "copies")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    sized = df.withColumns({
+    own = df.columns if carry else [id_col, source_col]
+    text = F.coalesce(F.col("__text"), F.lit(""))
+    sized = df.select(*safe(df, own), F.col(id_col).alias("__id"), F.col(source_col).alias("__s"), F.col(text_col).alias("__text")).withColumns({
         "size": F.regexp_count(text, F.lit(WORD)).cast("long"),
-        "__h": F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary")), 1, 15), 16, 10).cast("long"),
+        "__h": F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("__id").cast("string"), F.lit(""))).cast("binary")), 1, 15), 16, 10).cast("long"),
         "__t": F.xxhash64(text),
     })
     sized = sized.withColumn("__range", F.shiftright("__h", 48).cast("int"))
     if not carry:
-        sized = staged(sized.select(id_col, source_col, "size", "__h", "__t", "__range"), "mix-sizes")
+        sized = staged(sized.drop("__text"), "mix-sizes")
 
-    ranges = staged(sized.groupBy(F.col(source_col).alias("source"), "__range").agg(F.sum("size").alias("s")), "mix-ranges")
+    ranges = staged(sized.groupBy(F.col("__s").alias("source"), "__range").agg(F.sum("size").alias("s")), "mix-ranges")
     sources = ranges.groupBy("source").agg(F.sum("s").alias("source_size"))
     filled = water_fill(weigh(sources), share, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
@@ -78,13 +78,13 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     plan = null_safe(filled, cut, "source", "left").select("source", "source_size", "target", "whole", "rest", F.coalesce("cut.__range", F.lit(-1)).alias("cut"), F.coalesce("cut.before", F.lit(0)).alias("before"))
     plan = small(staged(plan, "mix-plan"))
 
-    rows = null_safe(sized.withColumn("source__", F.col(source_col)), plan.withColumnRenamed("source", "source__"), "source__")
+    rows = null_safe(sized, plan.withColumnRenamed("source", "__s"), "__s")
     clear = rows.where("__range <> cut").withColumn("copies", F.col("whole") + F.when(F.col("__range") < F.col("cut"), 1).otherwise(0))
-    run = Window.partitionBy("source__").orderBy("__h", id_col, "size", "__t").rowsBetween(Window.unboundedPreceding, -1)
+    run = Window.partitionBy("__s").orderBy("__h", "__id", "size", "__t").rowsBetween(Window.unboundedPreceding, -1)
     edge = rows.where("__range = cut").withColumn("__b", F.col("before") + F.coalesce(F.sum("size").over(run), F.lit(0)))
     edge = edge.withColumn("copies", F.col("whole") + F.when(2 * F.col("__b") + F.col("size") <= 2 * F.col("rest"), 1).otherwise(0)).drop("__b")
-    own = df.columns if carry else [id_col, source_col]
-    return clear.unionByName(edge).select(*own, "size", "source_size", "target", F.col("copies").cast("long").alias("copies"))
+    both = clear.unionByName(edge).withColumn("copies", F.col("copies").cast("long"))
+    return restored(both, own, ["size", "source_size", "target", "copies"])
 
 
 def repeat(mixed: DataFrame, columns: list[str]) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table, taken_names
+from .common import restored, safe, table
 
 #: Bins of a share: the edges between them.
 EDGES = np.array([0.005, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.8])
@@ -260,10 +260,11 @@ def score(df: DataFrame, field: Field, text_col: str = "text", keep: list[str] |
     """df (or its columns `keep`) with score: the length-weighted chance that its lines are good.
 
     A null text is an empty one, which is a single empty line. Columns pass through; one
-    called score is an error.
+    called score is replaced.
     """
-    taken_names(df, "score", "__text")
-    keep = df.columns if keep is None else keep
+    columns = df.columns if keep is None else keep
+    rows = df.select(*safe(df, columns), F.col(text_col).alias("__text"))
+    keep = [f"__c{i}" for i in range(len(columns))]
     shared = df.sparkSession.sparkContext.broadcast((field.weights, field.bias, field.pairs, field.start, field.end))
 
     def run(batches):
@@ -275,8 +276,8 @@ def score(df: DataFrame, field: Field, text_col: str = "text", keep: list[str] |
                 found.append(here.scores(with_neighbours(bins, n_lines), lengths, n_lines))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())], names=[*keep, "score"])
 
-    schema = T.StructType([*df.select(*keep).schema.fields, T.StructField("score", T.DoubleType())])
-    return df.select(*keep, df[text_col].alias("__text")).mapInArrow(run, schema)
+    schema = T.StructType([*rows.select(*keep).schema.fields, T.StructField("score", T.DoubleType())])
+    return restored(rows.mapInArrow(run, schema), columns, ["score"])
 
 
 def fold(c):

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged, table, taken_names
+from .common import restored, safe, staged, table
 
 PRIME = 2_147_483_647
 ROUNDS = 6
@@ -81,23 +81,20 @@ def shard(df: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "t
 
     Row numbers follow (bucket of id and crc, id, crc, size, text hash). Rows equal in all
     these are interchangeable; null ids and texts are values like any other. An empty table
-    gives an empty result; df must not have columns of the added names.
+    gives an empty result; columns of df of the added names are replaced.
     """
-    taken_names(df, "size", "text_crc32", "row_no", "shard", "slot", "__bucket", "__hash", "__first")
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    rows = df.withColumns({"size": F.octet_length(text).cast("long") + 16, "text_crc32": F.crc32(text), "__hash": F.xxhash64(text)})
-    rows = rows.withColumn("__bucket", ((F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) + F.col("text_crc32")) % BUCKETS).cast("int"))
+    rows = df.select(*safe(df, df.columns), F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"))
+    text = F.col("__text")
+    rows = rows.withColumns({"size": F.octet_length(text).cast("long") + 16, "text_crc32": F.crc32(text), "__hash": F.xxhash64(text)})
+    rows = rows.withColumn("__bucket", ((F.crc32(F.coalesce(F.col("__id").cast("string"), F.lit("")).cast("binary")) + F.col("text_crc32")) % BUCKETS).cast("int"))
     counts = staged(rows.groupBy("__bucket").agg(F.count("*").alias("c")), "shard-counts")
     n = counts.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     before = F.sum("c").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("__bucket", F.coalesce(before, F.lit(0)).alias("__first"))
-    within = Window.partitionBy("__bucket").orderBy(id_col, "text_crc32", "size", "__hash")
+    within = Window.partitionBy("__bucket").orderBy("__id", "text_crc32", "size", "__hash")
     numbered = rows.join(F.broadcast(offsets), "__bucket").withColumn("row_no", F.col("__first") + F.row_number().over(within) - 1)
-    return (
-        numbered.withColumn("__place", F.expr(place_sql("row_no", n, seed)))
-        .withColumns({"shard": (F.col("__place") % shards).cast("int"), "slot": F.expr(f"__place div {shards}")})
-        .select(*df.columns, "size", "text_crc32", "row_no", "shard", "slot")
-    )
+    dealt = numbered.withColumn("__place", F.expr(place_sql("row_no", n, seed))).withColumns({"shard": (F.col("__place") % shards).cast("int"), "slot": F.expr(f"__place div {shards}")})
+    return restored(dealt, df.columns, ["size", "text_crc32", "row_no", "shard", "slot"])
 
 
 def op4_sharding(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import table, taken_names
+from .common import restored, safe, table
 
 MARK = "▁"
 PENALTY = 10.0
@@ -138,10 +138,11 @@ def count_tokens(df: DataFrame, pieces: list[tuple[str, float]], text_col: str =
     """df (or its columns `keep`) with n_tokens and score (of the best path), from whole texts.
 
     The vocabulary is broadcast; its size is that of the file. Columns of df of the added
-    names are an error, others pass through.
+    names are replaced, others pass through.
     """
-    taken_names(df, "n_tokens", "score", "__text")
-    keep = df.columns if keep is None else keep
+    columns = df.columns if keep is None else keep
+    rows = df.select(*safe(df, columns), df[text_col].alias("__text"))
+    keep = [f"__c{i}" for i in range(len(columns))]
     vocabulary = df.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches):
@@ -151,8 +152,8 @@ def count_tokens(df: DataFrame, pieces: list[tuple[str, float]], text_col: str =
             new = [pa.array([round(x.imag) for x in got], pa.int64()), pa.array([x.real for x in got], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *new], names=[*keep, "n_tokens", "score"])
 
-    schema = T.StructType([*df.select(*keep).schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("score", T.DoubleType())])
-    return df.select(*keep, df[text_col].alias("__text")).mapInArrow(run, schema)
+    schema = T.StructType([*rows.select(*keep).schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("score", T.DoubleType())])
+    return restored(rows.mapInArrow(run, schema), columns, ["n_tokens", "score"])
 
 
 def op5_tokens(spark, sf_dir: str, vocabulary: str | None = None) -> DataFrame:

@@ -239,3 +239,20 @@ def test_stages_keep_the_columns(spark, sf):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(60), sf).columns == docs.columns
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == docs.count()
+
+
+def test_stages_pass_odd_rows_and_clashing_columns(spark, sf):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40)
+    odd = [(None, None, None, None, None), (10**6, "", "", "", 0), (10**6 + 1, "long " * 60_000, "en", None, 1), (10**6 + 1, "long " * 60_000, "en", None, 1)]
+    extra = {c: F.lit("mine") for c in ("score", "size", "n_hit", "items", "copies", "target", "row", "rest", "d", "t", "root", "__d_", "quality")}
+    df = docs.unionByName(spark.createDataFrame(odd, DOCS)).withColumns(extra)
+    for name, stage in corpus_pipeline.STAGES:
+        for rows in (df, df.limit(0)):
+            out = stage(spark, rows, sf)
+            got = out.collect()
+            if name != "sharding":
+                assert out.columns == df.columns and all(r["score"] == "mine" and r["rest"] == "mine" for r in got), name
+            else:
+                assert len(got) == rows.count() and set(df.columns) <= set(out.columns)
