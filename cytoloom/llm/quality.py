@@ -13,6 +13,7 @@ documents, `sample_lines` lines of each), whose features alone go to the driver.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -210,7 +211,7 @@ def fit(x: np.ndarray, n_lines: np.ndarray, labels: np.ndarray, steps: int = 200
     return field
 
 
-def _chunks(texts: list[str | None], limit: int = 1_000_000):
+def _chunks(texts: Iterable[str | None], limit: int = 250_000):
     """Runs of whole texts of about so many characters together; a longer text is a run of its own."""
     run, n = [], 0
     for t in texts:
@@ -240,7 +241,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def features(batches):
         for batch in batches:
             out, sizes = [], []
-            for run in _chunks(batch.column(1).to_pylist()):
+            for run in _chunks(t.as_py() for t in batch.column(1)):
                 bins, _, n_lines = line_features(run)
                 x = with_neighbours(bins, n_lines)
                 for a, n in zip(np.cumsum(n_lines) - n_lines, n_lines):
@@ -271,7 +272,7 @@ def score(df: DataFrame, field: Field, text_col: str = "text", keep: list[str] |
         here = Field(*shared.value)
         for batch in batches:
             found = []
-            for texts in _chunks(batch.column(len(keep)).to_pylist()):
+            for texts in _chunks(t.as_py() for t in batch.column(len(keep))):
                 bins, lengths, n_lines = line_features(texts)
                 found.append(here.scores(with_neighbours(bins, n_lines), lengths, n_lines))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())], names=[*keep, "score"])
