@@ -9,13 +9,14 @@
    alignment.
 4. Members that differ from their leader (texts that share a passage and little else, or a
    second class in the bucket) are compared in full: blocks of a bounded number of words,
-   each pair of blocks a task, where texts that also agree in a second component and are
-   not known to be in one class are aligned. No bucket is capped or dropped.
+   each pair of blocks a task, where texts that are not known to be in one class are
+   aligned unless their lengths or words rule it out. No bucket is capped or dropped.
 5. Classes are the connected components of the verified links, and copies join their text.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import OrderedDict
 
 import numpy as np
@@ -33,6 +34,8 @@ SIMILARITY = 0.8
 ORDERS = 6
 #: Words of a block in the full comparison.
 BLOCK_WORDS = 400_000
+#: Bins of words that bound the edit distance of a pair from below.
+BINS = 256
 
 
 def key_of(text: Column) -> Column:
@@ -113,7 +116,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return aligned.unionByName(rest)
 
 
-def _full(rows: DataFrame, texts: DataFrame, sketch_of: DataFrame, links: DataFrame) -> DataFrame:
+def _full(rows: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
     """(u, v): links among the rows (key, d, n) of what is left of each bucket. links (u, v), from leader to member, tell which texts share a class already."""
     led = links.groupBy(F.col("v").alias("d")).agg(F.min("u").alias("root"))
     rows = rows.select("key", "d", "n").join(led, "d", "left")
@@ -123,23 +126,14 @@ def _full(rows: DataFrame, texts: DataFrame, sketch_of: DataFrame, links: DataFr
     rows = rows.join(size.select("key", blocks.alias("blocks")), "key").withColumn("own", F.pmod(F.xxhash64("d"), F.col("blocks")).cast("int"))
     each = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     each = each.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    each = each.join(sketch_of.select("d", "sketch"), "d").join(texts, "d").select("key", "i", "j", "own", "d", "n", "root", "sketch", "t")
+    each = each.join(texts, "d").select("key", "i", "j", "own", "d", "n", "root", "t")
 
     def compare(group: pa.Table) -> pa.Table:
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
         own, n = group["own"].to_numpy(), group["n"].to_numpy()
         d, root = group["d"].to_pylist(), group["root"].to_pylist()
-        lists = group["sketch"].combine_chunks()
-        if isinstance(lists, pa.ChunkedArray):
-            lists = lists.chunk(0)
-        sk = np.asarray(lists.flatten()).reshape(len(d), -1)
         text = group["t"]
-        above: dict[bytes, bytes] = {}
-
-        def find(x: bytes) -> bytes:
-            while x in above:
-                x = above[x]
-            return x
+        label = np.unique(np.array([r.hex() for r in root]), return_inverse=True)[1]  # class so far
 
         parsed: dict[int, tuple[list[bytes], frozenset[bytes]]] = {}
 
@@ -156,6 +150,22 @@ def _full(rows: DataFrame, texts: DataFrame, sketch_of: DataFrame, links: DataFr
                 return False
             return sketches.similar(a, b, SIMILARITY)
 
+        bags, known = np.zeros((len(d), BINS), np.int32), np.zeros(len(d), bool)
+
+        def possible(x: int, near: np.ndarray) -> np.ndarray:
+            """Those of near whose words in bins, moved one by one, don't exceed the edits allowed. Passes all that are alike."""
+            if len(near) < 4:
+                return near
+            for y in (x, *near):
+                if not known[y]:
+                    bags[y] = np.bincount([zlib.crc32(w) % BINS for w in parse(y)[0]], minlength=BINS)
+                    known[y] = True
+            out = []
+            for part in np.array_split(near, len(near) // 4096 + 1):
+                moved = np.abs(bags[part] - bags[x]).sum(axis=1) + np.abs(n[part] - n[x])
+                out.append(part[moved / 2 <= (1 - SIMILARITY) * np.maximum(n[part], n[x]) + 1e-6])
+            return np.concatenate(out)
+
         links: list[tuple[bytes, bytes]] = []
         first = np.flatnonzero(own == i)
         second = np.flatnonzero(own == j)
@@ -165,10 +175,11 @@ def _full(rows: DataFrame, texts: DataFrame, sketch_of: DataFrame, links: DataFr
             lo = np.searchsorted(lengths, SIMILARITY * n[x] - 1e-6)
             hi = np.searchsorted(lengths, n[x] / SIMILARITY + 1e-6, side="right")
             near = second[lo:hi]
-            near = near[(sk[near] == sk[x]).sum(axis=1) >= 2]
-            for y in near:
-                if d[x] != d[y] and (i != j or d[x] < d[y]) and (a := find(root[x])) != (b := find(root[y])) and alike(x, y):
-                    above[a] = b
+            if i == j:
+                near = near[near > x]
+            for y in possible(x, near[label[near] != label[x]]):
+                if label[x] != label[y] and alike(x, y):
+                    label[label == label[y]] = label[x]
                     links.append((d[x], d[y]))
         return pa.table({"u": pa.array([u for u, _ in links], pa.binary()), "v": pa.array([v for _, v in links], pa.binary())})
 
@@ -195,7 +206,7 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     left = staged(led.join(good, ["leader", "d"], "left_anti").select("key", "d", "n"), "near-left")
     texts = tested.where("t is not null").select(F.col("b").alias("d"), "t").dropDuplicates(["d"])
     links = good.select(F.col("leader").alias("u"), F.col("d").alias("v"))
-    more = staged(_full(left, texts, distinct, links), "near-full")
+    more = staged(_full(left, texts, links), "near-full")
     roots = components(links.unionByName(more))
 
     mine = rows.select("id", "d").join(roots.withColumnRenamed("u", "d"), "d", "left").withColumn("root", F.coalesce("v", "d")).select("id", "d", "root")

@@ -195,6 +195,30 @@ def test_blocks_of_the_full_comparison_find_the_same(spark, monkeypatch):
     assert [r["class_id"] for r in near_dup.near_classes(df).orderBy("doc_id").collect()] == brute_classes(texts)
 
 
+def given_sketches(spark, monkeypatch, sketch_of):
+    """near_dup with components of our choice: sketch_of[id]."""
+    real = near_dup.sketched
+    mine = lambda: spark.createDataFrame(list(sketch_of.items()), "id int, sketch array<long>")
+    monkeypatch.setattr(near_dup, "sketched", lambda *a: real(*a).drop("sketch").join(mine(), "id").select("id", "d", "n", "sketch"))
+
+
+def changed(words, places, mark):
+    return [f"{mark}{i}" if i in places else w for i, w in enumerate(words)]
+
+
+def test_one_agreement_is_enough_for_leftovers(spark, monkeypatch):
+    rows, sketch_of = [], {}
+    for g in range(8):
+        base = [f"g{g}w{i}" for i in range(100)]
+        group = [base, changed(base, range(3, 100, 6), "y")] + [[f"g{g}other{o}w{i}" for i in range(100)] for o in range(6)]
+        for w in group:
+            sketch_of[len(rows)] = [g] + [1000 * len(rows) + c for c in range(1, 32)]
+            rows.append(" ".join(w))
+    given_sketches(spark, monkeypatch, sketch_of)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    assert [r["class_id"] for r in near_dup.near_classes(df).orderBy("doc_id").collect()] == brute_classes(rows)
+
+
 def test_near_classes_of_nothing_and_of_nulls(spark):
     none = spark.createDataFrame([], DOCS)
     assert near_dup.near_classes(none).count() == 0 and near_dup.keep_one(none).count() == 0
