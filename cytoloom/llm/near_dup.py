@@ -8,9 +8,10 @@
 3. Pairs are verified on whole texts: word edit similarity of at least 0.8, by banded
    alignment.
 4. Members that differ from their leader (texts that share a passage and little else, or a
-   second class in the bucket) are compared in full: blocks of a bounded number of words,
-   each pair of blocks a task, where texts that are not known to be in one class are
-   aligned unless their lengths or words rule it out. No bucket is capped or dropped.
+   second class in the bucket) are compared in full, with each other and with the members
+   that match it: blocks of a bounded number of words, each pair of blocks a task, where
+   texts that are not known to be in one class are aligned unless their lengths or words
+   rule it out. No bucket is capped or dropped.
 5. Classes are the connected components of the verified links, and copies join their text.
 """
 
@@ -88,7 +89,7 @@ def _texts(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, ok, t) for pairs (a, b, close): ok if verified; else t is the text of b, for the full comparison.
+    """(a, b, ok, t) for pairs (a, b, close): ok if verified; t is the text of b, for the full comparison.
 
     Pairs whose lengths differ too much skip the alignment: one row for each such b, without
     a. Both sides read one shuffle of the texts.
@@ -108,7 +109,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     if len(recent) > 4:
                         recent.popitem(last=False)
                 ok.append(sketches.similar(recent[k], words(other), SIMILARITY))
-                left.append(None if ok[-1] else other)
+                left.append(other)
             yield pa.RecordBatch.from_arrays([a, b, pa.array(ok, pa.bool_()), pa.array(left, pa.binary())], names=["a", "b", "ok", "t"])
 
     aligned = both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary, ok boolean, t binary")
@@ -116,22 +117,33 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return aligned.unionByName(rest)
 
 
-def _full(rows: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
-    """(u, v): links among the rows (key, d, n) of what is left of each bucket. links (u, v), from leader to member, tell which texts share a class already."""
-    led = links.groupBy(F.col("v").alias("d")).agg(F.min("u").alias("root"))
-    rows = rows.select("key", "d", "n").join(led, "d", "left")
-    rows = rows.withColumn("root", F.coalesce("root", "d"))
-    size = rows.groupBy("key").agg(F.sum(F.col("n") + 1).alias("w"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-    blocks = F.ceil(F.col("w") / BLOCK_WORDS).cast("int")
-    rows = rows.join(size.select("key", blocks.alias("blocks")), "key").withColumn("own", F.pmod(F.xxhash64("d"), F.col("blocks")).cast("int"))
-    each = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+def _full(rows: DataFrame, texts: DataFrame, sketch_of: DataFrame, roots: DataFrame) -> DataFrame:
+    """(u, v): links between the rejected members of each bucket and all its members of other classes.
+
+    rows (key, d, n, rejected): members without the leader; roots (u, v): class v of text u so
+    far. Matched members share their leader's class, so they aren't compared with each other:
+    they have blocks of their own after those of the rejected ones.
+    """
+    rows = rows.join(roots.select(F.col("u").alias("d"), F.col("v").alias("root")), "d", "left").withColumn("root", F.coalesce("root", "d"))
+    words_of = lambda c: F.sum(F.when(c, F.col("n") + 1).otherwise(0))
+    size = rows.groupBy("key").agg(words_of(F.col("rejected")).alias("wr"), words_of(~F.col("rejected")).alias("wm"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("wr > 0 and r0 <> r1")
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK_WORDS).cast("int")
+    rows = rows.join(size.select("key", blocks("wr").alias("br"), blocks("wm").alias("bm")), "key")
+    own = F.when(F.col("rejected"), F.pmod(F.xxhash64("d"), F.col("br"))).otherwise(F.col("br") + F.pmod(F.xxhash64("d"), F.greatest("bm", F.lit(1))))
+    rows = rows.withColumn("own", own.cast("int"))
+    each = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("rejected"), F.col("br") + F.col("bm")).otherwise(F.col("br")) - 1)))
     each = each.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    each = each.join(texts, "d").select("key", "i", "j", "own", "d", "n", "root", "t")
+    each = each.join(sketch_of.select("d", "sketch"), "d").join(texts, "d").select("key", "i", "j", "own", "d", "n", "root", "sketch", "t")
 
     def compare(group: pa.Table) -> pa.Table:
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
         own, n = group["own"].to_numpy(), group["n"].to_numpy()
         d, root = group["d"].to_pylist(), group["root"].to_pylist()
+        lists = group["sketch"].combine_chunks()
+        if isinstance(lists, pa.ChunkedArray):
+            lists = lists.chunk(0)
+        sk = np.asarray(lists.flatten()).reshape(len(d), -1)
+        band = group["key"][0].as_py() & 31
         text = group["t"]
         label = np.unique(np.array([r.hex() for r in root]), return_inverse=True)[1]  # class so far
 
@@ -177,7 +189,10 @@ def _full(rows: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
             near = second[lo:hi]
             if i == j:
                 near = near[near > x]
-            for y in possible(x, near[label[near] != label[x]]):
+            near = near[label[near] != label[x]]
+            # each pair in the first bucket that it shares: there it is linked, known to be in one class, or rejected
+            near = near[~(sk[near, :band] == sk[x, :band]).any(axis=1)]
+            for y in possible(x, near):
                 if label[x] != label[y] and alike(x, y):
                     label[label == label[y]] = label[x]
                     links.append((d[x], d[y]))
@@ -203,11 +218,13 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     pairs = led.select(F.col("leader").alias("a"), F.col("d").alias("b"), _close("n", "ln").alias("close")).distinct()
     tested = staged(_verified(pairs, _texts(df, text_col)), "near-verified")
     good = tested.where("ok").select(F.col("a").alias("leader"), F.col("b").alias("d"))
-    left = staged(led.join(good, ["leader", "d"], "left_anti").select("key", "d", "n"), "near-left")
-    texts = tested.where("t is not null").select(F.col("b").alias("d"), "t").dropDuplicates(["d"])
+    members = led.join(good.withColumn("ok", F.lit(True)), ["leader", "d"], "left").select("key", "d", "n", F.col("ok").isNull().alias("rejected"))
+    members = staged(members, "near-members")
+    texts = tested.select(F.col("b").alias("d"), "t").dropDuplicates(["d"])
     links = good.select(F.col("leader").alias("u"), F.col("d").alias("v"))
-    more = staged(_full(left, texts, links), "near-full")
-    roots = components(links.unionByName(more))
+    roots = components(links)
+    more = staged(_full(members, texts, distinct, roots), "near-full")
+    roots = components(roots.unionByName(more))
 
     mine = rows.select("id", "d").join(roots.withColumnRenamed("u", "d"), "d", "left").withColumn("root", F.coalesce("v", "d")).select("id", "d", "root")
     classes = staged(mine.groupBy("root").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size")), "near-classes")  # as for leaders

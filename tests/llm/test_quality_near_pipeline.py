@@ -199,7 +199,7 @@ def given_sketches(spark, monkeypatch, sketch_of):
     """near_dup with components of our choice: sketch_of[id]."""
     real = near_dup.sketched
     mine = lambda: spark.createDataFrame(list(sketch_of.items()), "id int, sketch array<long>")
-    monkeypatch.setattr(near_dup, "sketched", lambda *a: real(*a).drop("sketch").join(mine(), "id").select("id", "d", "n", "sketch"))
+    monkeypatch.setattr(near_dup, "sketched", lambda *a: real(*a).drop("sketch").join(mine(), "id"))
 
 
 def changed(words, places, mark):
@@ -219,6 +219,24 @@ def test_one_agreement_is_enough_for_leftovers(spark, monkeypatch):
     assert [r["class_id"] for r in near_dup.near_classes(df).orderBy("doc_id").collect()] == brute_classes(rows)
 
 
+@pytest.mark.parametrize("block", [400_000, 300])
+def test_leftovers_meet_the_members_that_match(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dup, "BLOCK_WORDS", block)
+    rows, sketch_of = [], {}
+    for g in range(6):
+        base, rng = [f"g{g}w{i}" for i in range(100)], random.Random(g)
+        group = [changed(base, set(rng.sample(range(20, 100), 10)), f"v{v}z") for v in range(30)]
+        group += [changed(base, range(13, 18), "x"), changed(base, range(13), "y")]
+        for w in group:
+            sketch_of[len(rows)] = [g] + [1000 * len(rows) + c for c in range(1, 32)]
+            rows.append(" ".join(w))
+    given_sketches(spark, monkeypatch, sketch_of)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    want = brute_classes(rows)
+    assert want == [i // 32 * 32 for i in range(len(rows))]
+    assert [r["class_id"] for r in near_dup.near_classes(df).orderBy("doc_id").collect()] == want
+
+
 def test_near_classes_of_nothing_and_of_nulls(spark):
     none = spark.createDataFrame([], DOCS)
     assert near_dup.near_classes(none).count() == 0 and near_dup.keep_one(none).count() == 0
