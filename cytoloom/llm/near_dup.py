@@ -1,8 +1,9 @@
 """Near-duplicate classes by Order MinHash, verified by banded alignment.
 
 1. Texts that are equal to the byte count once. Each distinct text has a sketch of M
-   components, each of the two minimum occurrence-labelled five-word k-mers in text order.
-2. Texts that agree in a component share a bucket. A bucket's leader is the least of its
+   components, each of the two minimum occurrence-labelled four-word k-mers in text order;
+   one of at most 24 words also has keys of segments, one of which any two near ones share.
+2. Texts that agree in a component or key share a bucket. A bucket's leader is the least of its
    texts in an order that depends on the component; members meet the leader only, through
    an aggregate and a join, so a bucket of any size gives no more pairs than rows.
 3. Pairs are verified on whole texts: word edit similarity of at least 0.8, by banded
@@ -45,22 +46,23 @@ def key_of(text: Column) -> Column:
 
 
 def sketched(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, d, n, sketch) of every row: identity, number of words and sketch of its text."""
+    """(id, d, n, sketch, short) of every row: identity, number of words, sketch and segment keys of its text."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
 
     def run(batches):
         known = sketches.Words()
         for batch in batches:
-            counts, found = [], []
+            counts, found, short = [], [], []
             for t in batch.column(2):
                 w = words(t.as_py())
                 numbers = np.fromiter(map(known.__getitem__, w), np.uint64, len(w))
                 counts.append(len(w))
                 found.append(sketches.sketch(sketches.kmers(numbers)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int32()), pa.array(found, pa.list_(pa.int64()))], names=["id", "d", "n", "sketch"])
+                short.append(sketches.segments(numbers, SIMILARITY))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int32()), pa.array(found, pa.list_(pa.int64())), pa.array(short, pa.list_(pa.int64()))], names=["id", "d", "n", "sketch", "short"])
 
     id_type = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("id"), key_of(text).alias("d"), text.alias("t")).mapInArrow(run, f"id {id_type}, d binary, n int, sketch array<bigint>")
+    return df.select(F.col(id_col).alias("id"), key_of(text).alias("d"), text.alias("t")).mapInArrow(run, f"id {id_type}, d binary, n int, sketch array<bigint>, short array<bigint>")
 
 
 def _elect(rows: DataFrame) -> DataFrame:
@@ -68,7 +70,7 @@ def _elect(rows: DataFrame) -> DataFrame:
 
     The component is in the low bits of the key.
     """
-    order = F.xxhash64((F.col("key").bitwiseAND(F.lit(31).cast("long")) % ORDERS).alias("o"), F.col("d"))
+    order = F.xxhash64((F.col("key").bitwiseAND(F.lit(127).cast("long")) % ORDERS).alias("o"), F.col("d"))
     # one byte string of order, text and length, so the election moves little
     vote = F.concat(F.unhex(F.lpad(F.hex(order), 16, "0")), F.col("d"), F.unhex(F.lpad(F.hex(F.col("n").cast("long")), 8, "0")))
     leaders = rows.groupBy("key").agg(F.min(vote).alias("v"), F.count("*").alias("c")).where("c > 1")
@@ -143,7 +145,8 @@ def _full(rows: DataFrame, texts: DataFrame, sketch_of: DataFrame, roots: DataFr
         if isinstance(lists, pa.ChunkedArray):
             lists = lists.chunk(0)
         sk = np.asarray(lists.flatten()).reshape(len(d), -1)
-        band = group["key"][0].as_py() & 31
+        band = group["key"][0].as_py() & 127
+        band = 0 if band == sketches.M else band  # segment keys: no earlier bucket is known
         text = group["t"]
         label = np.unique(np.array([r.hex() for r in root]), return_inverse=True)[1]  # class so far
 
@@ -209,10 +212,11 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     table gives an empty result. Other columns of df are not read.
     """
     rows = staged(sketched(df, id_col, text_col), "near-sketches")
-    distinct = rows.groupBy("d").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    distinct = rows.groupBy("d").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("short").alias("short"))
     distinct = staged(distinct, "near-distinct")
-    key = F.xxhash64("band", "s").bitwiseAND(F.lit(-32).cast("long")).bitwiseOR(F.col("band").cast("long"))
-    left = distinct.where("size(sketch) > 0").select("d", "n", F.posexplode("sketch").alias("band", "s")).select(key.alias("key"), "d", "n")
+    tagged = lambda hashed, band: hashed.bitwiseAND(F.lit(-128).cast("long")).bitwiseOR(band.cast("long")).alias("key")
+    left = distinct.where("size(sketch) > 0").select("d", "n", F.posexplode("sketch").alias("band", "s")).select(tagged(F.xxhash64("band", "s"), F.col("band")), "d", "n")
+    left = left.unionByName(distinct.select("d", "n", F.explode("short").alias("s")).select(tagged(F.col("s"), F.lit(sketches.M)), "d", "n").distinct())
 
     led = staged(_elect(left), "near-led")
     pairs = led.select(F.col("leader").alias("a"), F.col("d").alias("b"), _close("n", "ln").alias("close")).distinct()

@@ -13,7 +13,9 @@ from collections import Counter
 import numpy as np
 import xxhash
 
-K, L, M = 5, 2, 32
+K, L, M = 4, 2, 64
+#: Texts of at most so many words also have segment keys.
+SHORT = 24
 _rng = np.random.default_rng(20)
 XOR = _rng.integers(0, 2**63, 512, dtype=np.uint64)
 MUL = _rng.integers(0, 2**63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -82,6 +84,26 @@ def sketch(h: np.ndarray, m: int = M, size: int = L) -> np.ndarray:
     return out.view(np.int64)
 
 
+def segments(numbers: np.ndarray, least: float = 0.8) -> np.ndarray:
+    """Keys of a text of at most SHORT words: any two such texts with `similar` share one.
+
+    The longer text of n words in k + 1 segments, k the edits allowed, has one that no edit
+    touches; the shorter has it too, moved by what the edits before and after it allow.
+    """
+    m, out = len(numbers), set()
+    if m > SHORT:
+        return np.zeros(0, np.int64)
+    for n in range(m, SHORT + 1) if m else ():
+        k, gap = int((1 - least) * n + 1e-9), n - m
+        if gap > k:
+            break
+        for i in range(k + 1):
+            a, b = i * n // (k + 1), (i + 1) * n // (k + 1)
+            for at in range(max(0, a - (k + gap) // 2), min(m - (b - a), a + (k - gap) // 2) + 1):
+                out.add(xxhash.xxh64_intdigest(numbers[at : at + b - a].tobytes(), seed=n * 32 + i))
+    return np.array(sorted(out), np.uint64).view(np.int64)
+
+
 def distance(a: list, b: list, most: int, block: int = 4096) -> int | None:
     """Edit distance of two word sequences if it is at most `most`, else None.
 

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from cytoloom.llm import decontaminate, graph, mixing, near_dup, quality, sharding, sketches
@@ -237,6 +238,39 @@ def test_leftovers_meet_the_members_that_match(spark, monkeypatch, block):
     assert [r["class_id"] for r in near_dup.near_classes(df).orderBy("doc_id").collect()] == want
 
 
+def edited(rng, words, edits):
+    c = list(words)
+    for e in range(edits):
+        at, what = rng.randrange(len(c)), rng.choice("sid")
+        if what == "i":
+            c.insert(at, f"new{e}")
+        elif what == "d" and len(c) > 1:
+            del c[at]
+        else:
+            c[at] = f"new{e}"
+    return c
+
+
+def test_short_texts_share_a_key():
+    rng = random.Random(5)
+    keys = lambda w: set(sketches.segments(np.array([xxhash.xxh64_intdigest(x) for x in w], np.uint64)).tolist())
+    for _ in range(4000):
+        a = [f"w{rng.randrange(40)}" for _ in range(rng.randint(1, sketches.SHORT))]
+        b = edited(rng, a, rng.randint(0, 5))
+        if len(b) <= sketches.SHORT and sketches.similar(a, b):
+            assert keys(a) & keys(b), (a, b)
+
+
+def test_recall_at_the_criterion(spark):
+    rng, rows = random.Random(11), []
+    for g in range(150):
+        n = rng.choice([5, 6, 8, 9, 10, 11, 12, 15, 20, 24]) if g % 2 else rng.randint(100, 300)
+        a = [f"g{g}w{i}" for i in range(n)]
+        rows += [" ".join(a), " ".join(changed(a, set(rng.sample(range(n), int(n * rng.uniform(0.15, 0.18)) or 1)), "e"))]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    assert [r["class_id"] for r in near_dup.near_classes(df).orderBy("doc_id").collect()] == brute_classes(rows)
+
+
 def test_near_classes_of_nothing_and_of_nulls(spark):
     none = spark.createDataFrame([], DOCS)
     assert near_dup.near_classes(none).count() == 0 and near_dup.keep_one(none).count() == 0
