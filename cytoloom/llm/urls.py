@@ -3,8 +3,9 @@
 Pages give host edges (absolute and protocol-relative href and src; links within a host
 don't count). Rules give seeds: the share of a host's pages that a block rule decides seeds
 distrust, the share an allow rule decides seeds trust. Personalised PageRank moves trust
-along the edges, from a host to those it links to, and distrust against them, from a host
-to those that link to it. A host is blocked if distrust exceeds trust by at least `margin`
+along the edges, from a host to those it links to. Distrust goes against them, from a host
+to those that link to it: each takes the mean over its own links, so it tells how bad a
+host's links are, however many others link to the same hosts. A host is blocked if distrust exceeds trust by at least `margin`
 of what a wholly blocked host has of itself. Scores are whole numbers of 10^-9, so sums
 don't depend on their order.
 """
@@ -51,16 +52,18 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return links.groupBy("src", "dst").agg(F.count("*").alias("w"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, steps: int = 30, tolerance: float = 1e-6) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, steps: int = 30, tolerance: float = 1e-6, own_links: bool = False) -> DataFrame:
     """(host, trust, distrust) in units of 10^-9 from seeds (host, trust, distrust in 0..1) and edges (src, dst, w).
 
     Stops after `steps`, or when no score moves by more than the tolerance. Both walks share
     one table: edges forward carry trust, edges backward distrust. Hosts that are only
-    linked to take part; an empty table of edges leaves the seeds.
+    linked to take part; an empty table of edges leaves the seeds. own_links: a host's
+    distrust is the mean over its own links, whatever else links to their targets.
     """
     both = edges.selectExpr("src as a", "dst as b", "w", "'trust' as k").unionByName(edges.selectExpr("dst as a", "src as b", "w", "'distrust' as k"))
-    total = both.groupBy("a", "k").agg(F.sum("w").alias("t"))
-    both = staged(both.join(total, ["a", "k"]), "host-edges")
+    both = both.withColumn("by", F.when((F.col("k") == "distrust") & F.lit(own_links), F.col("b")).otherwise(F.col("a")))
+    total = both.groupBy("by", "k").agg(F.sum("w").alias("t"))
+    both = staged(both.join(total, ["by", "k"]).drop("by"), "host-edges")
     base = seeds.select("host", F.expr("stack(2, 'trust', trust, 'distrust', distrust) as (k, seed)")).where("seed > 0")
     base = staged(base.select("host", "k", F.round(F.col("seed") * ((1 - damping) * ONE)).cast("long").alias("own")), "host-seeds")
     ranks = base.select("host", "k", F.col("own").alias("x"))
@@ -89,7 +92,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     rows = rows.withColumn("r", rule_of(F.col("host"), F.col("path"), tuple(rules)))
     share = lambda v: F.sum(F.when(F.col("r.verdict") == v, 1).otherwise(0)) / F.count("*")
     seeds = rows.groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust")).where("host <> ''")
-    scores = propagate(seeds, host_edges(pages, url_col, html_col), damping)
+    scores = propagate(seeds, host_edges(pages, url_col, html_col), damping, own_links=True)
     scores = small(staged(scores, "host-scores"))
     bad = F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0)) >= round(margin * (1 - damping) * ONE)
     return rows.join(scores, "host", "left").select(

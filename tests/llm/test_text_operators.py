@@ -185,6 +185,15 @@ def test_urls_by_rule_and_by_graph(spark):
     assert got[8]["trust"] > 0 and got[9]["distrust"] > 0 and got[9]["verdict"] == "block"
 
 
+def test_a_farm_of_linkers_is_blocked_whatever_its_size(spark):
+    link = lambda h: f'<a href="http://{h}/">'
+    rows = [("bad", "http://bad.net/", ""), ("fine", "http://fine.test/", "")]
+    rows += [(f"farm{i}", f"http://farm{i}.test/", link("bad.net")) for i in range(200)]
+    rows += [(f"mixed{i}", f"http://mixed{i}.test/", link("bad.net") + 9 * link("fine.test")) for i in range(20)]
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()}
+    assert got == {p: "block" if p == "bad" or p.startswith("farm") else "allow" for p, _, _ in rows}
+
+
 def test_propagation_equals_a_dense_walk(spark):
     rng = random.Random(4)
     hosts = [f"h{i}" for i in range(12)]
