@@ -8,7 +8,7 @@ score. Lines are trained with their document's label; where only some lines of a
 document are bad, the pair weights decide how far they speak for the rest.
 
 Texts are never cut. The fit reads a bounded sample of labelled documents (`sample`
-documents, `sample_lines` lines of each), whose features alone go to the driver.
+whole documents), whose features alone go to the driver.
 """
 
 from __future__ import annotations
@@ -225,11 +225,11 @@ def _chunks(texts: Iterable[str | None], limit: int = 250_000):
         yield run
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 4000, sample_lines: int = 200, usable=None) -> Field:
-    """Fits a Field to labelled documents: the first `sample` of them by a hash of the id, `sample_lines` lines of each.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 4000, usable=None) -> Field:
+    """Fits a Field to labelled documents: the first `sample` of them by a hash of the id, with all their lines.
 
     Rows of labels without an id or label don't count; of several labels of an id the
-    smallest holds. usable: a condition on the id column for those to learn from.
+    smallest holds, of several texts too. usable: a condition on the id column for those to learn from.
     """
     known = labels.select(F.col(id_col), F.col(label_col).alias("y")).where(F.col(id_col).isNotNull() & F.col("y").isNotNull())
     if usable is not None:
@@ -237,6 +237,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = known.groupBy(id_col).agg(F.min("y").alias("y"))
     chosen = known.orderBy(F.xxhash64(id_col), id_col).limit(sample)  # bounded by `sample`
     rows = docs.select(F.col(id_col), F.col(text_col).alias("t")).join(F.broadcast(chosen), id_col)
+    rows = rows.groupBy(id_col).agg(F.min("t").alias("t"), F.min("y").alias("y"))
 
     def features(batches):
         for batch in batches:
@@ -245,14 +246,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 bins, _, n_lines = line_features(run)
                 x = with_neighbours(bins, n_lines)
                 for a, n in zip(np.cumsum(n_lines) - n_lines, n_lines):
-                    n = min(int(n), sample_lines)
                     out.append(x[a : a + n].tobytes())
-                    sizes.append(n)
+                    sizes.append(int(n))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())], names=["id", "y", "n", "x"])
 
     id_type = docs.select(id_col).schema.fields[0].dataType
     got = rows.select(id_col, "t", F.col("y").cast("long")).mapInArrow(features, T.StructType([T.StructField("id", id_type), T.StructField("y", T.LongType()), T.StructField("n", T.LongType()), T.StructField("x", T.BinaryType())])).collect()
-    got = sorted(got, key=lambda r: (r["id"], bytes(r["x"])))[: 2 * sample]
+    got = sorted(got, key=lambda r: r["id"])
     x = np.frombuffer(b"".join(bytes(r["x"]) for r in got), np.uint8).reshape(-1, 3 * len(FEATURES))
     return fit(x, np.array([r["n"] for r in got], np.int64), np.array([int(r["y"] > 0) for r in got]))
 

@@ -76,6 +76,15 @@ def test_held_out_accuracy_and_odd_rows(spark):
     assert quality.score(df.limit(0), f).count() == 0
 
 
+def test_training_reads_whole_documents_and_each_id_once(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(quality, "fit", lambda x, n, y: seen.update(n=n.tolist(), y=y.tolist(), x=x))
+    rows = [(i, "\n".join(["good words"] * 300 + ["!!!! ####"] * i)) for i in range(1, 6)]
+    df = spark.createDataFrame(rows + [rows[0]] * 20, "doc_id int, text string")
+    quality.train(df, spark.createDataFrame([(i, i % 2) for i in range(1, 6)], "doc_id int, quality int"), sample=5)
+    assert seen["n"] == [301, 302, 303, 304, 305] and seen["y"] == [1, 0, 1, 0, 1] and len(seen["x"]) == sum(seen["n"])
+
+
 def test_without_labels_all_score_half(spark):
     df = spark.createDataFrame([(1, "a", None, None, 1)], DOCS)
     f = quality.train(df, spark.createDataFrame([], "doc_id bigint, quality int"))
