@@ -1,24 +1,25 @@
 """Near-duplicate classes by Order MinHash, verified by banded alignment.
 
-1. Texts that are equal to the byte count once. Each distinct text has a sketch of M
-   components, each of the two minimum occurrence-labelled four-word k-mers in text order;
-   one of at most 24 words also has keys of segments, one of which any two near ones share.
-2. Texts that agree in a component or key share a bucket. A bucket's leader is the least of its
-   texts in an order that depends on the component; members meet the leader only, through
-   an aggregate and a join, so a bucket of any size gives no more pairs than rows.
+1. Texts that are equal to the byte count once. Each distinct text has bucket keys: the components
+   of its sketch, each of two minimum occurrence-labelled five-word k-mers in text order (shorter
+   texts: three-word k-mers, and segments of which any two near ones share one), and a bag,
+   its word counts in 256 bins.
+2. Texts that agree in a key share a bucket. A bucket's leader is the least of its texts in an
+   order that depends on the key; members meet the leader only, through an aggregate and a
+   join, so a bucket of any size gives no more pairs than rows.
 3. Pairs are verified on whole texts: word edit similarity of at least 0.8, by banded
-   alignment.
+   alignment. Texts of a leader with many partners go out once for each share of them.
 4. Members that differ from their leader (texts that share a passage and little else, or a
-   second class in the bucket) are compared in full, with each other and with the members
-   that match it: blocks of a bounded number of words, each pair of blocks a task, where
-   texts that are not known to be in one class are aligned unless their lengths or words
-   rule it out. No bucket is capped or dropped.
+   second class in the bucket) are compared with each other, and with the class of the
+   leader, by length and bag: blocks of a bounded number of rows, each pair of blocks a
+   task. Bags move here, texts don't. A pair that may be near is aligned as above: first
+   the best partner of each text, again while most of these are near, then every pair left
+   between different classes. No bucket is capped or dropped.
 5. Classes are the connected components of the verified links, and copies join their text.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections import OrderedDict
 
 import numpy as np
@@ -27,56 +28,58 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import sketches
-from .common import staged, table
+from .common import small, staged, table
 from .decontaminate import words
 from .graph import components
 
 SIMILARITY = 0.8
-#: Orders of leaders, dealt to the components in turn.
+#: Orders of leaders, dealt to the keys.
 ORDERS = 6
-#: Words of a block in the full comparison.
-BLOCK_WORDS = 400_000
-#: Bins of words that bound the edit distance of a pair from below.
-BINS = 256
+#: Rows of a block of bags.
+BLOCK = 4096
+#: Partners of a leader that one copy of its text serves.
+SHARE = 256
 
 
 def key_of(text: Column) -> Column:
-    """Identity of a distinct text: 128 bits."""
-    return F.unhex(F.md5(text))
+    """Identity of a distinct text: 96 bits."""
+    return F.substring(F.unhex(F.md5(text)), 1, 12)
 
 
-def sketched(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, d, n, sketch, short) of every row: identity, number of words, sketch and segment keys of its text."""
+def _identified(df: DataFrame, text_col: str, *columns: Column) -> DataFrame:
+    """The columns, identity d and bytes t of every row's text; null counts as empty."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    return df.select(*columns, key_of(text).alias("d"), text.alias("t"))
+
+
+def sketched(df: DataFrame, text_col: str) -> DataFrame:
+    """(d, n, keys, bag) of every row's text: identity, number of words, bucket keys and bag."""
 
     def run(batches):
         known = sketches.Words()
         for batch in batches:
-            counts, found, short = [], [], []
-            for t in batch.column(2):
+            counts, keys, bags = [], [], []
+            for t in batch.column(1):
                 w = words(t.as_py())
                 numbers = np.fromiter(map(known.__getitem__, w), np.uint64, len(w))
                 counts.append(len(w))
-                found.append(sketches.sketch(sketches.kmers(numbers)))
-                short.append(sketches.segments(numbers, SIMILARITY))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int32()), pa.array(found, pa.list_(pa.int64())), pa.array(short, pa.list_(pa.int64()))], names=["id", "d", "n", "sketch", "short"])
+                keys.append(sketches.keys(numbers, SIMILARITY))
+                bags.append(sketches.bag(numbers))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(bags, pa.binary())], names=["d", "n", "keys", "bag"])
 
-    id_type = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("id"), key_of(text).alias("d"), text.alias("t")).mapInArrow(run, f"id {id_type}, d binary, n int, sketch array<bigint>, short array<bigint>")
+    return _identified(df, text_col).mapInArrow(run, "d binary, n int, keys array<bigint>, bag binary")
 
 
-def _elect(rows: DataFrame) -> DataFrame:
-    """rows (key, d, n) with their bucket's leader: (key, d, n, leader, ln), without the leaders themselves and buckets of one.
+def _led(distinct: DataFrame) -> DataFrame:
+    """(key, d, n, leader, ln): members of buckets of two texts and more, with the bucket's leader; without the leaders themselves.
 
-    The component is in the low bits of the key.
+    The first aggregate moves whole numbers only; buckets of one text, which most are, end there.
     """
-    order = F.xxhash64((F.col("key").bitwiseAND(F.lit(127).cast("long")) % ORDERS).alias("o"), F.col("d"))
-    # one byte string of order, text and length, so the election moves little
-    vote = F.concat(F.unhex(F.lpad(F.hex(order), 16, "0")), F.col("d"), F.unhex(F.lpad(F.hex(F.col("n").cast("long")), 8, "0")))
-    leaders = rows.groupBy("key").agg(F.min(vote).alias("v"), F.count("*").alias("c")).where("c > 1")
-    leaders = leaders.select("key", F.substring("v", 9, 16).alias("leader"), F.conv(F.hex(F.substring("v", 25, 4)), 16, 10).cast("int").alias("ln"))
-    leaders = staged(leaders, "near-leaders")  # two plain sides, which adaptive execution splits at a hot bucket
-    return rows.join(leaders, "key").where("d <> leader")
+    rows = distinct.select(F.explode("keys").alias("key"), "d", "n").withColumn("h", F.xxhash64(F.pmod("key", F.lit(ORDERS)), "d"))
+    shared = rows.groupBy("key").agg(F.min("h").alias("least"), F.count("*").alias("c")).where("c > 1").select("key", "least")
+    shared = staged(rows.join(small(staged(shared, "near-shared")), "key"), "near-buckets")
+    leaders = staged(shared.where("h = least").select("key", F.col("d").alias("leader"), F.col("n").alias("ln")), "near-leaders")  # plain sides, which adaptive execution splits at a hot bucket
+    return shared.where("h <> least").select("key", "d", "n").join(leaders, "key")
 
 
 def _close(a: str, b: str) -> Column:
@@ -84,153 +87,135 @@ def _close(a: str, b: str) -> Column:
     return F.least(a, b) >= SIMILARITY * F.greatest(a, b) - 1e-6
 
 
-def _texts(df: DataFrame, text_col: str) -> DataFrame:
-    """(d, t): one row for each distinct text; copies fold before the shuffle."""
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    return df.select(key_of(text).alias("d"), text.alias("t")).dropDuplicates(["d"])
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, ok, t) for pairs (a, b, close): ok if verified; t is the text of b, for the full comparison.
-
-    Pairs whose lengths differ too much skip the alignment: one row for each such b, without
-    a. Both sides read one shuffle of the texts.
-    """
-    near, far = pairs.where("close").select("a", "b"), pairs.where("not close").select("b").distinct()
-    both = near.join(texts.select(F.col("d").alias("b"), F.col("t").alias("tb")), "b").join(texts.select(F.col("d").alias("a"), F.col("t").alias("ta")), "a")
+def _similar(pairs: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
+    """Those of the staged distinct pairs (a, b) whose texts are similar; a is the one that may have many partners."""
+    hot = staged(pairs.groupBy("a").agg(F.count("*").alias("c")).where(F.col("c") > SHARE), "near-hot")
+    salt = F.when(F.col("c").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), F.ceil(F.col("c") / SHARE)))
+    pairs = staged(pairs.join(small(hot), "a", "left").select("a", "b", salt.cast("int").alias("salt")), "near-pairs")
+    # the texts that pairs need; copies fold before the shuffle
+    needed = staged(pairs.select(F.explode(F.array("a", "b")).alias("d")).distinct(), "near-needed")
+    texts = _identified(df, text_col).join(small(needed), "d", "left_semi").dropDuplicates(["d"])
+    leaders = pairs.select("a", "salt").distinct().join(texts.select(F.col("d").alias("a"), F.col("t").alias("ta")), "a")
+    both = pairs.join(texts.select(F.col("d").alias("b"), F.col("t").alias("tb")), "b").join(leaders, ["a", "salt"])
 
     def run(batches):
         recent: OrderedDict[bytes, list[bytes]] = OrderedDict()
         for batch in batches:
             a, b, ta, tb = (batch.column(i) for i in range(4))
-            ok, left = [], []
+            keep = []
             for i in range(batch.num_rows):
-                k, other = a[i].as_py(), tb[i].as_py()
+                k = a[i].as_py()
                 if k not in recent:
                     recent[k] = words(ta[i].as_py())
                     if len(recent) > 4:
                         recent.popitem(last=False)
-                ok.append(sketches.similar(recent[k], words(other), SIMILARITY))
-                left.append(other)
-            yield pa.RecordBatch.from_arrays([a, b, pa.array(ok, pa.bool_()), pa.array(left, pa.binary())], names=["a", "b", "ok", "t"])
-
-    aligned = both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary, ok boolean, t binary")
-    rest = far.join(texts.select(F.col("d").alias("b"), "t"), "b").select(F.lit(None).cast("binary").alias("a"), "b", F.lit(False).alias("ok"), "t")
-    return aligned.unionByName(rest)
-
-
-def _full(rows: DataFrame, texts: DataFrame, sketch_of: DataFrame, roots: DataFrame) -> DataFrame:
-    """(u, v): links between the rejected members of each bucket and all its members of other classes.
-
-    rows (key, d, n, rejected): members without the leader; roots (u, v): class v of text u so
-    far. Matched members share their leader's class, so they aren't compared with each other:
-    they have blocks of their own after those of the rejected ones.
-    """
-    rows = rows.join(roots.select(F.col("u").alias("d"), F.col("v").alias("root")), "d", "left").withColumn("root", F.coalesce("root", "d"))
-    words_of = lambda c: F.sum(F.when(c, F.col("n") + 1).otherwise(0))
-    size = rows.groupBy("key").agg(words_of(F.col("rejected")).alias("wr"), words_of(~F.col("rejected")).alias("wm"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("wr > 0 and r0 <> r1")
-    blocks = lambda c: F.ceil(F.col(c) / BLOCK_WORDS).cast("int")
-    rows = rows.join(size.select("key", blocks("wr").alias("br"), blocks("wm").alias("bm")), "key")
-    own = F.when(F.col("rejected"), F.pmod(F.xxhash64("d"), F.col("br"))).otherwise(F.col("br") + F.pmod(F.xxhash64("d"), F.greatest("bm", F.lit(1))))
-    rows = rows.withColumn("own", own.cast("int"))
-    each = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("rejected"), F.col("br") + F.col("bm")).otherwise(F.col("br")) - 1)))
-    each = each.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    each = each.join(sketch_of.select("d", "sketch"), "d").join(texts, "d").select("key", "i", "j", "own", "d", "n", "root", "sketch", "t")
+                keep.append(sketches.similar(recent[k], words(tb[i].as_py()), SIMILARITY))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
+
+    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
+
+
+def _rooted(rows: DataFrame, roots: DataFrame, column: str = "d", name: str = "root") -> DataFrame:
+    """rows with the class so far of the text in a column."""
+    known = roots.select(F.col("u").alias(column), F.col("v").alias("__v"))
+    return rows.join(known, column, "left").withColumn(name, F.coalesce("__v", column)).drop("__v")
+
+
+def _leftovers(led: DataFrame, good: DataFrame, roots: DataFrame) -> DataFrame:
+    """(g, side, d): texts to compare. Groups of side 0 are the rejected members of a bucket, to be compared with each other;
+    else rejected members (side 1) of buckets whose leader is of the class of side 2."""
+    left = staged(led.join(good.select(F.col("a").alias("leader"), F.col("b").alias("d")), ["leader", "d"], "left_anti").select("key", "d", "leader"), "near-rejected")
+    several = left.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    each = left.select("key", "d").join(several, "key").select(F.hex(F.col("key")).alias("g"), F.lit(0).alias("side"), "d")
+    classes = roots.select(F.col("v").alias("c")).distinct()
+    outside = _rooted(left.select("d", "leader").distinct(), roots, "leader", "c").select("d", "c").distinct().join(classes, "c")
+    outside = _rooted(outside, roots).where("root <> c").select("c", "d")
+    of = roots.select(F.col("v").alias("c"), F.col("u").alias("d")).unionByName(classes.select("c", F.col("c").alias("d")))
+    inside = of.join(outside.select("c").distinct(), "c", "left_semi")
+    side = lambda rows, s: rows.select(F.hex("c").alias("g"), F.lit(s).alias("side"), "d")
+    return each.unionByName(side(outside, 1)).unionByName(side(inside, 2))
+
+
+def _candidates(items: DataFrame, distinct: DataFrame, roots: DataFrame, best: bool) -> DataFrame:
+    """(a, b): pairs of items of a group that are of different classes and may be similar by length and bag; best: only the best partner of each text in a task."""
+    rows = _rooted(items, roots)
+    count = lambda s: F.sum(F.when(F.col("side") == s, 1).otherwise(0))
+    blocks = lambda s: F.greatest(F.lit(1), F.ceil(count(s) / BLOCK)).cast("int")
+    groups = rows.groupBy("g").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), blocks(0).alias("b0"), blocks(1).alias("b1"), blocks(2).alias("b2")).where("r0 <> r1")
+    rows = rows.join(groups.select("g", "b0", "b1", "b2"), "g")
+    own = F.pmod(F.xxhash64("d"), F.when(F.col("side") == 0, F.col("b0")).when(F.col("side") == 1, F.col("b1")).otherwise(F.col("b2"))).cast("int")
+    others = F.when(F.col("side") == 0, F.col("b0")).when(F.col("side") == 1, F.col("b2")).otherwise(F.col("b1"))
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
+    i = F.when(F.col("side") == 0, F.least("own", "other")).when(F.col("side") == 1, F.col("own")).otherwise(F.col("other"))
+    j = F.when(F.col("side") == 0, F.greatest("own", "other")).when(F.col("side") == 1, F.col("other")).otherwise(F.col("own"))
+    rows = rows.withColumns({"i": i, "j": j}).join(distinct.select("d", "n", "bag"), "d").select("g", "i", "j", "side", "own", "d", "n", "root", "bag")
 
     def compare(group: pa.Table) -> pa.Table:
-        i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        own, n = group["own"].to_numpy(), group["n"].to_numpy()
+        own, n, side = (group[c].to_numpy() for c in ("own", "n", "side"))
         d, root = group["d"].to_pylist(), group["root"].to_pylist()
-        lists = group["sketch"].combine_chunks()
-        if isinstance(lists, pa.ChunkedArray):
-            lists = lists.chunk(0)
-        sk = np.asarray(lists.flatten()).reshape(len(d), -1)
-        band = group["key"][0].as_py() & 127
-        band = 0 if band == sketches.M else band  # segment keys: no earlier bucket is known
-        text = group["t"]
-        label = np.unique(np.array([r.hex() for r in root]), return_inverse=True)[1]  # class so far
-
-        parsed: dict[int, tuple[list[bytes], frozenset[bytes]]] = {}
-
-        def parse(x: int) -> tuple[list[bytes], frozenset[bytes]]:
-            if x not in parsed:
-                w = words(text[x].as_py())
-                parsed[x] = w, frozenset(w)
-            return parsed[x]
-
-        def alike(x: int, y: int) -> bool:
-            (a, sa), (b, sb) = parse(x), parse(y)
-            # words in common, repeats included, are at most the common distinct ones and the repeats of one side
-            if len(sa & sb) + min(len(a) - len(sa), len(b) - len(sb)) < SIMILARITY * max(len(a), len(b)) - 1e-6:
-                return False
-            return sketches.similar(a, b, SIMILARITY)
-
-        bags, known = np.zeros((len(d), BINS), np.int32), np.zeros(len(d), bool)
-
-        def possible(x: int, near: np.ndarray) -> np.ndarray:
-            """Those of near whose words in bins, moved one by one, don't exceed the edits allowed. Passes all that are alike."""
-            if len(near) < 4:
-                return near
-            for y in (x, *near):
-                if not known[y]:
-                    bags[y] = np.bincount([zlib.crc32(w) % BINS for w in parse(y)[0]], minlength=BINS)
-                    known[y] = True
-            out = []
-            for part in np.array_split(near, len(near) // 4096 + 1):
-                moved = np.abs(bags[part] - bags[x]).sum(axis=1) + np.abs(n[part] - n[x])
-                out.append(part[moved / 2 <= (1 - SIMILARITY) * np.maximum(n[part], n[x]) + 1e-6])
-            return np.concatenate(out)
-
-        links: list[tuple[bytes, bytes]] = []
-        first = np.flatnonzero(own == i)
-        second = np.flatnonzero(own == j)
+        bags = np.frombuffer(b"".join(group["bag"].to_pylist()), np.uint8).reshape(len(d), -1)
+        coarse = bags.reshape(len(d), 32, -1).sum(axis=2, dtype=np.int32)
+        label = np.unique(np.array([r.hex() for r in root]), return_inverse=True)[1]
+        each = side[0] == 0
+        first = np.flatnonzero(own == group["i"][0].as_py() if each else side == 1)
+        second = np.flatnonzero(own == group["j"][0].as_py() if each else side == 2)
         second = second[np.argsort(n[second], kind="stable")]
         lengths = n[second]
+        a, b = [], []
         for x in first:
             lo = np.searchsorted(lengths, SIMILARITY * n[x] - 1e-6)
             hi = np.searchsorted(lengths, n[x] / SIMILARITY + 1e-6, side="right")
             near = second[lo:hi]
-            if i == j:
-                near = near[near > x]
             near = near[label[near] != label[x]]
-            # each pair in the first bucket that it shares: there it is linked, known to be in one class, or rejected
-            near = near[~(sk[near, :band] == sk[x, :band]).any(axis=1)]
-            for y in possible(x, near):
-                if label[x] != label[y] and alike(x, y):
-                    label[label == label[y]] = label[x]
-                    links.append((d[x], d[y]))
-        return pa.table({"u": pa.array([u for u, _ in links], pa.binary()), "v": pa.array([v for _, v in links], pa.binary())})
-
-    return each.groupBy("key", "i", "j").applyInArrow(compare, "u binary, v binary")
+            if len(near):
+                near, moved = sketches.possible(x, near, bags, coarse, n, SIMILARITY)
+            if best and len(near):
+                near = near[[np.argmin(moved / np.maximum(n[near], n[x]))]]
+            a += [d[x]] * len(near)
+            b += [d[y] for y in near]
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    found = rows.groupBy("g", "i", "j").applyInArrow(compare, "a binary, b binary")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _classes(df: DataFrame, text_col: str) -> DataFrame:
+    """(u, v): every distinct text that isn't the least of its class, by identity, with that least one."""
+    found = sketched(df, text_col)
+    distinct = staged(found.groupBy("d").agg(*[F.first(c).alias(c) for c in ("n", "keys", "bag")]), "near-distinct")
+    led = staged(_led(distinct), "near-led")
+    pairs = staged(led.where(_close("n", "ln")).select(F.col("leader").alias("a"), F.col("d").alias("b")).distinct(), "near-close")
+    good = staged(_similar(pairs, df, text_col), "near-good")
+    links = lambda rows: rows.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    roots = components(links(good))
+    items = staged(_leftovers(led, good, roots), "near-leftovers")
+    best, tested = True, None
+    while items.limit(1).count():
+        pairs = _candidates(items, distinct, roots, best)
+        if not best:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = staged(pairs, "near-candidates")
+        good = staged(_similar(pairs, df, text_col), "near-good")
+        found = good.count()
+        if found:
+            roots = components(roots.unionByName(links(good)))
+        if not best:
+            break
+        best, tested = 2 * found > pairs.count(), pairs  # where most best partners are near, others are too
+    return roots
 
 
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, class_id, class_size, root, d) for every row: class_id is the least id of the row's class, d and root identify its text and class.
 
     A null text counts as empty. Texts without words are near their exact copies only.
-    Rows with equal ids keep their own classes; a null id counts as the largest. An empty
-    table gives an empty result. Other columns of df are not read.
+    Texts are read whole, whatever their length; a worker holds a few at once. Rows with
+    equal ids keep their own classes; a null id counts as the largest. An empty table gives
+    an empty result. Other columns of df are not read.
     """
-    rows = staged(sketched(df, id_col, text_col), "near-sketches")
-    distinct = rows.groupBy("d").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("short").alias("short"))
-    distinct = staged(distinct, "near-distinct")
-    tagged = lambda hashed, band: hashed.bitwiseAND(F.lit(-128).cast("long")).bitwiseOR(band.cast("long")).alias("key")
-    left = distinct.where("size(sketch) > 0").select("d", "n", F.posexplode("sketch").alias("band", "s")).select(tagged(F.xxhash64("band", "s"), F.col("band")), "d", "n")
-    left = left.unionByName(distinct.select("d", "n", F.explode("short").alias("s")).select(tagged(F.col("s"), F.lit(sketches.M)), "d", "n").distinct())
-
-    led = staged(_elect(left), "near-led")
-    pairs = led.select(F.col("leader").alias("a"), F.col("d").alias("b"), _close("n", "ln").alias("close")).distinct()
-    tested = staged(_verified(pairs, _texts(df, text_col)), "near-verified")
-    good = tested.where("ok").select(F.col("a").alias("leader"), F.col("b").alias("d"))
-    members = led.join(good.withColumn("ok", F.lit(True)), ["leader", "d"], "left").select("key", "d", "n", F.col("ok").isNull().alias("rejected"))
-    members = staged(members, "near-members")
-    texts = tested.select(F.col("b").alias("d"), "t").dropDuplicates(["d"])
-    links = good.select(F.col("leader").alias("u"), F.col("d").alias("v"))
-    roots = components(links)
-    more = staged(_full(members, texts, distinct, roots), "near-full")
-    roots = components(roots.unionByName(more))
-
-    mine = rows.select("id", "d").join(roots.withColumnRenamed("u", "d"), "d", "left").withColumn("root", F.coalesce("v", "d")).select("id", "d", "root")
+    roots = _classes(df, text_col)
+    mine = staged(_rooted(_identified(df, text_col, F.col(id_col).alias("id")).select("id", "d"), roots), "near-rows")
     classes = staged(mine.groupBy("root").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size")), "near-classes")  # as for leaders
     return mine.join(classes, "root").select(F.col("id").alias(id_col), "class_id", "class_size", "root", "d")
 

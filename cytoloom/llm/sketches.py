@@ -13,9 +13,15 @@ from collections import Counter
 import numpy as np
 import xxhash
 
-K, L, M = 4, 2, 64
+#: Words of a k-mer, k-mers of a component, components of a sketch.
+K, L, M = 5, 2, 128
+#: Texts of at most LONG words have too few k-mers of K words for a pair near the threshold to share any: their sketches
+#: are of shorter k-mers. Texts of up to LONG / 0.8 words have both kinds, so that any two near texts have one in common.
+LONG, SHORT_K, SHORT_M = 100, 3, 64
 #: Texts of at most so many words also have segment keys.
 SHORT = 24
+#: Bins of words that bound the edit distance of a pair from below.
+BINS = 256
 _rng = np.random.default_rng(20)
 XOR = _rng.integers(0, 2**63, 512, dtype=np.uint64)
 MUL = _rng.integers(0, 2**63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -104,6 +110,37 @@ def segments(numbers: np.ndarray, least: float = 0.8) -> np.ndarray:
     return np.array(sorted(out), np.uint64).view(np.int64)
 
 
+def keys(numbers: np.ndarray, least: float = 0.8) -> np.ndarray:
+    """Bucket keys of a word sequence: components of its sketches, and segments if it is short. No words: no keys."""
+    n = len(numbers)
+    if not n:
+        return np.zeros(0, np.int64)
+    found = []
+    if n > LONG:
+        found.append(sketch(kmers(numbers, K), M))
+    if n * least <= LONG:
+        found.append(sketch(kmers(numbers, SHORT_K), SHORT_M))
+    if n <= SHORT:
+        found.append(segments(numbers, least))
+    return np.unique(np.concatenate(found))
+
+
+def bag(numbers: np.ndarray) -> bytes:
+    """Counts of the words in BINS bins, 255 at most: half the distance of two bags is a lower bound of the edit distance."""
+    return np.minimum(np.bincount((numbers & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
+def possible(x: int, near: np.ndarray, bags: np.ndarray, coarse: np.ndarray, n: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Those of near that may be similar to x by their bags, and the bounds of their distances. No pair that is similar is left out."""
+    most = (1 - least) * np.maximum(n[near], n[x]) + 1e-6
+    apart = np.abs(n[near] - n[x])
+    for counts in (coarse, bags):
+        moved = (np.abs(counts[near].astype(np.int32) - counts[x]).sum(axis=1) + apart) / 2
+        keep = moved <= most
+        near, most, apart, moved = near[keep], most[keep], apart[keep], moved[keep]
+    return near, moved
+
+
 def distance(a: list, b: list, most: int, block: int = 4096) -> int | None:
     """Edit distance of two word sequences if it is at most `most`, else None.
 
