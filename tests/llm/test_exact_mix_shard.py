@@ -38,6 +38,32 @@ def test_exact_groups_even_if_digests_collide(spark, digest):
         assert r["text_sha256"] == hashlib.sha256(norm(next(t for i, t, _ in AWKWARD if i == r["doc_id"])).encode()).hexdigest()
 
 
+@pytest.mark.parametrize("kind, ids", [("string", ["b", "a", "é", None]), ("bigint", [-(2**63), 2**63 - 1, 0, None]), ("binary", [b"\x00", b"\xff", b"", None]), ("date", None)])
+def test_ids_of_any_orderable_type(spark, kind, ids):
+    import datetime
+
+    ids = ids or [datetime.date(2020, 1, 2), datetime.date(1, 1, 1), None]
+    rows = [(i, "a b") for i in ids] + [(ids[0], "other")]
+    got = exact_dedup.exact_groups(spark.createDataFrame(rows, f"doc_id {kind}, text string")).collect()
+    least = min(i for i in ids if i is not None)
+    assert all(r["keep_id"] == least and r["kept"] == (r["doc_id"] == least) for r in got if r["group_size"] > 1)
+    assert sorted(r["group_size"] for r in got) == [1] + [len(ids)] * len(ids)
+
+
+def test_the_local_stage_folds_copies_before_the_exchange(spark):
+    """The map side of the first aggregation leaves one row for each text and task."""
+    df = spark.range(0, 4000, 1, 4).selectExpr("id", "5 as n", "concat('text ', id % 3) as norm", "unhex(hex(id % 3)) as d")
+    plan = exact_dedup.local_folds(df, 32)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        folded = plan.collect()
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(folded) == 4 * 3 and sum(r["c"] for r in folded) == 4000
+    assert text.index("partial_min") > text.index("Exchange")  # below the exchange, that is before it
+
+
 def test_exact_groups_of_nothing(spark):
     assert exact_dedup.exact_groups(spark.createDataFrame([], DOCS)).count() == 0
 
