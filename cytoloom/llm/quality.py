@@ -49,56 +49,130 @@ CLASS = _classes()
 MIX = np.random.default_rng(7).integers(1, 2**62, 593, dtype=np.int64)
 
 
-def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bins (lines x features, uint8), lengths of the lines, and lines of each text. A text has a line more than it has newlines."""
-    joined = "\n".join(texts)
-    codes = np.frombuffer((joined + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
-    ends = np.flatnonzero(codes == 10)
-    n_lines = np.fromiter((t.count("\n") + 1 for t in texts), np.int64, len(texts))
+#: What is summed over a line's characters and words.
+SUMS = ("upper", "symbol", "digit", "bar", "bang", "stop", "word_end_symbol", "repeated", "capital_word", "space", "marks", "words", "letters", "length")
+#: Characters that are worked on at once.
+PIECE = 250_000
+
+
+@dataclass
+class Open:
+    """What a piece of a text leaves for the next: whether it ends inside a word, that word's hash and length so far, and the last whole word of the line."""
+
+    inside: bool = False
+    hash: int = 0
+    length: int = 0
+    last: tuple[int, int] | None = None
+
+
+def line_sums(codes: np.ndarray, state: Open, more: bool = False) -> np.ndarray:
+    """SUMS (lines x sums) of a piece of text, one line more than it has newlines. more: the character after the piece goes on with its last word."""
+    cuts = np.flatnonzero(codes == 10)
+    starts, ends = np.concatenate(([0], cuts + 1)), np.concatenate((cuts, [len(codes)]))
     small = np.minimum(codes, 592).astype(np.int64)
     kind = CLASS[small]
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    length = (ends - starts).astype(np.float64)
 
     def per_line(mask: np.ndarray) -> np.ndarray:
         total = np.concatenate(([0], np.cumsum(mask, dtype=np.int64)))
-        return (total[ends] - total[starts]).astype(np.float64)
+        return total[ends] - total[starts]
 
     space = (kind & SPACE) > 0
     inside = ~space
-    word_start = inside & np.concatenate(([True], space[:-1]))
-    word_end = inside & np.concatenate((space[1:], [True]))
-    marks = per_line(inside)
-    words = per_line(word_start)
-    letters = per_line((kind & (UPPER | LOWER)) > 0)
+    word_start = inside & np.concatenate(([not state.inside], space[:-1]))[: len(codes)]
+    word_end = inside & np.concatenate((space[1:], [not more]))[-len(codes) :] if len(codes) else inside
     at, to = np.flatnonzero(word_start), np.flatnonzero(word_end)
     total = np.concatenate(([0], np.cumsum(MIX[small] * inside, dtype=np.int64)))
-    word = total[to + 1] - total[at]
-    same = np.zeros(len(codes), bool)
-    if len(at) > 1:
-        same[at[1:][(word[1:] == word[:-1]) & (to[1:] - at[1:] == to[:-1] - at[:-1])]] = True
+    begun = np.concatenate(([0], at)) if state.inside else at
+    whole = begun[: len(to)]
+    word, size, line = total[to + 1] - total[whole], to + 1 - whole, np.searchsorted(cuts, to)
+    carried = (np.int64(state.hash), state.length) if state.inside else (np.int64(0), 0)
+    if len(to):
+        with np.errstate(over="ignore"):
+            word[0] += carried[0]
+        size[0] += carried[1]
+    same = np.zeros(len(to), bool)
+    if len(to):
+        same[1:] = (word[1:] == word[:-1]) & (size[1:] == size[:-1]) & (line[1:] == line[:-1])
+        same[0] = state.last == (int(word[0]), int(size[0])) and line[0] == 0
+    if len(begun) > len(to):  # the last word is open
+        with np.errstate(over="ignore"):
+            left = total[-1] - total[begun[-1]] + (carried[0] if not len(to) else np.int64(0))
+        state.inside, state.hash, state.length = True, int(left), int(len(codes) - begun[-1] + (carried[1] if not len(to) else 0))
+    else:
+        state.inside = False
+    if len(to) and line[-1] == len(cuts):
+        state.last = int(word[-1]), int(size[-1])
+    elif len(cuts):
+        state.last = None
+    bar, bang = (kind & BAR) > 0, (kind & BANG) > 0
     last = np.where(word_end, kind, 0)
+    return np.stack(
+        [
+            per_line((kind & UPPER) > 0),
+            per_line(((kind & SYMBOL) > 0) & ~bar & ~bang),
+            per_line((kind & DIGIT) > 0),
+            per_line(bar),
+            per_line(bang),
+            per_line((kind & STOP) > 0),
+            per_line((last & SYMBOL) > 0),
+            np.bincount(line[same], minlength=len(ends)),
+            per_line(word_start & ((kind & UPPER) > 0)),
+            per_line(space),
+            per_line(inside),
+            per_line(word_start),
+            per_line((kind & (UPPER | LOWER)) > 0),
+            ends - starts,
+        ],
+        axis=1,
+    )
+
+
+def binned(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bins of the features (lines x features, uint8) and lengths of the lines, a newline included."""
+    v = dict(zip(SUMS, sums.T.astype(np.float64)))
+
+    def share(of: str, by: str) -> np.ndarray:
+        return v[of] / np.maximum(v[by], 1)
 
-    def share(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return a / np.maximum(b, 1)
-
-    bar, bang = (kind & BAR) > 0, (kind & BANG) > 0
     values = [
-        share(per_line((kind & UPPER) > 0), letters),
-        share(per_line(((kind & SYMBOL) > 0) & ~bar & ~bang), marks),
-        share(per_line((kind & DIGIT) > 0), marks),
-        share(per_line(bar), words),
-        share(per_line(bang), words),
-        share(per_line((kind & STOP) > 0), marks),
-        share(per_line((last & SYMBOL) > 0), words),
-        share(per_line(same), words),
-        share(per_line(word_start & ((kind & UPPER) > 0)), words),
-        share(per_line(space), length),
-        np.minimum(1.0, share(marks, words) / 20),
-        np.minimum(1.0, np.log1p(length) / 12),
+        share("upper", "letters"),
+        share("symbol", "marks"),
+        share("digit", "marks"),
+        share("bar", "words"),
+        share("bang", "words"),
+        share("stop", "marks"),
+        share("word_end_symbol", "words"),
+        share("repeated", "words"),
+        share("capital_word", "words"),
+        share("space", "length"),
+        np.minimum(1.0, share("marks", "words") / 20),
+        np.minimum(1.0, np.log1p(v["length"]) / 12),
     ]
-    bins = np.stack([np.searchsorted(EDGES, v, side="right") for v in values], axis=1).astype(np.uint8)
-    return bins, length + 1, n_lines
+    return np.stack([np.searchsorted(EDGES, x, side="right") for x in values], axis=1).astype(np.uint8), v["length"] + 1
+
+
+def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bins (lines x features, uint8), lengths of the lines, and lines of each text. A text has a line more than it has newlines.
+
+    Short texts go together; one longer than PIECE goes in pieces, so that beside some 20
+    bytes a line no more is held than a piece takes.
+    """
+    n_lines = np.fromiter((t.count("\n") + 1 for t in texts), np.int64, len(texts))
+    code = lambda t: np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for run in _chunks(texts, PIECE):
+        if len(run) > 1 or len(run[0]) <= PIECE:
+            found.append(binned(line_sums(code("\n".join(run)), Open())))
+            continue
+        text, state, rest = run[0], Open(), np.zeros((1, len(SUMS)), np.int64)
+        for i in range(0, len(text), PIECE):
+            after = text[i + PIECE : i + PIECE + 1]
+            sums = line_sums(code(text[i : i + PIECE]), state, bool(after) and not CLASS[min(ord(after), 592)] & SPACE)
+            sums[0] += rest[0]
+            rest = sums[-1:]
+            found.append(binned(sums[:-1]))
+        found.append(binned(rest))
+    return np.concatenate([x for x, _ in found]), np.concatenate([n for _, n in found]), n_lines
 
 
 def with_neighbours(bins: np.ndarray, n_lines: np.ndarray) -> np.ndarray:
@@ -126,10 +200,14 @@ class Field:
 
     def emission(self, x: np.ndarray) -> np.ndarray:
         """Score of good over bad for each line."""
-        return self.weights[np.arange(x.shape[1]), x].sum(axis=1) + self.bias
-
-    def marginals(self, x: np.ndarray, n_lines: np.ndarray):
-        """P(good) of every line; expected label pairs, by document; log of the partition function."""
+        out = np.empty(len(x))
+        for i in range(0, len(x), 65_536):
+            part = x[i : i + 65_536]
+            out[i : i + len(part)] = self.weights[np.arange(x.shape[1]), part].sum(axis=1) + self.bias
+        return out
+
+    def marginals(self, x: np.ndarray, n_lines: np.ndarray, pairs: bool = True):
+        """P(good) of every line; expected label pairs, by document; log of the partition function. Without pairs only the first."""
         e = self.emission(x)
         psi = np.stack((np.exp(-e / 2 - np.abs(e) / 2), np.exp(e / 2 - np.abs(e) / 2)), axis=1)
         shift = (e + np.abs(e)) / 2
@@ -154,6 +232,8 @@ class Field:
             beta[rows] = b / b.sum(axis=1)[:, None]
         both = alpha * beta
         both /= both.sum(axis=1)[:, None]
+        if not pairs:
+            return both[:, 1], None, None
         inner = np.ones(len(psi), bool)
         inner[ends] = False
         i = np.flatnonzero(inner)
@@ -163,7 +243,7 @@ class Field:
         return both[:, 1], joint, z
 
     def scores(self, x: np.ndarray, lengths: np.ndarray, n_lines: np.ndarray) -> np.ndarray:
-        good, _, _ = self.marginals(x, n_lines)
+        good, _, _ = self.marginals(x, n_lines, pairs=False)
         at = np.cumsum(n_lines) - n_lines
         return np.clip(np.add.reduceat(good * lengths, at) / np.add.reduceat(lengths, at), 0.0, 1.0)
 
@@ -211,7 +291,7 @@ def fit(x: np.ndarray, n_lines: np.ndarray, labels: np.ndarray, steps: int = 200
     return field
 
 
-def _chunks(texts: Iterable[str | None], limit: int = 250_000):
+def _chunks(texts: Iterable[str | None], limit: int = PIECE):
     """Runs of whole texts of about so many characters together; a longer text is a run of its own."""
     run, n = [], 0
     for t in texts:
@@ -260,8 +340,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(df: DataFrame, field: Field, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """df (or its columns `keep`) with score: the length-weighted chance that its lines are good.
 
-    A null text is an empty one, which is a single empty line. Columns pass through; one
-    called score is replaced.
+    A null text is an empty one, which is a single empty line. Texts are read whole: long
+    ones in pieces, whose sums by line are joined, and a worker holds some hundred bytes for
+    each line of a document. Repeated rows give repeated results; an empty table gives an
+    empty result. Columns pass through; one called score is replaced.
     """
     columns = df.columns if keep is None else keep
     rows = df.select(*safe(df, columns), F.col(text_col).alias("__text"))
