@@ -11,7 +11,7 @@ from .quality import op7_quality
 from .secret_scan import OP2_SQL, op2_secrets
 from .sharding import OP4_SQL, op4_sharding
 from .tokens import op5_tokens
-from .urls import op8_urls
+from .urls import OP8_SQL, op8_urls
 
 QUERIES = {
     "op1_mixing": op1_mixing,
@@ -32,5 +32,6 @@ ORACLES = {
     "op3_chat": OP3_SQL,
     "op4_sharding": OP4_SQL,
     "op6_decontaminate": OP6_SQL,
+    "op8_urls": OP8_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
