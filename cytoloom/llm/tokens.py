@@ -137,8 +137,11 @@ class Counter:
 def count_tokens(df: DataFrame, pieces: list[tuple[str, float]], text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """df (or its columns `keep`) with n_tokens and score (of the best path), from whole texts.
 
-    The vocabulary is broadcast; its size is that of the file. Columns of df of the added
-    names are replaced, others pass through.
+    Null and empty texts have no tokens and score 0; repeated rows give repeated results; an
+    empty table gives an empty result. A word's time grows with its length and its matches,
+    a text's with its words, however long it is. Of paths equally good the one whose last
+    piece is longest wins, as in the tokenizer. The vocabulary is broadcast; its size is that
+    of the file. Columns of df of the added names are replaced, others pass through.
     """
     columns = df.columns if keep is None else keep
     rows = df.select(*safe(df, columns), df[text_col].alias("__text"))
