@@ -1,28 +1,38 @@
 """Benchmark decontamination: a prefix-filtered set join, verified over item-sized windows.
 
 A benchmark item becomes windows of 10 consecutive words (one shorter window if it has
-fewer). To hold a window a document must hold all of its words, so with the words ordered
-by rarity in the corpus the necessary prefix is a single word, the rarest. That word's
-places in a document are the only candidates. Its offset in the window bounds the start
-(position filter), the window's length bounds the end (length filter), and the words from
-start to end are then compared one by one.
-
-Windows are the broadcast side. They come in blocks of at most `block` windows, so what a
-worker holds is bounded; a larger benchmark takes several passes, each of which adds its
-hits to the rows of the last.
+fewer), a window the set of its five-word shingles (a window of fewer words is one shingle).
+A document that holds a window holds all of its shingles, so with the shingles ordered by
+rarity - the number of windows that have them, then their hash - the necessary prefix is a
+single one, the rarest. Its places in a document are the only candidates. Its offset in the
+window bounds the start (positional bound), the window's length the end (length bound), and
+the words from start to end are compared one by one.
+
+A benchmark of at most SMALL bytes of text is an index that goes to the workers, and one pass
+over the documents does all. A larger one stays in Spark: documents give their places whose
+shingle is in a filter of FILTER_BITS bits, with the words around; these are joined with the
+windows' prefix shingles and verified, and the hits join the documents by text.
 """
 
 from __future__ import annotations
 
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import restored, safe, staged, table
+from .common import restored, safe, small, staged, table
 
+#: Words of a shingle.
+SHINGLE = 5
+#: Bytes of benchmark text up to which an index of it, some 100 bytes for a byte, is sent to the workers.
+SMALL = 2_000_000
+#: Bits of the filter of prefix shingles; a constant, whatever the benchmark.
+FILTER_BITS = 2**24
 #: Bytes to word bytes: A-Z lower-cased; other ASCII that is neither digit nor letter separates. Bytes of non-ASCII characters are word bytes.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -34,35 +44,51 @@ def words(text: bytes | str | None) -> list[bytes]:
     return (text.encode() if isinstance(text, str) else text).translate(FOLD).split()
 
 
-def windows_of(items: list[tuple[str, bytes]], size: int) -> dict[tuple[bytes, ...], list[str]]:
-    """Distinct windows and the items that have them."""
-    out: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
-    for item, text in items:
-        w = words(text)
-        for i in range(max(1, len(w) - size + 1) if w else 0):
-            out[tuple(w[i : i + size])].add(item)
-    return {k: sorted(v) for k, v in out.items()}
+def spans(n: int, size: int) -> range:
+    """Starts of the windows of an item of n words; each has min(n, size) words."""
+    return range(max(1, n - size + 1) if n else 0)
+
 
+def shingles(words: list[bytes]) -> list[bytes]:
+    """The shingles of a window, by offset."""
+    k = min(SHINGLE, len(words))
+    return [b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)]
 
-def prefix_index(windows: dict[tuple[bytes, ...], list[str]], counts: dict[bytes, int]) -> dict[bytes, list[tuple[int, list[bytes], list[str]]]]:
-    """Rarest word (then smallest) -> (its first offset, the window, its items)."""
-    index: dict = defaultdict(list)
-    for window, items in windows.items():
-        rare = min(window, key=lambda w: (counts.get(w, 0), w))
-        index[rare].append((window.index(rare), list(window), items))
-    return dict(index)
+
+def number(shingle: bytes) -> int:
+    """Spark's xxhash64 of a string."""
+    return int(np.uint64(xxhash.xxh64_intdigest(shingle, seed=42)).astype(np.int64))
+
+
+def prefix_index(items: list[tuple[str, bytes]], size: int) -> dict[bytes, dict[tuple[bytes, ...], list]]:
+    """First word -> {rarest shingle of a window: [(its offset there, the window, its items)]}."""
+    windows: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
+    for item, text in items:
+        w = words(text)
+        for i in spans(len(w), size):
+            windows[tuple(w[i : i + size])].add(item)
+    count: Counter = Counter(s for window in windows for s in set(shingles(list(window))))
+    index: dict = defaultdict(lambda: defaultdict(list))
+    for window, of in windows.items():
+        every = shingles(list(window))
+        offset = min(range(len(every)), key=lambda i: (count[every[i]], number(every[i]), i))
+        rare = tuple(every[offset].split(b" "))
+        index[rare[0]][rare].append((offset, list(window), sorted(of)))
+    return {head: dict(of) for head, of in index.items()}
 
 
 def hits(doc: list[bytes], index: dict) -> tuple[list[tuple[int, int]], set[str]]:
     """Occurrences of windows in a document, as merged word ranges, and the items they are of."""
     ranges, items, n = [], set(), len(doc)
     for at in [i for i, w in enumerate(doc) if w in index]:
-        for offset, window, of in index[doc[at]]:
-            start = at - offset
-            end = start + len(window)
-            if start >= 0 and end <= n and doc[start:end] == window:
-                ranges.append((start, end))
-                items.update(of)
+        of_head = index[doc[at]]
+        for k in range(1, SHINGLE + 1):
+            for offset, window, of in of_head.get(tuple(doc[at : at + k]), ()) if at + k <= n else ():
+                start = at - offset
+                end = start + len(window)
+                if start >= 0 and end <= n and doc[start:end] == window:
+                    ranges.append((start, end))
+                    items.update(of)
     return merge(ranges), items
 
 
@@ -76,77 +102,122 @@ def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, size: int, block: int):
-    """Items a block of windows at a time; the driver holds one block."""
-    held, n = [], 0
-    rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("i"), F.col(text_col).cast("binary").alias("t"))
-    for r in rows.toLocalIterator():
-        w = words(r["t"])
-        for i in range(0, max(1, len(w) - size + 1) if w else 0, block):  # an item of very many windows is cut, its windows whole
-            part = w[i : i + block + size - 1]
-            if held and n + len(part) > block:
-                yield held
-                held, n = [], 0
-            held.append((r["i"], b" ".join(part)))
-            n += len(part)
-    yield held
-
-
-def mark(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = 10, block: int = 500_000, keep: list[str] | None = None) -> DataFrame:
+FOUND = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType()))]
+
+
+def _sent(rows: DataFrame, keep: list[str], items: list[tuple[str, bytes]], size: int) -> DataFrame:
+    """FOUND of every row by an index of the items in the workers."""
+    index = rows.sparkSession.sparkContext.broadcast(prefix_index(items, size))
+
+    def find(batches):
+        for batch in batches:
+            lengths, hit, found = [], [], []
+            for text in batch.column(len(keep)):
+                w = words(text.as_py())
+                ranges, of = hits(w, index.value)
+                lengths.append(len(w))
+                hit.append(sum(b - a for a, b in ranges))
+                found.append(sorted(of))
+            new = [pa.array(lengths, pa.int64()), pa.array(hit, pa.int64()), pa.array(found, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *new], names=[*keep, "n_words", "n_hit", "items"])
+
+    return rows.mapInArrow(find, T.StructType([*rows.select(*keep).schema.fields, *FOUND]))
+
+
+def _windows(items: DataFrame, size: int) -> DataFrame:
+    """(win, item): windows of items (i, t), their words joined by a space."""
+
+    def cut(batches):
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                w = words(text)
+                starts = spans(len(w), size)
+                for at in range(0, len(starts), 10_000):
+                    win = [b" ".join(w[i : i + size]).decode() for i in starts[at : at + 10_000]]
+                    yield pa.RecordBatch.from_arrays([pa.array(win, pa.string()), pa.array([item] * len(win), pa.string())], names=["win", "item"])
+
+    return items.mapInArrow(cut, "win string, item string").distinct()
+
+
+def _prefixes(windows: DataFrame) -> DataFrame:
+    """(h, win, offset): the rarest shingle of each window, as a number, and its offset there."""
+    each = windows.select("win").distinct().select("win", F.split("win", " ").alias("w"))
+    each = each.select("win", F.posexplode(F.expr(f"transform(sequence(0, greatest(size(w) - {SHINGLE}, 0)), i -> xxhash64(array_join(slice(w, i + 1, {SHINGLE}), ' ')))")).alias("offset", "h"))
+    each = staged(each, "decontaminate-shingles")
+    counts = staged(each.select("win", "h").distinct().groupBy("h").agg(F.count("*").alias("c")), "decontaminate-counts")
+    return each.join(counts, "h").groupBy("win").agg(F.min(F.struct("c", "h", "offset")).alias("p")).select("p.h", "win", "p.offset")
+
+
+def _joined(rows: DataFrame, keep: list[str], items: DataFrame, size: int) -> DataFrame:
+    """FOUND of every row by a join on prefix shingles."""
+    windows = staged(_windows(items, size), "decontaminate-windows")
+    prefixes = staged(_prefixes(windows), "decontaminate-prefixes")
+    # the filter: at most FILTER_BITS / 64 rows come here
+    word = F.pmod(F.shiftrightunsigned("h", 6), F.lit(FILTER_BITS // 64)).cast("int")
+    bits = prefixes.select(word.alias("i"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("b")).groupBy("i").agg(F.bit_or("b").alias("b"))
+    got = bits.toArrow()
+    table_ = np.zeros(FILTER_BITS // 64, np.uint64)
+    table_[got["i"].to_numpy()] = got["b"].to_numpy().view(np.uint64)
+    lengths = sorted({r[0] for r in prefixes.select(F.least(F.size(F.split("win", " ")), F.lit(SHINGLE))).distinct().collect()})  # SHINGLE values at most
+    shared = rows.sparkSession.sparkContext.broadcast(table_)
+
+    def places(batches):
+        mask = shared.value
+        for batch in batches:
+            key, at, h, base, near = [], [], [], [], []
+            for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                w = words(text.as_py())
+                for k in lengths:
+                    found = np.fromiter((xxhash.xxh64_intdigest(b" ".join(w[i : i + k]), seed=42) for i in range(len(w) - k + 1)), np.uint64, max(0, len(w) - k + 1))
+                    place = ((found >> np.uint64(6)) % np.uint64(len(mask))).astype(np.int64)
+                    for i in np.flatnonzero((mask[place] >> (found & np.uint64(63))) & np.uint64(1)).tolist():
+                        key.append(d)
+                        at.append(i)
+                        h.append(int(found[i].astype(np.int64)))
+                        base.append(max(0, i - size))
+                        near.append(b" ".join(w[base[-1] : i + size]).decode())
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array(at, pa.int32()), pa.array(h, pa.int64()), pa.array(base, pa.int32()), pa.array(near, pa.string())], names=["key", "at", "h", "base", "near"])
+
+    key = F.unhex(F.sha2("__text", 256))
+    candidates = staged(rows.select(key.alias("key"), "__text").where("__text is not null").mapInArrow(places, "key binary, at int, h bigint, base int, near string").distinct(), "decontaminate-places")
+    start = F.col("at") - F.col("offset")
+    length = F.size(F.split("win", " "))
+    same = (start >= F.col("base")) & (F.array_join(F.slice(F.split("near", " "), F.greatest(start - F.col("base") + 1, F.lit(1)), length), " ") == F.col("win"))
+    occur = staged(candidates.join(small(prefixes), "h").where(same).select("key", start.alias("a"), (start + length).alias("b"), "win").distinct(), "decontaminate-hits")
+    # one row for each word of a document that is hit, so the lists hold a document at most
+    hit = occur.select("key", F.explode(F.sequence("a", F.col("b") - 1)).alias("x")).groupBy("key").agg(F.count_distinct("x").alias("n_hit"))
+    of = occur.select("key", "win").distinct().join(small(windows), "win").groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    result = staged(hit.join(of, "key"), "decontaminate-result")
+
+    def count(batches):
+        for batch in batches:
+            n = pa.array([len(words(t.as_py())) for t in batch.column(len(keep))], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], batch.column(len(keep) + 1), n], names=[*keep, "key", "n_words"])
+
+    counted = rows.select(*keep, "__text", key.alias("key")).mapInArrow(count, T.StructType([*rows.select(*keep).schema.fields, T.StructField("key", T.BinaryType()), T.StructField("n_words", T.LongType())]))
+    none = F.array().cast("array<string>")
+    return counted.join(small(result), "key", "left").select(*keep, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items"))
+
+
+def mark(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = 10, most: int = SMALL, keep: list[str] | None = None) -> DataFrame:
     """df (or its columns `keep`) with n_words, n_hit and items (sorted ids of items with occurring windows).
 
     Null texts have no words; an empty benchmark marks nothing; repeated items count once by
-    id. Every word of a document and every window of the benchmark takes part. Columns of
-    df of the added names are replaced, other columns pass through.
+    id, a null id is an empty one. Every word of a document, however long, and every window
+    of the benchmark takes part; repeated rows give repeated results, an empty table an
+    empty one. Columns of df of the added names are replaced, other columns pass through.
+
+    most: bytes of benchmark text up to which its index goes to the workers.
     """
-    spark = df.sparkSession
     columns = df.columns if keep is None else keep
     rows = df.select(*safe(df, columns), F.col(text_col).cast("binary").alias("__text"))
     keep = [f"__c{i}" for i in range(len(columns))]
-    kept = rows.select(*keep).schema.fields
-    added = [T.StructField("n_words", T.LongType()), T.StructField("__ranges", T.ArrayType(T.LongType())), T.StructField("items", T.ArrayType(T.StringType()))]
-    extra = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string())]
-
-    first = True
-    for held in _blocks(benchmark, item_col, item_text, size, block):
-        windows = windows_of(held, size)
-        if not windows and not first:
-            continue
-        vocabulary = spark.sparkContext.broadcast(frozenset(w for x in windows for w in x))
-
-        def count(batches, vocabulary=vocabulary):
-            for batch in batches:
-                seen: Counter = Counter()
-                for text in batch.column(0):
-                    seen.update(filter(vocabulary.value.__contains__, words(text.as_py())))
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
-
-        counts = rows.select("__text").mapInArrow(count, "w binary, n bigint").groupBy("w").agg(F.sum("n").alias("n")) if windows else None
-        index = spark.sparkContext.broadcast(prefix_index(windows, {bytes(r["w"]): r["n"] for r in counts.collect()} if windows else {}))
-
-        def find(batches, index=index, first=first, n_keep=len(keep)):
-            for batch in batches:
-                old = [None] * batch.num_rows if first else list(zip(batch.column(n_keep + 2).to_pylist(), batch.column(n_keep + 3).to_pylist()))
-                lengths, ranges, items = [], [], []
-                for text, before in zip(batch.column(n_keep), old):
-                    w = words(text.as_py())
-                    r, of = hits(w, index.value)
-                    if before:
-                        r = merge(r + list(zip(before[0][::2], before[0][1::2])))
-                        of |= set(before[1])
-                    lengths.append(len(w))
-                    ranges.append([x for ab in r for x in ab])
-                    items.append(sorted(of))
-                new = [pa.array(v, t) for v, t in zip((lengths, ranges, items), extra)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[: n_keep + 1], *new], names=[*keep, "__text", "n_words", "__ranges", "items"])
-
-        if not first:
-            rows = staged(rows, "decontaminate")
-        rows = rows.mapInArrow(find, T.StructType([*kept, T.StructField("__text", T.BinaryType()), *added]))
-        first = False
-    n_hit = F.aggregate(F.sequence(F.lit(0), F.size("__ranges") - 1), F.lit(0).cast("long"), lambda a, i: a + F.when(i % 2 == 1, 1).otherwise(-1) * F.coalesce(F.get("__ranges", i), F.lit(0)))
-    rows = rows.withColumn("n_hit", F.when(F.size("__ranges") == 0, 0).otherwise(n_hit).cast("long"))
-    return restored(rows, columns, ["n_words", "n_hit", "items"])
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("i"), F.col(item_text).cast("binary").alias("t")).where("t is not null")
+    if (items.agg(F.sum(F.octet_length("t") + F.octet_length("i"))).first()[0] or 0) <= most:
+        found = _sent(rows, keep, [(r["i"], bytes(r["t"])) for r in items.collect()], size)
+    else:
+        found = _joined(rows, keep, items, size)
+    return restored(found, columns, ["n_words", "n_hit", "items"])
 
 
 def op6_decontaminate(spark, sf_dir: str) -> DataFrame:

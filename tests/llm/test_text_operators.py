@@ -2,6 +2,8 @@ import hashlib
 import math
 import random
 import re
+import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,7 +31,7 @@ def entropy(t):
         for i in range(len(c) - secret_scan.WINDOW + 1):
             w = c[i : i + secret_scan.WINDOW]
             h = -sum(w.count(x) / len(w) * math.log2(w.count(x) / len(w)) for x in set(w))
-            if h >= least - 1e-7:
+            if h >= least - 1e-7 and not any(re.search(p, w) for p in secret_scan.ALLOWED_INSIDE):
                 hot.append(i)
         if hot:
             out.append((m.start() + hot[0], 4, "entropy", m.start() + hot[-1] + secret_scan.WINDOW))
@@ -40,6 +42,7 @@ SECRETS = [
     None, "", "token=abc secret: 'hunter22' PASSWORD = \"x.y-z/1\"", "secret=token:abcdef", "api_key:AKIA" + "A1" * 8, "AKIAAKIA" + "Z9" * 8 + " AKIA1", "0" * 23 + "g" + "ab12" * 6,
     "é😀 token = \"24be64439e3e49cf46b2d7c90f3602a3\" ü", "key zQ8xV2mN7pL4kJ9hG3fD5sA1wE6rT0yU end", "thisisaverylongwordwithoutanydigits", "example" + "zQ8xV2mN7pL4kJ9h", "aaaaaa1" * 5,
     "x" * 50_000 + " passwd=longer1", "tokentoken=apikey=abc", "ſecret=abcdefgh",
+    "/sample/key=zQ8xV2mN7pL4kJ9hG3fD5sA1wE6rT0yU/12345678/qW9eR8tY7uI6oP5aS4dF3gH2jK1", "A1b2" * 9 + "======" + "zQ8xV2mN7pL4kJ9hG3fD5sA1wE6r",
 ]
 
 
@@ -53,6 +56,24 @@ def test_secrets_equal_brute_force(spark):
         assert [tuple(f) for f in r["findings"]] == sorted(base(t) + entropy(t)), t[:80]
 
 
+def test_a_key_beside_an_allowed_string_is_found(spark):
+    key = "zQ8xV2mN7pL4kJ9hG3fD5sA1wE6rT0yU"
+    got = secret_scan.scan(spark.createDataFrame([(1, f"/example/{key}"), (2, "example" + key[:12])], "doc_id int, text string")).orderBy("doc_id").collect()
+    assert [(f["kind"], f["end"]) for f in got[0]["findings"]] == [("entropy", 9 + len(key))] and got[0]["findings"][0]["start"] >= 2
+    assert got[1]["findings"] == []
+
+
+def test_many_matches_in_one_text_take_little_time(spark):
+    n = 64_000
+    df = spark.createDataFrame([(1, "token=abcdef1 " * 10), (2, "token=abcdef1 " * n)], "doc_id int, text string").repartition(1).cache()
+    df.count()
+    secret_scan.scan(df.limit(1)).collect()
+    began = time.time()
+    last = secret_scan.scan(df).selectExpr("doc_id", "size(findings) as n", "element_at(findings, -1) as f").where("doc_id = 2").first()
+    assert (last["n"], last["f"]["start"], last["f"]["end"]) == (n, (n - 1) * 14, n * 14 - 1)
+    assert time.time() - began < 10  # 58 s with one array for all spans, on an idle machine; well under 2 s now
+
+
 def test_secrets_of_nothing(spark):
     assert secret_scan.scan(spark.createDataFrame([], "doc_id int, text string")).count() == 0
 
@@ -86,14 +107,15 @@ def words(t):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
 
 
-@pytest.mark.parametrize("block", [500_000, 12])
-def test_decontamination_equals_brute_force(spark, block):
+@pytest.mark.parametrize("most", [2_000_000, 0])
+def test_decontamination_equals_brute_force(spark, most):
     rng = random.Random(8)
     vocabulary = ["the", "Of", "ünï", "x1", "rare", "a", "b"]
     make = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
     items = [(i, make(rng.choice([1, 3, 10, 14, 40]))) for i in range(3, 9)] + [(9, None), (10, ""), (11, "?!"), (12, "É x1 rare of the a b a b a b the")]
     docs = [(i, make(rng.randint(0, 80))) for i in range(60)] + [(60, None), (61, ""), (62, f"zz, {items[-1][1]}! " * 40), (62, "the")]
-    got = decontaminate.mark(spark.createDataFrame(docs, "doc_id int, text string").selectExpr("*", "7 as n", "8 as item_id"), spark.createDataFrame(items, "item_id int, text string"), block=block, keep=["doc_id", "text", "item_id"]).collect()
+    docs += [(63, "filler " * 30_000 + items[4][1])] * 2
+    got = decontaminate.mark(spark.createDataFrame(docs, "doc_id int, text string").selectExpr("*", "7 as n", "8 as item_id"), spark.createDataFrame(items, "item_id int, text string"), most=most, keep=["doc_id", "text", "item_id"]).collect()
     assert len(got) == len(docs)
     for r in got:
         d, hit, found = words(r["text"]), set(), set()
@@ -101,7 +123,7 @@ def test_decontamination_equals_brute_force(spark, block):
             w = words(t)
             for a in range(max(1, len(w) - 9) if w else 0):
                 win = w[a : a + 10]
-                for p in range(len(d) - len(win) + 1):
+                for p in [p for p, x in enumerate(d) if x == win[0]] if len(d) < 1000 else range(29_900, len(d)):
                     if d[p : p + len(win)] == win:
                         hit |= set(range(p, p + len(win)))
                         found.add(str(i))
@@ -113,6 +135,8 @@ def test_decontamination_without_a_benchmark(spark):
     none = spark.createDataFrame([], "item_id int, text string")
     assert decontaminate.mark(docs, none).collect()[0]["n_hit"] == 0
     assert decontaminate.mark(docs.limit(0), none).count() == 0
+    assert decontaminate.mark(docs, none, most=-1).collect()[0]["n_hit"] == 0
+    assert decontaminate.mark(docs.limit(0), docs, item_col="doc_id", most=0).count() == 0
     assert [tuple(x) for x in decontaminate.merge([(3, 5), (0, 2), (1, 4)])] == [(0, 5)]
 
 
@@ -137,6 +161,31 @@ def test_tokens_equal_the_library(spark, sf):
         assert r["n_tokens"] == (len(library.encode("▁" + t.replace(" ", "▁"), add_special_tokens=False).ids) if t else 0), t
 
 
+def test_tokens_equal_a_unigram_model_with_ties():
+    """A unigram model of made-up pieces and scores, not trained, whose many ties the library breaks by its own rule."""
+    spm = pytest.importorskip("sentencepiece")
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    rng = random.Random(12)
+    pieces = {"▁": -3.0} | {c: -float(rng.randint(2, 5)) for c in "abcdé"}
+    while len(pieces) < 120:
+        pieces["".join(rng.choice(["a", "b", "c", "d", "é"]) for _ in range(rng.randint(2, 5)))] = -float(rng.randint(3, 9))
+        pieces["▁" + "".join(rng.choice("abcd") for _ in range(rng.randint(1, 4)))] = -float(rng.randint(3, 9))
+    model = pb.ModelProto()
+    model.trainer_spec.model_type = pb.TrainerSpec.UNIGRAM
+    model.trainer_spec.byte_fallback = True
+    model.normalizer_spec.name = "identity"
+    model.normalizer_spec.add_dummy_prefix = True
+    model.normalizer_spec.remove_extra_whitespaces = False
+    model.normalizer_spec.escape_whitespaces = True
+    for piece, score, kind in [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *[(f"<0x{i:02X}>", 0.0, 6) for i in range(256)], *[(p, s, 1) for p, s in pieces.items()]]:
+        model.pieces.add(piece=piece, score=score, type=kind)
+    library = spm.SentencePieceProcessor(model_proto=model.SerializeToString())
+    counter = tokens.Counter(list(pieces.items()))
+    texts = ["".join(rng.choice("aabbccddé  x\n日😀") for _ in range(rng.randint(1, 60))) for _ in range(1500)]
+    assert [round(counter.text(t).imag) for t in texts] == [len(x) for x in library.encode(texts)]
+
+
 def viterbi(text, pieces):
     s = "▁" + text.replace(" ", "▁")
     scores, low = dict(pieces), min(v for _, v in pieces) - 10
@@ -209,6 +258,78 @@ def test_propagation_equals_a_dense_walk(spark):
         assert all(abs(x[h] - got.get(h, (0, 0))[side]) < 1e-6 for h in hosts)
 
 
+def web(rng, hosts=10_000):
+    """Pages of a web with a hub that all link to, farms around bad hosts, friends of trusted ones, long urls and repeated rows."""
+    link = lambda h: f'<a href="http://{h}/p">'
+    names = [f"h{i}.{'net' if i % 40 == 0 else 'org' if i % 40 == 1 else 'example.com' if i % 97 == 0 else 'test'}" for i in range(hosts)]
+    rows = []
+    for i, h in enumerate(names):
+        path = "fr/1" if i % 3 else "de/" + "x" * (i % 7 == 0) * 5000
+        to = [rng.choice(names[: hosts // 10]) for _ in range(rng.randint(0, 3))]
+        rows.append((i, f"https://{h}/{path}", link("hub.test") + "".join(map(link, to)) + "<img src='/local.png'>"))
+    rows += [(hosts, "http://hub.test/", link("h1.org") + link("H0.NET") + "".join(map(link, names[2:40])))] + [rows[5]] * 3 + [(hosts + 1, None, link("h0.net")), (hosts + 2, "no host", None)]
+    return rows
+
+
+def test_a_large_graph_with_a_hub_equals_plain_rounds(spark):
+    rows = web(random.Random(3))
+    got = {}
+    for r in urls.judge(spark.createDataFrame(rows, "page_id int, url string, html string")).collect():
+        got[r["page_id"]] = (r["host"], r["trust"], r["distrust"], r["rule"], r["verdict"])
+    pages, links = Counter(), Counter()
+    ruled = {"allow": Counter(), "block": Counter()}
+    host = lambda i: re.match(r"https?://([^/]*)", i).group(1) if i and "://" in i else ""
+    rule_of = {}
+    for i, url, html in rows:
+        h, path = host(url), (url or "").partition("://")[2].partition("/")[2]
+        rule_of[i] = None
+        for rule in sorted(urls.RULES, key=lambda r: -len(r[1])):
+            name, _, rest = rule[1].partition("/")
+            if (h == name or h.endswith("." + name)) and path.startswith(rest) and h:
+                rule_of[i] = rule
+                ruled[rule[0]][h] += 1
+                break
+        pages[h] += 1
+        for to in re.findall('href="http://([^/]*)/', html or ""):
+            if h and to.lower() != h:
+                links[h, to.lower()] += 1
+    out = Counter()
+    for (a, _), w in links.items():
+        out[a] += w
+    score = {}
+    for k, kind in (("trust", "allow"), ("distrust", "block")):
+        own = {h: math.floor(n / pages[h] * ((1 - 0.85) * urls.ONE) + 0.5) for h, n in ruled[kind].items()}
+        x = dict(own)
+        for _ in range(urls.STEPS):
+            new = Counter(own)
+            for (a, b), w in links.items():
+                giver, taker = (a, b) if k == "trust" else (b, a)
+                if giver in x:
+                    new[taker] += math.floor(x[giver] * (0.85 * w / out[a]))
+            x = dict(new)
+        score[k] = x
+    changed = 0
+    for i, url, _ in rows:
+        h = host(url)
+        t, d = score["trust"].get(h, 0), score["distrust"].get(h, 0)
+        rule = rule_of[i]
+        want = rule[0] if rule else "block" if d - t >= 75_000_000 else "allow"
+        assert got[i] == (h, t, d, rule[1] if rule else None, want), i
+        changed += rule is None and want == "block"
+    assert changed > 100 and sum(v[4] == "allow" for v in got.values()) > 1000
+
+
+def test_url_sql_on_a_graph(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    rows = web(random.Random(4), 400)
+    df = spark.createDataFrame(rows, "page_id int, url string, html string")
+    df.write.parquet(str(tmp_path / "pages"))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages/*.parquet'")
+    want = con.execute(f"select page_id, host, path, rule, verdict, trust, distrust from ({urls.OP8_SQL})").fetchall()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in urls.judge(df).select("page_id", "host", "path", "rule", "verdict", "trust", "distrust").collect())
+
+
 def test_urls_of_nothing(spark):
     assert urls.judge(spark.createDataFrame([], "page_id int, url string, html string")).count() == 0
     assert hashlib.sha256(b"").hexdigest()[:4] == "e3b0"
