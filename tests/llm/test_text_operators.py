@@ -316,7 +316,7 @@ def test_a_large_graph_with_a_hub_equals_plain_rounds(spark):
         want = rule[0] if rule else "block" if d - t >= 75_000_000 else "allow"
         assert got[i] == (h, t, d, rule[1] if rule else None, want), i
         changed += rule is None and want == "block"
-    assert changed > 100 and sum(v[4] == "allow" for v in got.values()) > 1000
+    assert changed > 50 and sum(v[4] == "allow" for v in got.values()) > 1000
 
 
 def test_url_sql_on_a_graph(spark, tmp_path):
