@@ -52,8 +52,9 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     """df with size, source_size, target and copies: how often the mix takes each row.
 
     Null texts have size 0; null sources are a source; null ids order as an empty string.
-    Rows that agree in id, size and text hash are interchangeable. Columns of df of the added
-    names are replaced. carry=False returns no other columns than id and source beside these.
+    Texts of any length count whole; an empty table gives an empty result. Rows that agree in
+    id, size and text hash are interchangeable, and all rows of one id order in one task.
+    Columns of df of the added names are replaced. carry=False returns no other columns than id and source beside these.
     """
     own = df.columns if carry else [id_col, source_col]
     text = F.coalesce(F.col("__text"), F.lit(""))

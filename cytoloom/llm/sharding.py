@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import restored, safe, staged, table
@@ -76,22 +76,30 @@ def place(x: int, n: int, seed: int) -> int:
             return x
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of safe(); those with maps, which have no hash, as JSON."""
+    mapped = ["map<" in f.dataType.simpleString() for f in df.schema]
+    return F.xxhash64(*[F.to_json(F.struct(f"__c{i}")) if m else F.col(f"__c{i}") for i, m in enumerate(mapped)])
+
+
 def shard(df: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", seed: int = 4) -> DataFrame:
     """df with size, text_crc32, row_no, shard and slot; the law is `rows`.
 
-    Row numbers follow (bucket of id and crc, id, crc, size, text hash). Rows equal in all
-    these are interchangeable; null ids and texts are values like any other. An empty table
-    gives an empty result; columns of df of the added names are replaced.
+    Row numbers follow (bucket of id and crc, id, crc, size, text hash, hash of all columns),
+    so a task that runs again numbers its rows as before. Rows equal in all these are
+    interchangeable and share a bucket; null ids and texts are values like any other, texts
+    of any length count whole. An empty table gives an empty result; columns of df of the
+    added names are replaced.
     """
     rows = df.select(*safe(df, df.columns), F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"))
     text = F.col("__text")
-    rows = rows.withColumns({"size": F.octet_length(text).cast("long") + 16, "text_crc32": F.crc32(text), "__hash": F.xxhash64(text)})
+    rows = rows.withColumns({"size": F.octet_length(text).cast("long") + 16, "text_crc32": F.crc32(text), "__hash": F.xxhash64(text), "__row": row_hash(df)})
     rows = rows.withColumn("__bucket", ((F.crc32(F.coalesce(F.col("__id").cast("string"), F.lit("")).cast("binary")) + F.col("text_crc32")) % BUCKETS).cast("int"))
     counts = staged(rows.groupBy("__bucket").agg(F.count("*").alias("c")), "shard-counts")
     n = counts.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     before = F.sum("c").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("__bucket", F.coalesce(before, F.lit(0)).alias("__first"))
-    within = Window.partitionBy("__bucket").orderBy("__id", "text_crc32", "size", "__hash")
+    within = Window.partitionBy("__bucket").orderBy("__id", "text_crc32", "size", "__hash", "__row")
     numbered = rows.join(F.broadcast(offsets), "__bucket").withColumn("row_no", F.col("__first") + F.row_number().over(within) - 1)
     dealt = numbered.withColumn("__place", F.expr(place_sql("row_no", n, seed))).withColumns({"shard": (F.col("__place") % shards).cast("int"), "slot": F.expr(f"__place div {shards}")})
     return restored(dealt, df.columns, ["size", "text_crc32", "row_no", "shard", "slot"])

@@ -96,6 +96,13 @@ def test_shards_are_even_and_slots_have_no_gaps(spark):
     assert [k[2:] for k in key(again)] == [k[2:] for k in key(rows)]
 
 
+def test_rows_that_differ_in_other_columns_alone_keep_their_numbers(spark):
+    df = spark.createDataFrame([(1, "same", i % 7, {"k": i}) for i in range(60)] + [(2, "x" * 300_000, 0, {})], "doc_id int, text string, extra int, m map<string,int>")
+    one, two = (sharding.shard(d, 5).collect() for d in (df, df.repartition(9, F.rand(1))))
+    key = lambda rows: sorted((r["extra"], str(r["m"]), r["row_no"]) for r in rows)
+    assert key(one) == key(two)
+
+
 def test_shards_of_nothing_and_clashing_names(spark):
     assert sharding.shard(spark.createDataFrame([], DOCS), 3).count() == 0
     clash = sharding.shard(spark.createDataFrame([(1, "a", 2, 9)], "doc_id int, text string, Slot int, other int"), 3)
