@@ -34,7 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     from .sources import files
 
     try:
-        workspace.data_root()
+        volume = workspace.Workspace.open()
         spark = SparkSession.builder.appName("cytoloom").getOrCreate()
         if a.command == "data":
             expected = files.md5_list(spark.read.text(a.md5)).select("name", F.lit("md5").alias("method"), "md5", F.lit(None).cast("double").alias("mb"))
@@ -44,21 +44,21 @@ def main(argv: list[str] | None = None) -> int:
             print("\n".join(f"{r['name']:<{width}}  {r['method']:<8}  {r['status']}" for r in rows))
             return int(any(r["status"] != "ok" for r in rows))
         cfg = Config.read(a.configs, a.dataset)
-        out = str(workspace.folder("derived", cfg.name))
-        kept = workspace.log_to(f"{out}/pipeline.log", cfg.visibility == "private")
+        out = str(volume.folder("derived", cfg.name))
+        journal = workspace.journal(f"{out}/pipeline.log", cfg.visibility == "private")
         if a.command == "run":
             print(publish.render(publish.run(spark, cfg, out)))
-            if kept.rejected:
-                print(f"{kept.rejected} log records about single cells were dropped")
+            if journal.withheld:
+                print(f"{journal.withheld} log records about single cells were dropped")
             return 0
         if a.command == "repro":
-            n = publish.reproduce(spark, cfg, str(workspace.folder("build", cfg.name))).count()
+            n = publish.reproduce(spark, cfg, str(volume.folder("build", cfg.name))).count()
             print(f"{n} files differ")
             return int(n > 0)
         ds = publish.ADAPTERS[cfg.adapter](spark, cfg)
-        files.save(derive.cut_fixture(ds), str(workspace.folder("canonical", f"{cfg.name}-fixture")))
+        files.save(derive.cut_fixture(ds), str(volume.folder("canonical", f"{cfg.name}-fixture")))
         return 0
-    except workspace.DataRootError as e:
+    except workspace.WorkspaceError as e:
         print(f"ERROR: {e}", file=sys.stderr)
         return 3
     except (ContractError, publish.CheckError) as e:

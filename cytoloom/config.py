@@ -21,7 +21,7 @@ class Config:
     seed: int = 0
     source: str | None = None
     path: str | None = None
-    images: bool = False
+    images: str | None = None
     scale_factor: float = 1e4
     core_radius_um: float = 500.0
     n_patients: int | None = None

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import affine
-from . import raster, spatial, stats
+from . import raster, slides, spatial, stats
 
 SHIFT_UM, NEAR_UM, POINTS = 25.0, 20.0, 1000
 
@@ -26,19 +27,19 @@ def random_points(spark: SparkSession, n: int, bounds: tuple[float, float, float
     return i.select("id", (x0 + (x1 - x0) * uniform(f"{seed}x", F.col("id"))).alias("x_um"), (y0 + (y1 - y0) * uniform(f"{seed}y", F.col("id"))).alias("y_um"))
 
 
-def accepted(spark: SparkSession, n: int, bounds, seed: str, keep, rounds: int = 1000) -> DataFrame:
-    """The first n points, in order of their numbers, that keep(points) leaves; 4 n are tried a round."""
-    found, tried = None, 0
-    for _ in range(rounds):
-        more = keep(random_points(spark, 4 * n, bounds, seed, tried)).select("id", "x_um", "y_um")
-        found = more if found is None else found.unionByName(more)
-        tried += 4 * n
+def accepted(spark: SparkSession, n: int, bounds, seed: str, keep, most: int = 4096) -> DataFrame:
+    """The first n points, in order of their numbers, that keep(points) leaves; at most `most` tries for each, else an error."""
+    tries = 4
+    while True:
+        found = keep(random_points(spark, tries * n, bounds, seed))
         if found.count() >= n:
-            break
-    return found.orderBy("id").limit(n)
+            return found.orderBy("id").limit(n)
+        if tries >= most:
+            raise ValueError(f"fewer than {n} of {tries * n} random points are accepted")
+        tries *= 4
 
 
-def in_mask(points: DataFrame, mask: DataFrame, um_to_px: Column, factor: int) -> DataFrame:
+def in_mask(points: DataFrame, mask: DataFrame, um_to_px: Column, factor: float) -> DataFrame:
     """Points whose image position is tissue. mask: (u, v, tissue) of factor x factor pixels; positions outside it are not."""
     u = F.floor((affine.apply_x(um_to_px, F.col("x_um"), F.col("y_um")) + 0.5) / factor)
     v = F.floor((affine.apply_y(um_to_px, F.col("x_um"), F.col("y_um")) + 0.5) / factor)
@@ -61,34 +62,65 @@ def shifted(points: DataFrame, seed: str = "shift", by: float = SHIFT_UM) -> Dat
     return points.withColumns({"x_um": F.col("x_um") + by * F.cos(a), "y_um": F.col("y_um") + by * F.sin(a)})
 
 
-def stain_at(points: DataFrame, pixels: DataFrame, um_to_px: Column, radius: int) -> DataFrame:
-    """(id, v): mean hematoxylin in the disk of pixels around each point; pixels outside the image are white."""
-    at = lambda f: F.rint(f(um_to_px, F.col("x_um"), F.col("y_um"))).cast("long")
-    around = points.select("id", at(affine.apply_x).alias("u"), at(affine.apply_y).alias("w")).crossJoin(F.broadcast(spatial.stencil(points.sparkSession, radius)))  # the disk is a constant
-    j = around.select("id", (F.col("u") + F.col("dx")).alias("x"), (F.col("w") + F.col("dy")).alias("y")).join(pixels, ["x", "y"], "left")
-    white = F.lit(255)
-    h = raster.hematoxylin(F.coalesce("r", white), F.coalesce("g", white), F.coalesce("b", white))
-    return j.groupBy("id").agg(F.avg(h).alias("v"))
-
-
 def compare(a: DataFrame, b: DataFrame, control: bool) -> DataFrame:
-    """(control, n_a, n_b, d, rank_biserial, z) of values v of a against those of b."""
+    """(control, n_a, n_b, u, d, rank_biserial, z, p) of values v of a against those of b."""
     both = a.select(F.lit("a").alias("g"), "v").unionByName(b.select(F.lit("b").alias("g"), "v")).withColumn("k", F.lit(control))
     return stats.rank_sum(both, ["k"]).join(stats.cohens_d(both, ["k"]).select("k", "d"), "k").withColumnRenamed("k", "control")
 
 
-def run_suite(cells: DataFrame, randoms: dict[str, DataFrame], pixels: DataFrame, um_to_px: Column, radius: int, seed: str = "suite") -> tuple[list, bool]:
+def run_suite(cells: DataFrame, randoms: dict[str, DataFrame], samplers: dict[str, Callable[[DataFrame], DataFrame]], seed: str = "suite") -> tuple[list, bool]:
     """Comparisons of cells and of the shifted control with every kind of random points, and whether the suite passes.
 
-    The same points serve every comparison.
+    samplers: by name, from points (id, x_um, y_um) to (id, v), as from an image and from the
+    tiles made of it. The same points serve every sampler and comparison.
     """
     own = sample_cells(cells, seed=seed)
-    groups = {False: stain_at(own, pixels, um_to_px, radius), True: stain_at(shifted(own, seed), pixels, um_to_px, radius)}
+    groups = {False: own, True: shifted(own, seed)}
     out = None
-    for name, points in randoms.items():
-        base = stain_at(points, pixels, um_to_px, radius)
-        for control, values in groups.items():
-            row = compare(values, base, control).withColumn("mask", F.lit(name))
-            out = row if out is None else out.unionByName(row)
-    rows = out.collect()  # two for each kind of random points
+    for source, stain in samplers.items():
+        values = {control: stain(points) for control, points in groups.items()}
+        for name, points in randoms.items():
+            base = stain(points)
+            for control, v in values.items():
+                row = compare(v, base, control).withColumns({"mask": F.lit(name), "source": F.lit(source)})
+                out = row if out is None else out.unionByName(row)
+    rows = out.collect()  # two for each sampler and kind of random points
     return rows, stats.suite(cells.sparkSession.createDataFrame([(r["control"], r["z"], r["d"]) for r in rows], "control boolean, z double, d double")).first()["passed"]
+
+
+def check_section(cells: DataFrame, cores: DataFrame, section, image_tiles: DataFrame, built: DataFrame, radius_um: float = 2.0, seed: str = "suite") -> tuple[list, bool]:
+    """run_suite() of a section: random points in tissue, and near cells, sampled from its image and from the pyramids of its cores.
+
+    section: a row of sections; built: tiles as slides.build() gives them. Points lie in the
+    boxes of cores, as only there tiles are.
+    """
+    spark = cells.sparkSession
+    um_to_px = F.array(*[F.lit(float(v)) for v in section["affine"]])
+    levels = slides.levels_of(image_tiles).orderBy(F.col("level").desc()).first()
+    px = math.floor(section["he_pixel_size_um"] * 100) / 100
+    radius = max(1, round(radius_um / section["he_pixel_size_um"]))
+    boxes = cores.select(F.col("core_id").alias("box"), F.col("bbox_x0").alias("x0"), F.col("bbox_y0").alias("y0"), F.col("bbox_x1").alias("x1"), F.col("bbox_y1").alias("y1"))
+    shapes = raster.pyramids(cores, section["he_pixel_size_um"]).select("core_id", "x0", "y0", (F.col("levels") - 1).alias("z"))
+    full = built.join(shapes.select("core_id", "z"), ["core_id", "z"])
+
+    def in_core(points: DataFrame) -> DataFrame:
+        return points.join(spatial.first_box(points, boxes, "id", "box"), "id")
+
+    def from_image(points: DataFrame) -> DataFrame:
+        u, w = slides.position(um_to_px, F.col("x_um"), F.col("y_um"))
+        return slides.disk_stain(points.select("id", u.alias("u"), w.alias("w")), image_tiles.where("level = 0"), radius)
+
+    def from_tiles(points: DataFrame) -> DataFrame:
+        p = in_core(points).withColumnRenamed("box", "core_id").join(F.broadcast(shapes), "core_id")  # cores of a section
+        at = lambda c, o: F.rint((F.col(c) - F.col(o)) / px - 0.5).cast("long")
+        return slides.disk_stain(p.select("id", "core_id", at("x_um", "x0").alias("u"), at("y_um", "y0").alias("w")), full, radius, by=("core_id",))
+
+    mask = raster.tissue(slides.pixels(image_tiles.where(F.col("level") == levels["level"])), 1)
+    bounds = cores.agg(F.min("bbox_x0"), F.min("bbox_y0"), F.max("bbox_x1"), F.max("bbox_y1")).first()
+    inside = lambda points: in_core(points).where("box is not null").select("id", "x_um", "y_um")
+    randoms = {
+        "tissue": accepted(spark, POINTS, tuple(bounds), f"{seed}-tissue", lambda p: in_mask(inside(p), mask, um_to_px, levels["fx"])),
+        "near cells": accepted(spark, POINTS, tuple(bounds), f"{seed}-near", lambda p: near_cells(inside(p), cells)),
+    }
+    within = cells.join(cores.select("core_id"), "core_id", "left_semi")
+    return run_suite(within, randoms, {"image": from_image, "pyramid": from_tiles}, seed)

@@ -101,6 +101,14 @@ def split_largest(ds: Dataset, n: int, seed: int) -> tuple[DataFrame, DataFrame]
     return parts, labels
 
 
+def core_boxes(cores: DataFrame, cells: DataFrame, radius) -> DataFrame:
+    """cores (core_id, nx, ny, ...) with bbox_x0 ...: the box of the core's disk and its cells. radius: a number or column."""
+    extent = cells.groupBy("core_id").agg(*[f(c).alias(f"__{n}") for c, f, n in (("x_um", F.min, "x0"), ("y_um", F.min, "y0"), ("x_um", F.max, "x1"), ("y_um", F.max, "y1"))])
+    x, y = F.col("nx"), F.col("ny")
+    edges = {"bbox_x0": F.least("__x0", x - radius), "bbox_y0": F.least("__y0", y - radius), "bbox_x1": F.greatest("__x1", x + radius), "bbox_y1": F.greatest("__y1", y + radius)}
+    return cores.join(extent, "core_id").withColumns(edges).drop(*[f"__{n}" for n in ("x0", "y0", "x1", "y1")])
+
+
 def derive(ds: Dataset, plan: Plan) -> Dataset:
     """A dataset of round cores cut from ds, replicated until the plan's totals are met.
 
@@ -133,11 +141,10 @@ def derive(ds: Dataset, plan: Plan) -> Dataset:
     m = m.join(reach, "core_id").withColumn("k", F.when(F.col("rep") > 0, plan.radius / F.greatest("reach", F.lit(plan.radius))).otherwise(1.0))
     m = m.withColumns({"x_um": F.col("nx") + F.col("dx") * F.col("k"), "y_um": F.col("ny") + F.col("dy") * F.col("k"), "source_id": F.col("cell_id")})
     m = m.withColumn("cell_id", F.concat("core_id", F.lit("-"), replica(F.col("cell_id"), F.col("rep"))))
-    extent = m.groupBy("core_id").agg(*[f(c).alias(n) for c, f, n in (("x_um", F.min, "x0"), ("y_um", F.min, "y0"), ("x_um", F.max, "x1"), ("y_um", F.max, "y1"))])
     r = plan.radius
-    new_cores = cores.join(extent, "core_id").select(
+    new_cores = core_boxes(cores, m, r).select(
         "core_id", "section_id", "patient_id", F.lit("core").alias("kind"), F.col("nx").alias("center_x_um"), F.col("ny").alias("center_y_um"), F.lit(r).alias("radius_um"),
-        F.least("x0", F.col("nx") - r).alias("bbox_x0"), F.least("y0", F.col("ny") - r).alias("bbox_y0"), F.greatest("x1", F.col("nx") + r).alias("bbox_x1"), F.greatest("y1", F.col("ny") + r).alias("bbox_y1"),
+        "bbox_x0", "bbox_y0", "bbox_x1", "bbox_y1",
     )
     per = -(-len(reps) // plan.sections)
     cols = math.ceil(math.sqrt(per))

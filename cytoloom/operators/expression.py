@@ -58,8 +58,8 @@ def blobs(deltas_: DataFrame, n_cells: int) -> DataFrame:
 
     A gene's blob is one value of at most n_cells + 5 bytes, so its rows meet in one task.
     """
-    rows = deltas_.groupBy("gene_id").agg(F.sort_array(F.collect_list(F.struct("idx", "delta", "q"))).alias("r"))
-    rows = rows.join(blob_sizes(deltas_, n_cells), "gene_id")
+    rows = deltas_.groupBy("gene_id").agg(F.sort_array(F.collect_list(F.struct("idx", "delta", "q"))).alias("r"), F.count("*").alias("nnz"), F.sum(varint_length(F.col("delta"))).alias("codes"))
+    rows = rows.withColumn("fmt", F.when(F.col("codes") + F.col("nnz") < n_cells, 0).otherwise(1))
     byte = lambda q: F.lpad(F.hex(q.cast("long")), 2, "0")
     sparse = F.concat(F.array_join(F.transform("r", lambda x: varint_hex(x["delta"])), ""), F.array_join(F.transform("r", lambda x: byte(x["q"])), ""))
     zeros = lambda n: F.repeat(F.lit("00"), n.cast("int"))

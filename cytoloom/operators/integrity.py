@@ -76,11 +76,10 @@ def canonical_json(value: Any) -> str:
 def manifest(assets_: DataFrame, record: dict, counts: dict) -> dict:
     """The manifest; families of many files are listed in indexes whose hashes it has.
 
-    An index is one line of text for each file, hashed over a sort in Spark where it is
-    built; the driver gets one hash for each family, and the files of the other families,
-    of which a dataset has a fixed handful.
+    Indexes are files of their own; the driver gets one hash for each family, and the files
+    of the other families: tables, thumbnails, and five for each core.
     """
-    listed = {r["rel"]: {"bytes": r["bytes"], "family": r["family"], "sha256": r["sha256"]} for r in assets_.where(~F.col("family").isin(*INDEXED)).collect()}
+    listed = {r["rel"]: {"bytes": r["bytes"], "family": r["family"], "sha256": r["sha256"]} for r in assets_.where(~F.col("family").isin(*INDEXED, "index")).collect()}
     indexes = {r["family"]: {"bytes": r["bytes"], "files": r["files"], "sha256": r["sha256"]} for r in index_hashes(assets_).collect()}
     sizes = {r["family"]: {"bytes": r["bytes"], "files": r["files"]} for r in family_sizes(assets_).collect()}
     record = {k: v for k, v in record.items() if k != "release"}
@@ -88,14 +87,24 @@ def manifest(assets_: DataFrame, record: dict, counts: dict) -> dict:
     return body | {"release": hashlib.sha256(canonical_json(body).encode()).hexdigest()[:12]}
 
 
-def index_hashes(assets_: DataFrame) -> DataFrame:
-    """(family, files, bytes, sha256) of indexed families: a hash of the hashes of 4,096 groups of files, each over its files in order of path."""
-    group = F.pmod(F.crc32(F.col("rel").cast("binary")), F.lit(4096))
+def index_files(assets_: DataFrame) -> DataFrame:
+    """(rel, family, payload, of, files, bytes): index files of the indexed families, a line "path bytes sha256" for each of their files.
+
+    A family has up to 4,096 index files, by a hash of the path, each in order of path; so an
+    index of any size is written in parallel, and a file is found by its path.
+    """
+    group = F.substring(F.md5(F.col("rel").cast("binary")), 1, 3)
     line = F.concat("rel", F.lit(" "), F.col("bytes").cast("string"), F.lit(" "), "sha256", F.lit("\n"))
-    groups = assets_.where(F.col("family").isin(*INDEXED)).groupBy("family", group.alias("g")).agg(
-        F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rel", line.alias("l")))), lambda x: x["l"]), "").cast("binary"), 256).alias("h"), F.count("*").alias("files"), F.sum("bytes").alias("bytes")
-    )
-    return groups.groupBy("family").agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"), F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("g", "h"))), lambda x: x["h"]), "").cast("binary"), 256).alias("sha256"))
+    rows = assets_.where(F.col("family").isin(*INDEXED)).groupBy(F.col("family").alias("of"), group.alias("g")).agg(F.sort_array(F.collect_list(F.struct("rel", line.alias("l")))).alias("x"), F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+    text = F.array_join(F.transform("x", lambda r: r["l"]), "")
+    return rows.select(F.concat(F.lit("index/"), "of", F.lit("/"), "g", F.lit(".txt")).alias("rel"), F.lit("index").alias("family"), text.cast("binary").alias("payload"), "of", "files", "bytes")
+
+
+def index_hashes(assets_: DataFrame) -> DataFrame:
+    """(family, files, bytes, sha256) of indexed families: the hash of their index files' hashes, in order of path."""
+    each = index_files(assets_).select("rel", "of", "files", "bytes", F.sha2("payload", 256).alias("h"))
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rel", "h"))), lambda x: x["h"]), "")  # 4,096 hashes at most
+    return each.groupBy(F.col("of").alias("family")).agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"), F.sha2(whole.cast("binary"), 256).alias("sha256"))
 
 
 def manifest_ok(text: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of a block: a task holds two blocks and their distances.
@@ -60,8 +60,7 @@ def coherence(neighbours: DataFrame, labels: DataFrame) -> DataFrame:
     return per.agg(F.avg("s").alias("score"), F.count("*").alias("n"))
 
 
-def choose(provided: float | None, recomputed: float | None) -> str:
-    """The embedding with the higher score; the provided one on ties."""
-    if recomputed is not None and (provided is None or recomputed > provided):
-        return "recomputed"
-    return "provided"
+def choice(provided: Column, recomputed: Column) -> Column:
+    """The name of the embedding with the higher score; the provided one on ties, and where the other has none."""
+    better = recomputed.isNotNull() & (provided.isNull() | (recomputed > provided))
+    return F.when(better, "recomputed").otherwise("provided")

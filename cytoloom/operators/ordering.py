@@ -50,12 +50,24 @@ def core_ranges(placed_: DataFrame) -> DataFrame:
     return g.select("core_id", "first", "end", (F.col("end") - F.col("first") == F.col("n")).alias("contiguous"))
 
 
-def embedding_codes(cells: DataFrame) -> DataFrame:
-    """(cell_id, ux, uy): codes 0..65534 fitted to cells with an embedding; 65535 for the others."""
+def _coded_embedding(cells: DataFrame) -> DataFrame:
+    """Cells with the embedding's extent and their codes ux, uy."""
     fit = cells.where("has_umap").agg(*[f(c).cast("double").alias(f"{c}_{n}") for c in ("umap_x", "umap_y") for f, n in ((F.min, "lo"), (F.max, "hi"))])
     both = cells.crossJoin(F.broadcast(fit))  # one row
     code = lambda c: F.when(F.col("has_umap"), quant_encode(F.col(c).cast("double"), F.col(f"{c}_lo"), quant_scale(F.col(f"{c}_lo"), F.col(f"{c}_hi"), U16 - 1))).otherwise(NO_EMBEDDING)
-    return both.select("cell_id", code("umap_x").alias("ux"), code("umap_y").alias("uy"))
+    return both.withColumns({"ux": code("umap_x"), "uy": code("umap_y")})
+
+
+def embedding_codes(cells: DataFrame) -> DataFrame:
+    """(cell_id, ux, uy): codes 0..65534 fitted to cells with an embedding; 65535 for the others."""
+    return _coded_embedding(cells).select("cell_id", "ux", "uy")
+
+
+def embedding_error(cells: DataFrame) -> DataFrame:
+    """(share): the largest error of a decoded embedding coordinate as a share of its axis's range; 0 without embedded cells. One row."""
+    lo, hi = (lambda c: F.col(f"{c}_lo")), (lambda c: F.col(f"{c}_hi"))
+    off = lambda c, q: F.abs(quant_decode(F.col(q), lo(c), quant_scale(lo(c), hi(c), U16 - 1)) - F.col(c).cast("double")) / F.greatest(hi(c) - lo(c), F.lit(1e-9))
+    return _coded_embedding(cells).where("has_umap").agg(F.coalesce(F.max(F.greatest(off("umap_x", "ux"), off("umap_y", "uy"))), F.lit(0.0)).alias("share"))
 
 
 def quantisation_errors(ds: Dataset) -> DataFrame:
@@ -66,10 +78,11 @@ def quantisation_errors(ds: Dataset) -> DataFrame:
 
 
 def typed_columns(ds: Dataset) -> DataFrame:
-    """(idx, qx, qy, ux, uy, cluster, core, ntx) as whole numbers, before they become bytes; more than 255 clusters are an error."""
+    """(idx, qx, qy, ux, uy, cluster, core, ntx) as whole numbers, before they become bytes; more than 255 clusters are an error.
+
+    The embedding's codes are added to the placed cells through its extent, one row, so the
+    cells aren't joined with themselves.
+    """
     clusters = ds.clusters.select("cluster_id", (F.row_number().over(Window.orderBy("order")) - 1).alias("cluster"))
     gate = F.when(F.col("cluster") > 254, F.raise_error(F.lit("more than 255 clusters do not fit a byte")).cast("int")).otherwise(F.col("cluster"))
-    return (
-        placed(ds).join(embedding_codes(ds.cells), "cell_id").join(clusters, "cluster_id")
-        .select("idx", "qx", "qy", "ux", "uy", gate.alias("cluster"), F.col("core_rank").alias("core"), F.least("n_transcripts", F.lit(U16)).alias("ntx"))
-    )
+    return _coded_embedding(placed(ds)).join(clusters, "cluster_id").select("idx", "qx", "qy", "ux", "uy", gate.alias("cluster"), F.col("core_rank").alias("core"), F.least("n_transcripts", F.lit(U16)).alias("ntx"))

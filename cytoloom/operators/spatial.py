@@ -14,18 +14,18 @@ def grid(c: str | Column, width: float) -> Column:
     return F.floor((F.col(c) if isinstance(c, str) else c) / width).cast("long")
 
 
-def within(points: DataFrame, centers: DataFrame, radius: float, px: str = "x_um", py: str = "y_um", cx: str = "cx", cy: str = "cy", strict: bool = False) -> DataFrame:
-    """Pairs of points and centers at most `radius` apart, with their distance d. strict: less than that."""
+def within(points: DataFrame, centers: DataFrame, radius: float, px: str = "x_um", py: str = "y_um", cx: str = "cx", cy: str = "cy", strict: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of points and centers at most `radius` apart, with their distance d. strict: less than that. by: columns that must be equal, as sections."""
     steps = F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))
     spread = centers.withColumn("__i", steps).withColumn("__j", steps).withColumn("__gx", grid(cx, radius) + F.col("__i")).withColumn("__gy", grid(cy, radius) + F.col("__j")).drop("__i", "__j")
-    pairs = points.withColumn("__gx", grid(px, radius)).withColumn("__gy", grid(py, radius)).join(spread, ["__gx", "__gy"])
+    pairs = points.withColumn("__gx", grid(px, radius)).withColumn("__gy", grid(py, radius)).join(spread, [*by, "__gx", "__gy"])
     pairs = pairs.withColumn("d", F.hypot(F.col(px) - F.col(cx), F.col(py) - F.col(cy))).drop("__gx", "__gy")
     return pairs.where(F.col("d") < radius if strict else F.col("d") <= radius)
 
 
-def near_any(points: DataFrame, targets: DataFrame, key: str, radius: float, **cols) -> DataFrame:
+def near_any(points: DataFrame, targets: DataFrame, key: str, radius: float, by: tuple[str, ...] = (), **cols) -> DataFrame:
     """Points with a target strictly nearer than radius."""
-    hit = within(points.select(key, cols.get("px", "x_um"), cols.get("py", "y_um")), targets, radius, strict=True, **cols).select(key).distinct()
+    hit = within(points.select(key, *by, cols.get("px", "x_um"), cols.get("py", "y_um")), targets, radius, strict=True, by=by, **cols).select(key).distinct()
     return points.join(hit, key, "left_semi")
 
 
@@ -53,22 +53,27 @@ def stencil(spark, radius: int) -> DataFrame:
     return r.select(F.col("id").alias("dx")).crossJoin(r.select(F.col("id").alias("dy"))).where(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy") <= radius * radius)
 
 
-def coverage(candidates: DataFrame, occupied: DataFrame, radius_bins: int, key: str = "id") -> DataFrame:
-    """(key, covered, share) of candidates at bins (bx, by): occupied bins of the disk around them over all of its bins."""
+def coverage(candidates: DataFrame, occupied: DataFrame, radius_bins: int, key: str = "id", by: tuple[str, ...] = ()) -> DataFrame:
+    """(key, covered, share) of candidates at bins (bx, by): occupied bins of the disk around them over all of its bins. by: columns that must be equal."""
     disk = stencil(candidates.sparkSession, radius_bins)
     n = sum((2 * int((radius_bins**2 - x * x) ** 0.5) + 1) for x in range(-radius_bins, radius_bins + 1))
-    around = candidates.crossJoin(F.broadcast(disk)).select(key, (F.col("bx") + F.col("dx")).alias("bx"), (F.col("by") + F.col("dy")).alias("by"))  # the disk is a constant
-    hits = around.join(occupied.select("bx", "by"), ["bx", "by"], "left_semi").groupBy(key).agg(F.count("*").alias("covered"))
+    around = candidates.crossJoin(F.broadcast(disk)).select(key, *by, (F.col("bx") + F.col("dx")).alias("bx"), (F.col("by") + F.col("dy")).alias("by"))  # the disk is a constant
+    hits = around.join(occupied.select(*by, "bx", "by"), [*by, "bx", "by"], "left_semi").groupBy(key).agg(F.count("*").alias("covered"))
     return candidates.select(key).join(hits, key, "left").select(key, F.coalesce("covered", F.lit(0)).alias("covered"), (F.coalesce("covered", F.lit(0)) / n).alias("share"))
 
 
-def first_box(points: DataFrame, boxes: DataFrame, key: str, box: str, pad: float = 0.0, px: str = "x_um", py: str = "y_um") -> DataFrame:
-    """(key, box): the first box (x0, y0, x1, y1, by box) that holds the point, widened by pad, or null.
+def first_box(points: DataFrame, boxes: DataFrame, key: str, box: str, pad: float = 0.0, px: str = "x_um", py: str = "y_um", by: tuple[str, ...] = (), width: float = 1000.0) -> DataFrame:
+    """(key, box): the first box (x0, y0, x1, y1, by name) that holds the point, widened by pad, or null.
 
-    Boxes are a small table by nature (cores of a slide); Spark broadcasts it if it is.
+    Boxes are repeated into the grid cells of `width` that they touch, so that the join is on
+    equal cells; a width near that of the boxes gives fewest rows. by: columns that must be equal.
     """
+    span = lambda a, b: F.explode(F.sequence(grid(F.col(a) - pad, width), grid(F.col(b) + pad, width)))
+    spread = boxes.withColumn("__gx", span("x0", "x1")).withColumn("__gy", span("y0", "y1"))
+    own = points.select(key, *by, px, py).withColumn("__gx", grid(px, width)).withColumn("__gy", grid(py, width))
     inside = F.col(px).between(F.col("x0") - pad, F.col("x1") + pad) & F.col(py).between(F.col("y0") - pad, F.col("y1") + pad)
-    return points.join(boxes, inside, "left").groupBy(key).agg(F.min(box).alias(box))
+    hits = own.join(spread, [*by, "__gx", "__gy"]).where(inside).groupBy(key).agg(F.min(box).alias(box))
+    return points.select(key).join(hits, key, "left")
 
 
 def in_polygon(x: Column, y: Column, vertices: list[tuple[float, float]]) -> Column:
@@ -84,10 +89,18 @@ def in_polygon(x: Column, y: Column, vertices: list[tuple[float, float]]) -> Col
 
 
 def overlapping(cores: DataFrame) -> DataFrame:
-    """(a, b) of round cores of one section whose disks overlap."""
-    a = cores.where("kind = 'core'").select("section_id", F.col("core_id").alias("a"), F.col("center_x_um").alias("ax"), F.col("center_y_um").alias("ay"), F.col("radius_um").alias("ar"))
-    b = a.select("section_id", F.col("a").alias("b"), F.col("ax").alias("bx"), F.col("ay").alias("by"), F.col("ar").alias("br"))
-    return a.join(b, "section_id").where("a < b").where(F.hypot(F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")) < F.col("ar") + F.col("br")).select("a", "b")
+    """(a, b) of round cores of one section whose disks overlap.
+
+    The grid is as wide as the largest core, so two that overlap are in neighbouring cells.
+    """
+    round_ = cores.where("kind = 'core'").select("section_id", "core_id", "center_x_um", "center_y_um", "radius_um")
+    width = round_.agg((2 * F.max("radius_um") + 1e-9).alias("__w"))
+    placed = round_.crossJoin(F.broadcast(width)).withColumn("__gx", F.floor(F.col("center_x_um") / F.col("__w"))).withColumn("__gy", F.floor(F.col("center_y_um") / F.col("__w")))  # one row
+    side = lambda n: placed.select("section_id", "__gx", "__gy", F.col("core_id").alias(n), *[F.col(c).alias(n + i) for c, i in (("center_x_um", "x"), ("center_y_um", "y"), ("radius_um", "r"))])
+    steps = F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))
+    around = side("b").withColumn("__i", steps).withColumn("__j", steps).withColumn("__gx", F.col("__gx") + F.col("__i")).withColumn("__gy", F.col("__gy") + F.col("__j"))
+    apart = F.hypot(F.col("ax") - F.col("bx"), F.col("ay") - F.col("by"))
+    return side("a").join(around, ["section_id", "__gx", "__gy"]).where("a < b").where(apart < F.col("ar") + F.col("br")).select("a", "b")
 
 
 def bounding(points: DataFrame, key: str, px: str = "x_um", py: str = "y_um") -> DataFrame:

@@ -1,7 +1,8 @@
 """The validation engine: schema and cross-table rules as one report.
 
-Every table is read once: its rules are sums of one aggregation over the table joined with
-the small tables it refers to. A rule's row says how many rows break it.
+Rules are sums of aggregations over a table joined with the small tables it refers to: the
+row rules of a table are one aggregation, keys and references some more. A rule's row says
+how many rows break it.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import SCHEMAS, Dataset
+from . import spatial
 
 RADIUS_SLACK_UM = 50.0
 COUNTS_MAY_DIFFER = 0.001
@@ -63,10 +65,7 @@ def _not_null(df: DataFrame, *but: str) -> Column:
 
 def no_overlap(cores: DataFrame) -> DataFrame:
     """Pairs of round cores of a section whose disks overlap; touching is allowed. One row: n."""
-    a = cores.where("kind = 'core'").select("section_id", "core_id", "center_x_um", "center_y_um", "radius_um")
-    b = a.select("section_id", *[F.col(c).alias(f"b_{c}") for c in a.columns[1:]])
-    apart = F.hypot(F.col("center_x_um") - F.col("b_center_x_um"), F.col("center_y_um") - F.col("b_center_y_um"))
-    return a.join(b, "section_id").where(F.col("core_id") < F.col("b_core_id")).where(apart < F.col("radius_um") + F.col("b_radius_um")).agg(F.count("*").alias("n"))
+    return spatial.overlapping(cores).agg(F.count("*").alias("n"))
 
 
 def affine_ok(he: str = "he_image") -> Column:
@@ -137,6 +136,7 @@ def report(ds: Dataset, expected: Expected = Expected(), name: str | None = None
 
     shape = {t: F.lit(_shape(getattr(ds, t), t)) for t in SCHEMAS}
     col = F.col
+    # fixed values: the names of the rules
     rules: list[tuple[str, Column]] = [
         ("schema cells", shape["cells"] + col("cell_rows") + col("cells_repeats")),
         ("schema genes", shape["genes"] + col("gene_rows") + col("genes_repeats")),

@@ -48,7 +48,9 @@ def k7g(spark, d):
     return ds.genes.join(q, "gene_id", "left").select(F.col("gene_id").alias("id"), "symbol", "panel", F.round(F.coalesce("m", F.lit(0.0)), 6).alias("max_v"), F.coalesce("nnz", F.lit(0)).alias("nnz"), F.concat(F.lit("expr/"), "gene_id", F.lit(".bin")).alias("file"))
 
 
-@query("v40_index_hashes")
+@query("v40_index_hashes", _A + """, f as (select case family when 'en' then 'expression' else 'he' end as family, rel, bytes, rel || ' ' || bytes || ' ' || sha256 || chr(10) as l from a where family in ('en', 'de')),
+ g as (select family, substr(md5(rel),1,3) as g, sha256(string_agg(l, '' order by rel)) as h, count(*) as files, sum(bytes) as bytes from f group by 1, 2)
+select family, sum(files)::bigint as files, sum(bytes)::bigint as bytes, sha256(string_agg(h, '' order by g)) as sha256 from g group by 1""")
 def v40(spark, d):
     a = _assets(spark, d).withColumn("family", F.when(F.col("family") == "en", "expression").when(F.col("family") == "de", "he").otherwise("tables"))
     return integrity.index_hashes(a)
@@ -91,7 +93,28 @@ def v43u(spark, d):
     return integrity.untraced(v43(spark, d), tests)
 
 
-@query("v41_reproducible", "select 0::bigint as n_differing, count(*)::bigint as n_files from documents")
+@query("v41_reproducible", "select 0::bigint as n_differing, count(distinct l_partkey)::bigint as n_files from lineitem")
 def v41(spark, d):
-    one, two = _assets(spark, d), _assets(spark, d).repartition(7)
-    return integrity.differing(one, two).agg(F.count("*").alias("n_differing")).crossJoin(one.agg(F.count("*").alias("n_files")))
+    """Gene blobs made twice, the second time from rows in another order and number of partitions, agree in every file."""
+    from ..operators import expression
+
+    ds = warehouse.load(spark, d)
+
+    def made(counts, cells):
+        q = expression.quantised(expression.display_values(counts))
+        blobs = expression.blobs(expression.deltas(q, ordering.placed(ds.having(cells=cells))), cells.count())
+        return integrity.assets(blobs.select(F.col("gene_id").alias("rel"), F.lit("expression").alias("family"), "payload"))
+
+    one, two = made(ds.expression, ds.cells), made(ds.expression.repartition(7, F.rand(3)), ds.cells.repartition(5, F.rand(4)))
+    return integrity.differing(one, two).agg(F.count("*").alias("n_differing")).crossJoin(one.agg(F.count("*").alias("n_files")))  # one row each
+
+
+@query("k7_cluster_table", canon("cells", "clusters") + 'select cluster_id as id, label, color, "order"::int as "order", n_cells from clusters')
+def k7c(spark, d):
+    return warehouse.clusters(spark, d).select(F.col("cluster_id").alias("id"), "label", "color", F.col("order").cast("int").alias("order"), "n_cells")
+
+
+@query("k7_section_table", canon("quant", "sections") + "select section_id as id, pixel_size as pixel_size_um, [bounds_x0, bounds_y0, bounds_x1, bounds_y1] as bounds_um, q_offset as xy_offset, round(q_scale, 12) as xy_scale from sections join quant using (section_id)")
+def k7s(spark, d):
+    s = warehouse.sections(spark, d)
+    return s.join(ordering.section_quantisers(s), "section_id").select(F.col("section_id").alias("id"), F.col("pixel_size").alias("pixel_size_um"), F.array(*[f"bounds_{c}" for c in ("x0", "y0", "x1", "y1")]).alias("bounds_um"), F.col("q_offset").alias("xy_offset"), F.round("q_scale", 12).alias("xy_scale"))

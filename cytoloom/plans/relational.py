@@ -89,18 +89,19 @@ def j9(spark, d):
     return warehouse.genes(spark, d).select("gene_id").join(base, "gene_id", "left").withColumn("category", F.coalesce("category", F.lit("custom")))
 
 
-@query("j11_radius", canon("cells", "cores") + "select k.core_id as base, c.cell_id from cores k join cells c on sqrt((x_um-center_x_um)*(x_um-center_x_um)+(y_um-center_y_um)*(y_um-center_y_um)) <= 250 where k.section_id = 'S1' and c.section_id = 'S1'")
+@query("j11_radius", canon("cells", "cores") + "select k.core_id as base, c.cell_id from cores k join cells c on k.section_id = c.section_id and sqrt((x_um-center_x_um)*(x_um-center_x_um)+(y_um-center_y_um)*(y_um-center_y_um)) <= 250")
 def j11(spark, d):
-    centers = warehouse.cores(spark, d).where("section_id = 'S1'").select(F.col("core_id").alias("base"), F.col("center_x_um").alias("cx"), F.col("center_y_um").alias("cy"))
-    return spatial.within(_cells(spark, d).where("section_id = 'S1'"), centers, 250.0).select("base", "cell_id")
+    centers = warehouse.cores(spark, d).select("section_id", F.col("core_id").alias("base"), F.col("center_x_um").alias("cx"), F.col("center_y_um").alias("cy"))
+    return spatial.within(_cells(spark, d), centers, 250.0, by=("section_id",)).select("base", "cell_id")
 
 
-@query("j12_near_cells", canon("cells") + """, t as (select x_um as cx, y_um as cy from cells where section_id='S3' and cell_id::bigint % 7 = 0)
-select c.cell_id from cells c where section_id = 'S3' and exists (select 1 from t where sqrt((x_um-cx)*(x_um-cx)+(y_um-cy)*(y_um-cy)) < 20)""")
+@query("j12_near_cells", canon("cells") + """, p as (select c_custkey as id, 'S' || (c_nationkey%5+1) as section_id, 1000.0e0 + (c_custkey*37)%4500 as x, 1000.0e0 + (c_custkey*91)%3000 as y from customer)
+select id from p where exists (select 1 from cells c where c.section_id = p.section_id and sqrt((x_um-x)*(x_um-x)+(y_um-y)*(y_um-y)) < 20)""")
 def j12(spark, d):
-    c = _cells(spark, d).where("section_id = 'S3'")
-    t = c.where("cast(cell_id as bigint) % 7 = 0").select(F.col("x_um").alias("cx"), F.col("y_um").alias("cy"))
-    return spatial.near_any(c, t, "cell_id", 20.0).select("cell_id")
+    """Places that a cell is near, among all cells of their section."""
+    p = warehouse.read(spark, d, "customer", "c_custkey", "c_nationkey").selectExpr("c_custkey as id", "concat('S', c_nationkey % 5 + 1) as section_id", "1000.0D + (c_custkey*37) % 4500 as x_um", "1000.0D + (c_custkey*91) % 3000 as y_um")
+    t = _cells(spark, d).select("section_id", F.col("x_um").alias("cx"), F.col("y_um").alias("cy"))
+    return spatial.near_any(p, t, "id", 20.0, by=("section_id",)).select("id")
 
 
 @query("j14_overlaps", """with c as (select c_custkey as id, c_nationkey as s, (c_custkey*37)%1000 as x, (c_custkey*91)%1000 as y, 3 + c_custkey%5 as r from customer)
@@ -111,20 +112,20 @@ def j14(spark, d):
     return o.join(c.select(F.col("core_id").alias("a"), F.col("section_id").alias("s")), "a").select("s", "a", "b")
 
 
-@query("j15_occupied_stencil", canon("cells") + """, b as (select distinct floor(x_um/50)::bigint as bx, floor(y_um/50)::bigint as by from cells where section_id='S1'),
- k as (select s_suppkey as id, (s_suppkey*13)%120 as bx, (s_suppkey*7)%90 as by from supplier),
+@query("j15_occupied_stencil", canon("cells") + """, b as (select distinct section_id, floor(x_um/50)::bigint as bx, floor(y_um/50)::bigint as by from cells),
+ k as (select c_custkey as id, 'S' || (c_nationkey%5+1) as section_id, (c_custkey*13)%120 as bx, (c_custkey*7)%90 as by from customer),
  s as (select dx, dy from range(-4,5) a(dx), range(-4,5) b(dy) where dx*dx+dy*dy <= 16)
-select k.id, count(b.bx) as covered, round(count(b.bx)/49.0e0,9) as share from k cross join s left join b on b.bx = k.bx+dx and b.by = k.by+dy group by k.id""")
+select k.id, count(b.bx) as covered, round(count(b.bx)/49.0e0,9) as share from k cross join s left join b on b.section_id = k.section_id and b.bx = k.bx+dx and b.by = k.by+dy group by k.id""")
 def j15(spark, d):
-    b = _cells(spark, d).where("section_id = 'S1'").select(spatial.grid("x_um", 50).alias("bx"), spatial.grid("y_um", 50).alias("by")).distinct()
-    k = warehouse.read(spark, d, "supplier", "s_suppkey").selectExpr("s_suppkey as id", "(s_suppkey*13)%120 as bx", "(s_suppkey*7)%90 as by")
-    return spatial.coverage(k, b, 4).withColumn("share", F.round("share", 9))
+    b = _cells(spark, d).select("section_id", spatial.grid("x_um", 50).alias("bx"), spatial.grid("y_um", 50).alias("by")).distinct()
+    k = warehouse.read(spark, d, "customer", "c_custkey", "c_nationkey").selectExpr("c_custkey as id", "concat('S', c_nationkey % 5 + 1) as section_id", "(c_custkey*13)%120 as bx", "(c_custkey*7)%90 as by")
+    return spatial.coverage(k, b, 4, by=("section_id",)).withColumn("share", F.round("share", 9))
 
 
-@query("j16_first_box", canon("cells", "cores") + "select cell_id, (select min(k.core_id) from cores k where x_um between bbox_x0-50 and bbox_x1+50 and y_um between bbox_y0-50 and bbox_y1+50 and k.section_id='S2') as box from cells where section_id='S2'")
+@query("j16_first_box", canon("cells", "cores") + "select cell_id, (select min(k.core_id) from cores k where x_um between bbox_x0-50 and bbox_x1+50 and y_um between bbox_y0-50 and bbox_y1+50 and k.section_id = c.section_id) as box from cells c")
 def j16(spark, d):
-    boxes = warehouse.cores(spark, d).where("section_id = 'S2'").select(F.col("core_id").alias("box"), F.col("bbox_x0").alias("x0"), F.col("bbox_y0").alias("y0"), F.col("bbox_x1").alias("x1"), F.col("bbox_y1").alias("y1"))
-    return spatial.first_box(_cells(spark, d).where("section_id = 'S2'"), boxes, "cell_id", "box", 50.0)
+    boxes = warehouse.cores(spark, d).select("section_id", F.col("core_id").alias("box"), F.col("bbox_x0").alias("x0"), F.col("bbox_y0").alias("y0"), F.col("bbox_x1").alias("x1"), F.col("bbox_y1").alias("y1"))
+    return spatial.first_box(_cells(spark, d), boxes, "cell_id", "box", 50.0, by=("section_id",))
 
 
 @query("j19_run_difference", """with a as (select doc_id as rel, md5(coalesce(text,'')) as h from documents where doc_id % 9 <> 0), b as (select doc_id as rel, md5(case when doc_id % 10 = 3 then 'x' else coalesce(text,'') end) as h from documents where doc_id % 11 <> 0)
@@ -150,10 +151,11 @@ def a2(spark, d):
     return _cells(spark, d, "cluster_id").groupBy("cluster_id").agg(F.count("*").alias("n"))
 
 
-@query("a3_zero_filled", canon("cells", "cores") + "select core_id, (select count(*) from cells c where c.core_id = cores.core_id and n_transcripts > 230) as n from cores")
+@query("a3_zero_filled", "select c_custkey as id, count(o_orderkey) as n from customer left join orders on c_custkey = o_custkey group by 1")
 def a3(spark, d):
-    n = _cells(spark, d).where("n_transcripts > 230").groupBy("core_id").agg(F.count("*").alias("n"))
-    return warehouse.cores(spark, d).select("core_id").join(n, "core_id", "left").na.fill(0, ["n"])
+    """Counts of every customer, those without orders too."""
+    n = warehouse.read(spark, d, "orders", "o_custkey").groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("n"))
+    return warehouse.read(spark, d, "customer", "c_custkey").withColumnRenamed("c_custkey", "id").join(n, "id", "left").na.fill(0, ["n"])
 
 
 @query("a4_distinct", canon("cells") + "select section_id, count(distinct patient_id) as patients, count(distinct core_id) as cores from cells group by 1")
@@ -257,10 +259,10 @@ def u1(spark, d):
     return part("section_id = 'S1'", "-a").unionByName(part("section_id <> 'S1'", "-b"))
 
 
-@query("u4_difference", "select distinct p_brand from part except select distinct p_brand from part where p_size > 25")
+@query("u4_difference", "select distinct p_brand, p_size from part except select distinct p_brand, p_size from part where p_partkey % 3 = 0")
 def u4(spark, d):
-    p = warehouse.read(spark, d, "part", "p_brand", "p_size")
-    return p.select("p_brand").subtract(p.where("p_size > 25").select("p_brand"))
+    p = warehouse.read(spark, d, "part", "p_partkey", "p_brand", "p_size")
+    return p.select("p_brand", "p_size").subtract(p.where("p_partkey % 3 = 0").select("p_brand", "p_size"))
 
 
 @query("u5_insert_if_absent", "select event_type, min(event_id) as first_seen from events group by 1")

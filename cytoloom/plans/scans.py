@@ -32,18 +32,13 @@ for _name, _cols in {
 
 
 @query("s5_compressed_to_long", """
-with r as (select l_orderkey % 64 as major, l_partkey % 50 as minor, sum(l_quantity)::bigint as v from lineitem where l_orderkey <= 4000 group by 1, 2)
+with r as (select l_orderkey % 64 as major, l_partkey % 50 as minor, sum(l_quantity)::bigint as v from lineitem group by 1, 2)
 select major::int as major, minor, v as value from r""")
 def s5(spark, d):
-    """A compressed matrix is made, one row of three arrays, and taken apart again."""
-    li = warehouse.read(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity").where("l_orderkey <= 4000")
+    """A compressed matrix is made, in slices of eight majors, and taken apart again."""
+    li = warehouse.read(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
     coo = li.groupBy((F.col("l_orderkey") % 64).alias("major"), (F.col("l_partkey") % 50).alias("minor")).agg(F.sum("l_quantity").cast("long").alias("v"))
-    rows = coo.groupBy("major").agg(F.sort_array(F.collect_list(F.struct("minor", "v"))).alias("r"))
-    one = spark.range(64).join(rows, F.col("id") == F.col("major"), "left").groupBy().agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("r", F.expr("cast(array() as array<struct<minor:bigint,v:bigint>>)")).alias("r")))).alias("a"))
-    sizes = F.aggregate(F.transform("a", lambda x: F.size(x["r"]).cast("long")), F.array(F.lit(0).cast("long")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
-    flat = F.flatten(F.transform("a", lambda x: x["r"]))
-    arrays = one.select(sizes.alias("indptr"), F.transform(flat, lambda x: x["minor"]).alias("indices"), F.transform(flat, lambda x: x["v"]).alias("data"))
-    return files.coo_from_compressed(arrays)
+    return files.coo_from_compressed(files.compressed_slices(coo, spark.range(64).withColumnRenamed("id", "major"), 8))
 
 
 @query("s7_json_paths", "select event_id, (props->>'$.k')::bigint as k from events")
@@ -80,14 +75,15 @@ def s18c(spark, d):
     return files.settings(n.select(line.alias("value")))
 
 
-@query("s20_transpose", canon("expression") + "select gene_id as row_id, cell_id as col_id, count from expression where count > 40")
+@query("s20_transpose", canon("expression") + "select gene_id as row_id, cell_id as col_id, count from expression")
 def s20(spark, d):
-    return warehouse.expression(spark, d).where("count > 40").select(F.col("gene_id").alias("row_id"), F.col("cell_id").alias("col_id"), "count")
+    return warehouse.expression(spark, d).select(F.col("gene_id").alias("row_id"), F.col("cell_id").alias("col_id"), "count")
 
 
-@query("k2_records", canon("cells") + """select '{"cell_id":"' || cell_id || '","umap_y":' || case when has_umap then 'true' else 'null' end || '}' as json from cells""")
+@query("k2_records", canon("cells") + """select '{"cell_id":"' || cell_id || '","n_transcripts":' || n_transcripts || ',"umap_y":' || case when has_umap then (floor(umap_y::double*10)/10)::varchar else 'null' end || '}' as json from cells""")
 def k2(spark, d):
-    return files.records(warehouse.cells(spark, d).select("cell_id", "umap_y")).select(F.regexp_replace("json", r'"umap_y":[0-9.E-]+\}', '"umap_y":true}').alias("json"))
+    c = warehouse.cells(spark, d).select("cell_id", "n_transcripts", (F.floor(F.col("umap_y").cast("double") * 10) / 10).alias("umap_y"), "has_umap")
+    return files.records(c.select("cell_id", "n_transcripts", F.when(F.col("has_umap"), F.col("umap_y")).otherwise(float("nan")).alias("umap_y")))
 
 
 @query("p1_filter_counted", "select count(*) filter (where event_type = 'click') as kept, count(*) filter (where event_type is distinct from 'click') as dropped from events")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import align, derive, raster, spatial
+from ..operators import align, derive, raster, slides, spatial
 from ..sources import warehouse
 from .registry import canon, query
 
@@ -28,10 +28,9 @@ def g7(spark, d):
 
 @query("g10_core_boxes", canon("cells", "cores") + "select core_id, round(least(min(x_um), min(center_x_um)-radius_um),6) as x0, round(least(min(y_um), min(center_y_um)-radius_um),6) as y0, round(greatest(max(x_um), max(center_x_um)+radius_um),6) as x1, round(greatest(max(y_um), max(center_y_um)+radius_um),6) as y1 from cells join cores using (core_id) group by core_id, radius_um")
 def g10(spark, d):
-    e = warehouse.cells(spark, d).groupBy("core_id").agg(F.min("x_um").alias("a"), F.min("y_um").alias("b"), F.max("x_um").alias("c"), F.max("y_um").alias("e"))
-    j = warehouse.cores(spark, d).join(e, "core_id")
-    r, x, y = F.col("radius_um"), F.col("center_x_um"), F.col("center_y_um")
-    return j.select("core_id", F.round(F.least("a", x - r), 6).alias("x0"), F.round(F.least("b", y - r), 6).alias("y0"), F.round(F.greatest("c", x + r), 6).alias("x1"), F.round(F.greatest("e", y + r), 6).alias("y1"))
+    cores = warehouse.cores(spark, d).select("core_id", F.col("center_x_um").alias("nx"), F.col("center_y_um").alias("ny"), F.col("radius_um").alias("r"))
+    boxes = derive.core_boxes(cores, warehouse.cells(spark, d), F.col("r"))
+    return boxes.select("core_id", *[F.round(f"bbox_{c}", 6).alias(c) for c in ("x0", "y0", "x1", "y1")])
 
 
 @query("g14_fixture_window", canon("cells", "expression") + """, w as (select floor(x_um/600)*600 as wx, floor(y_um/600)*600 as wy, count(*) as n from cells group by 1,2 order by n desc, 1, 2 limit 1),
@@ -84,9 +83,7 @@ def q10(spark, d):
 def i4(spark, d):
     """One lookup for each wanted pixel size."""
     want = warehouse.read(spark, d, "supplier", "s_suppkey").selectExpr("s_suppkey as id", "0.1D + (s_suppkey % 40) * 0.2D as px")
-    levels = spark.range(6).selectExpr("cast(id as int) as k", "pow(2.0D, id) as factor")
-    j = want.join(F.broadcast(levels), (F.col("factor") * 0.27 <= F.col("px") * 1.05) | (F.col("k") == 0))  # six rows
-    return j.groupBy("id").agg(F.max("k").alias("k"))
+    return raster.source_level(want, spark.range(6).selectExpr("cast(id as int) as k", "pow(2.0D, id) as factor"), 0.27)
 
 
 _PIX = "with px as (select i%160 as x, i//160 as y, (i*7)%256 as r, (i*13+i//160)%256 as g, (i*i)%251 as b from range(19200) t(i)) "
@@ -122,25 +119,67 @@ def i14(spark, d):
     return m.withColumn("mean", F.round("mean", 6))
 
 
-@query("i9_tiles")
-def i9(spark, d):
-    """Tiles of a procedural image, rendered in blocks."""
-    import numpy as np
+def _slide(spark):
+    """A tile table of two levels of a procedural image of 3,000 x 2,400 pixels."""
+    at = spark.range(2).selectExpr("cast(id as int) as level").selectExpr("level", "explode(sequence(0, (2999 >> level) div 512)) as tx").selectExpr("*", "explode(sequence(0, (2399 >> level) div 512)) as ty")
+
+    def draw(frames):
+        import zlib
 
-    def reader():
         import numpy as np
+        import pandas as pd
+
+        for f in frames:
+            out = []
+            for level, tx, ty in zip(f["level"], f["tx"], f["ty"]):
+                cell, w, h = 1 << level, min(512, (3000 >> level) - 512 * tx), min(512, (2400 >> level) - 512 * ty)
+                y, x = np.mgrid[512 * ty * cell : (512 * ty + h) * cell, 512 * tx * cell : (512 * tx + w) * cell]
+                part = slides.averaged(np.stack([x * 3 % 256, y * 5 % 256, (x + y) % 256], axis=-1).astype(np.uint8), cell)
+                out.append(("slide", level, tx, ty, w, h, zlib.compress(np.ascontiguousarray(part).tobytes(), 1)))
+            yield pd.DataFrame(out, columns=["image", "level", "tx", "ty", "w", "h", "payload"])
+
+    return at.repartition(8).mapInPandas(draw, "image string, level int, tx int, ty int, w int, h int, payload binary")
+
+
+def _slide_cores(spark, d):
+    affine_ = F.array(*[F.lit(float(v)) for v in (1, 0, -750, 0, 1, -750, 0, 0, 1)])
+    sections = warehouse.sections(spark, d).select("section_id", F.lit("slide").alias("he_image"), affine_.alias("affine"), F.lit(1.0).alias("he_pixel_size_um"))
+    return warehouse.cores(spark, d), sections
+
+
+@query("s12_image_levels", "select 'slide' as image, l as level, 3000 // f as w, 2400 // f as h, f::double as fx, f::double as fy from (values (0, 1), (1, 2)) t(l, f)")
+def s12(spark, d):
+    """Sizes and factors of the levels of an image, read from its tiles."""
+    return slides.levels_of(_slide(spark))
+
+
+@query("i9_tiles", canon("cores") + """, p as (select core_id, bbox_x1-bbox_x0+100 as w, bbox_y1-bbox_y0+100 as h from cores), l as (select core_id, w, h, greatest(1, ceil(log2(greatest(ceil(w/1.0e0), ceil(h/1.0e0))/512))::int+1) as levels from p),
+ z as (select core_id, z::int as z, ceil(w/(1.0e0*2**(levels-1-z)))::bigint as w, ceil(h/(1.0e0*2**(levels-1-z)))::bigint as h from l, range(0, 12) t(z) where z < levels union all select core_id, -1, greatest(1, round_even(w/(greatest(w,h)/256), 0))::bigint, greatest(1, round_even(h/(greatest(w,h)/256), 0))::bigint from l)
+select core_id, z, tx::int as tx, ty::int as ty, least(512, w-512*tx)::int as w, least(512, h-512*ty)::int as h, (least(512, w-512*tx)*least(512, h-512*ty)*3)::bigint as bytes from z, range(0, 20) a(tx), range(0, 20) b(ty) where 512*tx < w and 512*ty < h""")
+def i9(spark, d):
+    """Tiles of all cores and levels, and thumbnails, from a procedural image: their shapes, and bytes when unpacked."""
+    import zlib
+
+    def unpacked(frames):
+        for f in frames:
+            yield f.assign(bytes=[len(zlib.decompress(p)) for p in f["payload"]]).drop(columns="payload")
+
+    cores, sections = _slide_cores(spark, d)
+    return slides.build(cores, sections, _slide(spark)).mapInPandas(unpacked, "core_id string, z int, tx int, ty int, w int, h int, bytes long")
+
 
-        def read(k, x0, y0, x1, y1):
-            ys, xs = np.mgrid[y0:y1, x0:x1]
-            img = np.stack([(xs * 3) % 256, (ys * 5) % 256, (xs + ys) % 256], axis=-1).astype(np.uint8)
-            img[(xs < 0) | (ys < 0) | (xs >= 3000) | (ys >= 2400)] = 255
-            return img
+@query("j18_tile_pixels", "select s_suppkey as id, case when x < 3000 and y < 2400 then (x*3)%256 else 255 end::int as r, case when x < 3000 and y < 2400 then (y*5)%256 else 255 end::int as g, case when x < 3000 and y < 2400 then (x+y)%256 else 255 end::int as b from (select s_suppkey, (s_suppkey*977)%3200 as x, (s_suppkey*613)%2500 as y from supplier)")
+def j18(spark, d):
+    """Pixels of an image at given places, by an equi join with its tiles."""
+    p = warehouse.read(spark, d, "supplier", "s_suppkey").selectExpr("s_suppkey as id", "(s_suppkey*977)%3200 as x", "(s_suppkey*613)%2500 as y")
+    return slides.pixel_at(_slide(spark).where("level = 0"), p)
 
-        return read, [1.0]
 
-    p = raster.Pyramid.fit((100.0, 100.0, 500.0, 400.0), 0.5)
-    t = raster.build_tiles(spark, p, "he/C001", reader, np.array([[2.0, 0, 0], [0, 2.0, 0], [0, 0, 1]]), 0.5)
-    return t.select("rel", "z", "tx", "ty", "w", "h", F.sha2("payload", 256).alias("sha256"))
+@query("i14_tile_disks", _PIX + f", p as (select s_suppkey as id, (s_suppkey*17)%190 - 15 as u, (s_suppkey*5)%150 - 15 as v from supplier) select id, round(sum(case when px.x is null then 0 else {_H} end)/29.0e0,6) as v from p cross join range(-3,4) a(dx) cross join range(-3,4) b(dy) left join px on px.x = u+dx and px.y = v+dy where dx*dx+dy*dy <= 9 group by 1")
+def i14t(spark, d):
+    """Mean stain in disks, read from tiles; white outside."""
+    p = warehouse.read(spark, d, "supplier", "s_suppkey").selectExpr("s_suppkey as id", "(s_suppkey*17)%190 - 15 as u", "(s_suppkey*5)%150 - 15 as w")
+    return slides.disk_stain(p, slides.cut_tiles(_pixels(spark), "small"), 3).withColumn("v", F.round("v", 6))
 
 
 _U = "(('0x' || substr(md5('{s}:' || {k}),1,13))::bigint / 4503599627370496.0e0)"

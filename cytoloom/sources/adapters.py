@@ -68,26 +68,28 @@ def choose_embedding(cells: DataFrame, provided: DataFrame | None, recompute=Non
         if e is not None:
             p = e.join(cells, "cell_id").select(F.xxhash64("cell_id").alias("id"), F.array(F.col("umap_x").cast("double"), F.col("umap_y").cast("double")).alias("vec"), F.col("cluster_id").alias("label"))
             scores[name] = knn.coherence(knn.knn(p), p.select("id", "label")).first()["score"]
-    best = knn.choose(scores.get("provided"), scores.get("recomputed"))
+    score = lambda name: F.lit(scores.get(name)).cast("double")
+    best = cells.sparkSession.range(1).select(knn.choice(score("provided"), score("recomputed"))).first()[0]
     return made[best], {"embedding": best, **{f"coherence_{k}": round(v, 6) for k, v in scores.items() if v is not None}}
 
 
-def sensor(spark: SparkSession, cfg, raw: files.RawLog | None = None) -> Dataset:
+def sensor(spark: SparkSession, cfg, raw: files.Ledger | None = None) -> Dataset:
     """One section of an imaging run: cells, counts, panel, groups, projection and image alignment below cfg.path.
 
-    The count matrix is a Parquet row of arrays (barcodes, feature_type, id, name, indptr,
-    indices, data), compressed by cell, as no HDF5 reader is at hand.
+    The count matrix is a Parquet table of slices (first, barcodes, indptr, indices, data),
+    compressed by cell, some thousands of cells each, as no HDF5 reader is at hand. The slice
+    of the first cell has the features (feature_type, id, name) as well.
     """
-    raw = raw or files.RawLog()
-    at = lambda kind, rel: raw.read(kind, f"{cfg.path}/{rel}")
+    raw = raw or files.Ledger()
+    at = lambda kind, rel: raw.admit(kind, f"{cfg.path}/{rel}")
     experiment = json.loads("\n".join(r["value"] for r in spark.read.text(at("experiment", "outs/experiment.xenium")).collect()))
     version = check_version(experiment["analysis_sw_version"])
     cells = files.parquet_columns(spark, at("cells", "outs/cells.parquet"), "cell_id", "x_centroid", "y_centroid", "transcript_counts")
     m = spark.read.parquet(at("matrix", "outs/cell_feature_matrix.parquet"))
-    barcodes = m.select(F.posexplode("barcodes").alias("c", "cell_id"))
-    features = m.select(F.posexplode(F.arrays_zip("feature_type", "id", "name")).alias("i", "f")).select("i", "f.feature_type", "f.id", "f.name")
+    barcodes = m.select("first", F.posexplode("barcodes").alias("p", "cell_id")).select((F.col("first") + F.col("p")).alias("c"), "cell_id")
+    features = m.where("first = 0").select(F.posexplode(F.arrays_zip("feature_type", "id", "name")).alias("i", "f")).select("i", "f.feature_type", "f.id", "f.name")
     genes = genes_of(features, files.gene_categories(spark, at("panel", "outs/gene_panel.json")))
-    coo = files.coo_from_compressed(m.select("indptr", "indices", "data"), "c", "i")
+    coo = files.coo_from_compressed(m.select("first", "indptr", "indices", "data"), "c", "i")
     expression = coo.join(barcodes, "c").join(features.where(F.col("feature_type") == "Gene Expression").select("i", F.col("id").alias("gene_id")), "i").where("value <> 0")
     if lost := cells.join(barcodes, "cell_id", "left_anti").count():
         raise ValueError(f"{lost} cells are not in the matrix")
@@ -113,8 +115,9 @@ def sensor(spark: SparkSession, cfg, raw: files.RawLog | None = None) -> Dataset
         box.select(F.lit(SECTION).alias("section_id"), F.lit("he_image.ome.tif").alias("he_image"), affine.um_to_pixel(source, px).alias("affine"), source.alias("affine_source"), px.alias("pixel_size"), affine.pixel_um(source, px).alias("he_pixel_size_um"), F.col("x0").alias("bounds_x0"), F.col("y0").alias("bounds_y0"), F.col("x1").alias("bounds_x1"), F.col("y1").alias("bounds_y1")),
         SECTIONS,
     )
+    raw.check()
     log.info("%s: version %s", cfg.name, version)
-    return Dataset(sections, cores, clusters, genes, out, conform(expression, EXPRESSION), record_of(cfg, {"version": version, **found, "raw": [p for _, p in raw.seen]}))
+    return Dataset(sections, cores, clusters, genes, out, conform(expression, EXPRESSION), record_of(cfg, {"version": version, **found, "raw": list(raw.used)}))
 
 
 def saved(spark: SparkSession, cfg) -> Dataset:

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import fnmatch
-import io
+import re
 import tomllib
-import zipfile
-from collections.abc import Callable
+from collections.abc import Iterable
 from pathlib import Path
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,10 +33,27 @@ def matrix_csv(spark: SparkSession, path: str) -> list[float]:
 
 
 def coo_from_compressed(df: DataFrame, major: str = "major", minor: str = "minor") -> DataFrame:
-    """(major, minor, value) of rows (indptr, indices, data), a compressed sparse matrix; indptr has one number more than majors."""
-    bounds = df.select("indices", "data", F.posexplode(F.expr("transform(sequence(0, size(indptr) - 2), i -> named_struct('a', indptr[i], 'b', indptr[i + 1]))")).alias(major, "s"))
+    """(major, minor, value) of a compressed sparse matrix in slices (first, indptr, indices, data).
+
+    A slice holds the majors from `first` on; its indptr begins at 0 and has one number more
+    than it has majors. A matrix of any size is as many rows as its slices.
+    """
+    runs = "transform(sequence(1, size(indptr) - 1), i -> named_struct('m', first + i - 1, 'a', indptr[i - 1], 'b', indptr[i]))"
+    bounds = df.where("size(indptr) > 1").select("indices", "data", F.explode(F.expr(runs)).alias("s"))
     part = lambda c: F.slice(c, F.col("s.a").cast("int") + 1, (F.col("s.b") - F.col("s.a")).cast("int"))
-    return bounds.where("s.b > s.a").select(major, F.explode(F.arrays_zip(part("indices").alias("i"), part("data").alias("d"))).alias("x")).select(major, F.col("x.i").alias(minor), F.col("x.d").alias("value"))
+    return bounds.where("s.b > s.a").select(F.col("s.m").alias(major), F.explode(F.arrays_zip(part("indices").alias("i"), part("data").alias("d"))).alias("x")).select(major, F.col("x.i").alias(minor), F.col("x.d").alias("value"))
+
+
+def compressed_slices(coo: DataFrame, majors: DataFrame, size: int = 4096) -> DataFrame:
+    """(first, indptr, indices, data): slices of `size` majors of the entries (major, minor, v). majors: (major), all of them, from 0 on."""
+    rows = coo.groupBy("major").agg(F.sort_array(F.collect_list(F.struct("minor", "v"))).alias("r"))
+    every = majors.join(rows, "major", "left").withColumn("first", F.floor(F.col("major") / size) * size)
+    every = every.withColumn("r", F.coalesce("r", F.expr("cast(array() as array<struct<minor:bigint,v:bigint>>)")))
+    every = every.withColumn("upto", F.sum(F.size("r")).over(Window.partitionBy("first").orderBy("major")))
+    s = every.groupBy("first").agg(F.sort_array(F.collect_list(F.struct("major", "upto", "r"))).alias("a"))
+    indptr = F.concat(F.array(F.lit(0).cast("long")), F.transform("a", lambda x: x["upto"]))
+    flat = F.flatten(F.transform("a", lambda x: x["r"]))
+    return s.select("first", indptr.alias("indptr"), F.transform(flat, lambda x: x["minor"]).alias("indices"), F.transform(flat, lambda x: x["v"]).alias("data"))
 
 
 def compressed_arrays(path: str) -> dict[str, np.ndarray]:
@@ -85,60 +101,33 @@ def config(folder: str | Path, name: str) -> dict:
     return tomllib.loads(path.read_text())
 
 
-class RawLog:
-    """Raw files that were read, each once, in order; forbidden ones raise."""
-
-    # fixed values: patterns of raw files that must not be read
-    FORBIDDEN = ("transcripts.*", "morphology*", "*.zarr.zip")
-
-    def __init__(self) -> None:
-        self.seen: list[tuple[str, str]] = []
-
-    def read(self, kind: str, path: str | Path) -> str:
-        if any(fnmatch.fnmatchcase(part, p) for part in Path(path).parts for p in self.FORBIDDEN):
-            raise PermissionError(f"{path} must not be read")
-        if (kind, str(path)) not in self.seen:
-            self.seen.append((kind, str(path)))
-        return str(path)
+#: fixed values: patterns of raw files and folders that must not be read
+FORBIDDEN = ("transcripts.*", "morphology*", "*.zarr.zip")
 
 
-class RangeFile(io.RawIOBase):
-    """A seekable file over a function that fetches bytes [a, b) of a source of known size."""
+def forbidden(paths: Iterable[str]) -> list[str]:
+    """Those of the paths of which some part is forbidden."""
+    rule = re.compile("|".join(map(fnmatch.translate, FORBIDDEN)))
+    return [p for p in paths if any(map(rule.match, p.split("/")))]
 
-    def __init__(self, fetch: Callable[[int, int], bytes], size: int):
-        self.fetch, self.size, self.at = fetch, size, 0
 
-    def readable(self) -> bool:
-        return True
+class Ledger:
+    """Which raw files a run reads, by path, in order of their first use, with what they are."""
 
-    def seekable(self) -> bool:
-        return True
-
-    def tell(self) -> int:
-        return self.at
-
-    def seek(self, offset: int, whence: int = 0) -> int:
-        self.at = max(0, (0, self.at, self.size)[whence] + offset)
-        return self.at
-
-    def readinto(self, b) -> int:
-        end = min(self.size, self.at + len(b))
-        if end <= self.at:
-            return 0
-        data = self.fetch(self.at, end)
-        b[: len(data)] = data
-        self.at += len(data)
-        return len(data)
-
-
-def extract_member(fetch: Callable[[int, int], bytes], size: int, member: str, to: str | Path) -> Path:
-    """One member of a remote zip, without reading the others; the file appears when whole."""
-    to = Path(to)
-    part = to.with_name(to.name + ".part")
-    with zipfile.ZipFile(io.BufferedReader(RangeFile(fetch, size))) as z, z.open(member) as src, part.open("wb") as out:
-        while chunk := src.read(1 << 20):
-            out.write(chunk)
-    return part.replace(to)
+    def __init__(self) -> None:
+        self.used: dict[str, str] = {}
+
+    def admit(self, kind: str, path: str | Path) -> str:
+        """The path as text, entered; a forbidden one is refused."""
+        text = str(path)
+        if forbidden([text]):
+            raise PermissionError(f"{text} must not be read")
+        return self.used.setdefault(text, kind) and text
+
+    def check(self) -> None:
+        """That nothing forbidden was read, whatever entered it: for the end of a run."""
+        if broken := forbidden(self.used):
+            raise PermissionError(f"forbidden files were read: {', '.join(broken)}")
 
 
 def save(ds: Dataset, path: str) -> None:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cytoloom.functions import codec
-from cytoloom.operators import align, derive, embedding, expression, integrity, knn, ordering, raster, spatial, stats, validation
+from cytoloom.operators import align, derive, embedding, expression, integrity, knn, ordering, slides, spatial, stats, validation
 from cytoloom.sources import files, warehouse
 
 
@@ -100,7 +100,8 @@ def test_coherence_of_blobs_and_of_duplicates(spark):
     assert knn.coherence(knn.knn(df), df).first()["score"] == 1.0
     same = spark.createDataFrame([(i, [0.0, 0.0], 1) for i in range(20)], "id long, vec array<double>, label int")
     assert knn.coherence(knn.knn(same), same).first()[:] == (1.0, 20)
-    assert knn.choose(0.5, 0.5) == "provided" and knn.choose(0.5, 0.6) == "recomputed"
+    scores = spark.createDataFrame([(0.5, 0.5), (0.5, 0.6), (None, 0.1), (0.1, None)], "p double, r double")
+    assert [r[0] for r in scores.select(knn.choice(F.col("p"), F.col("r"))).collect()] == ["provided", "recomputed", "recomputed", "provided"]
 
 
 def test_rank_sum_and_effect(spark):
@@ -121,42 +122,106 @@ def test_the_control_must_fail(spark):
     assert not suite([(False, 9.0, 1.0)])
 
 
-def image(w=900, h=700):
-    rng = np.random.default_rng(5)
-    small = rng.integers(0, 256, (h // 20, w // 20, 3))
-    img = np.kron(small, np.ones((20, 20, 1))).astype(np.uint8)
+def slide_tiles(spark, levels):
+    """A tile table of levels given as arrays (h, w, 3)."""
+    import zlib
+
+    rows = []
+    for k, a in enumerate(levels):
+        for y in range(0, a.shape[0], slides.TILE):
+            for x in range(0, a.shape[1], slides.TILE):
+                part = np.ascontiguousarray(a[y : y + slides.TILE, x : x + slides.TILE])
+                rows.append(("im", k, x // slides.TILE, y // slides.TILE, part.shape[1], part.shape[0], bytearray(zlib.compress(part.tobytes()))))
+    return spark.createDataFrame(rows, "image string, level int, tx int, ty int, w int, h int, payload binary")
+
+
+def plain_resample(img, view, bw, bh):
+    """Every output pixel by itself, from the whole image with white around."""
+    h, w = img.shape[:2]
+    c = view.cell
 
-    def read(k, x0, y0, x1, y1):
-        out = np.full((y1 - y0, x1 - x0, 3), 255, np.uint8)
-        a, b, c, d = max(x0, 0), max(y0, 0), min(x1, w), min(y1, h)
-        if c > a and d > b:
-            out[b - y0 : d - y0, a - x0 : c - x0] = img[b:d, a:c]
-        return out
+    def cell(u, v):
+        total = np.zeros(3)
+        for y in range(v * c, v * c + c):
+            for x in range(u * c, u * c + c):
+                total += img[y, x] if 0 <= x < w and 0 <= y < h else 255
+        return np.rint(total / c**2)
 
-    return read
+    def weight(d):
+        return 0.0 if abs(d) >= slides.TAPS else float(np.sinc(d) * np.sinc(d / slides.TAPS))
 
+    out = np.zeros((bh, bw, 3))
+    for j in range(bh):
+        for i in range(bw):
+            u, v = (math.floor(x * slides.PHASES + 0.5) / slides.PHASES for x in view.to_cells(float(i), float(j)))
+            near = range(1 - slides.TAPS, slides.TAPS + 1)
+            wu, wv = [weight(u - math.floor(u) - t) for t in near], [weight(v - math.floor(v) - t) for t in near]
+            px = sum(wv[b] / sum(wv) * wu[a] / sum(wu) * cell(math.floor(u) + s, math.floor(v) + t) for b, t in enumerate(near) for a, s in enumerate(near))
+            out[j, i] = np.clip(np.floor(px + 0.5), 0, 255)
+    return out.astype(int)
 
-@pytest.mark.parametrize("px", [0.27, 0.54])
-def test_tiles_equal_one_pass(px):
-    m = np.array([[3.6, 0.05, 12.3], [-0.04, 3.65, 7.7], [0, 0, 1]])
-    read, w, h = image(), 403, 262
-    whole = raster.render(read, [1.0], m, 5.0, 6.0, px, w, h, 0.2738)
-    for by in range(0, h, 128):
-        for bx in range(0, w, 128):
-            bw, bh = min(128, w - bx), min(128, h - by)
-            part = raster.render(read, [1.0], m, 5.0 + bx * px, 6.0 + by * px, px, bw, bh, 0.2738)
-            assert np.abs(part.astype(int) - whole[by : by + bh, bx : bx + bw]).max() <= 2
+
+@pytest.mark.parametrize("nine, px, level, cell", [((0.9, 0.1, 3.0, -0.1, 1.1, 2.0, 0, 0, 1), 1.0, 0, 1), ((1.0, 0, -4.0, 0, 1.0, 5.0, 0, 0, 1), 3.0, 1, 2)])
+def test_tiles_equal_a_plain_resampling_and_blocks_agree(spark, monkeypatch, nine, px, level, cell):
+    rng = np.random.default_rng(5)
+    img = np.kron(rng.integers(0, 256, (15, 12, 3)), np.ones((4, 4, 1))).astype(np.uint8)
+    half = slides.averaged(img[:, :48], 2)[:, :, :]
+    half = np.ascontiguousarray(np.repeat(half[:, ::1], 1, axis=1))
+    view = slides.View.of([(0, 1.0, 1.0), (1, 1.5, 2.0)], slides.Map.of(nine), 1.0, 2.0, 1.0, px)
+    assert (view.level, view.cell) == (level, cell)
+    source = img if level == 0 else half
+    want = plain_resample(source, view, 9, 7)
+    padded = np.full((source.shape[0] + 200, source.shape[1] + 200, 3), 255, np.uint8)
+    padded[100:-100, 100:-100] = source
+
+    def block(bx, by, bw, bh):
+        a, b, c, d = (v * cell + 100 for v in view.window(bx, by, bw, bh))
+        left, top, _, _ = view.window(bx, by, bw, bh)
+        return slides.resampled(slides.averaged(padded[b:d, a:c], cell), left, top, view.to_cells, bx, by, bw, bh)
+
+    whole = block(0, 0, 9, 7)
+    assert np.abs(whole.astype(int) - want).max() <= 1
+    assert all((block(bx, by, 3, 2) == whole[by : by + 2, bx : bx + 3]).all() for bx in (0, 3, 6) for by in (0, 2, 4))
+
+
+def test_built_tiles_equal_one_block(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    img = np.kron(rng.integers(0, 256, (40, 35, 3)), np.ones((20, 20, 1))).astype(np.uint8)
+    tiles = slide_tiles(spark, [img, slides.averaged(img, 2)])
+    assert sorted(r[:] for r in slides.levels_of(tiles).collect()) == [("im", 0, 700, 800, 1.0, 1.0), ("im", 1, 350, 400, 2.0, 2.0)]
+    cores = spark.createDataFrame([("C1", "S1", 60.0, 60.0, 240.0, 200.0), ("C2", "S2", 0.0, 0.0, 9.0, 9.0)], "core_id string, section_id string, bbox_x0 double, bbox_y0 double, bbox_x1 double, bbox_y1 double")
+    affine_ = [1.9, 0.1, -3.0, -0.1, 2.0, 4.0, 0.0, 0.0, 1.0]
+    sections = spark.createDataFrame([("S1", "im", affine_, 0.51), ("S2", None, None, None)], "section_id string, he_image string, affine array<double>, he_pixel_size_um double")
+    got = slides.build(cores, sections, tiles).collect()
+    assert {r["core_id"] for r in got} == {"C1"} and sum(r["z"] == -1 for r in got) == 1
+    import zlib
+
+    px, levels = 0.51, 2
+    padded = np.full((img.shape[0] + 800, img.shape[1] + 800, 3), 255, np.uint8)
+    padded[400:-400, 400:-400] = img
+    view = slides.View.of([(0, 1.0, 1.0), (1, 2.0, 2.0)], slides.Map.of(affine_), 0.51, 10.0, 10.0, 0.51)
+    w, h = math.ceil(280 / 0.51), math.ceil(240 / 0.51)
+    a, b, c, d = (v + 400 for v in view.window(0, 0, w, h))
+    whole = slides.resampled(padded[b:d, a:c], a - 400, b - 400, view.to_cells, 0, 0, w, h)
+    made = np.zeros_like(whole)
+    for r in (r for r in got if r["z"] == levels - 1):
+        part = np.frombuffer(zlib.decompress(r["payload"]), np.uint8).reshape(r["h"], r["w"], 3)
+        made[r["ty"] * 512 : r["ty"] * 512 + r["h"], r["tx"] * 512 : r["tx"] * 512 + r["w"]] = part
+    assert px and (made == whole).all()
 
 
 def test_oversize_is_refused():
-    with pytest.raises(ValueError):
-        raster.lanczos(np.zeros((4, 40_000, 3), np.uint8), np.eye(3), 8, 8)
+    one = slides.Map.axes(1, 0, 1, 0)
+    with pytest.raises(ValueError, match="too large"):
+        slides.resampled(np.zeros((4, 40_000, 3), np.uint8), 0, 0, one, 0, 0, 8, 8)
 
 
-def test_pyramid_table_equals_the_formula(ds):
-    for r in raster.pyramids(ds.cores.limit(3), 0.2738).collect():
-        p = raster.Pyramid.fit((r["x0"] + 50, r["y0"] + 50, r["x0"] + r["width"] - 50, r["y0"] + r["height"] - 50), 0.2738)
-        assert (p.levels, p.px) == (r["levels"], r["px"])
+def test_maps_compose_and_bound():
+    rng = np.random.default_rng(2)
+    m, n = (slides.Map(*rng.normal(size=6)) for _ in range(2))
+    assert m.then(n)(2.0, 3.0) == pytest.approx(n(*m(2.0, 3.0)))
+    corners = [m(x, y) for x in (1.0, 4.0) for y in (-2.0, 5.0)]
+    assert m.box(1.0, -2.0, 4.0, 5.0) == pytest.approx((min(x for x, _ in corners), min(y for _, y in corners), max(x for x, _ in corners), max(y for _, y in corners)))
 
 
 def test_patients_are_dealt_completely():
@@ -204,13 +269,17 @@ def test_saved_dataset_loads_again(ds, tmp_path):
         files.load(ds.cells.sparkSession, str(tmp_path / "none"))
 
 
-def test_raw_log_and_config(tmp_path):
-    log = files.RawLog()
-    log.read("cells", "a/cells.parquet")
-    log.read("cells", "a/cells.parquet")
-    assert len(log.seen) == 1
-    with pytest.raises(PermissionError):
-        log.read("x", "a/transcripts.parquet")
+def test_ledger_and_config(tmp_path):
+    ledger = files.Ledger()
+    assert ledger.admit("cells", "a/cells.parquet") == ledger.admit("again", "a/cells.parquet") == "a/cells.parquet"
+    assert ledger.used == {"a/cells.parquet": "cells"}
+    for path in ("a/transcripts.parquet", "morphology_focus/x.tif", "a/b.zarr.zip"):
+        with pytest.raises(PermissionError):
+            ledger.admit("x", path)
+    ledger.check()
+    ledger.used["a/transcripts.csv.gz"] = "smuggled"
+    with pytest.raises(PermissionError, match="smuggled|transcripts"):
+        ledger.check()
     (tmp_path / "one.toml").write_text("name = 'one'")
     assert files.config(tmp_path, "one") == {"name": "one"}
     with pytest.raises(FileNotFoundError, match="one"):
@@ -219,29 +288,86 @@ def test_raw_log_and_config(tmp_path):
         files.Adapters(a=1)["b"]
 
 
-def test_zip_member_by_ranges(tmp_path):
-    import io
+def archive(tmp_path, force_zip64=False):
     import zipfile
 
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+    path = tmp_path / "a.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr("big.bin", random.Random(1).randbytes(150_000))
-        z.writestr("small.txt", "hello")
-    data, asked = buf.getvalue(), []
+        with z.open("dir/small é.txt", "w", force_zip64=force_zip64) as f:
+            f.write(b"hello" * 1000)
+        z.writestr(zipfile.ZipInfo("stored"), b"as it is")
+        z.comment = b"a comment"
+    return path.read_bytes()
+
+
+@pytest.mark.parametrize("force", [False, True])
+def test_zip_members_by_ranges(tmp_path, force):
+    from cytoloom.sources import remote
+
+    data, asked = archive(tmp_path, force), []
 
     def fetch(a, b):
-        asked.append(b - a)
+        asked.append((a, b))
         return data[a:b]
 
-    assert files.extract_member(fetch, len(data), "small.txt", tmp_path / "s").read_text() == "hello"
-    assert sum(asked) < len(data)
+    source = remote.Blocks(fetch, len(data), block=2000)
+    assert remote.extract(source, "dir/small é.txt", tmp_path / "s").read_text() == "hello" * 1000
+    assert remote.extract(source, "stored", tmp_path / "t").read_bytes() == b"as it is"
+    assert sum(b - a for a, b in asked) < 0.6 * len(data) and [p.name for p in tmp_path.iterdir() if p.name.startswith(".")] == []
+    with pytest.raises(KeyError, match="big.bin"):
+        remote.extract(source, "none", tmp_path / "u")
+    with pytest.raises(ValueError, match="zip"):
+        remote.directory(remote.Blocks(lambda a, b: b"x" * (b - a), 100))
+    broken = bytearray(data)
+    broken[60_000] ^= 255
+    with pytest.raises((OSError, Exception)):
+        remote.extract(remote.Blocks(lambda a, b: bytes(broken[a:b]), len(data)), "big.bin", tmp_path / "v")
+    assert not (tmp_path / "v").exists()
+
+
+def test_http_ranges_and_whole_downloads(tmp_path):
+    import http.server
+    import threading
+
+    from cytoloom.sources import remote
+
+    data = archive(tmp_path)
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            named = self.headers.get("Range") if "plain" not in self.path else None
+            a, b = (int(x) for x in named.removeprefix("bytes=").split("-")) if named else (0, len(data) - 1)
+            self.send_response(206 if named else 200)
+            if named:
+                self.send_header("Content-Range", f"bytes {a}-{b}/{len(data)}")
+            self.send_header("Content-Length", str(b + 1 - a if "short" not in self.path else b + 9))
+            self.end_headers()
+            self.wfile.write(data[a : b + 1])
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        url = f"http://127.0.0.1:{server.server_port}"
+        assert remote.extract(remote.http(f"{url}/a"), "stored", tmp_path / "t").read_bytes() == b"as it is"
+        assert remote.download(f"{url}/plain", tmp_path / "w").read_bytes() == data
+        with pytest.raises(OSError, match="range"):
+            remote.http(f"{url}/plain")
+        with pytest.raises(Exception):
+            remote.download(f"{url}/plain-short", tmp_path / "x")
+        assert not (tmp_path / "x").exists()
+    finally:
+        server.shutdown()
 
 
 def test_npz_and_compressed_rows(spark, tmp_path):
     np.savez(tmp_path / "m.npz", data=np.array([5, 6, 7]), indices=np.array([1, 0, 2]), indptr=np.array([0, 1, 1, 3]), shape=np.array([3, 3]))
     m = files.compressed_arrays(str(tmp_path / "m.npz"))
-    df = spark.createDataFrame([tuple([int(x) for x in m[k]] for k in ("indptr", "indices", "data"))], "indptr array<long>, indices array<long>, data array<long>")
-    assert {r[:] for r in files.coo_from_compressed(df).collect()} == {(0, 1, 5), (2, 0, 6), (2, 2, 7)}
+    df = spark.createDataFrame([(0, *([int(x) for x in m[k]] for k in ("indptr", "indices", "data"))), (3, [0, 1], [1], [9]), (4, [0], [], [])], "first long, indptr array<long>, indices array<long>, data array<long>")
+    assert {r[:] for r in files.coo_from_compressed(df).collect()} == {(0, 1, 5), (2, 0, 6), (2, 2, 7), (3, 1, 9)}
 
 
 def test_stream_counts(ds, spark, tmp_path):
@@ -261,16 +387,37 @@ def test_u16_bytes(spark):
 def test_alignment_passes_and_its_control_fails(spark):
     """Dark spots at the cells of a bright image: centers stand out, points 25 um away don't."""
     rng = np.random.default_rng(3)
-    img = rng.integers(225, 250, (400, 400, 3))
+    img = rng.integers(225, 250, (400, 400, 3)).astype(np.uint8)
     centers = [(40 + 60 * i, 40 + 60 * j) for i in range(6) for j in range(6)]
     for x, y in centers:
         img[y - 4 : y + 5, x - 4 : x + 5] = (70, 40, 140)
-    pixels = spark.createDataFrame([(x, y, *map(int, img[y, x])) for y in range(400) for x in range(400)], "x long, y long, r int, g int, b int")
+    tiles = slide_tiles(spark, [img])
     cells = spark.createDataFrame([(f"c{i}", float(x), float(y)) for i, (x, y) in enumerate(centers)], "cell_id string, x_um double, y_um double")
-    one = F.array(*[F.lit(float(v)) for v in (1, 0, 0, 0, 1, 0, 0, 0, 1)])
+    at = lambda p: slides.disk_stain(p.select("id", F.rint("x_um").cast("long").alias("u"), F.rint("y_um").cast("long").alias("w")), tiles, 2)
     randoms = {"box": align.random_points(spark, 200, (20.0, 20.0, 380.0, 380.0), "r"), "near": align.accepted(spark, 100, (20.0, 20.0, 380.0, 380.0), "n", lambda p: align.near_cells(p, cells.withColumn("x_um", F.col("x_um") + 15)))}
-    rows, passed = align.run_suite(cells, randoms, pixels, one, 2)
+    rows, passed = align.run_suite(cells, randoms, {"image": at}, "t")
     assert passed and len(rows) == 4 and all((r["d"] >= 0.8) != r["control"] for r in rows)
+    assert all((r["p"] < 1e-6) != r["control"] for r in rows)
+    with pytest.raises(ValueError, match="fewer than"):
+        align.accepted(spark, 5, (0.0, 0.0, 1.0, 1.0), "z", lambda p: p.where("false"), most=16)
+
+
+def test_upper_tail_equals_erfc(spark):
+    zs = [-6.0, -1.5, 0.0, 0.3, 2.0, 5.0, 9.0, 27.0]
+    got = [r[0] for r in spark.createDataFrame([(z,) for z in zs], "z double").select(stats.upper_tail(F.col("z"))).collect()]
+    assert got == pytest.approx([0.5 * math.erfc(z / math.sqrt(2)) for z in zs], rel=1e-6)
+
+
+@pytest.mark.parametrize("by", [["k"], []])
+def test_ranks_hold_with_outliers_ties_and_nulls(spark, by):
+    rng = random.Random(4)
+    rows = [(rng.randint(0, 2), rng.choice([1.0, 2.5, 1e12, -3.0, float(rng.randint(0, 5000))])) for _ in range(1500)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    got = stats.average_ranks(df, by).collect()
+    assert len(got) == 1500
+    for r in got[:200]:
+        own = [v for k, v in rows if not by or k == r["k"]]
+        assert r["rk"] == sum(v < r["v"] for v in own) + (sum(v == r["v"] for v in own) + 1) / 2
 
 
 def test_embeddings_are_kept_by_content(spark, tmp_path):
