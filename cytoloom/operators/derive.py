@@ -162,14 +162,29 @@ def derive(ds: Dataset, plan: Plan) -> Dataset:
     return Dataset(conform(new_sections, SECTIONS), conform(new_cores, CORES), conform(clusters, CLUSTERS), ds.genes, new_cells, conform(new_expression, EXPRESSION), Record(plan.name, synthetic=True))
 
 
-def cut_fixture(ds: Dataset, width: float = 600.0, top_genes: int = 150) -> Dataset:
-    """The densest window of the dataset with its most detected genes and recounted transcripts."""
-    w = spatial.densest(ds.cells, width)
-    box = w.select((F.col("bx") * width).alias("wx"), (F.col("by") * width).alias("wy"))
-    own = ds.cells.crossJoin(F.broadcast(box)).where(F.col("x_um").between(F.col("wx"), F.col("wx") + width) & F.col("y_um").between(F.col("wy"), F.col("wy") + width)).drop("wx", "wy")  # one row
+#: fixed values: side of the window, radius and centers of the cores in it, their patients, genes kept
+WINDOW_UM, DISK_UM, DISKS, DISK_PATIENTS, TOP_GENES = 600.0, 130.0, ((150.0, 150.0), (450.0, 150.0), (150.0, 450.0), (450.0, 450.0)), ("P01", "P01", "P02", "P03"), 150
+
+
+def cut_fixture(ds: Dataset, width: float = WINDOW_UM, radius: float = DISK_UM, disks=DISKS, patients=DISK_PATIENTS, top_genes: int = TOP_GENES) -> Dataset:
+    """Round cores of the densest window, one section, with their most detected genes, transcripts counted over these.
+
+    Coordinates begin at the window's corner.
+    """
+    spark = ds.cells.sparkSession
+    window = spatial.densest(ds.cells, width).select((F.col("bx") * width).alias("wx"), (F.col("by") * width).alias("wy"))
+    plan = spark.createDataFrame([(f"C{i + 1:03d}", p, x, y) for i, ((x, y), p) in enumerate(zip(disks, patients))], "core string, patient string, nx double, ny double")
+    placed = plan.crossJoin(F.broadcast(window)).withColumns({"cx": F.col("nx") + F.col("wx"), "cy": F.col("ny") + F.col("wy")})  # one row
+    own = spatial.within(ds.cells, placed, radius).withColumns({"x_um": F.col("x_um") - F.col("wx"), "y_um": F.col("y_um") - F.col("wy"), "section_id": F.lit("S1"), "core_id": F.col("core"), "patient_id": F.col("patient")})
+    own = own.select(*ds.cells.columns)
     counts = ds.expression.join(own.select("cell_id"), "cell_id", "left_semi")
-    top = counts.groupBy("gene_id").agg(F.count("*").alias("nnz")).orderBy(F.col("nnz").desc(), "gene_id").limit(top_genes)
-    counts = counts.join(F.broadcast(top.select("gene_id")), "gene_id", "left_semi")  # at most top_genes rows
+    top = counts.groupBy("gene_id").agg(F.count("*").alias("nnz")).orderBy(F.col("nnz").desc(), "gene_id").limit(top_genes).select("gene_id")
+    counts = counts.join(F.broadcast(top), "gene_id", "left_semi")  # at most top_genes rows
     totals = counts.groupBy("cell_id").agg(F.sum("count").alias("t"))
-    cells = own.join(totals, "cell_id", "left").withColumn("n_transcripts", F.coalesce("t", F.lit(0)))
-    return ds.having(cells=conform(cells, CELLS), expression=conform(counts, EXPRESSION), genes=ds.genes.join(F.broadcast(top.select("gene_id")), "gene_id", "left_semi"))
+    cells = conform(own.join(totals, "cell_id", "left").withColumn("n_transcripts", F.coalesce("t", F.lit(0))), CELLS)
+    seen = cells.groupBy("cluster_id").agg(F.count("*").alias("seen"))
+    clusters = ds.clusters.join(seen, "cluster_id").withColumn("n_cells", F.col("seen")).withColumn("order", F.expr("row_number() over (order by `order`) - 1"))
+    box = {"bbox_x0": F.col("nx") - radius, "bbox_y0": F.col("ny") - radius, "bbox_x1": F.col("nx") + radius, "bbox_y1": F.col("ny") + radius}
+    cores = plan.select(F.col("core").alias("core_id"), F.lit("S1").alias("section_id"), F.col("patient").alias("patient_id"), F.lit("core").alias("kind"), F.col("nx").alias("center_x_um"), F.col("ny").alias("center_y_um"), F.lit(radius).alias("radius_um"), *[v.alias(k) for k, v in box.items()])
+    sections = ds.sections.orderBy("section_id").limit(1).withColumns({"section_id": F.lit("S1"), "bounds_x0": F.lit(0.0), "bounds_y0": F.lit(0.0), "bounds_x1": F.lit(width), "bounds_y1": F.lit(width)})
+    return ds.having(cells=cells, expression=conform(counts, EXPRESSION), genes=ds.genes.join(F.broadcast(top), "gene_id", "left_semi"), cores=conform(cores, CORES), sections=conform(sections, SECTIONS), clusters=conform(clusters, CLUSTERS))

@@ -33,12 +33,14 @@ def g10(spark, d):
     return boxes.select("core_id", *[F.round(f"bbox_{c}", 6).alias(c) for c in ("x0", "y0", "x1", "y1")])
 
 
-@query("g14_fixture_window", canon("cells", "expression") + """, w as (select floor(x_um/600)*600 as wx, floor(y_um/600)*600 as wy, count(*) as n from cells group by 1,2 order by n desc, 1, 2 limit 1),
- o as (select cell_id from cells, w where x_um between wx and wx+600 and y_um between wy and wy+600), e as (select * from expression where cell_id in (select cell_id from o)),
- t as (select gene_id, count(*) as nnz from e group by 1 order by nnz desc, gene_id limit 150)
-select o.cell_id, coalesce(sum(count),0)::int as n_transcripts from o left join (select * from e where gene_id in (select gene_id from t)) e using (cell_id) group by 1""")
+@query("g14_fixture_disks", canon("cells", "expression") + """, w as (select floor(x_um/600)*600 as wx, floor(y_um/600)*600 as wy, count(*) as n from cells group by 1,2 order by n desc, 1, 2 limit 1),
+ k as (select * from (values ('C001', 'P01', 150, 150), ('C002', 'P01', 450, 150), ('C003', 'P02', 150, 450), ('C004', 'P03', 450, 450)) t(core, patient, nx, ny)),
+ o as (select cell_id, core, patient, x_um - wx as x, y_um - wy as y from cells, w, k where sqrt((x_um-wx-nx)**2 + (y_um-wy-ny)**2) <= 130), e as (select * from expression where cell_id in (select cell_id from o)),
+ t as (select gene_id, count(*) as nnz from e group by 1 order by nnz desc, gene_id limit 150), s as (select cell_id, sum(count) as n from e where gene_id in (select gene_id from t) group by 1)
+select o.cell_id, core as core_id, patient as patient_id, round(x,6) as x_um, round(y,6) as y_um, coalesce(n,0)::int as n_transcripts from o left join s using (cell_id)""")
 def g14(spark, d):
-    return derive.cut_fixture(warehouse.load(spark, d)).cells.select("cell_id", "n_transcripts")
+    c = derive.cut_fixture(warehouse.load(spark, d)).cells
+    return c.select("cell_id", "core_id", "patient_id", F.round("x_um", 6).alias("x_um"), F.round("y_um", 6).alias("y_um"), "n_transcripts")
 
 
 @query("g17_stencil", "select dx, dy from range(-6,7) a(dx), range(-6,7) b(dy) where dx*dx+dy*dy <= 36")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import color
 from ..operators import spatial
 from ..sources import warehouse
 from .registry import canon, query
@@ -98,3 +99,28 @@ def q12(spark, d):
     p = ordering.placed(warehouse.load(spark, d)).select("cell_id", "idx", "core_id")
     r = ordering.core_ranges(p).where("core_id = 'C007'").select("first", "end")
     return p.join(F.broadcast(r), F.col("idx").between(F.col("first"), F.col("end") - 1)).select("cell_id", "idx")  # one row
+
+
+def _palette_sql() -> str:
+    row = lambda m, c: "(" + " + ".join(f"({v!r}::double) * {x}" for v, x in zip(m, c)) + ")"
+    lin = lambda at: f"case when ('0x' || substr(color, {at}, 2))::int / 255.0e0 <= 0.04045e0 then ('0x' || substr(color, {at}, 2))::int / 255.0e0 / 12.92e0 else (((('0x' || substr(color, {at}, 2))::int / 255.0e0) + 0.055e0) / 1.055e0) ** 2.4e0 end"
+    seen = " union all ".join(f"select '{n}' as vision, id, " + ", ".join(f"greatest(0e0, least(1e0, {row(m, ('r', 'g', 'b'))})) as {c}" for m, c in zip(matrix, "rgb")) + " from p" for n, matrix in color.VISION.items())
+    f = lambda m, w: f"case when {row(m, 'rgb')} / {w!r}::double > 216e0 / 24389 then ({row(m, 'rgb')} / {w!r}::double) ** (1e0 / 3) else (24389e0 / 27 * {row(m, 'rgb')} / {w!r}::double + 16) / 116 end"
+    return f"""
+with p as (select cluster_id as id, {lin(2)} as r, {lin(4)} as g, {lin(6)} as b from (select distinct p_brand as cluster_id, '#' || upper(substr(md5(p_brand), 1, 6)) as color from part)),
+ v as ({seen}), x as (select vision, id, {", ".join(f"{f(m, w)} as f{i}" for i, (m, w) in enumerate(zip(color.TO_XYZ, color.WHITE)))} from v),
+ l as (select vision, id, 116*f1-16 as l, 500*(f0-f1) as a, 200*(f1-f2) as b from x),
+ j as (select p.vision, p.id as i1, q.id as i2, p.l as l1, q.l as l2, p.a as a1, q.a as a2, p.b as b1, q.b as b2, (sqrt(p.a**2+p.b**2)+sqrt(q.a**2+q.b**2))/2 as m from l p join l q on p.vision = q.vision and p.id < q.id),
+ k as (select *, a1*(1.5e0-0.5e0*sqrt(m**7/(m**7+25e0**7))) as x1, a2*(1.5e0-0.5e0*sqrt(m**7/(m**7+25e0**7))) as x2 from j),
+ c as (select *, sqrt(x1**2+b1**2) as c1, sqrt(x2**2+b2**2) as c2, case when degrees(atan2(b1,x1)) < 0 then degrees(atan2(b1,x1))+360 else degrees(atan2(b1,x1)) end as h1, case when degrees(atan2(b2,x2)) < 0 then degrees(atan2(b2,x2))+360 else degrees(atan2(b2,x2)) end as h2 from k),
+ h as (select *, case when c1*c2=0 then 0 when h2-h1 > 180 then h2-h1-360 when h2-h1 < -180 then h2-h1+360 else h2-h1 end as dh, case when c1*c2=0 then h1+h2 when abs(h2-h1) <= 180 then (h1+h2)/2 when h1+h2 < 360 then (h1+h2)/2+180 else (h1+h2)/2-180 end as hm, (l1+l2)/2 as lm, (c1+c2)/2 as cm from c),
+ t as (select *, 1-0.17e0*cos(radians(hm-30))+0.24e0*cos(radians(2*hm))+0.32e0*cos(radians(3*hm+6))-0.20e0*cos(radians(4*hm-63)) as t from h),
+ s as (select *, (l2-l1)/(1+0.015e0*(lm-50)**2/sqrt(20+(lm-50)**2)) as u, (c2-c1)/(1+0.045e0*cm) as w, 2*sqrt(c1*c2)*sin(radians(dh/2))/(1+0.015e0*cm*t) as z, -2*sqrt(cm**7/(cm**7+25e0**7))*sin(radians(60*exp(-(((hm-275)/25)**2)))) as rt from t)
+select vision, i1 as a, i2 as b, round(sqrt(u**2+w**2+z**2+rt*w*z), 6) as distance from s"""
+
+
+@query("q11_palette", _palette_sql())
+def q11(spark, d):
+    """Differences of the colours of a palette, as normal and two kinds of deficient colour vision see them."""
+    p = warehouse.read(spark, d, "part", "p_brand").distinct().select(F.col("p_brand").alias("id"), F.concat(F.lit("#"), F.upper(F.substring(F.md5(F.col("p_brand").cast("binary")), 1, 6))).alias("color"))
+    return color.palette_distances(p).withColumn("distance", F.round("distance", 6))

@@ -75,3 +75,16 @@ def test_affine_inverse(spark):
     inv = df.select(affine.inverse(F.col("m"))).first()[0]
     product = [sum(m[3 * i + k] * inv[3 * k + j] for k in range(3)) for i in range(3) for j in range(3)]
     assert product == pytest.approx([1, 0, 0, 0, 1, 0, 0, 0, 1])
+
+
+def test_color_differences_of_the_published_pairs(spark):
+    """Pairs 1, 7, 16, 25 and 34 of the test data of Sharma, Wu and Dalal (2005)."""
+    from cytoloom.functions import color
+
+    rows = [(50.0, 2.6772, -79.7751, 50.0, 0.0, -82.7485, 2.0425), (50.0, 0.0, 0.0, 50.0, -1.0, 2.0, 2.3669), (50.0, 2.5, 0.0, 50.0, 0.0, -2.5, 4.3065), (60.2574, -34.0099, 36.2677, 60.4626, -34.1751, 39.4387, 1.2644), (2.0776, 0.0795, -1.135, 0.9033, -0.0636, -0.5514, 0.9082)]
+    df = spark.createDataFrame(rows, "l1 double, a1 double, b1 double, l2 double, a2 double, b2 double, want double")
+    side = lambda i: F.struct(*[F.col(f"{c}{i}").alias(c) for c in "lab"])
+    got = df.select(color.difference(side(1), side(2)).alias("d"), "want").collect()
+    assert all(abs(r["d"] - r["want"]) < 1e-4 for r in got)
+    near = spark.createDataFrame([("x", "#FF0000"), ("y", "#FE0000"), ("z", "#0000FF")], "id string, color string")
+    assert {(r["a"], r["b"]) for r in color.too_close(near).collect()} == {("x", "y")}
