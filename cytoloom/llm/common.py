@@ -14,7 +14,7 @@ SPACE = " \t\n\x0b\x0c\r"
 #: Words of the contracts: [^\x20\x09-\x0D]+ (Java regular expression).
 WORD = r"[^\x20\x09-\x0D]+"
 
-_ours: list[tuple[SparkSession, str]] = []
+_ours: dict[str, SparkSession] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,21 +42,33 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared folder and read again.
 
     This cuts lineage: a lost executor costs the tasks it ran, not the steps before. The
-    tables go when the Python process ends.
+    tables go when the Python process ends, or by discard().
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/cytoloom-{name}-{uuid.uuid4().hex}"
-    _ours.append((spark, path))
+    _ours[path] = spark
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.staged_at = path
+    return back
+
+
+def _delete(path: str) -> None:
+    spark = _ours.pop(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(*staged_: DataFrame) -> None:
+    """Deletes tables of staged() that nothing reads any more, as the rounds before the last."""
+    for df in staged_:
+        _delete(df.staged_at)
 
 
 def _remove() -> None:
-    for spark, path in _ours:
+    for path in list(_ours):
         try:
-            jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(conf).delete(where, True)
+            _delete(path)
         except Exception:  # noqa: BLE001  the session has ended: the folder's owner cleans up
             return
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 
 def _stars(edges: DataFrame) -> bool:
@@ -40,5 +40,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     now = staged(edges.distinct(), "components")
     while not _stars(now):
-        now = staged(_small(staged(_large(now), "components-large")).distinct(), "components")
+        large = staged(_large(now), "components-large")
+        before, now = now, staged(_small(large).distinct(), "components")
+        discard(before, large)
     return now

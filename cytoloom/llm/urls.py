@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, small, staged, table
+from .common import ascii_lower, discard, small, staged, table
 
 ONE = 10**9
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -82,6 +82,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, step
             new = sent.unionByName(base.select("host", "k", F.col("own").alias("x"))).groupBy("host", "k").agg(F.sum("x").alias("x"))
             new = staged(new, "host-ranks")
             moved = new.join(ranks.withColumnRenamed("x", "y"), ["host", "k"], "full").agg(F.max(F.abs(F.coalesce("x", F.lit(0)) - F.coalesce("y", F.lit(0))))).first()[0]
+            discard(ranks)
             ranks = new
             if not moved:
                 break
