@@ -22,6 +22,7 @@ class Config:
     source: str | None = None
     path: str | None = None
     images: str | None = None
+    recompute_in: str | None = None
     scale_factor: float = 1e4
     core_radius_um: float = 500.0
     n_patients: int | None = None

@@ -11,14 +11,19 @@ from .expression import display_values
 from .integrity import canonical_json, table_hash
 
 
-def components(expression: DataFrame, genes: DataFrame, k: int = 2) -> DataFrame:
-    """(cell_id, umap_x, umap_y): the first two principal components of the cells' display values. Not a UMAP, which needs a library that is not here."""
+def components(expression: DataFrame, genes: DataFrame, k: int = 2, cells: DataFrame | None = None) -> DataFrame:
+    """(cell_id, umap_x, umap_y): the first two principal components of the cells' display values. Not a UMAP, which needs a library that is not here.
+
+    cells: (cell_id) of those to place, without counts too; else those with counts.
+    """
     from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     n = genes.count()
     index = genes.select("gene_id", F.expr("cast(row_number() over (order by gene_id) - 1 as int)").alias("j"))
     rows = display_values(expression).join(index, "gene_id").groupBy("cell_id").agg(F.map_from_entries(F.collect_list(F.struct("j", "v"))).alias("m"))
+    if cells is not None:
+        rows = cells.select("cell_id").join(rows, "cell_id", "left").withColumn("m", F.coalesce("m", F.expr("cast(map() as map<int,double>)")))
     dense = rows.withColumn("f", array_to_vector(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: F.coalesce(F.element_at("m", j), F.lit(0.0)))))
     p = PCA(k=max(2, k), inputCol="f", outputCol="p").fit(dense).transform(dense).withColumn("p", vector_to_array("p"))
     return p.select("cell_id", F.col("p")[0].cast("float").alias("umap_x"), F.col("p")[1].cast("float").alias("umap_y"))

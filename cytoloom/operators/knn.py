@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows of a block: a task holds two blocks and their distances.
@@ -53,6 +53,90 @@ def knn(points: DataFrame, k: int = 15, id_col: str = "id", vec_col: str = "vec"
     return top.select("a", F.posexplode("n").alias("rk", "x")).select("a", "x.b", "x.d2", (F.col("rk") + 1).alias("rk"))
 
 
+def _nearest(ids: np.ndarray, x: np.ndarray, y: np.ndarray, t_ids: np.ndarray, tx: np.ndarray, ty: np.ndarray, k: int):
+    """Of each query the k nearest other targets, of equal distances the least id: (row, target id, squared distance). Targets are ordered by id."""
+    at, near, dist = [], [], []
+    for i in range(0, len(ids), 512):
+        d = (x[i : i + 512, None] - tx) ** 2 + (y[i : i + 512, None] - ty) ** 2
+        d[ids[i : i + 512, None] == t_ids] = np.inf
+        m = min(k, len(t_ids))
+        order = np.argsort(d, axis=1, kind="stable")[:, :m]
+        best = np.take_along_axis(d, order, axis=1)
+        row, col = np.nonzero(np.isfinite(best))
+        at.append(row + i)
+        near.append(t_ids[order[row, col]])
+        dist.append(best[row, col])
+    join = lambda v, t: np.concatenate(v) if v else np.zeros(0, t)
+    return join(at, np.int64), join(near, np.int64), join(dist, np.float64)
+
+
+def knn_plane(points: DataFrame, k: int = 15, cell: int = 1024) -> DataFrame:
+    """(a, b, d2, rk) as knn(), for points (id, x, y) of a plane, in near-linear work.
+
+    The plane is cut into strips of x and these into cells of y, at approximate quantiles, so
+    a cell holds about as many points wherever they crowd. A point finds its nearest in its
+    own cell, then in those cells that its distance to the k-th reaches. Of points at one
+    place only the k + 1 least ids can be anybody's nearest, so the others are no targets.
+    Cells grow where there would be more than 40,000 of them, as their edges go to the driver.
+    """
+    spark = points.sparkSession
+    rows = points.select(F.col("id").cast("long").alias("id"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    n = rows.count()
+    side = int(min(200, max(1, (n / cell) ** 0.5)))
+    cuts = lambda c: F.percentile_approx(c, [i / side for i in range(1, side)], 20 * side) if side > 1 else F.array().cast("array<double>")
+    xs = np.array(rows.agg(cuts("x").alias("c")).first()["c"] or [], float)
+    strip = F.expr("0")
+    if len(xs):
+        strip = F.size(F.filter(F.array(*map(F.lit, xs.tolist())), lambda c: c <= F.col("x")))
+    ys = {r["s"]: np.array(r["c"], float) for r in rows.withColumn("s", strip).groupBy("s").agg(cuts("y").alias("c")).collect()}
+    shared = spark.sparkContext.broadcast((xs, [ys.get(s, np.zeros(0)) for s in range(len(xs) + 1)]))
+
+    def place(batches):
+        xs, ys = shared.value
+        for b in batches:
+            x, y = b.column(1).to_numpy(), b.column(2).to_numpy()
+            s = np.searchsorted(xs, x, side="right")
+            c = np.array([np.searchsorted(ys[i], v, side="right") for i, v in zip(s, y)], np.int64) if len(x) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s * 1_000_000 + c)], names=["id", "x", "y", "cell"])
+
+    placed = rows.mapInArrow(place, "id long, x double, y double, cell long")
+    order = F.row_number().over(Window.partitionBy("x", "y").orderBy("id"))
+    # at one place some few; under names of their own, as both sides of a cogroup come from one table
+    targets = placed.withColumn("o", order).where(F.col("o") <= k + 1).select(F.col("cell").alias("t_cell"), F.col("id").alias("t_id"), F.col("x").alias("t_x"), F.col("y").alias("t_y"))
+
+    def own(queries: pa.Table, there: pa.Table) -> pa.Table:
+        if not queries.num_rows or not there.num_rows:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "d2": pa.array([], pa.float64())})
+        t = there.sort_by("t_id")
+        q = [queries[c].to_numpy() for c in ("id", "x", "y")]
+        at, near, dist = _nearest(*q, *[t[c].to_numpy() for c in ("t_id", "t_x", "t_y")], k)
+        return pa.table({"a": pa.array(q[0][at], pa.int64()), "b": pa.array(near, pa.int64()), "d2": pa.array(dist, pa.float64())})
+
+    schema = "a long, b long, d2 double"
+    first = placed.groupBy("cell").cogroup(targets.groupBy("t_cell")).applyInArrow(own, schema)
+    reach = first.groupBy(F.col("a").alias("id")).agg(F.max("d2").alias("r"), F.count("*").alias("m"))
+    queries = placed.join(reach, "id", "left").select("id", "x", "y", "cell", F.when(F.col("m") >= k, F.col("r")).otherwise(float("inf")).alias("r"))
+
+    def others(batches):
+        xs, ys = shared.value
+        for b in batches:
+            out = []
+            for i, x, y, c, r in zip(*[b.column(j).to_numpy() for j in range(5)]):
+                d = r**0.5 * (1 + 1e-12)
+                for s in range(np.searchsorted(xs, x - d, side="left"), np.searchsorted(xs, x + d, side="right") + 1):
+                    left, right = (xs[s - 1] if s else -np.inf), (xs[s] if s < len(xs) else np.inf)
+                    dx = max(left - x, x - right, 0.0)
+                    dy = max(r - dx * dx, 0.0) ** 0.5 * (1 + 1e-12)
+                    for v in range(np.searchsorted(ys[s], y - dy, side="left"), np.searchsorted(ys[s], y + dy, side="right") + 1):
+                        if s * 1_000_000 + v != c:
+                            out.append((i, x, y, s * 1_000_000 + v))
+            yield pa.RecordBatch.from_arrays([pa.array([o[j] for o in out], t) for j, t in enumerate((pa.int64(), pa.float64(), pa.float64(), pa.int64()))], names=["id", "x", "y", "cell"])
+
+    more = queries.mapInArrow(others, "id long, x double, y double, cell long").groupBy("cell").cogroup(targets.groupBy("t_cell")).applyInArrow(own, schema)
+    top = first.unionByName(more).groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("d2", "b"))), 1, k).alias("n"))
+    return top.select("a", F.posexplode("n").alias("rk", "x")).select("a", "x.b", "x.d2", (F.col("rk") + 1).alias("rk"))
+
+
 def coherence(neighbours: DataFrame, labels: DataFrame) -> DataFrame:
     """(score, n): mean over rows of the share of their neighbours with their label. labels: (id, label)."""
     a, b = labels.select(F.col("id").alias("a"), F.col("label").alias("la")), labels.select(F.col("id").alias("b"), F.col("label").alias("lb"))

@@ -13,6 +13,7 @@ from ..functions import affine
 from ..functions.text import number_repeats, slug
 from ..model import CELLS, CLUSTERS, CORES, EXPRESSION, GENES, SECTIONS, Dataset, Record, conform
 from ..operators import derive, knn, spatial
+from ..operators import embedding as embeddings
 from . import files, warehouse
 
 log = logging.getLogger("cytoloom.adapters")
@@ -57,20 +58,32 @@ def clusters_of(groups: DataFrame) -> DataFrame:
     return g.select(slug(F.col("group")).alias("cluster_id"), F.col("group").alias("label"), F.upper("color").alias("color"), place.alias("order"))
 
 
-def choose_embedding(cells: DataFrame, provided: DataFrame | None, recompute=None) -> tuple[DataFrame, dict]:
+def choose_embedding(cells: DataFrame, provided: DataFrame, recompute=None) -> tuple[DataFrame, dict]:
     """(cell_id, umap_x, umap_y) with the better neighbour coherence, the provided one on ties, and what was found.
 
-    cells: (cell_id, cluster_id). recompute: a function that gives an embedding, if one is to be tried.
+    cells: (cell_id, cluster_id, n_transcripts). A cell with transcripts must be in the
+    provided embedding, with numbers. recompute: a function from the cells that it covers,
+    (cell_id), to another embedding of these and what is known of it; both are scored on
+    them alone. Cells that it doesn't cover have no place in either.
     """
-    made = {"provided": provided, "recomputed": recompute() if recompute else None}
+    known = provided.where(F.col("umap_x").isNotNull() & F.col("umap_y").isNotNull() & ~F.isnan("umap_x") & ~F.isnan("umap_y")).select("cell_id", "umap_x", "umap_y")
+    if lost := cells.where("n_transcripts > 0").join(known, "cell_id", "left_anti").count():
+        raise ValueError(f"the provided embedding misses {lost} cells with transcripts")
+    covered = cells.join(known.select("cell_id"), "cell_id", "left_semi")
+    made, about = {"provided": known.join(covered.select("cell_id"), "cell_id", "left_semi")}, {}
+    if recompute is not None:
+        again, about = recompute(covered.select("cell_id"))
+        made["recomputed"] = again.join(covered.select("cell_id"), "cell_id", "left_semi").select("cell_id", "umap_x", "umap_y")
+        if gaps := covered.join(made["recomputed"], "cell_id", "left_anti").count():
+            raise ValueError(f"the recomputed embedding misses {gaps} cells")
     scores = {}
     for name, e in made.items():
-        if e is not None:
-            p = e.join(cells, "cell_id").select(F.xxhash64("cell_id").alias("id"), F.array(F.col("umap_x").cast("double"), F.col("umap_y").cast("double")).alias("vec"), F.col("cluster_id").alias("label"))
-            scores[name] = knn.coherence(knn.knn(p), p.select("id", "label")).first()["score"]
+        p = e.join(covered, "cell_id").select(F.xxhash64("cell_id").alias("id"), F.col("umap_x").cast("double").alias("x"), F.col("umap_y").cast("double").alias("y"), F.col("cluster_id").alias("label"))
+        scores[name] = knn.coherence(knn.knn_plane(p), p.select("id", "label")).first()["score"]
     score = lambda name: F.lit(scores.get(name)).cast("double")
     best = cells.sparkSession.range(1).select(knn.choice(score("provided"), score("recomputed"))).first()[0]
-    return made[best], {"embedding": best, **{f"coherence_{k}": round(v, 6) for k, v in scores.items() if v is not None}}
+    found = {"embedding": best, "scored_cells": covered.count(), "without_embedding": cells.join(known, "cell_id", "left_anti").count(), "recompute": about}
+    return made[best], found | {f"coherence_{k}": round(v, 6) for k, v in scores.items() if v is not None}
 
 
 def sensor(spark: SparkSession, cfg, raw: files.Ledger | None = None) -> Dataset:
@@ -97,7 +110,16 @@ def sensor(spark: SparkSession, cfg, raw: files.Ledger | None = None) -> Dataset
     groups = files.csv_header(spark, at("groups", "supplemental/cell_groups.csv"), "cell_id string, group string, color string").withColumn("i", F.monotonically_increasing_id())
     labelled = with_groups(cells, groups).withColumn("cluster_id", slug(F.col("label")))
     projection = files.csv_header(spark, at("projection", "outs/projection.csv"), "Barcode string, x float, y float").select(F.col("Barcode").alias("cell_id"), F.col("x").alias("umap_x"), F.col("y").alias("umap_y"))
-    embedding, found = choose_embedding(labelled.select("cell_id", "cluster_id"), projection)
+    again = None
+    if cfg.recompute_in:
+
+        def again(covered: DataFrame) -> tuple[DataFrame, dict]:
+            counts, parameters = expression.join(covered, "cell_id", "left_semi"), {"components": 2, "dataset": cfg.name, "seed": cfg.seed}
+            made, hit = embeddings.cached(counts, parameters, cfg.recompute_in, lambda: embeddings.components(counts, genes, cells=covered))
+            return made, {"parameters": parameters, "cached": hit}
+
+    embedding, found = choose_embedding(labelled.select("cell_id", "cluster_id", F.col("transcript_counts").alias("n_transcripts")), projection, again)
+    found["recompute"].pop("cached", None)  # a second run differs in this alone
     nan = F.lit(float("nan")).cast("float")
     j = labelled.join(embedding, "cell_id", "left")
     out = j.select(

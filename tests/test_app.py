@@ -191,29 +191,29 @@ def test_gates(spark, valid, tmp_path):
         publish.run(spark, Config("d", "derived", path=str(tmp_path / "none")), str(tmp_path / "c"))
 
 
-def raw(spark, root, groups=None, version="xenium-3.0.0.15"):
+def raw(spark, root, groups=None, version="xenium-3.0.0.15", first=1):
     (root / "outs").mkdir(parents=True)
     (root / "supplemental").mkdir()
     (root / "outs/experiment.xenium").write_text(json.dumps({"analysis_sw_version": version, "pixel_size": 0.2125}))
     n = 40
     spark.createDataFrame([(f"c{i}", float(i), float(i % 7), 0 if i == 0 else 3, "x") for i in range(n)], "cell_id string, x_centroid double, y_centroid double, transcript_counts int, other string").write.parquet(str(root / "outs/cells.parquet"))
     order, slices = list(range(n))[::-1], []
-    for first in (0, 25):
-        own = order[first : first + 25]
+    for begin in (0, 25):
+        own = order[begin : begin + 25]
         indptr, indices, data = [0], [], []
         for i in own:
             if i:
                 indices += [0, 2, 3]
                 data += [1, 2, 9]
             indptr.append(len(indices))
-        features = (["Gene Expression"] * 3 + ["Negative Control"], ["g1", "g2", "g3", "n1"], ["Abc", "X", "abc", "neg"]) if not first else (None, None, None)
-        slices.append((first, [f"c{i}" for i in own], *features, indptr, indices, data))
+        features = (["Gene Expression"] * 3 + ["Negative Control"], ["g1", "g2", "g3", "n1"], ["Abc", "X", "abc", "neg"]) if not begin else (None, None, None)
+        slices.append((begin, [f"c{i}" for i in own], *features, indptr, indices, data))
     spark.createDataFrame(slices, "first long, barcodes array<string>, feature_type array<string>, id array<string>, name array<string>, indptr array<long>, indices array<long>, data array<long>").write.parquet(str(root / "outs/cell_feature_matrix.parquet"))
     target = lambda g, c, d="gene": {"type": {"descriptor": d, "data": {"id": g} if g else {}}, "source": {"category": c}}
     (root / "outs/gene_panel.json").write_text(json.dumps({"payload": {"targets": [target("g1", "base"), target("g2", "addon"), target("n1", "base", "control"), target(None, "base")]}}))
     rows = groups or [f"c{i},{'T cells' if i % 3 else 'B / plasma'},#{'aa' if i % 3 else 'BB'}0000" for i in range(1, n)] + ["zz,Unassigned,#cccccc"]
     (root / "supplemental/cell_groups.csv").write_text("cell_id,group,color\n" + "\n".join(rows) + "\n")
-    (root / "outs/projection.csv").write_text("Barcode,UMAP-1,UMAP-2\n" + "\n".join(f"c{i},{i % 3}.5,{i}" for i in range(2, n)) + "\n")
+    (root / "outs/projection.csv").write_text("Barcode,UMAP-1,UMAP-2\n" + "\n".join(f"c{i},{i % 3}.5,{i}" for i in range(first, n)) + "\n")
     (root / "supplemental/he_imagealignment.csv").write_text("2,0,10\n0,2,20\n0,0,1\n")
     return Config("one", "sensor", path=str(root))
 
@@ -224,7 +224,7 @@ def test_raw_files_become_a_dataset(spark, tmp_path):
     genes = {r["gene_id"]: (r["symbol"], r["panel"]) for r in ds.genes.collect()}
     assert genes == {"g1": ("Abc", "predesigned"), "g2": ("X", "custom"), "g3": ("abc-2", "custom")}
     c = {r["cell_id"]: r for r in ds.cells.collect()}
-    assert len(c) == 40 and c["c0"]["cluster_id"] == "unassigned" and not c["c1"]["has_umap"] and c["c2"]["umap_y"] == 2.0
+    assert len(c) == 40 and c["c0"]["cluster_id"] == "unassigned" and not c["c0"]["has_umap"] and c["c1"]["has_umap"] and c["c2"]["umap_y"] == 2.0
     assert [(r["cluster_id"], r["color"], r["n_cells"]) for r in ds.clusters.orderBy("order").collect()] == [("t-cells", "#AA0000", 26), ("b-plasma", "#BB0000", 13), ("unassigned", "#CCCCCC", 1)]
     assert ds.expression.agg(F.sum("count")).first()[0] == 39 * 3
     s = ds.sections.first()
@@ -234,11 +234,25 @@ def test_raw_files_become_a_dataset(spark, tmp_path):
     assert bad == []
 
 
+def test_embeddings_are_recomputed_once_and_the_better_one_is_taken(spark, tmp_path):
+    from dataclasses import replace
+
+    cfg = replace(raw(spark, tmp_path / "r"), recompute_in=str(tmp_path / "cache"))
+    ds = adapters.sensor(spark, cfg)
+    p = ds.record.provenance
+    assert {"coherence_provided", "coherence_recomputed"} <= set(p) and p["scored_cells"] == 39 and p["without_embedding"] == 1
+    assert p["embedding"] == ("recomputed" if p["coherence_recomputed"] > p["coherence_provided"] else "provided")
+    assert ds.cells.where("not has_umap").count() == 1 and len(list((tmp_path / "cache").iterdir())) == 1
+    assert adapters.sensor(spark, cfg).record.provenance == p and len(list((tmp_path / "cache").iterdir())) == 1
+
+
 def test_raw_files_that_break_rules(spark, tmp_path):
     with pytest.raises(ValueError, match="no group"):
         adapters.sensor(spark, raw(spark, tmp_path / "a", groups=["c1,T,#aa0000"]))
     with pytest.raises(ValueError, match="not known"):
         adapters.sensor(spark, raw(spark, tmp_path / "b", version="other-9"))
+    with pytest.raises(ValueError, match="misses 1 cells"):
+        adapters.sensor(spark, raw(spark, tmp_path / "c", first=2))
     with pytest.raises(KeyError, match="no adapter"):
         adapters.ADAPTERS["nothing"]
 

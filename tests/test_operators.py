@@ -104,6 +104,17 @@ def test_coherence_of_blobs_and_of_duplicates(spark):
     assert [r[0] for r in scores.select(knn.choice(F.col("p"), F.col("r"))).collect()] == ["provided", "recomputed", "recomputed", "provided"]
 
 
+@pytest.mark.parametrize("kind", ["even", "crowded", "one place", "line", "few"])
+def test_neighbours_in_the_plane_equal_those_in_blocks(spark, kind):
+    rng = np.random.default_rng(4)
+    at = {"even": rng.uniform(0, 9, (700, 2)), "crowded": np.concatenate([rng.normal(0, 0.01, (400, 2)), rng.uniform(-50, 50, (200, 2))]), "one place": np.concatenate([np.zeros((150, 2)), rng.integers(0, 4, (150, 2))]), "line": np.stack([np.arange(300) // 2, np.zeros(300)], axis=1), "few": rng.uniform(size=(4, 2))}[kind]
+    rows = [(int(i), float(x), float(y)) for i, (x, y) in zip(rng.permutation(len(at)), at)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    got = sorted((r["a"], r["rk"], r["b"]) for r in knn.knn_plane(df, 5, cell=30).collect())
+    want = sorted((r["a"], r["rk"], r["b"]) for r in knn.knn(df.select("id", F.array("x", "y").alias("vec")), 5).collect())
+    assert got == want
+
+
 def test_rank_sum_and_effect(spark):
     rng = random.Random(3)
     rows = [(1, "a", float(rng.randint(0, 9))) for _ in range(40)] + [(1, "b", float(rng.randint(-3, 7))) for _ in range(50)]
