@@ -4,17 +4,19 @@
    of its sketch, each of two minimum occurrence-labelled five-word k-mers in text order (shorter
    texts: three-word k-mers, and segments of which any two near ones share one), and a bag,
    its word counts in 256 bins.
-2. Texts that agree in a key share a bucket. A bucket's leader is the least of its texts in an
-   order that depends on the key; members meet the leader only, through an aggregate and a
-   join, so a bucket of any size gives no more pairs than rows.
+2. Texts that agree in a key share a bucket. A bucket's leader is the least of its texts in a
+   hashed order; members meet the leader only, through an aggregate and a join, so a bucket
+   of any size gives no more pairs than rows.
 3. Pairs are verified on whole texts: word edit similarity of at least 0.8, by banded
    alignment. Texts of a leader with many partners go out once for each share of them.
 4. Members that differ from their leader (texts that share a passage and little else, or a
-   second class in the bucket) are compared with each other, and with the class of the
-   leader, by length and bag: blocks of a bounded number of rows, each pair of blocks a
-   task. Bags move here, texts don't. A pair that may be near is aligned as above: first
-   the best partner of each text, again while most of these are near, then every pair left
-   between different classes. No bucket is capped or dropped.
+   second class in the bucket) are compared with each other, and with the members that match
+   it, by length, bag and, for the latter, the distances of both from the leader, which
+   bound that between them: blocks of a bounded number of rows, each pair of blocks a task.
+   Bags move here, texts don't. Pairs that may be near are aligned as above. Where a task
+   finds very many, as in a second class, each text has its best partner first, and the
+   group comes again, with the pairs left between classes that these links didn't join. No
+   bucket is capped or dropped.
 5. Classes are the connected components of the verified links, and copies join their text.
 """
 
@@ -33,12 +35,12 @@ from .decontaminate import words
 from .graph import components
 
 SIMILARITY = 0.8
-#: Orders of leaders, dealt to the keys.
-ORDERS = 6
 #: Rows of a block of bags.
 BLOCK = 4096
 #: Partners of a leader that one copy of its text serves.
 SHARE = 256
+#: Pairs for each text above which a task of the comparison gives the best ones first.
+DENSE = 256
 
 
 def key_of(text: Column) -> Column:
@@ -75,7 +77,7 @@ def _led(distinct: DataFrame) -> DataFrame:
 
     The first aggregate moves whole numbers only; buckets of one text, which most are, end there.
     """
-    rows = distinct.select(F.explode("keys").alias("key"), "d", "n").withColumn("h", F.xxhash64(F.pmod("key", F.lit(ORDERS)), "d"))
+    rows = distinct.select(F.explode("keys").alias("key"), "d", "n").withColumn("h", F.xxhash64("d"))
     shared = rows.groupBy("key").agg(F.min("h").alias("least"), F.count("*").alias("c")).where("c > 1").select("key", "least")
     shared = staged(rows.join(small(staged(shared, "near-shared")), "key"), "near-buckets")
     leaders = staged(shared.where("h = least").select("key", F.col("d").alias("leader"), F.col("n").alias("ln")), "near-leaders")  # plain sides, which adaptive execution splits at a hot bucket
@@ -87,8 +89,8 @@ def _close(a: str, b: str) -> Column:
     return F.least(a, b) >= SIMILARITY * F.greatest(a, b) - 1e-6
 
 
-def _similar(pairs: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
-    """Those of the staged distinct pairs (a, b) whose texts are similar; a is the one that may have many partners."""
+def _aligned(pairs: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
+    """(a, b, n, ok, edits) of staged distinct pairs (a, b): words of b, whether the texts are similar, and sketches.edits(). a is the one that may have many partners."""
     hot = staged(pairs.groupBy("a").agg(F.count("*").alias("c")).where(F.col("c") > SHARE), "near-hot")
     salt = F.when(F.col("c").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), F.ceil(F.col("c") / SHARE)))
     pairs = staged(pairs.join(small(hot), "a", "left").select("a", "b", salt.cast("int").alias("salt")), "near-pairs")
@@ -102,18 +104,19 @@ def _similar(pairs: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
         recent: OrderedDict[bytes, list[bytes]] = OrderedDict()
         for batch in batches:
             a, b, ta, tb = (batch.column(i) for i in range(4))
-            keep = []
+            found, n = [], []
             for i in range(batch.num_rows):
                 k = a[i].as_py()
                 if k not in recent:
                     recent[k] = words(ta[i].as_py())
                     if len(recent) > 4:
                         recent.popitem(last=False)
-                keep.append(sketches.similar(recent[k], words(tb[i].as_py()), SIMILARITY))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
+                other = words(tb[i].as_py())
+                n.append(len(other))
+                found.append(sketches.edits(recent[k], other, SIMILARITY))
+            yield pa.RecordBatch.from_arrays([a, b, pa.array(n, pa.int32()), pa.array([x for x, _ in found], pa.bool_()), pa.array([x for _, x in found], pa.int32())], names=["a", "b", "n", "ok", "edits"])
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
+    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary, n int, ok boolean, edits int")
 
 
 def _rooted(rows: DataFrame, roots: DataFrame, column: str = "d", name: str = "root") -> DataFrame:
@@ -122,37 +125,55 @@ def _rooted(rows: DataFrame, roots: DataFrame, column: str = "d", name: str = "r
     return rows.join(known, column, "left").withColumn(name, F.coalesce("__v", column)).drop("__v")
 
 
-def _leftovers(led: DataFrame, good: DataFrame, roots: DataFrame) -> DataFrame:
-    """(g, side, d): texts to compare. Groups of side 0 are the rejected members of a bucket, to be compared with each other;
-    else rejected members (side 1) of buckets whose leader is of the class of side 2."""
-    left = staged(led.join(good.select(F.col("a").alias("leader"), F.col("b").alias("d")), ["leader", "d"], "left_anti").select("key", "d", "leader"), "near-rejected")
-    several = left.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    each = left.select("key", "d").join(several, "key").select(F.hex(F.col("key")).alias("g"), F.lit(0).alias("side"), "d")
-    classes = roots.select(F.col("v").alias("c")).distinct()
-    outside = _rooted(left.select("d", "leader").distinct(), roots, "leader", "c").select("d", "c").distinct().join(classes, "c")
-    outside = _rooted(outside, roots).where("root <> c").select("c", "d")
-    of = roots.select(F.col("v").alias("c"), F.col("u").alias("d")).unionByName(classes.select("c", F.col("c").alias("d")))
-    inside = of.join(outside.select("c").distinct(), "c", "left_semi")
-    side = lambda rows, s: rows.select(F.hex("c").alias("g"), F.lit(s).alias("side"), "d")
+def _leftovers(led: DataFrame, tested: DataFrame, roots: DataFrame) -> DataFrame:
+    """(g, k, side, d, off): texts to compare. Groups of side 0, of bucket k, are the rejected members of a bucket, to be compared with each other;
+    else the members that a leader rejected (side 1) and those that match it (side 2), with bounds of their distances from it.
+
+    A rejected member whose distance from the leader exceeds what two steps can make up, one
+    to a member that matches and one from there, meets none of them.
+    """
+    good = tested.where("ok").select(F.col("a").alias("leader"), F.col("b").alias("d"), "n", F.col("edits").alias("off"))
+    bad = tested.where("not ok").select(F.col("a").alias("leader"), F.col("b").alias("d"), F.col("edits").alias("off"))
+    left = led.join(good.select("leader", "d"), ["leader", "d"], "left_anti").join(bad, ["leader", "d"], "left")
+    left = staged(left.withColumn("off", F.coalesce("off", F.abs(F.col("n") - F.col("ln")))), "near-rejected")  # not aligned: lengths too different
+    # of buckets with the same rejected members one is enough
+    h = F.xxhash64("d")
+    several = left.groupBy("key").agg(F.count("*").alias("c"), F.bit_xor(h).alias("x"), F.sum(h.cast("decimal(38,0)")).alias("s")).where("c > 1").groupBy("c", "x", "s").agg(F.min("key").alias("key")).select("key")
+    each = left.select("key", "d").join(several, "key").select(F.hex(F.col("key")).alias("g"), F.col("key").alias("k"), F.lit(0).alias("side"), "d", F.lit(0).alias("off"))
+
+    reach = good.groupBy("leader").agg(F.max("off").alias("most"), F.max("n").alias("longest"))
+    outside = left.select("leader", "d", "n", "off").distinct().join(reach, "leader").where(F.col("off") - F.col("most") <= (1 - SIMILARITY) * F.greatest("n", "longest") + 1e-6)
+    outside = _rooted(_rooted(outside.select("leader", "d", "off"), roots), roots, "leader", "c").where("root <> c").select("leader", "d", "off")
+    inside = good.join(outside.select("leader").distinct(), "leader", "left_semi")
+    side = lambda rows, s: rows.select(F.hex("leader").alias("g"), F.lit(None).cast("long").alias("k"), F.lit(s).alias("side"), "d", "off")
     return each.unionByName(side(outside, 1)).unionByName(side(inside, 2))
 
 
-def _candidates(items: DataFrame, distinct: DataFrame, roots: DataFrame, best: bool) -> DataFrame:
-    """(a, b): pairs of items of a group that are of different classes and may be similar by length and bag; best: only the best partner of each text in a task."""
-    rows = _rooted(items, roots)
+def _candidates(items: DataFrame, bags: DataFrame, roots: DataFrame, dense: int | None) -> DataFrame:
+    """(a, b, g): pairs of items of a group that are of different classes and may be similar by length and bag; g is null.
+
+    bags (d, n, bag, buckets): buckets are the groups of side 0 that a text is in. A pair comes
+    from the least of those that both are in, from others only if there is none. A task that
+    finds more than `dense` pairs for each text gives the best of each, and a row
+    of its group g alone.
+    """
+    # class and bag join once for each text, not for each of its groups, of which it has some for each of its keys
+    texts = staged(_rooted(items.groupBy("d").agg(F.collect_list(F.struct("g", "k", "side", "off")).alias("in")), roots), "near-members")
+    each = lambda rows, *c: rows.select("d", "root", *c, F.explode("in").alias("x")).select("d", "root", *c, "x.*")
     count = lambda s: F.sum(F.when(F.col("side") == s, 1).otherwise(0))
     blocks = lambda s: F.greatest(F.lit(1), F.ceil(count(s) / BLOCK)).cast("int")
-    groups = rows.groupBy("g").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), blocks(0).alias("b0"), blocks(1).alias("b1"), blocks(2).alias("b2")).where("r0 <> r1")
-    rows = rows.join(groups.select("g", "b0", "b1", "b2"), "g")
+    groups = each(texts).groupBy("g").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), blocks(0).alias("b0"), blocks(1).alias("b1"), blocks(2).alias("b2")).where("r0 <> r1")
+    groups = small(staged(groups.select("g", "b0", "b1", "b2"), "near-groups"))
+    rows = each(texts.join(bags, "d"), "n", "bag", "buckets").join(groups, "g")
     own = F.pmod(F.xxhash64("d"), F.when(F.col("side") == 0, F.col("b0")).when(F.col("side") == 1, F.col("b1")).otherwise(F.col("b2"))).cast("int")
     others = F.when(F.col("side") == 0, F.col("b0")).when(F.col("side") == 1, F.col("b2")).otherwise(F.col("b1"))
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
     i = F.when(F.col("side") == 0, F.least("own", "other")).when(F.col("side") == 1, F.col("own")).otherwise(F.col("other"))
     j = F.when(F.col("side") == 0, F.greatest("own", "other")).when(F.col("side") == 1, F.col("other")).otherwise(F.col("own"))
-    rows = rows.withColumns({"i": i, "j": j}).join(distinct.select("d", "n", "bag"), "d").select("g", "i", "j", "side", "own", "d", "n", "root", "bag")
+    rows = rows.withColumns({"i": i, "j": j}).select("g", "i", "j", "k", "side", "own", "d", "n", "root", "bag", "off", "buckets")
 
     def compare(group: pa.Table) -> pa.Table:
-        own, n, side = (group[c].to_numpy() for c in ("own", "n", "side"))
+        own, n, side, off = (group[c].to_numpy() for c in ("own", "n", "side", "off"))
         d, root = group["d"].to_pylist(), group["root"].to_pylist()
         bags = np.frombuffer(b"".join(group["bag"].to_pylist()), np.uint8).reshape(len(d), -1)
         coarse = bags.reshape(len(d), 32, -1).sum(axis=2, dtype=np.int32)
@@ -162,22 +183,36 @@ def _candidates(items: DataFrame, distinct: DataFrame, roots: DataFrame, best: b
         second = np.flatnonzero(own == group["j"][0].as_py() if each else side == 2)
         second = second[np.argsort(n[second], kind="stable")]
         lengths = n[second]
-        a, b = [], []
+        a, b, bests, bucket, of = [], [], [], group["k"][0].as_py(), {}
+
+        def buckets(x: int) -> frozenset[int]:
+            if x not in of:
+                of[x] = frozenset(group["buckets"][x].as_py())
+            return of[x]
+
         for x in first:
             lo = np.searchsorted(lengths, SIMILARITY * n[x] - 1e-6)
             hi = np.searchsorted(lengths, n[x] / SIMILARITY + 1e-6, side="right")
             near = second[lo:hi]
             near = near[label[near] != label[x]]
+            if not each:  # off: of x at least so many edits from the leader, of the others at most
+                near = near[off[x] - off[near] <= (1 - SIMILARITY) * np.maximum(n[near], n[x]) + 1e-6]
+            if not len(near):
+                continue
+            near, moved = sketches.possible(x, near, bags, coarse, n, SIMILARITY)
+            mine = np.array([min(buckets(x) & buckets(y), default=None) == bucket for y in near], bool)
+            near, moved = near[mine], moved[mine]
             if len(near):
-                near, moved = sketches.possible(x, near, bags, coarse, n, SIMILARITY)
-            if best and len(near):
-                near = near[[np.argmin(moved / np.maximum(n[near], n[x]))]]
-            a += [d[x]] * len(near)
-            b += [d[y] for y in near]
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+                bests.append((x, near[np.argmin(moved / np.maximum(n[near], n[x]))]))
+                if dense is None or len(a) <= dense * len(first):
+                    a += [x] * len(near)
+                    b += near.tolist()
+        again = dense is not None and len(a) > dense * len(first)
+        pairs = {(min(d[x], d[y]), max(d[x], d[y])) for x, y in (bests if again else zip(a, b))}
+        out = [(x, y, None) for x, y in pairs] + [(None, None, group["g"][0].as_py())] * again
+        return pa.table({c: pa.array([r[i] for r in out], t) for i, (c, t) in enumerate((("a", pa.binary()), ("b", pa.binary()), ("g", pa.string())))})
 
-    found = rows.groupBy("g", "i", "j").applyInArrow(compare, "a binary, b binary")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return rows.groupBy("g", "i", "j").applyInArrow(compare, "a binary, b binary, g string").distinct()
 
 
 def _classes(df: DataFrame, text_col: str) -> DataFrame:
@@ -186,23 +221,24 @@ def _classes(df: DataFrame, text_col: str) -> DataFrame:
     distinct = staged(found.groupBy("d").agg(*[F.first(c).alias(c) for c in ("n", "keys", "bag")]), "near-distinct")
     led = staged(_led(distinct), "near-led")
     pairs = staged(led.where(_close("n", "ln")).select(F.col("leader").alias("a"), F.col("d").alias("b")).distinct(), "near-close")
-    good = staged(_similar(pairs, df, text_col), "near-good")
-    links = lambda rows: rows.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    roots = components(links(good))
-    items = staged(_leftovers(led, good, roots), "near-leftovers")
-    best, tested = True, None
+    tested = staged(_aligned(pairs, df, text_col), "near-aligned")
+    links = lambda rows: rows.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    sorted_ = lambda rows: rows.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    roots = components(links(tested))
+    items = staged(_leftovers(led, tested, roots), "near-leftovers")
+    buckets = items.where("side = 0").groupBy("d").agg(F.collect_list("k").alias("buckets"))
+    bags = distinct.select("d", "n", "bag").join(buckets, "d", "left").withColumn("buckets", F.coalesce("buckets", F.array().cast("array<bigint>")))
+    bags = staged(bags.join(items.select("d").distinct(), "d", "left_semi"), "near-bags")
+    done, found = staged(sorted_(tested).distinct(), "near-done"), True
     while items.limit(1).count():
-        pairs = _candidates(items, distinct, roots, best)
-        if not best:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "near-candidates")
-        good = staged(_similar(pairs, df, text_col), "near-good")
-        found = good.count()
+        pairs = staged(_candidates(items, bags, roots, DENSE if found else None), "near-candidates")
+        new = staged(pairs.where("g is null").select("a", "b").join(done, ["a", "b"], "left_anti"), "near-new")
+        aligned = staged(_aligned(new, df, text_col), "near-aligned")
+        found = aligned.where("ok").limit(1).count() > 0  # without a link the next round would find the same again, so it takes all pairs
         if found:
-            roots = components(roots.unionByName(links(good)))
-        if not best:
-            break
-        best, tested = 2 * found > pairs.count(), pairs  # where most best partners are near, others are too
+            roots = components(roots.unionByName(links(aligned)))
+        done = staged(done.unionByName(new), "near-done")
+        items = items.join(small(pairs.where("g is not null").select("g").distinct()), "g", "left_semi")
     return roots
 
 

@@ -9,6 +9,7 @@ agreement follows edit similarity rather than set overlap.
 from __future__ import annotations
 
 from collections import Counter
+from operator import ne
 
 import numpy as np
 import xxhash
@@ -17,24 +18,28 @@ import xxhash
 K, L, M = 5, 2, 128
 #: Texts of at most LONG words have too few k-mers of K words for a pair near the threshold to share any: their sketches
 #: are of shorter k-mers. Texts of up to LONG / 0.8 words have both kinds, so that any two near texts have one in common.
-LONG, SHORT_K, SHORT_M = 100, 3, 64
+LONG, SHORT_K, SHORT_M = 100, 3, 48
 #: Texts of at most so many words also have segment keys.
 SHORT = 24
 #: Bins of words that bound the edit distance of a pair from below.
 BINS = 256
 _rng = np.random.default_rng(20)
 XOR = _rng.integers(0, 2**63, 512, dtype=np.uint64)
-MUL = _rng.integers(0, 2**63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Functions that order k-mers, of 32 bits.
+XOR_32 = _rng.integers(0, 2**32, 512, dtype=np.uint32)
+MUL_32 = _rng.integers(0, 2**31, 512, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 POWERS = np.array([pow(0x9E3779B97F4A7C15, j, 2**64) for j in range(64)], np.uint64)
+#: Words of a block of rows of an alignment.
+BLOCK = 4096
 #: k-mer hashes times components that are held at once.
-AT_ONCE = 131_072
+AT_ONCE = 65_536
 
 
 class Words(dict):
     """Word to 64-bit number; forgets all when it holds too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 60_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = x = xxhash.xxh64_intdigest(word)
         return x
@@ -74,14 +79,15 @@ def sketch(h: np.ndarray, m: int = M, size: int = L) -> np.ndarray:
     size = min(size, len(h))
     out = np.empty(m, np.uint64)
     step = max(1, AT_ONCE // len(h))
+    upper = (h >> np.uint64(32)).astype(np.uint32)[None, :]
     for a in range(0, m, step):
         b = min(m, a + step)
-        v = (h[None, :] ^ XOR[a:b, None]) * MUL[a:b, None]
+        v = (upper ^ XOR_32[a:b, None]) * MUL_32[a:b, None]
         rows = np.arange(b - a)
         least = np.empty((b - a, size), np.int64)
         for i in range(size):
             least[:, i] = v.argmin(axis=1)
-            v[rows, least[:, i]] = np.uint64(2**64 - 1)
+            v[rows, least[:, i]] = 2**32 - 1
         least.sort(axis=1)
         x = XOR[a:b].copy()
         for i in range(size):
@@ -141,7 +147,12 @@ def possible(x: int, near: np.ndarray, bags: np.ndarray, coarse: np.ndarray, n:
     return near, moved
 
 
-def distance(a: list, b: list, most: int, block: int = 4096) -> int | None:
+def bag_distance(a: list, b: list) -> int:
+    """A lower bound of the edit distance: words of the longer sequence that the other lacks."""
+    return max(len(a), len(b)) - sum((Counter(a) & Counter(b)).values())
+
+
+def distance(a: list, b: list, most: int, block: int = BLOCK) -> int | None:
     """Edit distance of two word sequences if it is at most `most`, else None.
 
     Banded alignment: cells further than `most` from the diagonal are left out, as paths
@@ -160,7 +171,7 @@ def distance(a: list, b: list, most: int, block: int = 4096) -> int | None:
         return None
     if not a or not b:
         return longest
-    if longest - sum((Counter(a) & Counter(b)).values()) > most:
+    if most < longest and bag_distance(a, b) > most:
         return None
     n = len(b)
     above: list[int] | None = None  # deltas of the row above, from column above_at on
@@ -199,7 +210,22 @@ def distance(a: list, b: list, most: int, block: int = 4096) -> int | None:
     return found if found <= most else None
 
 
+def edits(a: list, b: list, least: float = 0.8) -> tuple[bool, int]:
+    """Whether 1 - distance / longer length >= least, and a bound of the distance: from above if so, else from below.
+
+    Where the alignment without gaps already has few enough edits, the band isn't needed; of
+    texts of one block the band is as wide as they are, at no more work.
+    """
+    longest = max(len(a), len(b))
+    most = int((1 - least) * longest + 1e-9)
+    if len(a) == len(b) and (n := sum(map(ne, a, b))) <= most:
+        return True, n
+    if (n := max(abs(len(a) - len(b)), bag_distance(a, b))) > most:
+        return False, n
+    d = distance(a, b, longest if longest <= BLOCK else most)
+    return (False, most + 1) if d is None else (d <= most, d)
+
+
 def similar(a: list, b: list, least: float = 0.8) -> bool:
     """1 - distance / longer length >= least. Two empty sequences are similar."""
-    longest = max(len(a), len(b))
-    return distance(a, b, int((1 - least) * longest + 1e-9)) is not None
+    return edits(a, b, least)[0]

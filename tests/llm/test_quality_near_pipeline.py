@@ -54,6 +54,68 @@ def test_features_do_not_depend_on_the_batch():
     assert np.array_equal(np.concatenate(one), quality.with_neighbours(bins, n))
 
 
+def plain_line(line):
+    """Features of a line, one character and one word at a time."""
+    kind = lambda c: int(quality.CLASS[min(ord(c), 592)])
+    has = lambda bit: sum(bool(kind(c) & bit) for c in line)
+    spaced = "".join(" " if kind(c) & quality.SPACE else c for c in line)
+    w = spaced.split(" ")
+    w = [x for x in w if x]
+    code = lambda x: (sum(int(quality.MIX[min(ord(c), 592)]) for c in x) % 2**64, len(x))
+    marks, letters = sum(map(len, w)), has(quality.UPPER | quality.LOWER)
+    per = lambda a, b: a / max(b, 1)
+    values = [
+        per(has(quality.UPPER), letters), per(sum(bool(kind(c) & quality.SYMBOL) and c not in "|!" for c in line), marks), per(has(quality.DIGIT), marks),
+        per(line.count("|"), len(w)), per(line.count("!"), len(w)), per(has(quality.STOP), marks), per(sum(bool(kind(x[-1]) & quality.SYMBOL) for x in w), len(w)),
+        per(sum(code(a) == code(b) for a, b in zip(w, w[1:])), len(w)), per(sum(bool(kind(x[0]) & quality.UPPER) for x in w), len(w)), per(has(quality.SPACE), len(line)),
+        min(1.0, per(marks, len(w)) / 20), min(1.0, np.log1p(len(line)) / 12),
+    ]
+    return [sum(v >= e for e in quality.EDGES) for v in values]
+
+
+ODD_TEXTS = ["", "a", "a a a b", "a\na\na a", " \n\t x ", "Ab cd. EF!! GH!!\nx | y\n\n1,234 a1", "é😀 Ü\u2028 z z", "no space at all" * 3, "w " * 40 + "\n" + "long" * 30, "x\n" * 9]
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 250_000])
+def test_features_equal_a_plain_version_whatever_the_pieces(monkeypatch, piece):
+    rng = random.Random(piece)
+    texts = ODD_TEXTS + ["".join(rng.choice("ab A.!|1\n é") for _ in range(80)) for _ in range(30)]
+    monkeypatch.setattr(quality, "PIECE", piece)
+    chunks = quality._chunks
+    monkeypatch.setattr(quality, "_chunks", lambda t, limit=piece: chunks(t, limit))
+    bins, lengths, n = quality.line_features(texts)
+    lines = [x for t in texts for x in t.split("\n")]
+    assert n.tolist() == [t.count("\n") + 1 for t in texts] and lengths.tolist() == [len(x) + 1 for x in lines]
+    for got, line in zip(bins.tolist(), lines, strict=True):
+        assert got == plain_line(line), line
+
+
+def test_document_scores_equal_enumeration(spark):
+    field = random_field(5)
+    texts = [t for t in ODD_TEXTS if t.count("\n") < 8] + [None]
+    got = {r["id"]: r["score"] for r in quality.score(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), field).collect()}
+    for i, t in enumerate(texts):
+        lines = (t or "").split("\n")
+        x = [plain_line(line) for line in lines]
+        none = [quality.BINS] * len(quality.FEATURES)
+        rows = [a + b + c for a, b, c in zip(x, [none, *x[:-1]], [*x[1:], none])]
+        e = [sum(field.weights[j, b] for j, b in enumerate(r)) + field.bias for r in rows]
+        good, _ = brute_chain(field, e)
+        n = np.array([len(line) + 1 for line in lines])
+        assert got[i] == pytest.approx(float((good * n).sum() / n.sum())), t
+
+
+def test_a_very_long_text_is_worked_in_pieces():
+    import tracemalloc
+
+    text = ("word " * 9 + "\n") * 20_000 + "x" * 2_000_000
+    tracemalloc.start()
+    bins, _, n = quality.line_features([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n.tolist() == [20_001] and len(bins) == 20_001 and peak < 120e6  # some 300 bytes a character of the whole before
+
+
 def junk(rng, kind):
     w = [rng.choice(["and", "the", "tion", "er"]) + rng.choice(["a", "in", "st"]) for _ in range(40)]
     return [" ".join(x.upper() + "!!" for x in w), " | ".join(w), " ".join(x + "***" for x in w)][kind] if kind < 3 else (w[0] + " ") * 60
@@ -231,8 +293,9 @@ def test_one_agreement_is_enough_for_leftovers(spark, monkeypatch):
     assert [r["class_id"] for r in near_dup.near_classes(df).orderBy("doc_id").collect()] == brute_classes(rows)
 
 
-@pytest.mark.parametrize("block", [4096, 3])
-def test_leftovers_meet_the_members_that_match(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, dense", [(4096, 64), (3, 64), (4096, 0), (3, 1)])
+def test_leftovers_meet_the_members_that_match(spark, monkeypatch, block, dense):
+    monkeypatch.setattr(near_dup, "DENSE", dense)
     monkeypatch.setattr(near_dup, "BLOCK", block)
     rows, sketch_of = [], {}
     for g in range(6):
@@ -286,7 +349,7 @@ def test_keys_are_shared_at_all_lengths_and_similarities(n):
                 kinds[kind][0] += len(np.intersect1d(sketches.keys(number(a)), sketches.keys(number(b)))) > 0
                 kinds[kind][1] += 1
     for found, of in kinds.values():
-        assert of > 50 and found >= 0.95 * of if n != 101 else found >= 0.93 * of, (n, kinds)
+        assert of > 50 and found >= 0.95 * of, (n, kinds)
 
 
 def test_classes_at_the_criterion_equal_brute_force(spark):
@@ -306,6 +369,7 @@ def test_classes_at_the_criterion_equal_brute_force(spark):
 def test_a_leader_of_many_partners_and_a_second_class_in_its_buckets(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "SHARE", 4)
     monkeypatch.setattr(near_dup, "BLOCK", 16)
+    monkeypatch.setattr(near_dup, "DENSE", 1)
     rng, rows = random.Random(4), []
     passage = [f"p{i}" for i in range(80)]
     for g in range(3):
