@@ -33,6 +33,13 @@ def a8(spark, d):
     return ordering.quantisation_errors(warehouse.load(spark, d)).withColumn("max_err", F.round("max_err", 6))
 
 
+@query("v31_embedding_error", canon("cells") + _EMB + f""", e as (select umap_x::double as x, umap_y::double as y, {_UX} as ux, {_UY} as uy, xl, xh, yl, yh from cells, f where has_umap)
+select round(max(greatest(abs(xl + ux*(greatest(xh-xl,1e-9)/65534) - x)/greatest(xh-xl,1e-9), abs(yl + uy*(greatest(yh-yl,1e-9)/65534) - y)/greatest(yh-yl,1e-9))), 9) as share from e""")
+def v31(spark, d):
+    """Largest error of a decoded embedding coordinate, as a share of its range."""
+    return ordering.embedding_error(warehouse.cells(spark, d)).withColumn("share", F.round("share", 9))
+
+
 @query("a19_core_ranges", canon("placed") + 'select core_id, min(idx) as first, max(idx)+1 as "end", max(idx)+1-min(idx) = count(*) as contiguous from placed group by 1')
 def a19(spark, d):
     return ordering.core_ranges(ordering.placed(warehouse.load(spark, d)))

@@ -71,6 +71,14 @@ def j13(spark, d):
     return knn.knn(_points(spark, d)).select("a", "b", "rk", F.round("d2", 4).alias("d2"))
 
 
+@query("j13_plane", """with v as (select c_custkey as id, ((c_custkey*37)%1000)::double as x, ((c_custkey*c_custkey)%777)::double as y from customer), p as (select a.id as a, b.id as b, (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y) as d2 from v a join v b on a.id <> b.id),
+ n as (select *, row_number() over (partition by a order by d2, b) as rk from p) select a, b, rk::int as rk, d2 from n where rk <= 15""")
+def j13p(spark, d):
+    """Nearest neighbours in a plane, with many ties."""
+    c = warehouse.read(spark, d, "customer", "c_custkey").selectExpr("c_custkey as id", "cast((c_custkey*37)%1000 as double) as x", "cast((c_custkey*c_custkey)%777 as double) as y")
+    return knn.knn_plane(c, 15, cell=128).select("a", "b", "rk", "d2")
+
+
 @query("m1_coherence", _NN + "select round(avg(s),9) as score, count(*) as n from (select a, avg((la=lb)::int) as s from n where rk <= 15 group by 1)")
 def m1(spark, d):
     p = _points(spark, d)
