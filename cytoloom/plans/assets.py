@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import integrity, ordering
+from ..operators import documents, integrity, ordering
 from ..sources import warehouse
 from .registry import canon, query
 
@@ -118,3 +118,24 @@ def k7c(spark, d):
 def k7s(spark, d):
     s = warehouse.sections(spark, d)
     return s.join(ordering.section_quantisers(s), "section_id").select(F.col("section_id").alias("id"), F.col("pixel_size").alias("pixel_size_um"), F.array(*[f"bounds_{c}" for c in ("x0", "y0", "x1", "y1")]).alias("bounds_um"), F.col("q_offset").alias("xy_offset"), F.round("q_scale", 12).alias("xy_scale"))
+
+
+@query("v43_dates", """with o as (select o_orderkey as k, o_orderdate::date as d from orders)
+select k::varchar as path, 1 as n, strftime(d, '%Y-%m-%d') as date from o where k % 4 in (0, 1) union all select k::varchar, 1, strftime(d, '%-d.%-m.%Y') from o where k % 4 = 1 union all select k::varchar, 1, strftime(d, '%B %-d, %Y') from o where k % 4 = 3""")
+def v43d(spark, d):
+    """Calendar dates found in lines that say them in several ways, or don't."""
+    said = lambda f: F.date_format("o_orderdate", f)
+    k = F.col("o_orderkey") % 4
+    line = F.when(k == 0, F.concat(F.lit("due "), said("yyyy-MM-dd"), F.lit(", today"))).when(k == 1, F.concat(F.lit("on "), said("d.M.yyyy"), F.lit(" or "), said("yyyy-MM-dd"))).when(k == 2, "see 1.2 and 12/2024").otherwise(F.concat(F.lit("by "), said("MMMM d, yyyy")))
+    return documents.dates(warehouse.read(spark, d, "orders", "o_orderkey", "o_orderdate").select(F.col("o_orderkey").cast("string").alias("path"), F.lit(1).alias("n"), line.alias("line")))
+
+
+@query("v43_criteria", "select 'FR-' || n_nationkey as id from nation where n_nationkey % 2 = 0 and n_nationkey % 3 <> 0")
+def v43c(spark, d):
+    """Requirements without a criterion that says given, when and then."""
+    n = warehouse.read(spark, d, "nation", "n_nationkey")
+    k = F.col("n_nationkey").cast("string")
+    row = n.select(F.lit("prd").alias("path"), F.col("n_nationkey").alias("n"), F.concat(F.lit("| FR-"), k, F.lit(" | "), F.when(F.col("n_nationkey") % 2 == 0, "M").otherwise("W"), F.lit(" | text [A] |")).alias("line"))
+    met = n.select(F.lit("prd").alias("path"), (F.col("n_nationkey") + 100).alias("n"), F.concat(F.lit("AC-FR-"), k, F.lit(".1 "), F.when(F.col("n_nationkey") % 3 == 0, "Given a, when b, then c.").otherwise("Given a, then c.")).alias("line"))
+    lines = row.unionByName(met)
+    return documents.without_criteria(documents.requirements(lines), lines)

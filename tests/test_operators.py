@@ -441,3 +441,60 @@ def test_embeddings_are_kept_by_content(spark, tmp_path):
     assert (hit, hit_again) == (False, True) and first.count() == again.count() == e.select("cell_id").distinct().count()
     with pytest.raises(ZeroDivisionError):
         embedding.cached(e, {"k": 3}, str(tmp_path), lambda: 1 / 0)
+
+
+def pages_of(spark, **texts):
+    return spark.createDataFrame([(path.replace("_", "/"), i + 1, line) for path, text in texts.items() for i, line in enumerate(text.strip("\n").split("\n"))], "path string, n int, line string")
+
+
+def test_document_checks(spark):
+    from cytoloom.operators import documents as doc
+
+    brief = pages_of(spark, brief="""
+| ID | P | text |
+|----|---|------|
+| FR-T1 | M | one [A] |
+| FR-T2 | S | two [B] |
+| NFR-3 | C | three [A] |
+| US-4 | M | four [C] |
+| FR-T1 | C | again |""")
+    prd = pages_of(spark, prd="""
+# Doc
+| `FR-T1` | M | x [A] |
+| FR-T2 | C | y [B] |
+| NFR-3 | W | z |
+AC-FR-T1.1 Given a, when b, then c.
+AC-FR-T2.1 given only
+## Changelog
+FR-T2 moved.
+### More
+NFR-3 too
+# Next
+US-4""")
+    want, have = doc.requirements(brief), doc.requirements(prd)
+    assert [tuple(r) for r in want.select("id", "priority", "tags").orderBy("id").collect()] == [("FR-T1", "M", ["A"]), ("FR-T2", "S", ["B"]), ("NFR-3", "C", ["A"]), ("US-4", "M", ["C"])]
+    log = doc.within(prd, "changelog")
+    assert [r["line"] for r in log.orderBy("n").collect()] == ["FR-T2 moved.", "### More", "NFR-3 too"]
+    assert {tuple(r) for r in doc.uncovered(want, have, log).collect()} == {("NFR-3", "no source"), ("US-4", "absent")}
+    assert {r[0] for r in doc.without_criteria(want, prd).collect()} == {"FR-T2", "US-4"}
+    plan = pages_of(spark, plan="""
+| T-A-1 | unit |
+| FR-T1 | T-A-1 |
+| FR-T2 | T-A-1, T-B-2 |
+| NFR-3 | none |""")
+    assert {tuple(r) for r in doc.untested(want, plan).collect()} == {("FR-T2", "unknown T-B-2"), ("NFR-3", "no test"), ("US-4", "no test")}
+    some = pages_of(spark, a_x="on 2024-01-31 and 3 May 2025\nnothing 1.2", b="May 3, 2025 or 1.2.2025")
+    assert sorted(r["date"] for r in doc.dates(some, "3 May 2025").collect()) == ["1.2.2025", "2024-01-31", "May 3, 2025"]
+    assert {r[0] for r in doc.missing(spark.createDataFrame([("a/.*",), ("c",)], "pattern string"), some.select("path").distinct()).collect()} == {"c"}
+    asked = pages_of(spark, q="""
+| ID | Recipient | Blocks | Status | Default |
+| Q1 | x | Phase 4 | open | d |
+| Q2 | x | — | answered | d |
+| Q3 | x | y | open |
+Q1 first""")
+    assert {tuple(r) for r in doc.open_questions(asked).collect()} == {("Q2", "no blocks"), ("Q3", "no default"), ("Q3", "on no agenda")}
+    good = "## Context\na\n## Options\nb\n## Decision\nc\n## Consequences\n**Building block:** d\n"
+    records = pages_of(spark, good=good, bad="## Context\n" + "w " * 800)
+    assert {tuple(r) for r in doc.decision_records(records).collect()} == {("bad", "no Options"), ("bad", "no Decision"), ("bad", "no Consequences"), ("bad", "too long"), ("bad", "another last line")}
+    order = pages_of(spark, p="# Phase 1\n## Phase 3\n# Phase 2\n# Phase 4")
+    assert [r["phase"] for r in doc.phases(order).collect()] == [2]
