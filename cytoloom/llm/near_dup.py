@@ -79,7 +79,7 @@ def _led(distinct: DataFrame) -> DataFrame:
     """
     rows = distinct.select(F.explode("keys").alias("key"), "d", "n").withColumn("h", F.xxhash64("d"))
     shared = rows.groupBy("key").agg(F.min("h").alias("least"), F.count("*").alias("c")).where("c > 1").select("key", "least")
-    shared = staged(rows.join(small(staged(shared, "near-shared")), "key"), "near-buckets")
+    shared = staged(rows.join(staged(shared, "near-shared"), "key"), "near-buckets")
     leaders = staged(shared.where("h = least").select("key", F.col("d").alias("leader"), F.col("n").alias("ln")), "near-leaders")  # plain sides, which adaptive execution splits at a hot bucket
     return shared.where("h <> least").select("key", "d", "n").join(leaders, "key")
 
