@@ -8,6 +8,7 @@ from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .mixing import OP1_SQL, op1_mixing
 from .near_dup import op10_near_dup
 from .quality import op7_quality
+from .resampling import OP12_SQL, op12_resampling
 from .secret_scan import OP2_SQL, op2_secrets
 from .sharding import OP4_SQL, op4_sharding
 from .tokens import op5_tokens
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_urls": op8_urls,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_near_dup": op10_near_dup,
+    "op12_resampling": op12_resampling,
 }
 
 ORACLES = {
@@ -34,4 +36,5 @@ ORACLES = {
     "op6_decontaminate": OP6_SQL,
     "op8_urls": OP8_SQL,
     "op9_exact_dedup": OP9_SQL,
+    "op12_resampling": OP12_SQL,
 }
