@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chat import OP3_SQL, op3_chat
 from .decontaminate import OP6_SQL, op6_decontaminate
 from .exact_dedup import OP9_SQL, op9_exact_dedup
+from .licenses import op11_licenses
 from .mixing import OP1_SQL, op1_mixing
 from .near_dup import op10_near_dup
 from .quality import op7_quality
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_urls": op8_urls,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_near_dup": op10_near_dup,
+    "op11_licenses": op11_licenses,
     "op12_resampling": op12_resampling,
 }
 
