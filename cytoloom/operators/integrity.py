@@ -16,10 +16,10 @@ INDEXED = ("expression", "he")
 MAX_BYTES = 5_000_000_000
 
 
-def assets(blobs: DataFrame, payload: str = "payload") -> DataFrame:
-    """(rel, family, bytes, sha256) of (rel, family, payload)."""
+def assets(blobs: DataFrame, payload: str = "payload", *keep: str) -> DataFrame:
+    """(rel, family, bytes, sha256, *keep) of (rel, family, payload, *keep)."""
     data = F.col(payload).cast("binary")
-    return blobs.select("rel", "family", F.octet_length(data).cast("long").alias("bytes"), F.sha2(data, 256).alias("sha256"))
+    return blobs.select("rel", "family", F.octet_length(data).cast("long").alias("bytes"), F.sha2(data, 256).alias("sha256"), *keep)
 
 
 def family_sizes(assets_: DataFrame) -> DataFrame:
