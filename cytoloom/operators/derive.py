@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import padded, replica, shade
 from ..model import CELLS, CLUSTERS, CORES, EXPRESSION, SECTIONS, Dataset, Record, conform
-from . import spatial
+from ..staging import drop, staged
+from . import factor, spatial
 
 GAP_UM, COVERAGE, BIN_UM, CANDIDATES = 100.0, 0.8, 50.0, 20_000
+#: Singular vectors and starts of k-means for the split of a cluster.
+LEADING, STARTS = 20, 10
 
 
 @dataclass(frozen=True)
@@ -66,10 +69,9 @@ def deal_patients(cores: int, patients: int | None, seed: int) -> list[str]:
     return [f"P{o + 1:0{max(2, len(str(n)))}d}" for o in owner]
 
 
-def split_largest(ds: Dataset, n: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """(cells, labels) with each of the n largest clusters but 'unassigned' cut in two by k-means over principal components."""
+def split_largest(ds: Dataset, n: int, seed: int, starts: int = STARTS) -> tuple[DataFrame, DataFrame]:
+    """(cells, labels) with each of the n largest clusters but 'unassigned' cut in two by k-means, the best of so many starts, over the leading singular vectors of its cells' display values."""
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector
 
     from .expression import display_values
@@ -81,15 +83,19 @@ def split_largest(ds: Dataset, n: int, seed: int) -> tuple[DataFrame, DataFrame]
     chosen = [r["cluster_id"] for r in largest.collect()]
     n_genes = ds.genes.count()
     genes = ds.genes.select("gene_id", F.expr("row_number() over (order by gene_id) - 1").alias("j"))
-    values = display_values(ds.expression).join(genes, "gene_id").groupBy("cell_id").agg(F.map_from_entries(F.collect_list(F.struct("j", "v"))).alias("m"))
+    values = display_values(ds.expression).join(genes, "gene_id").select(F.col("cell_id").alias("row"), "j", "v")
     cells = ds.cells
     parts = cells.where(~F.col("cluster_id").isin(chosen))
     for c in chosen:
         own = cells.where(F.col("cluster_id") == c)
-        dense = own.join(values, "cell_id", "left").withColumn("f", array_to_vector(F.transform(F.sequence(F.lit(0), F.lit(n_genes - 1)), lambda j: F.coalesce(F.element_at("m", j), F.lit(0.0)))))
-        dense = PCA(k=min(20, n_genes), inputCol="f", outputCol="p").fit(dense).transform(dense)
-        best = min((KMeans(k=2, seed=seed + i, featuresCol="p").fit(dense) for i in range(3)), key=lambda m: m.summary.trainingCost)
-        cut = best.transform(dense).withColumn("cluster_id", F.concat(F.lit(f"{c}-sub-"), (F.col("prediction") + 1).cast("string")))
+        ids = own.select(F.col("cell_id").alias("row"))
+        rows = staged(factor.sparse_rows(values.join(ids, "row", "left_semi"), ids), "split-rows")
+        places = factor.project(rows, factor.truncated_svd(rows, n_genes, LEADING, seed=seed))
+        places = staged(places.withColumn("p", array_to_vector("p")), "split-places")
+        drop(rows)
+        best = min((KMeans(k=2, seed=seed + i, featuresCol="p").fit(places) for i in range(starts)), key=lambda m: m.summary.trainingCost)
+        half = best.transform(places).select(F.col("row").alias("cell_id"), "prediction")
+        cut = own.join(half, "cell_id").withColumn("cluster_id", F.concat(F.lit(f"{c}-sub-"), (F.col("prediction") + 1).cast("string")))
         parts = parts.unionByName(cut.select(*cells.columns))
     subs = F.when(F.col("cluster_id").isin(chosen), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0)))
     labels = names.withColumn("s", F.explode(subs)).select(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import knn, stats
+from ..operators import expression, factor, knn, stats
 from ..sources import warehouse
+from ..staging import staged
 from .registry import query
 
 _S = "with s as (select n_regionkey as region, case when o_orderpriority in ('1-URGENT','2-HIGH') then 'a' else 'b' end as g, o_totalprice as v from orders join customer on o_custkey=c_custkey join nation on c_nationkey=n_nationkey) "
@@ -101,3 +102,13 @@ def m7(spark, d):
     v = _points(spark, d).withColumn("f", array_to_vector(F.col("vec").cast("array<double>")))
     v = PCA(k=5, inputCol="f", outputCol="p").fit(v).transform(v)
     return KMeans(k=2, seed=1, featuresCol="p").fit(v).transform(v).select("id", vector_to_array("p").alias("p"), "prediction")
+
+
+@query("g12_leading_vectors")
+def g12(spark, d):
+    """Cells along the five leading singular vectors of the display values, from sparse rows; tests hold it to numpy."""
+    genes = warehouse.genes(spark, d).select("gene_id", F.expr("row_number() over (order by gene_id) - 1").alias("j"))
+    values = expression.display_values(warehouse.expression(spark, d)).join(genes, "gene_id").select(F.col("cell_id").alias("row"), "j", "v")
+    rows = staged(factor.sparse_rows(values, warehouse.cells(spark, d).select(F.col("cell_id").alias("row"))), "leading-rows")
+    found = factor.truncated_svd(rows, genes.count(), 5, rounds=8)
+    return factor.project(rows, found).select(F.col("row").alias("cell_id"), *[F.round(F.col("p")[i], 6).alias(f"p{i + 1}") for i in range(5)])
