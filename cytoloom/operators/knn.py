@@ -1,4 +1,4 @@
-"""Exact nearest neighbours in blocks, and label coherence."""
+"""Exact nearest neighbours by pivots and rings or by cells of a plane, and label coherence."""
 
 from __future__ import annotations
 
@@ -7,29 +7,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..staging import drop, staged
+
 #: Rows of a block: a task holds two blocks and their distances.
 BLOCK = 2048
 
 
-def knn(points: DataFrame, k: int = 15, id_col: str = "id", vec_col: str = "vec", blocks: int | None = None) -> DataFrame:
-    """(a, b, d2, rk): the k nearest other rows of every row, of equal distances the least id first.
+#: Pivots at most, the rows that they are picked from, and rings around a pivot at most.
+PIVOTS, PICKED, RINGS = 256, 4096, 256
+_PAIRS = "a long, b long, d2 double"
 
-    Blocks of rows meet pairwise; each pair gives the k best of its left rows, and a second
-    step takes the k best over all blocks. Memory and results of a task are bounded by the
-    block. The work is that of all pairs, as exact neighbours ask for.
-    """
-    if blocks is None:
-        blocks = max(1, -(-points.count() // BLOCK))
-    rows = points.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    sides = rows.select("id", "v", F.col("blk").alias("i"), other.alias("j"), F.lit(0).alias("side")).unionByName(rows.select("id", "v", other.alias("i"), F.col("blk").alias("j"), F.lit(1).alias("side")))
+
+def _vectors(lists) -> np.ndarray:
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    return np.asarray(lists.flatten(), float).reshape(len(lists), -1)
+
+
+def _compare(k: int):
+    """A function of a group of rows (id, v, side): of each row of side 0 the k nearest of side 1, of equal distances the least id first."""
 
     def best(group: pa.Table) -> pa.Table:
-        side = group["side"].to_numpy()
-        ids = group["id"].to_numpy()
-        lists = group["v"].combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        v = np.asarray(lists.flatten()).reshape(len(ids), -1)
+        side, ids, v = group["side"].to_numpy(), group["id"].to_numpy(), _vectors(group["v"])
         order = np.argsort(ids, kind="stable")
         side, ids, v = side[order], ids[order], v[order]
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
@@ -48,11 +46,118 @@ def knn(points: DataFrame, k: int = 15, id_col: str = "id", vec_col: str = "vec"
         join = lambda x, t: pa.array(np.concatenate(x) if x else np.zeros(0), t)
         return pa.table({"a": join(out_a, pa.int64()), "b": join(out_b, pa.int64()), "d2": join(out_d, pa.float64())})
 
-    pairs = sides.groupBy("i", "j").applyInArrow(best, "a long, b long, d2 double")
+    return best
+
+
+def _top(pairs: DataFrame, k: int) -> DataFrame:
     top = pairs.groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("d2", "b"))), 1, k).alias("n"))  # at most k for each block
     return top.select("a", F.posexplode("n").alias("rk", "x")).select("a", "x.b", "x.d2", (F.col("rk") + 1).alias("rk"))
 
 
+def _pick(rows: DataFrame, most: int) -> np.ndarray:
+    """Rows far from each other: from a bounded number with the least hashes, each the farthest from those before."""
+    v = _vectors(rows.select(F.xxhash64("id").alias("h"), "id", "v").orderBy("h", "id").limit(PICKED).toArrow()["v"])
+    chosen, far = [0], ((v - v[0]) ** 2).sum(axis=1)
+    while len(chosen) < min(most, len(v)) and far.max() > 0:
+        chosen.append(int(far.argmax()))
+        far = np.minimum(far, ((v - v[chosen[-1]]) ** 2).sum(axis=1))
+    return v[chosen]
+
+
+def _distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.stack([np.sqrt(((v - p) ** 2).sum(axis=1)) for p in pivots], axis=1) if len(v) else np.zeros((0, len(pivots)))
+
+
+def knn(points: DataFrame, k: int = 15, id_col: str = "id", vec_col: str = "vec", blocks: int | None = None, block: int = BLOCK, report: dict | None = None) -> DataFrame:
+    """(a, b, d2, rk): the k nearest other rows of every row, of equal distances the least id first.
+
+    Rows lie in blocks: those nearest to one of some pivots, at distances of one ring around
+    it, and where a ring still has too many (copies of one row) dealt by hash. A row finds its
+    nearest in its own block; the distance to the k-th of them, and the row's distances to
+    the pivots, rule out whole rings by the triangle inequality, and only the others are
+    compared. Results are those of all pairs. Both sides of a comparison are of `block` rows
+    or so, whatever is near to what. Pivots and rings, some 65,000 at most, are all that tasks
+    are sent; blocks only get more by the hash.
+
+    blocks: so many blocks of equal size, in place of `block` rows in each.
+    report: gets blocks, comparisons of a row with a block (visits) and their number without bounds (of).
+    """
+    spark = points.sparkSession
+    rows = points.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    n = rows.count()
+    block = block if blocks is None else max(1, -(-n // blocks))
+    if n <= block:
+        if report is not None:
+            report.update(blocks=1, visits=n, of=n)
+        both = rows
+        return _top(both.groupBy("i").applyInArrow(_compare(k), _PAIRS), k)
+    sent = spark.sparkContext.broadcast(_pick(rows, max(1, -(-2 * n // block)) if 2 * n < block * PIVOTS else PIVOTS))
+
+    def assign(batches):
+        for b in batches:
+            d = _distances(_vectors(b.column(1)), sent.value)
+            at = d.argmin(axis=1) if len(d) else np.zeros(0, int)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at, pa.int32()), pa.array(d[np.arange(len(d)), at], pa.float64())], names=["id", "v", "p", "d"])
+
+    near = staged(rows.mapInArrow(assign, "id long, v array<double>, p int, d double"), "knn-pivots")
+    each = near.groupBy("p").agg(F.count("*").alias("c"), F.percentile_approx("d", [i / RINGS for i in range(1, RINGS)], 4 * RINGS).alias("q")).collect()  # a row for each pivot
+    cuts = {r["p"]: np.unique([r["q"][i * RINGS // m - 1] for i in range(1, m)]) for r in each for m in [min(RINGS, -(-r["c"] // block))]}
+    known = spark.sparkContext.broadcast(cuts)
+
+    def ring(batches):
+        for b in batches:
+            p, d = b.column(2).to_numpy(), b.column(3).to_numpy()
+            at = np.array([np.searchsorted(known.value[x], y, side="right") for x, y in zip(p, d)], np.int32)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at, pa.int32())], names=["id", "v", "p", "d", "r"])
+
+    ringed = near.mapInArrow(ring, "id long, v array<double>, p int, d double, r int")
+    rings = ringed.groupBy("p", "r").agg(F.count("*").alias("c"), F.min("d").alias("lo"), F.max("d").alias("hi")).orderBy("p", "r").collect()  # PIVOTS * RINGS at most
+    parts = np.array([-(-r["c"] // block) for r in rings])
+    first = np.concatenate([[0], np.cumsum(parts)[:-1]])
+    number = {(r["p"], r["r"]): i for i, r in enumerate(rings)}
+    table = spark.createDataFrame([(p, r, int(first[i]), int(parts[i])) for (p, r), i in number.items()], "p int, r int, first int, parts int")
+    placed = ringed.join(F.broadcast(table), ["p", "r"]).select("id", "v", (F.col("first") + F.pmod(F.xxhash64("id"), "parts")).cast("int").alias("blk"))
+    placed = staged(placed, "knn-blocks")
+    drop(near)
+
+    own = placed.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).groupBy("blk").applyInArrow(_compare(k), _PAIRS)
+    own = staged(own, "knn-own")
+    reach = own.groupBy(F.col("a").alias("id")).agg(F.max("d2").alias("d2"), F.count("*").alias("m"))
+    queries = placed.join(reach, "id", "left").select("id", "v", "blk", F.when(F.col("m") >= k, F.sqrt("d2")).otherwise(float("inf")).alias("reach"))
+    bounds = spark.sparkContext.broadcast((np.array([r["p"] for r in rings]), np.array([r["lo"] for r in rings]), np.array([r["hi"] for r in rings]), np.array([r["c"] for r in rings]), first, parts))
+
+    def visit(batches):
+        p, lo, hi, count, first, parts = bounds.value
+        for b in batches:
+            ids, blk, reach = (b.column(i).to_numpy() for i in (0, 2, 3))
+            d = _distances(_vectors(b.column(1)), sent.value)
+            out_id, out_blk = [], []
+            for i in range(len(ids)):
+                to = d[i][p]
+                most = reach[i]
+                if not np.isfinite(most):  # few rows in its own block: the rings that surely hold k others
+                    order = np.argsort(to + hi, kind="stable")
+                    enough = np.searchsorted(np.cumsum(count[order]), k + 1)
+                    most = (to + hi)[order[min(enough, len(order) - 1)]] if enough < len(order) else np.inf
+                seen = np.flatnonzero(np.maximum(to - hi, lo - to) <= most * (1 + 1e-9) + 1e-12 * (1 + to.max()))
+                wanted = np.concatenate([np.arange(first[s], first[s] + parts[s]) for s in seen]) if len(seen) else np.zeros(0, int)
+                wanted = wanted[wanted != blk[i]]
+                out_id.append(np.full(len(wanted), ids[i]))
+                out_blk.append(wanted)
+            join = lambda x, t: pa.array(np.concatenate(x) if x else np.zeros(0), t)
+            yield pa.RecordBatch.from_arrays([join(out_id, pa.int64()), join(out_blk, pa.int32())], names=["id", "blk"])
+
+    visits = staged(queries.mapInArrow(visit, "id long, blk int"), "knn-visits")
+    groups = visits.groupBy("blk").agg(F.ceil(F.count("*") / block).cast("int").alias("groups"))
+    if report is not None:
+        blocks = int(parts.sum())
+        report.update(blocks=blocks, visits=n + visits.count(), of=n * blocks)
+    asked = visits.join(groups, "blk").join(placed.select("id", "v"), "id").select("id", "v", "blk", F.pmod(F.xxhash64("id", "blk"), "groups").cast("int").alias("g"), F.lit(0).alias("side"))
+    there = placed.join(groups, "blk").select("id", "v", "blk", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("g"), F.lit(1).alias("side"))
+    more = asked.unionByName(there).groupBy("blk", "g").applyInArrow(_compare(k), _PAIRS)
+    return _top(own.unionByName(more), k)
+
+
 def _nearest(ids: np.ndarray, x: np.ndarray, y: np.ndarray, t_ids: np.ndarray, tx: np.ndarray, ty: np.ndarray, k: int):
     """Of each query the k nearest other targets, of equal distances the least id: (row, target id, squared distance). Targets are ordered by id."""
     at, near, dist = [], [], []
