@@ -89,7 +89,7 @@ def knn(points: DataFrame, k: int = 15, id_col: str = "id", vec_col: str = "vec"
     if n <= block:
         if report is not None:
             report.update(blocks=1, visits=n, of=n)
-        both = rows
+        both = rows.withColumns({"i": F.lit(0), "side": F.explode(F.array(F.lit(0), F.lit(1)))})
         return _top(both.groupBy("i").applyInArrow(_compare(k), _PAIRS), k)
     sent = spark.sparkContext.broadcast(_pick(rows, max(1, -(-2 * n // block)) if 2 * n < block * PIVOTS else PIVOTS))
 
