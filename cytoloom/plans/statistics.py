@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import expression, factor, knn, stats
+from ..operators import expression, factor, knn, neighbour_map, stats
 from ..sources import warehouse
 from ..staging import staged
 from .registry import query
@@ -112,3 +112,15 @@ def g12(spark, d):
     rows = staged(factor.sparse_rows(values, warehouse.cells(spark, d).select(F.col("cell_id").alias("row"))), "leading-rows")
     found = factor.truncated_svd(rows, genes.count(), 5, rounds=8)
     return factor.project(rows, found).select(F.col("row").alias("cell_id"), *[F.round(F.col("p")[i], 6).alias(f"p{i + 1}") for i in range(5)])
+
+
+@query("m3_neighbour_map")
+def m3(spark, d):
+    """The vectors as a map of their neighbours, from their first two principal components on; tests hold it to what those keep."""
+    points = staged(_points(spark, d), "map-points")
+    entries = points.select(F.col("id").alias("row"), F.posexplode("vec").alias("j", "v"))
+    rows = staged(factor.sparse_rows(entries), "map-rows")
+    first = factor.project(rows, factor.truncated_svd(rows, points.agg(F.max(F.size("vec"))).first()[0] or 1, 2, centred=True))
+    start = staged(first.select(F.col("row").alias("id"), F.col("p")[0].alias("x"), F.col("p")[1].alias("y")), "map-components")
+    graph = staged(neighbour_map.fuzzy_graph(knn.knn(points, 14), 15), "map-graph")
+    return neighbour_map.layout(graph, start).select("id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))

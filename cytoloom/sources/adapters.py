@@ -114,8 +114,8 @@ def sensor(spark: SparkSession, cfg, raw: files.Ledger | None = None) -> Dataset
     if cfg.recompute_in:
 
         def again(covered: DataFrame) -> tuple[DataFrame, dict]:
-            counts, parameters = expression.join(covered, "cell_id", "left_semi"), {"components": 2, "dataset": cfg.name, "seed": cfg.seed}
-            made, hit = embeddings.cached(counts, parameters, cfg.recompute_in, lambda: embeddings.components(counts, genes, cells=covered))
+            counts, parameters = expression.join(covered, "cell_id", "left_semi"), {**embeddings.PARAMETERS, "dataset": cfg.name, "seed": cfg.seed}
+            made, hit = embeddings.cached(counts, parameters, cfg.recompute_in, lambda: embeddings.mapped(counts, genes, covered, seed=cfg.seed))
             return made, {"parameters": parameters, "cached": hit}
 
     embedding, found = choose_embedding(labelled.select("cell_id", "cluster_id", F.col("transcript_counts").alias("n_transcripts")), projection, again)
