@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import spatial, validation
+from ..operators import selection, spatial, validation
 from ..sources import warehouse
 from .registry import canon, query
 
@@ -166,7 +166,15 @@ def a4(spark, d):
 @query("a5_median", canon("cells") + "select cluster_id, median(n_transcripts)::double as med from cells group by 1 union all select 'all', median(n_transcripts)::double from cells")
 def a5(spark, d):
     c = _cells(spark, d, "cluster_id", "n_transcripts")
-    return c.groupBy("cluster_id").agg(F.median("n_transcripts").alias("med")).unionByName(c.agg(F.lit("all").alias("cluster_id"), F.median("n_transcripts").alias("med")))
+    both = c.withColumn("cluster_id", F.explode(F.array(F.col("cluster_id"), F.lit("all"))))
+    return selection.median(both, ["cluster_id"], "n_transcripts", "med")
+
+
+@query("a5_median_prices", "select l_returnflag, median(l_extendedprice) as med, count(*) as n from lineitem group by 1")
+def a5p(spark, d):
+    """Medians of groups of hundreds of thousands of distinct values."""
+    li = warehouse.read(spark, d, "lineitem", "l_returnflag", "l_extendedprice")
+    return selection.median(li, ["l_returnflag"], "l_extendedprice", "med").join(li.groupBy("l_returnflag").agg(F.count("*").alias("n")), "l_returnflag")
 
 
 @query("a6_extent", canon("cells") + "select core_id, floor(min(x_um))::bigint as x0, floor(min(y_um))::bigint as y0, ceil(max(x_um))::bigint as x1, ceil(max(y_um))::bigint as y1, round(max(x_um)-min(x_um),6) as span from cells group by 1")
