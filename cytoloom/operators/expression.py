@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codec import u32_hex, varint_hex, varint_length
+from ..staging import staged
+
+#: Places of cells that a task takes of a gene.
+SEGMENT = 2**16
 
 
 def library_size(cells: DataFrame, expression: DataFrame) -> DataFrame:
@@ -40,10 +44,18 @@ def detection(expression: DataFrame, genes: DataFrame) -> DataFrame:
     return genes.select("gene_id").join(n, "gene_id", "left").na.fill(0, ["nnz", "max_count"])
 
 
-def deltas(quantised_: DataFrame, positions: DataFrame) -> DataFrame:
-    """(gene_id, idx, delta, q): cell places of a gene in order and their differences, the first against 0. positions: (cell_id, idx)."""
-    w = Window.partitionBy("gene_id").orderBy("idx")
-    return quantised_.join(positions.select("cell_id", "idx"), "cell_id").select("gene_id", "idx", (F.col("idx") - F.lag("idx", 1, 0).over(w)).alias("delta"), "q")
+def deltas(quantised_: DataFrame, positions: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """(gene_id, idx, delta, q): cell places of a gene in order and their differences, the first against 0. positions: (cell_id, idx).
+
+    Only a segment of a gene's places is ordered in a task; the first difference of a
+    segment is against the last place of the segments before, of which a gene has one row each.
+    """
+    rows = quantised_.join(positions.select("cell_id", "idx"), "cell_id").select("gene_id", "idx", "q", F.expr(f"cast(idx div {segment} as int)").alias("seg"))
+    dealt = rows.repartition("gene_id", "seg")  # one exchange for both sides below
+    last = dealt.groupBy("gene_id", "seg").agg(F.max("idx").alias("last"))
+    before = last.select("gene_id", "seg", F.lag("last", 1, 0).over(Window.partitionBy("gene_id").orderBy("seg")).alias("before"))
+    prior = F.lag("idx").over(Window.partitionBy("gene_id", "seg").orderBy("idx"))
+    return dealt.withColumn("prior", prior).join(before, ["gene_id", "seg"]).select("gene_id", "idx", (F.col("idx") - F.coalesce("prior", "before")).alias("delta"), "q")
 
 
 def blob_sizes(deltas_: DataFrame, n_cells: int) -> DataFrame:
@@ -53,19 +65,32 @@ def blob_sizes(deltas_: DataFrame, n_cells: int) -> DataFrame:
     return sizes.select("gene_id", "nnz", F.when(sparse, 0).otherwise(1).alias("fmt"), (F.when(sparse, F.col("codes") + F.col("nnz")).otherwise(n_cells) + 5).alias("bytes"))
 
 
-def blobs(deltas_: DataFrame, n_cells: int) -> DataFrame:
+def blobs(deltas_: DataFrame, n_cells: int, segment: int = SEGMENT) -> DataFrame:
     """(gene_id, nnz, fmt, payload): format byte, count, then varint differences and values, or one value for every cell.
 
-    A gene's blob is one value of at most n_cells + 5 bytes, so its rows meet in one task.
+    A gene's bytes are made in segments of its places, each in a task of its own, which then
+    follow one another: only the blob itself, one value of at most n_cells + 5 bytes, meets in one task.
     """
-    rows = deltas_.groupBy("gene_id").agg(F.sort_array(F.collect_list(F.struct("idx", "delta", "q"))).alias("r"), F.count("*").alias("nnz"), F.sum(varint_length(F.col("delta"))).alias("codes"))
-    rows = rows.withColumn("fmt", F.when(F.col("codes") + F.col("nnz") < n_cells, 0).otherwise(1))
+    deltas_ = staged(deltas_, "blob-deltas")  # read for the sizes and for the bytes
+    sizes = blob_sizes(deltas_, n_cells).select("gene_id", "nnz", "fmt")
+    rows = deltas_.join(sizes, "gene_id").withColumn("seg", F.expr(f"cast(idx div {segment} as int)"))
+    parts = rows.groupBy("gene_id", "nnz", "fmt", "seg").agg(F.sort_array(F.collect_list(F.struct("idx", "delta", "q"))).alias("r"))
     byte = lambda q: F.lpad(F.hex(q.cast("long")), 2, "0")
-    sparse = F.concat(F.array_join(F.transform("r", lambda x: varint_hex(x["delta"])), ""), F.array_join(F.transform("r", lambda x: byte(x["q"])), ""))
     zeros = lambda n: F.repeat(F.lit("00"), n.cast("int"))
-    filled = F.array_join(F.transform("r", lambda x, i: F.concat(zeros(x["delta"] - F.when(i == 0, 0).otherwise(1)), byte(x["q"]))), "")
-    dense = F.concat(filled, zeros(n_cells - 1 - F.element_at("r", -1)["idx"]))
-    return rows.select("gene_id", "nnz", "fmt", F.unhex(F.concat(F.lpad(F.hex(F.col("fmt").cast("long")), 2, "0"), u32_hex(F.col("nnz")), F.when(F.col("fmt") == 0, sparse).otherwise(dense))).alias("payload"))
+    first = F.col("seg").cast("long") * segment
+    end = F.least(first + segment, F.lit(n_cells))
+    gap = lambda x, i: F.when(i == 0, x["idx"] - first).otherwise(x["delta"] - 1)
+    filled = F.concat(F.array_join(F.transform("r", lambda x, i: F.concat(zeros(gap(x, i)), byte(x["q"]))), ""), zeros(end - 1 - F.element_at("r", -1)["idx"]))
+    codes = F.when(F.col("fmt") == 0, F.array_join(F.transform("r", lambda x: varint_hex(x["delta"])), "")).otherwise(filled)
+    values = F.when(F.col("fmt") == 0, F.array_join(F.transform("r", lambda x: byte(x["q"])), "")).otherwise("")
+    parts = parts.select("gene_id", "nnz", "fmt", F.struct("seg", codes.alias("codes"), values.alias("values")).alias("p"))
+    whole = parts.groupBy("gene_id", "nnz", "fmt").agg(F.sort_array(F.collect_list("p")).alias("p"))
+    sparse = F.concat(F.array_join(F.transform("p", lambda x: x["codes"]), ""), F.array_join(F.transform("p", lambda x: x["values"]), ""))
+    # segments without the gene are zeros
+    at = F.map_from_entries(F.transform("p", lambda x: F.struct(x["seg"], x["codes"])))
+    every = F.sequence(F.lit(0), F.lit(max(0, (n_cells - 1) // segment)))
+    dense = F.array_join(F.transform(every, lambda s: F.coalesce(F.element_at(at, s), zeros(F.least((s + 1) * segment, F.lit(n_cells)) - s * segment))), "")
+    return whole.select("gene_id", "nnz", "fmt", F.unhex(F.concat(F.lpad(F.hex(F.col("fmt").cast("long")), 2, "0"), u32_hex(F.col("nnz")), F.when(F.col("fmt") == 0, sparse).otherwise(dense))).alias("payload"))
 
 
 def decode_blob(payload: bytes, n_cells: int) -> tuple[list[int], list[int]]:

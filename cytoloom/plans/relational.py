@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import selection, spatial, validation
+from ..operators import selection, spatial, stats, validation
 from ..sources import warehouse
 from .registry import canon, query
 
@@ -48,14 +48,24 @@ def j4(spark, d):
     return j.select("cell_id", (F.col("x_um").between(F.col("bounds_x0"), F.col("bounds_x1")) & F.col("y_um").between(F.col("bounds_y0"), F.col("bounds_y1"))).alias("inside"))
 
 
+#: Keys of a range within one date.
+DAY_KEYS = 2**20
+
+
 @query("j5_align_rows", "select o_orderkey as barcode, (row_number() over (order by o_orderdate, o_orderkey)) - 1 as pos, o_custkey from orders")
 def j5(spark, d):
     """Rows of one table in the order of another: positions without a sort in one task."""
     o = warehouse.read(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
-    per_day = o.groupBy("o_orderdate").agg(F.count("*").alias("c"))
-    first = per_day.withColumn("first", F.coalesce(F.sum("c").over(Window.orderBy("o_orderdate").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    pos = F.col("first") + F.row_number().over(Window.partitionBy("o_orderdate").orderBy("o_orderkey")) - 1
-    return o.join(first.drop("c"), "o_orderdate").select(F.col("o_orderkey").alias("barcode"), pos.alias("pos"), "o_custkey")
+    counts = o.groupBy("o_orderdate").agg(F.count("*").alias("c"))
+    below = stats.below(counts, [], "o_orderdate", "c").select(F.col("o_orderdate").alias("day"), "below")
+    # rows of one date are dealt to ranges of their keys, as one may have most of them
+    span = F.expr(f"o_orderkey div {DAY_KEYS}")
+    dealt = o.withColumn("span", span)
+    starts = dealt.groupBy("o_orderdate", "span").agg(F.count("*").alias("c"))
+    before = F.coalesce(F.sum("c").over(Window.partitionBy("o_orderdate").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = starts.join(below, F.col("day") == F.col("o_orderdate")).select("o_orderdate", "span", (before + F.col("below")).alias("first"))
+    pos = F.col("first") + F.row_number().over(Window.partitionBy("o_orderdate", "span").orderBy("o_orderkey")) - 1
+    return dealt.join(starts, ["o_orderdate", "span"]).select(F.col("o_orderkey").alias("barcode"), pos.alias("pos"), "o_custkey")
 
 
 @query("j6_group_labels", "select c_custkey, n_name as label from customer left join (select * from nation where n_regionkey <> 2) on c_nationkey = n_nationkey")

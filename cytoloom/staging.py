@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_ours: dict[str, SparkSession] = {}
+
 
 def folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir; a local session without it (tests) gets a temporary folder, a cluster without it is an error."""
@@ -20,17 +23,33 @@ def folder(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet and read again, so that a lost executor costs its tasks alone."""
+    """df written as Parquet and read again, so that a lost executor costs its tasks alone. The table goes with the process, or by drop()."""
     path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _ours[path] = df.sparkSession
     df.write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back.staged_at = path
     return back
 
 
+def _delete(path: str) -> None:
+    spark = _ours.pop(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def drop(*tables: DataFrame) -> None:
     """Deletes tables of staged() that nothing reads any more."""
     for df in tables:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.staged_at)
+
+
+def _leave() -> None:
+    for path in list(_ours):
+        try:
+            _delete(path)
+        except Exception:  # noqa: BLE001  the session has ended: the folder's owner cleans up
+            return
+
+
+atexit.register(_leave)

@@ -53,6 +53,22 @@ def test_blobs_round_trip(spark):
     assert sizes == {r["gene_id"]: len(r["payload"]) for r in expression.blobs(d, n).collect()}
 
 
+def test_segments_of_genes_give_the_same_bytes(spark):
+    """A gene that every cell has is dealt to many segments; others miss some."""
+    rng = random.Random(9)
+    n = 500
+    rows = [(f"G{g}", i, rng.randint(1, 255)) for g, own in enumerate((range(n), range(0, n, 7), [3, 250, 251, 499], [499], range(100, 140), [i for i in range(n) if i % 100 > 40])) for i in own]
+    q = spark.createDataFrame([(str(i), g, v) for g, i, v in rows], "cell_id string, gene_id string, q int")
+    cells = spark.createDataFrame([(str(i), i) for i in range(n)], "cell_id string, idx int")
+    key = lambda df: sorted(map(tuple, df.collect()))
+    one, many = expression.deltas(q, cells), expression.deltas(q, cells, segment=16)
+    assert key(one) == key(many)
+    blobs = {s: {r["gene_id"]: (r["nnz"], r["fmt"], bytes(r["payload"])) for r in expression.blobs(many, n, segment=s).collect()} for s in (16, 100, 500, 2**16)}
+    assert {f for _, f, _ in blobs[16].values()} == {0, 1} and all(b == blobs[2**16] for b in blobs.values())
+    for g, (_, _, payload) in blobs[16].items():
+        assert list(zip(*expression.decode_blob(payload, n))) == sorted((i, v) for h, i, v in rows if h == g)
+
+
 def test_zero_totals_and_reserved_zero(spark):
     e = spark.createDataFrame([("a", "g", 0), ("b", "g", 5), ("b", "h", 1)], "cell_id string, gene_id string, count int")
     got = {(r["cell_id"], r["gene_id"]): r["q"] for r in expression.quantised(expression.display_values(e)).collect()}
