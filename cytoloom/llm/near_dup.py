@@ -11,18 +11,20 @@
    alignment. Texts of a leader with many partners go out once for each share of them.
 4. Members that differ from their leader (texts that share a passage and little else, or a
    second class in the bucket) are compared with each other, and with the members that match
-   it, by length, bag and, for the latter, the distances of both from the leader, which
-   bound that between them: blocks of a bounded number of rows, each pair of blocks a task.
-   Bags move here, texts don't. Pairs that may be near are aligned as above. Where a task
-   finds very many, as in a second class, each text has its best partner first, and the
-   group comes again, with the pairs left between classes that these links didn't join. No
-   bucket is capped or dropped.
+   it, by length, bag, sets of neighbouring words, which feel order, and, for the latter,
+   the distances of both from the leader, which bound that between them: blocks of a bounded
+   number of rows, each pair of blocks a task. Bags and sets move here, texts don't. Pairs that may
+   be near are aligned as above. Where a task finds very many, as in a second class, each
+   text has its best partner first, and the group comes again, with the pairs left between
+   classes that these links didn't join; after some such rounds all that is left comes at
+   once, in a stream. No bucket is capped or dropped.
 5. Classes are the connected components of the verified links, and copies join their text.
 """
 
 from __future__ import annotations
 
 from collections import OrderedDict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import sketches
-from .common import small, staged, table
+from .common import discard, small, staged, table
 from .decontaminate import words
 from .graph import components
 
@@ -39,8 +41,10 @@ SIMILARITY = 0.8
 BLOCK = 4096
 #: Partners of a leader that one copy of its text serves.
 SHARE = 256
-#: Pairs for each text above which a task of the comparison gives the best ones first.
-DENSE = 256
+#: Pairs for each text above which a task of the comparison gives the best ones first, and the rounds in which it may.
+DENSE, ROUNDS = 256, 8
+#: Pairs that a task hands on at once.
+PAIRS = 100_000
 
 
 def key_of(text: Column) -> Column:
@@ -90,7 +94,7 @@ def _close(a: str, b: str) -> Column:
 
 
 def _aligned(pairs: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
-    """(a, b, n, ok, edits) of staged distinct pairs (a, b): words of b, whether the texts are similar, and sketches.edits(). a is the one that may have many partners."""
+    """(a, b, n, ok, edits) of staged distinct pairs (a, b), staged: words of b, whether the texts are similar, and sketches.edits(). a is the one that may have many partners."""
     hot = staged(pairs.groupBy("a").agg(F.count("*").alias("c")).where(F.col("c") > SHARE), "near-hot")
     salt = F.when(F.col("c").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), F.ceil(F.col("c") / SHARE)))
     pairs = staged(pairs.join(small(hot), "a", "left").select("a", "b", salt.cast("int").alias("salt")), "near-pairs")
@@ -116,7 +120,22 @@ def _aligned(pairs: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
                 found.append(sketches.edits(recent[k], other, SIMILARITY))
             yield pa.RecordBatch.from_arrays([a, b, pa.array(n, pa.int32()), pa.array([x for x, _ in found], pa.bool_()), pa.array([x for _, x in found], pa.int32())], names=["a", "b", "n", "ok", "edits"])
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary, n int, ok boolean, edits int")
+    out = staged(both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary, n int, ok boolean, edits int"), "near-aligned")
+    discard(hot, pairs, needed)
+    return out
+
+
+def _ordered(df: DataFrame, text_col: str, needed: DataFrame) -> DataFrame:
+    """(d, grams) of the texts in needed (d)."""
+
+    def run(batches):
+        known = sketches.Words()
+        for batch in batches:
+            every = [words(t.as_py()) for t in batch.column(1)]
+            found = [sketches.grams(np.fromiter(map(known.__getitem__, w), np.uint64, len(w))) for w in every]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["d", "grams"])
+
+    return _identified(df, text_col).join(small(needed), "d", "left_semi").mapInArrow(run, "d binary, grams binary").dropDuplicates(["d"])
 
 
 def _rooted(rows: DataFrame, roots: DataFrame, column: str = "d", name: str = "root") -> DataFrame:
@@ -150,9 +169,9 @@ def _leftovers(led: DataFrame, tested: DataFrame, roots: DataFrame) -> DataFrame
 
 
 def _candidates(items: DataFrame, bags: DataFrame, roots: DataFrame, dense: int | None) -> DataFrame:
-    """(a, b, g): pairs of items of a group that are of different classes and may be similar by length and bag; g is null.
+    """(a, b, g), staged: pairs of items of a group that are of different classes and may be similar by length, bag and order; g is null.
 
-    bags (d, n, bag, buckets): buckets are the groups of side 0 that a text is in. A pair comes
+    bags (d, n, bag, grams, buckets): buckets are the groups of side 0 that a text is in. A pair comes
     from the least of those that both are in, from others only if there is none. A task that
     finds more than `dense` pairs for each text gives the best of each, and a row
     of its group g alone.
@@ -163,18 +182,20 @@ def _candidates(items: DataFrame, bags: DataFrame, roots: DataFrame, dense: int
     count = lambda s: F.sum(F.when(F.col("side") == s, 1).otherwise(0))
     blocks = lambda s: F.greatest(F.lit(1), F.ceil(count(s) / BLOCK)).cast("int")
     groups = each(texts).groupBy("g").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), blocks(0).alias("b0"), blocks(1).alias("b1"), blocks(2).alias("b2")).where("r0 <> r1")
-    groups = small(staged(groups.select("g", "b0", "b1", "b2"), "near-groups"))
-    rows = each(texts.join(bags, "d"), "n", "bag", "buckets").join(groups, "g")
+    wanted = staged(groups.select("g", "b0", "b1", "b2"), "near-groups")
+    groups = small(wanted)
+    rows = each(texts.join(bags, "d"), "n", "bag", "grams", "buckets").join(groups, "g")
     own = F.pmod(F.xxhash64("d"), F.when(F.col("side") == 0, F.col("b0")).when(F.col("side") == 1, F.col("b1")).otherwise(F.col("b2"))).cast("int")
     others = F.when(F.col("side") == 0, F.col("b0")).when(F.col("side") == 1, F.col("b2")).otherwise(F.col("b1"))
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
     i = F.when(F.col("side") == 0, F.least("own", "other")).when(F.col("side") == 1, F.col("own")).otherwise(F.col("other"))
     j = F.when(F.col("side") == 0, F.greatest("own", "other")).when(F.col("side") == 1, F.col("other")).otherwise(F.col("own"))
-    rows = rows.withColumns({"i": i, "j": j}).select("g", "i", "j", "k", "side", "own", "d", "n", "root", "bag", "off", "buckets")
+    rows = rows.withColumns({"i": i, "j": j}).select("g", "i", "j", "k", "side", "own", "d", "n", "root", "bag", "grams", "off", "buckets")
 
-    def compare(group: pa.Table) -> pa.Table:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = pa.Table.from_batches(list(batches))  # two blocks at most
         own, n, side, off = (group[c].to_numpy() for c in ("own", "n", "side", "off"))
-        d, root = group["d"].to_pylist(), group["root"].to_pylist()
+        d, root, grams = (group[c].to_pylist() for c in ("d", "root", "grams"))
         bags = np.frombuffer(b"".join(group["bag"].to_pylist()), np.uint8).reshape(len(d), -1)
         coarse = bags.reshape(len(d), 32, -1).sum(axis=2, dtype=np.int32)
         label = np.unique(np.array([r.hex() for r in root]), return_inverse=True)[1]
@@ -183,36 +204,52 @@ def _candidates(items: DataFrame, bags: DataFrame, roots: DataFrame, dense: int
         second = np.flatnonzero(own == group["j"][0].as_py() if each else side == 2)
         second = second[np.argsort(n[second], kind="stable")]
         lengths = n[second]
-        a, b, bests, bucket, of = [], [], [], group["k"][0].as_py(), {}
+        bucket, of = group["k"][0].as_py(), {}
+        twice = each and group["i"][0].as_py() == group["j"][0].as_py()  # a block with itself: pairs come from both ends
 
         def buckets(x: int) -> frozenset[int]:
             if x not in of:
                 of[x] = frozenset(group["buckets"][x].as_py())
             return of[x]
 
-        for x in first:
-            lo = np.searchsorted(lengths, SIMILARITY * n[x] - 1e-6)
-            hi = np.searchsorted(lengths, n[x] / SIMILARITY + 1e-6, side="right")
-            near = second[lo:hi]
-            near = near[label[near] != label[x]]
-            if not each:  # off: of x at least so many edits from the leader, of the others at most
-                near = near[off[x] - off[near] <= (1 - SIMILARITY) * np.maximum(n[near], n[x]) + 1e-6]
-            if not len(near):
-                continue
-            near, moved = sketches.possible(x, near, bags, coarse, n, SIMILARITY)
-            mine = np.array([min(buckets(x) & buckets(y), default=None) == bucket for y in near], bool)
-            near, moved = near[mine], moved[mine]
-            if len(near):
+        def partners() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+            """Of each text of the first block those of the second that may be near, and bounds of their distances."""
+            for x in first:
+                lo = np.searchsorted(lengths, SIMILARITY * n[x] - 1e-6)
+                hi = np.searchsorted(lengths, n[x] / SIMILARITY + 1e-6, side="right")
+                near = second[lo:hi]
+                near = near[label[near] != label[x]]
+                if not each:  # off: of x at least so many edits from the leader, of the others at most
+                    near = near[off[x] - off[near] <= (1 - SIMILARITY) * np.maximum(n[near], n[x]) + 1e-6]
+                if len(near):
+                    near, moved = sketches.possible(x, near, bags, coarse, n, SIMILARITY)
+                if len(near):
+                    fits = sketches.in_order(x, near, grams, n, SIMILARITY)
+                    near, moved = near[fits], moved[fits]
+                mine = np.array([min(buckets(x) & buckets(y), default=None) == bucket for y in near], bool)
+                if mine.any():
+                    yield x, near[mine], moved[mine]
+
+        def rows_of(pairs: list[tuple[int, int]], again: bool = False) -> pa.RecordBatch:
+            out = [(min(d[x], d[y]), max(d[x], d[y]), None) for x, y in pairs] + [(None, None, group["g"][0].as_py())] * again
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.binary(), pa.binary(), pa.string()))], names=["a", "b", "g"])
+
+        found, bests, many = [], [], False
+        for x, near, moved in partners():
+            if dense is not None:
                 bests.append((x, near[np.argmin(moved / np.maximum(n[near], n[x]))]))
-                if dense is None or len(a) <= dense * len(first):
-                    a += [x] * len(near)
-                    b += near.tolist()
-        again = dense is not None and len(a) > dense * len(first)
-        pairs = {(min(d[x], d[y]), max(d[x], d[y])) for x, y in (bests if again else zip(a, b))}
-        out = [(x, y, None) for x, y in pairs] + [(None, None, group["g"][0].as_py())] * again
-        return pa.table({c: pa.array([r[i] for r in out], t) for i, (c, t) in enumerate((("a", pa.binary()), ("b", pa.binary()), ("g", pa.string())))})
+            if not many:
+                found += [(x, y) for y in near.tolist() if not twice or d[x] < d[y]]
+            if dense is not None:
+                many = many or len(found) > dense * len(first)
+            elif len(found) > PAIRS:
+                yield rows_of(found)
+                found = []
+        yield rows_of(bests if many else found, many)
 
-    return rows.groupBy("g", "i", "j").applyInArrow(compare, "a binary, b binary, g string").distinct()
+    out = staged(rows.groupBy("g", "i", "j").applyInArrow(compare, "a binary, b binary, g string").distinct(), "near-candidates")
+    discard(texts, wanted)
+    return out
 
 
 def _classes(df: DataFrame, text_col: str) -> DataFrame:
@@ -221,24 +258,33 @@ def _classes(df: DataFrame, text_col: str) -> DataFrame:
     distinct = staged(found.groupBy("d").agg(*[F.first(c).alias(c) for c in ("n", "keys", "bag")]), "near-distinct")
     led = staged(_led(distinct), "near-led")
     pairs = staged(led.where(_close("n", "ln")).select(F.col("leader").alias("a"), F.col("d").alias("b")).distinct(), "near-close")
-    tested = staged(_aligned(pairs, df, text_col), "near-aligned")
+    tested = _aligned(pairs, df, text_col)
     links = lambda rows: rows.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v"))
     sorted_ = lambda rows: rows.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     roots = components(links(tested))
     items = staged(_leftovers(led, tested, roots), "near-leftovers")
+    if not items.limit(1).count():
+        return roots
     buckets = items.where("side = 0").groupBy("d").agg(F.collect_list("k").alias("buckets"))
-    bags = distinct.select("d", "n", "bag").join(buckets, "d", "left").withColumn("buckets", F.coalesce("buckets", F.array().cast("array<bigint>")))
-    bags = staged(bags.join(items.select("d").distinct(), "d", "left_semi"), "near-bags")
-    done, found = staged(sorted_(tested).distinct(), "near-done"), True
+    needed = staged(items.select("d").distinct(), "near-needed")
+    bags = distinct.select("d", "n", "bag").join(needed, "d", "left_semi").join(_ordered(df, text_col, needed), "d")
+    bags = staged(bags.join(buckets, "d", "left").withColumn("buckets", F.coalesce("buckets", F.array().cast("array<bigint>"))), "near-bags")
+    done, found, round_ = staged(sorted_(tested).distinct(), "near-done"), True, 0
     while items.limit(1).count():
-        pairs = staged(_candidates(items, bags, roots, DENSE if found else None), "near-candidates")
+        # without a link the next round would find the same again, so it takes all pairs, as the last one does
+        pairs = _candidates(items, bags, roots, DENSE if found and round_ < ROUNDS else None)
         new = staged(pairs.where("g is null").select("a", "b").join(done, ["a", "b"], "left_anti"), "near-new")
-        aligned = staged(_aligned(new, df, text_col), "near-aligned")
-        found = aligned.where("ok").limit(1).count() > 0  # without a link the next round would find the same again, so it takes all pairs
+        aligned = _aligned(new, df, text_col)
+        found = aligned.where("ok").limit(1).count() > 0
         if found:
-            roots = components(roots.unionByName(links(aligned)))
-        done = staged(done.unionByName(new), "near-done")
-        items = items.join(small(pairs.where("g is not null").select("g").distinct()), "g", "left_semi")
+            before, roots = roots, components(roots.unionByName(links(aligned)))
+            discard(before)
+        again = staged(pairs.where("g is not null").select("g").distinct(), "near-again")
+        old = (items, done, pairs, new, aligned, again)
+        items, done = staged(items.join(small(again), "g", "left_semi"), "near-leftovers"), staged(done.unionByName(new), "near-done")
+        discard(*old)
+        round_ += 1
+    discard(items, done, needed, bags)
     return roots
 
 

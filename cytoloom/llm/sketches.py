@@ -33,6 +33,8 @@ POWERS = np.array([pow(0x9E3779B97F4A7C15, j, 2**64) for j in range(64)], np.uin
 BLOCK = 4096
 #: k-mer hashes times components that are held at once.
 AT_ONCE = 65_536
+#: Bits of a set of pairs of words at least, and 64-bit words of such sets that are compared at once.
+BITS, HELD = 1024, 2**18
 
 
 class Words(dict):
@@ -147,6 +149,42 @@ def possible(x: int, near: np.ndarray, bags: np.ndarray, coarse: np.ndarray, n:
     return near, moved
 
 
+def grams(numbers: np.ndarray) -> bytes:
+    """The set of a text's pairs of neighbouring words, as bits: a power of two of them, of eight times its words or more.
+
+    An edit takes away or adds four pairs at most, so a quarter of the number of bits in which two
+    texts differ is a lower bound of their edit distance that feels order.
+    """
+    bits = max(BITS, 1 << (8 * len(numbers) - 1).bit_length()) if len(numbers) else BITS
+    h = mixed(numbers[:-1] * POWERS[1] + numbers[1:] * POWERS[2])
+    out = np.zeros(bits, np.uint8)
+    out[(h & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(out).tobytes()
+
+
+def folded(bits: np.ndarray, words_: int) -> np.ndarray:
+    """Rows of bits in fewer 64-bit words."""
+    return np.bitwise_or.reduce(bits.reshape(len(bits), -1, words_), axis=1)
+
+
+def in_order(x: int, near: np.ndarray, grams_: list[bytes], n: np.ndarray, least: float) -> np.ndarray:
+    """Which of near may be similar to x by their pairs of words. No pair that is similar is left out."""
+    mine = np.frombuffer(grams_[x], np.uint64)[None, :]
+    sizes = np.array([len(grams_[y]) // 8 for y in near])
+    most = 4 * ((1 - least) * np.maximum(n[near], n[x]) + 1e-6)
+    out = np.ones(len(near), bool)
+    for size in np.unique(sizes):
+        words_ = min(int(size), mine.shape[1])
+        own = folded(mine, words_)
+        which = np.flatnonzero(sizes == size)
+        step = max(1, HELD // int(size))
+        for at in range(0, len(which), step):
+            some = which[at : at + step]
+            others = np.frombuffer(b"".join(grams_[near[i]] for i in some), np.uint64).reshape(len(some), size)
+            out[some] = np.bitwise_count(folded(others, words_) ^ own).sum(axis=1) <= most[some]
+    return out
+
+
 def bag_distance(a: list, b: list) -> int:
     """A lower bound of the edit distance: words of the longer sequence that the other lacks."""
     return max(len(a), len(b)) - sum((Counter(a) & Counter(b)).values())

@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -393,6 +394,41 @@ def test_bags_never_rule_out_a_similar_pair():
         assert len(near) or not sketches.similar(a, b)
 
 
+def test_pairs_of_words_never_rule_out_a_similar_pair():
+    rng = random.Random(31)
+    for _ in range(300):
+        a = [rng.randrange(40) for _ in range(rng.choice([3, 30, 300, 700]))]
+        b = list(a)
+        for _ in range(rng.randint(0, len(a) // 5)):
+            i = rng.randrange(len(b) + 1)
+            b[i : i + rng.randint(0, 1)] = [rng.randrange(60)] * rng.randint(0, 1)
+        numbers = [np.array([xxhash.xxh64_intdigest(str(x).encode()) for x in t], np.uint64) for t in (a, b)]
+        fits = sketches.in_order(0, np.array([1]), [sketches.grams(x) for x in numbers], np.array([len(a), len(b)]), 0.8)[0]
+        assert fits or not sketches.similar(a, b, 0.8)
+    assert len(sketches.grams(np.zeros(0, np.uint64))) == len(sketches.grams(np.zeros(1, np.uint64))) == 128
+
+
+def test_same_words_in_another_order_are_hardly_aligned(spark, monkeypatch):
+    """2,000 texts that share a passage and hold the same other words in another order, and some near copies among them."""
+    rng = random.Random(12)
+    passage, rest = [f"p{i}" for i in range(80)], [f"w{i}" for i in range(100)]
+    texts = [" ".join(passage + rng.sample(rest, 100)) for _ in range(2000)]
+    texts += [t.replace("w7 ", "x ").replace("w50 ", "y ") for t in texts[:5]]
+    counted = []
+
+    def aligned(pairs, *a, f=near_dup._aligned):
+        counted.append(pairs.count())
+        return f(pairs, *a)
+
+    monkeypatch.setattr(near_dup, "_aligned", aligned)
+    began = time.time()
+    got = near_dup.near_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()
+    took = time.time() - began
+    print("seconds", round(took), "pairs aligned", sum(counted), "of", 2005 * 2004 // 2)
+    assert {r["doc_id"]: r["class_id"] for r in got} == {i: i - 2000 if i >= 2000 else i for i in range(2005)}
+    assert sum(counted) < 0.05 * 2005 * 2004 / 2 and took < 60
+
+
 def test_near_classes_of_nothing_and_of_nulls(spark):
     none = spark.createDataFrame([], DOCS)
     assert near_dup.near_classes(none).count() == 0 and near_dup.keep_one(none).count() == 0
