@@ -10,6 +10,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import merkle
+
 SCHEMA_VERSION = 1
 #: Families whose files are listed in an index of their own, which the manifest pins by hash.
 INDEXED = ("expression", "he")
@@ -117,9 +119,8 @@ def manifest_ok(text: Column) -> Column:
 
 
 def table_hash(df: DataFrame) -> str:
-    """A fingerprint of a table that does not depend on row order: count and sums of two row hashes."""
-    r = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("a"), F.bit_xor(F.xxhash64(F.lit(1), *df.columns)).alias("b")).first()
-    return hashlib.sha256(f"{df.schema.simpleString()}|{r['n']}|{r['a']}|{r['b']}".encode()).hexdigest()
+    """A fingerprint of a table that does not depend on row order: its schema and the root of its Merkle tree."""
+    return hashlib.sha256(f"{df.schema.simpleString()}|{merkle.root(df)}".encode()).hexdigest()
 
 
 def repository_findings(paths: DataFrame, most: int = 5_000_000, data: tuple[str, ...] = ("parquet", "h5", "h5ad", "npz", "tif", "tiff", "zarr", "zip", "gz", "csv")) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import documents, integrity, ordering
+from ..operators import documents, integrity, merkle, ordering
 from ..sources import warehouse
 from .registry import canon, query
 
@@ -139,3 +139,16 @@ def v43c(spark, d):
     met = n.select(F.lit("prd").alias("path"), (F.col("n_nationkey") + 100).alias("n"), F.concat(F.lit("AC-FR-"), k, F.lit(".1 "), F.when(F.col("n_nationkey") % 3 == 0, "Given a, when b, then c.").otherwise("Given a, then c.")).alias("line"))
     lines = row.unionByName(met)
     return documents.without_criteria(documents.requirements(lines), lines)
+
+
+_W = "(length({0}::varchar) || ':' || {0})"
+_NODE = "select {} as node, sum(rows)::bigint as rows, sha256(string_agg(node || ' ' || hash, chr(10) order by node || ' ' || hash)) as hash from {} group by 1"
+
+
+@query("f18_matrix_tree", canon("expression") + f""", r as (select substr(sha256({_W.format("cell_id")} || ',' || {_W.format("gene_id")}),1,2) as leaf, sha256({_W.format("cell_id")} || ',' || {_W.format("count")} || ',' || {_W.format("gene_id")}) as row from expression),
+ f as (select leaf, row, count(*) as times from r group by all), l2 as (select leaf as node, sum(times)::bigint as rows, sha256(string_agg(row || ' ' || times, chr(10) order by row || ' ' || times)) as hash from f group by 1),
+ l1 as ({_NODE.format("substr(node,1,1)", "l2")}), l0 as ({_NODE.format("''", "l1")})
+select 2 as level, * from l2 union all select 1, * from l1 union all select 0, * from l0""")
+def f18(spark, d):
+    """The Merkle tree of the count matrix."""
+    return merkle.tree(warehouse.expression(spark, d), ["cell_id", "gene_id"], 2)
