@@ -21,9 +21,11 @@ def g6(spark, d):
     return spatial.replicas(b, 123, 17)
 
 
-@query("g7_layout", "select i as c, 'S' || (i%3+1) as section, (i//3)%6 as gx, (i//3)//6 as gy, 1000+((i//3)%6+0.5e0)*1500 as x, 1000+((i//3)//6+0.5e0)*1500 as y from range(100) t(i)")
+@query("g7_layout", """with n as (select ceil(sqrt(ceil(count(*)/3.0e0)))::bigint as k from customer), i as (select row_number() over (order by c_custkey) - 1 as i from customer)
+select i as c, 'S' || (i%3+1) as section, (i//3)%k as gx, (i//3)//k as gy, 1000+((i//3)%k+0.5e0)*1500 as x, 1000+((i//3)//k+0.5e0)*1500 as y from i, n""")
 def g7(spark, d):
-    return spatial.layout(100, 3, spark=spark)
+    """A place for a core of each customer."""
+    return spatial.layout(warehouse.read(spark, d, "customer", "c_custkey").count(), 3, spark=spark)
 
 
 @query("g10_core_boxes", canon("cells", "cores") + "select core_id, round(least(min(x_um), min(center_x_um)-radius_um),6) as x0, round(least(min(y_um), min(center_y_um)-radius_um),6) as y0, round(greatest(max(x_um), max(center_x_um)+radius_um),6) as x1, round(greatest(max(y_um), max(center_y_um)+radius_um),6) as y1 from cells join cores using (core_id) group by core_id, radius_um")
@@ -43,9 +45,11 @@ def g14(spark, d):
     return c.select("cell_id", "core_id", "patient_id", F.round("x_um", 6).alias("x_um"), F.round("y_um", 6).alias("y_um"), "n_transcripts")
 
 
-@query("g17_stencil", "select dx, dy from range(-6,7) a(dx), range(-6,7) b(dy) where dx*dx+dy*dy <= 36")
+@query("g17_stencil", "select s_suppkey as id, (s_suppkey*17)%160+dx as x, (s_suppkey*5)%120+dy as y from supplier, range(-6,7) a(dx), range(-6,7) b(dy) where dx*dx+dy*dy <= 36")
 def g17(spark, d):
-    return spatial.stencil(spark, 6)
+    """The disk of pixels around a place of each supplier."""
+    at = warehouse.read(spark, d, "supplier", "s_suppkey").crossJoin(F.broadcast(spatial.stencil(spark, 6)))  # the disk is a constant
+    return at.selectExpr("s_suppkey as id", "(s_suppkey*17)%160+dx as x", "(s_suppkey*5)%120+dy as y")
 
 
 @query("g5_g8_derived")
@@ -95,23 +99,32 @@ def _pixels(spark):
     return spark.range(19200).selectExpr("id % 160 as x", "id div 160 as y", "(id*7)%256 as r", "(id*13+id div 160)%256 as g", "(id*id)%251 as b")
 
 
-@query("i6_box_shrink", _PIX + "select x//4 as x, y//4 as y, round_even(avg(r),0)::int as r, round_even(avg(g),0)::int as g, round_even(avg(b),0)::int as b from px group by 1, 2")
+_IMG = "with px as (select o_orderkey%160 as x, o_orderkey//160 as y, floor(o_totalprice)::bigint%256 as r, (o_custkey*13)%256 as g, floor(o_totalprice/7)::bigint%251 as b from orders) "
+
+
+def _image(spark, d):
+    """The orders as an image: a pixel for each."""
+    o = warehouse.read(spark, d, "orders", "o_orderkey", "o_custkey", "o_totalprice")
+    return o.selectExpr("o_orderkey % 160 as x", "o_orderkey div 160 as y", "floor(o_totalprice) % 256 as r", "(o_custkey * 13) % 256 as g", "floor(o_totalprice / 7) % 251 as b")
+
+
+@query("i6_box_shrink", _IMG + "select x//4 as x, y//4 as y, round_even(avg(r),0)::int as r, round_even(avg(g),0)::int as g, round_even(avg(b),0)::int as b from px group by 1, 2")
 def i6(spark, d):
-    return raster.box_shrunk(_pixels(spark), 4)
+    return raster.box_shrunk(_image(spark, d), 4)
 
 
 _K = raster._stain_row()
 _H = "greatest(0, " + " + ".join(f"ln(greatest({c}/255.0e0, 1e-6))/ln(1e-6)*({k!r}e0)" if "e" not in repr(k) else f"ln(greatest({c}/255.0e0, 1e-6))/ln(1e-6)*({k!r})" for c, k in zip("rgb", _K)) + ")"
 
 
-@query("i12_hematoxylin", _PIX + f"select x, y, round({_H},6) as h from px")
+@query("i12_hematoxylin", _IMG + f"select x, y, round({_H},6) as h from px")
 def i12(spark, d):
-    return _pixels(spark).select("x", "y", F.round(raster.hematoxylin(F.col("r"), F.col("g"), F.col("b")), 6).alias("h"))
+    return _image(spark, d).select("x", "y", F.round(raster.hematoxylin(F.col("r"), F.col("g"), F.col("b")), 6).alias("h"))
 
 
-@query("i13_tissue", _PIX + "select x//10 as u, y//10 as v, round(sum(r+g+b)/300.0e0,6) as gray, sum(r+g+b)/300.0e0 < 220 as tissue from px group by 1, 2")
+@query("i13_tissue", _IMG + "select x//10 as u, y//10 as v, round(sum(r+g+b)/(3.0e0*count(*)),6) as gray, sum(r+g+b)/(3.0e0*count(*)) < 220 as tissue from px group by 1, 2")
 def i13(spark, d):
-    return raster.tissue(_pixels(spark), 10).withColumn("gray", F.round("gray", 6))
+    return raster.tissue(_image(spark, d), 10).withColumn("gray", F.round("gray", 6))
 
 
 @query("i14_disk_means", _PIX + f", p as (select s_suppkey as id, (s_suppkey*17)%160 as u, (s_suppkey*5)%120 as v from supplier) select id, round(avg({_H}),6) as mean, count(*) as n from p, range(-3,4) a(dx), range(-3,4) b(dy), px where dx*dx+dy*dy <= 9 and px.x = u+dx and px.y = v+dy group by 1")
@@ -149,10 +162,13 @@ def _slide_cores(spark, d):
     return warehouse.cores(spark, d), sections
 
 
-@query("s12_image_levels", "select 'slide' as image, l as level, 3000 // f as w, 2400 // f as h, f::double as fx, f::double as fy from (values (0, 1), (1, 2)) t(l, f)")
+@query("s12_image_levels", """with s as (select s_suppkey, 600 + (s_suppkey%7)*400 as w, 500 + (s_suppkey%5)*300 as h from supplier)
+select 'slide' || s_suppkey as image, l as level, (w >> l)::int as w, (h >> l)::int as h, w::double / (w >> l) as fx, h::double / (h >> l) as fy from s, range(0, 3) t(l)""")
 def s12(spark, d):
-    """Sizes and factors of the levels of an image, read from its tiles."""
-    return slides.levels_of(_slide(spark))
+    """Sizes and factors of the levels of images, one of each supplier, read from their tiles."""
+    s = warehouse.read(spark, d, "supplier", "s_suppkey").selectExpr("concat('slide', s_suppkey) as image", "600 + (s_suppkey % 7) * 400 as w0", "500 + (s_suppkey % 5) * 300 as h0", "explode(array(0, 1, 2)) as level")
+    s = s.selectExpr("image", "level", "shiftright(w0, level) as w1", "shiftright(h0, level) as h1").selectExpr("*", "explode(sequence(0L, (w1 - 1) div 512)) as tx").selectExpr("*", "explode(sequence(0L, (h1 - 1) div 512)) as ty")
+    return slides.levels_of(s.selectExpr("image", "level", "cast(tx as int) as tx", "cast(ty as int) as ty", "cast(least(512, w1 - 512 * tx) as int) as w", "cast(least(512, h1 - 512 * ty) as int) as h"))
 
 
 @query("i9_tiles", canon("cores") + """, p as (select core_id, bbox_x1-bbox_x0+100 as w, bbox_y1-bbox_y0+100 as h from cores), l as (select core_id, w, h, greatest(1, ceil(log2(greatest(ceil(w/1.0e0), ceil(h/1.0e0))/512))::int+1) as levels from p),
@@ -187,18 +203,21 @@ def i14t(spark, d):
 _U = "(('0x' || substr(md5('{s}:' || {k}),1,13))::bigint / 4503599627370496.0e0)"
 
 
-@query("g15_random_points", f"select i as id, round(100 + 400*{_U.format(s='gx', k='i')},6) as x_um, round(50 + 200*{_U.format(s='gy', k='i')},6) as y_um from range(2000) t(i)")
+@query("g15_random_points", f"select i as id, round(100 + 400*{_U.format(s='gx', k='i')},6) as x_um, round(50 + 200*{_U.format(s='gy', k='i')},6) as y_um from (select row_number() over (order by c_custkey) - 1 as i from customer)")
 def g15(spark, d):
-    p = align.random_points(spark, 2000, (100.0, 50.0, 500.0, 250.0), "g")
+    """A random point for each customer."""
+    p = align.random_points(spark, warehouse.read(spark, d, "customer", "c_custkey").count(), (100.0, 50.0, 500.0, 250.0), "g")
     return p.select("id", F.round("x_um", 6).alias("x_um"), F.round("y_um", 6).alias("y_um"))
 
 
-@query("g15_tissue_points", _PIX + f", m as (select x//10 as u, y//10 as v from px group by 1,2 having sum(r+g+b)/300.0e0 < 140), p as (select i as id, 160*{_U.format(s='tx', k='i')} as x, 120*{_U.format(s='ty', k='i')} as y from range(200) t(i)) select id from p where (floor((x+0.5e0)/10), floor((y+0.5e0)/10)) in (select (u::double, v::double) from m) order by id limit 50")
+@query("g15_tissue_points", _IMG + f", m as (select x//10 as u, y//10 as v from px group by 1,2 having sum(r+g+b)/(3.0e0*count(*)) < 127), z as (select max(y)+1 as h from px), p as (select i as id, 160*{_U.format(s='tx', k='i')} as x, h*{_U.format(s='ty', k='i')} as y from z, range(200) t(i)) select id from p where (floor((x+0.5e0)/10), floor((y+0.5e0)/10)) in (select (u::double, v::double) from m) order by id limit 50")
 def g15t(spark, d):
-    """Points accepted by a mask of the darker half of a procedural image."""
-    mask = raster.tissue(_pixels(spark), 10).select("u", "v", (F.col("gray") < 140).alias("tissue"))
+    """Points accepted by a mask of the darker half of the orders' image."""
+    image = _image(spark, d)
+    mask = raster.tissue(image, 10).select("u", "v", (F.col("gray") < 127).alias("tissue"))
     one = F.array(*[F.lit(float(v)) for v in (1, 0, 0, 0, 1, 0, 0, 0, 1)])
-    return align.accepted(spark, 50, (0.0, 0.0, 160.0, 120.0), "t", lambda p: align.in_mask(p, mask, one, 10)).select("id")
+    height = float(image.agg(F.max("y") + 1).first()[0])
+    return align.accepted(spark, 50, (0.0, 0.0, 160.0, height), "t", lambda p: align.in_mask(p, mask, one, 10)).select("id")
 
 
 @query("g16_shifted", canon("cells") + f"select cell_id as id, round(x_um + 25*cos(2*pi()*{_U.format(s='s', k='cell_id')}),4) as x_um, round(y_um + 25*sin(2*pi()*{_U.format(s='s', k='cell_id')}),4) as y_um from cells")
