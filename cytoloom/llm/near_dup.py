@@ -77,15 +77,18 @@ def sketched(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def _led(distinct: DataFrame) -> DataFrame:
-    """(key, d, n, leader, ln): members of buckets of two texts and more, with the bucket's leader; without the leaders themselves.
+    """(key, d, n, leader, ln), staged: members of buckets of two texts and more, with the bucket's leader; without the leaders themselves.
 
     The first aggregate moves whole numbers only; buckets of one text, which most are, end there.
     """
     rows = distinct.select(F.explode("keys").alias("key"), "d", "n").withColumn("h", F.xxhash64("d"))
-    shared = rows.groupBy("key").agg(F.min("h").alias("least"), F.count("*").alias("c")).where("c > 1").select("key", "least")
-    shared = staged(rows.join(staged(shared, "near-shared"), "key"), "near-buckets")
-    leaders = staged(shared.where("h = least").select("key", F.col("d").alias("leader"), F.col("n").alias("ln")), "near-leaders")  # plain sides, which adaptive execution splits at a hot bucket
-    return shared.where("h <> least").select("key", "d", "n").join(leaders, "key")
+    shared = staged(rows.groupBy("key").agg(F.min("h").alias("least"), F.count("*").alias("c")).where("c > 1").select("key", "least"), "near-shared")
+    buckets = staged(rows.join(shared, "key"), "near-buckets")
+    discard(shared)
+    leaders = staged(buckets.where("h = least").select("key", F.col("d").alias("leader"), F.col("n").alias("ln")), "near-leaders")  # plain sides, which adaptive execution splits at a hot bucket
+    led = staged(buckets.where("h <> least").select("key", "d", "n").join(leaders, "key"), "near-led")
+    discard(buckets, leaders)
+    return led
 
 
 def _close(a: str, b: str) -> Column:
@@ -256,20 +259,24 @@ def _classes(df: DataFrame, text_col: str) -> DataFrame:
     """(u, v): every distinct text that isn't the least of its class, by identity, with that least one."""
     found = sketched(df, text_col)
     distinct = staged(found.groupBy("d").agg(*[F.first(c).alias(c) for c in ("n", "keys", "bag")]), "near-distinct")
-    led = staged(_led(distinct), "near-led")
+    led = _led(distinct)
     pairs = staged(led.where(_close("n", "ln")).select(F.col("leader").alias("a"), F.col("d").alias("b")).distinct(), "near-close")
     tested = _aligned(pairs, df, text_col)
+    discard(pairs)
     links = lambda rows: rows.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v"))
     sorted_ = lambda rows: rows.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     roots = components(links(tested))
     items = staged(_leftovers(led, tested, roots), "near-leftovers")
+    discard(led)
     if not items.limit(1).count():
         return roots
     buckets = items.where("side = 0").groupBy("d").agg(F.collect_list("k").alias("buckets"))
     needed = staged(items.select("d").distinct(), "near-needed")
     bags = distinct.select("d", "n", "bag").join(needed, "d", "left_semi").join(_ordered(df, text_col, needed), "d")
     bags = staged(bags.join(buckets, "d", "left").withColumn("buckets", F.coalesce("buckets", F.array().cast("array<bigint>"))), "near-bags")
+    discard(distinct)
     done, found, round_ = staged(sorted_(tested).distinct(), "near-done"), True, 0
+    discard(tested)
     while items.limit(1).count():
         # without a link the next round would find the same again, so it takes all pairs, as the last one does
         pairs = _candidates(items, bags, roots, DENSE if found and round_ < ROUNDS else None)
