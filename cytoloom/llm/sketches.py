@@ -34,7 +34,7 @@ BLOCK = 4096
 #: k-mer hashes times components that are held at once.
 AT_ONCE = 65_536
 #: Bits of a set of pairs of words at least, and 64-bit words of such sets that are compared at once.
-BITS, HELD = 1024, 2**18
+BITS, HELD = 512, 2**18
 
 
 class Words(dict):
@@ -150,12 +150,12 @@ def possible(x: int, near: np.ndarray, bags: np.ndarray, coarse: np.ndarray, n:
 
 
 def grams(numbers: np.ndarray) -> bytes:
-    """The set of a text's pairs of neighbouring words, as bits: a power of two of them, of eight times its words or more.
+    """The set of a text's pairs of neighbouring words, as bits: a power of two of them, of four times its words or more.
 
     An edit takes away or adds four pairs at most, so a quarter of the number of bits in which two
     texts differ is a lower bound of their edit distance that feels order.
     """
-    bits = max(BITS, 1 << (8 * len(numbers) - 1).bit_length()) if len(numbers) else BITS
+    bits = max(BITS, 1 << (4 * len(numbers) - 1).bit_length()) if len(numbers) else BITS
     h = mixed(numbers[:-1] * POWERS[1] + numbers[1:] * POWERS[2])
     out = np.zeros(bits, np.uint8)
     out[(h & np.uint64(bits - 1)).astype(np.int64)] = 1
