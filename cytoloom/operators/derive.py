@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import padded, replica, shade
 from ..model import CELLS, CLUSTERS, CORES, EXPRESSION, SECTIONS, Dataset, Record, conform
 from ..staging import drop, staged
-from . import factor, spatial
+from . import align, factor, spatial
 
 GAP_UM, COVERAGE, BIN_UM, CANDIDATES = 100.0, 0.8, 50.0, 20_000
 #: Singular vectors and starts of k-means for the split of a cluster.
@@ -34,28 +34,20 @@ class Plan:
 def pick_cores(cells: DataFrame, radius: float, seed: int, candidates: int = CANDIDATES) -> list[tuple[float, float]]:
     """Centers at least two radii and a gap apart whose disk is at least 80 % tissue.
 
-    Candidates are a fixed number of seeded darts; their coverage is a join in Spark, and
-    only those that pass, a bounded number, come to the driver, where acceptance in order of
-    the darts is sequential by nature.
+    Candidates are seeded darts, drawn and judged in Spark and accepted in their order by
+    spatial.spaced(); what comes to the driver are the centers, of which the tissue's box
+    bounds the number.
     """
-    spark = cells.sparkSession
     box = cells.agg(*[f(c).alias(n) for c, f, n in (("x_um", F.min, "x0"), ("x_um", F.max, "x1"), ("y_um", F.min, "y0"), ("y_um", F.max, "y1"))]).first()
     if box["x0"] is None or box["x1"] - box["x0"] < 2 * radius or box["y1"] - box["y0"] < 2 * radius:
         return []
-    rng = np.random.default_rng(seed)
-    x = rng.uniform(box["x0"] + radius, box["x1"] - radius, candidates)
-    y = rng.uniform(box["y0"] + radius, box["y1"] - radius, candidates)
-    darts = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(x, y))], "id long, cx double, cy double")
-    darts = darts.withColumn("bx", F.floor((F.col("cx") - box["x0"]) / BIN_UM)).withColumn("by", F.floor((F.col("cy") - box["y0"]) / BIN_UM))
-    occupied = spatial.occupancy(cells, BIN_UM)
+    inner = (box["x0"] + radius, box["y0"] + radius, box["x1"] - radius, box["y1"] - radius)
+    darts = align.random_points(cells.sparkSession, candidates, inner, f"darts-{seed}")
+    binned = darts.withColumn("bx", F.floor((F.col("x_um") - box["x0"]) / BIN_UM)).withColumn("by", F.floor((F.col("y_um") - box["y0"]) / BIN_UM))
     rb = int(math.ceil(radius / BIN_UM))
-    share = spatial.coverage(darts, occupied, int(radius // BIN_UM) if radius % BIN_UM == 0 else rb, "id").where(F.col("share") >= COVERAGE)
-    passed = sorted(r["id"] for r in share.select("id").collect())
-    out: list[tuple[float, float]] = []
-    for i in passed:
-        if all(math.hypot(x[i] - a, y[i] - b) >= 2 * radius + GAP_UM for a, b in out):
-            out.append((float(x[i]), float(y[i])))
-    return out
+    share = spatial.coverage(binned, spatial.occupancy(cells, BIN_UM), int(radius // BIN_UM) if radius % BIN_UM == 0 else rb, "id").where(F.col("share") >= COVERAGE)
+    chosen = spatial.spaced(darts.join(share, "id", "left_semi"), 2 * radius + GAP_UM)
+    return [(r["x_um"], r["y_um"]) for r in chosen.orderBy("id").collect()]
 
 
 def deal_patients(cores: int, patients: int | None, seed: int) -> list[str]:

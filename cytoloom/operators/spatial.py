@@ -6,9 +6,16 @@ the nine cells around it, the join is on equal grid cells, and the exact distanc
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..staging import drop, staged
+
+#: Tables of accepted points after which those so far become one.
+MERGED = 16
+
 
 def grid(c: str | Column, width: float) -> Column:
     return F.floor((F.col(c) if isinstance(c, str) else c) / width).cast("long")
@@ -62,6 +69,49 @@ def coverage(candidates: DataFrame, occupied: DataFrame, radius_bins: int, key:
     return candidates.select(key).join(hits, key, "left").select(key, F.coalesce("covered", F.lit(0)).alias("covered"), (F.coalesce("covered", F.lit(0)) / n).alias("share"))
 
 
+def spaced(points: DataFrame, apart: float, id_col: str = "id", px: str = "x_um", py: str = "y_um", by: tuple[str, ...] = ()) -> DataFrame:
+    """Points that acceptance in order of their ids leaves: each that is nowhere nearer than `apart` to one accepted before. by: columns that tell planes apart.
+
+    Rounds over the undecided points give just what the sequential order gives. A grid cell of
+    0.7 * apart holds one accepted point at most, so a cell is one row, its least point. This
+    is accepted if none of the 24 cells around has a lesser one, as then nothing undecided that
+    could rule it out comes before it; then all points near the new ones go. Each round decides
+    the least undecided point of every plane at least: a few dozen rounds for ids in random
+    order, as of darts; ids that run along a line take rounds as long as the line. Of equal ids
+    the lesser place comes first, of repeated points one stays. Points without id, place or
+    plane are left out; no points give no rows.
+    """
+    if not apart > 0:
+        raise ValueError("points must be some length apart")
+    side, cell = 0.7 * apart, [*by, "__gx", "__gy"]
+    known = F.lit(True)
+    for c in (id_col, px, py, *by):
+        known = known & F.col(c).isNotNull()
+    finite = F.abs(F.col(px)).between(0, 1e300) & F.abs(F.col(py)).between(0, 1e300)
+    rest = staged(points.select(id_col, px, py, *by, grid(px, side).alias("__gx"), grid(py, side).alias("__gy")).where(known & finite), "spaced-open")
+    reach = lambda c, n: F.explode(F.sequence(F.col(c) - n, F.col(c) + n))
+    taken: list[DataFrame] = []
+    while not rest.isEmpty():
+        least = rest.groupBy(*cell).agg(F.min(F.struct(id_col, px, py)).alias("p"))
+        around = least.withColumn("__gx", reach("__gx", 2)).withColumn("__gy", reach("__gy", 2)).groupBy(*cell).agg(F.min("p").alias("first"))
+        new = staged(least.join(around, cell).where(F.col("p") == F.col("first")).select("p.*", *cell), "spaced-new")
+        taken.append(new)
+        if len(taken) == MERGED:
+            one = staged(reduce(DataFrame.unionByName, taken), "spaced-taken")
+            shadow = new.select(F.col(px).alias("__x"), F.col(py).alias("__y"), *cell)
+            taken, old = [one], taken
+        else:
+            shadow, old = new.select(F.col(px).alias("__x"), F.col(py).alias("__y"), *cell), []
+        shadow = shadow.withColumn("__gx", reach("__gx", 2)).withColumn("__gy", reach("__gy", 2))
+        dx, dy = F.col(px) - F.col("__x"), F.col(py) - F.col("__y")
+        near = [rest[c] == shadow[c] for c in cell] + [dx * dx + dy * dy < apart * apart]
+        left = staged(rest.join(shadow, reduce(Column.__and__, near), "left_anti"), "spaced-open")
+        drop(rest, *old)
+        rest = left
+    drop(rest)
+    return reduce(DataFrame.unionByName, taken, rest.select(id_col, px, py, *by, "__gx", "__gy").limit(0) if not taken else taken.pop(0)).select(id_col, px, py, *by)
+
+
 def first_box(points: DataFrame, boxes: DataFrame, key: str, box: str, pad: float = 0.0, px: str = "x_um", py: str = "y_um", by: tuple[str, ...] = (), width: float = 1000.0) -> DataFrame:
     """(key, box): the first box (x0, y0, x1, y1, by name) that holds the point, widened by pad, or null.
 

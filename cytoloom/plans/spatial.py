@@ -52,6 +52,16 @@ def g17(spark, d):
     return at.selectExpr("s_suppkey as id", "(s_suppkey*17)%160+dx as x", "(s_suppkey*5)%120+dy as y")
 
 
+@query("g5_spaced_cells", canon("cells").replace("with ", "with recursive ", 1) + """, p as materialized (select core_id, cell_id, x_um, y_um, row_number() over (partition by core_id order by cell_id) as i from cells),
+ s as (select core_id, 0::bigint as i, ''::varchar as cell_id, false as ok, []::struct(x double, y double)[] as kept from p group by core_id
+   union all select core_id, i, cell_id, fits, case when fits then list_append(kept, {'x': x_um, 'y': y_um}) else kept end
+   from (select p.*, s.kept, len(list_filter(s.kept, lambda k: (p.x_um-k.x)*(p.x_um-k.x) + (p.y_um-k.y)*(p.y_um-k.y) < 10000)) = 0 as fits from s join p on p.core_id = s.core_id and p.i = s.i + 1) t)
+select core_id, cell_id from s where ok""")
+def g5(spark, d):
+    """Cells of each core that are 100 micrometres apart, in order of their names."""
+    return spatial.spaced(warehouse.cells(spark, d), 100.0, "cell_id", by=("core_id",)).select("core_id", "cell_id")
+
+
 @query("g5_g8_derived")
 def g8(spark, d):
     """A derived dataset: cores by seeded darts, replicas, patients; checked by its own validation report."""
