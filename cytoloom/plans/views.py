@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import color
-from ..operators import spatial
+from ..operators import lookup, spatial
 from ..sources import warehouse
 from .registry import canon, query
 
@@ -40,6 +40,18 @@ def q1b(spark, d):
     return search(warehouse.genes(spark, d), "zzqx").withColumn("key", F.col("key").cast("long"))
 
 
+@query("q1_closest_many", canon("genes") + """, k as (select distinct lower(symbol) as known from genes), p as (select distinct p_name as s from part union all select 'G' || p_partkey from part where p_size > 40),
+ w as (select distinct lower(substr(s,1,2) || substr(s,4) || case when length(s) % 2 = 0 then 'q' else '' end) as wanted from p)
+ select wanted, known, distance, rank from (select *, row_number() over (partition by wanted order by distance, known) as rank from (select wanted, known, levenshtein(wanted, known) as distance from w, k)) where rank <= 3""")
+def q1c(spark, d):
+    """The three closest symbols of every part's name with one or two errors, and of some names unlike any symbol."""
+    part = warehouse.read(spark, d, "part")
+    names = part.select(F.col("p_name").alias("s")).unionByName(part.where("p_size > 40").select(F.concat(F.lit("G"), "p_partkey").alias("s")))
+    wrong = names.selectExpr("substr(s,1,2) || substr(s,4) || case when length(s) % 2 = 0 then 'q' else '' end as wanted")
+    found = lookup.closest(lookup.index(warehouse.genes(spark, d)), wrong, 3)
+    return found.select("wanted", "known", F.col("distance").cast("long"), F.col("rank").cast("long"))
+
+
 @query("q2_color_by", canon("cells", "clusters", "expression") + "select cell_id, color, patient_id, core_id, coalesce(count,0)::int as gene_count from cells join clusters using (cluster_id) left join (select * from expression where gene_id='G7') using (cell_id)")
 def q2(spark, d):
     ds = warehouse.load(spark, d)
