@@ -17,6 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import staged
 from . import raster
 from .raster import BLOCK_TILES, THUMB, TILE
 
@@ -246,6 +247,17 @@ def pixels(tiles: DataFrame) -> DataFrame:
     return tiles.select("tx", "ty", "w", "h", "payload").mapInPandas(unpack, "x long, y long, r int, g int, b int")
 
 
+#: Tiles that points need, up to which their names go to the tasks that read the image.
+NAMED = 200_000
+
+
+def needed(tiles: DataFrame, places: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Tiles that occur in `places`, by the columns `by`: their names are counted first and sent to the tile table's own tasks, so that no other tile is shuffled; beyond NAMED names both sides shuffle."""
+    names = staged(places.select(*by).distinct(), "needed-tiles")
+    few = names.limit(NAMED + 1).count() <= NAMED
+    return tiles.join(F.broadcast(names) if few else names, list(by), "left_semi")
+
+
 def disk_stain(points: DataFrame, tiles: DataFrame, radius: int, by: tuple[str, ...] = ()) -> DataFrame:
     """(id, v): mean hematoxylin in the disk of pixels around points (id, u, w); tiles (tx, ty, w, h, payload) of one level. by: columns that tell images apart.
 
@@ -256,7 +268,7 @@ def disk_stain(points: DataFrame, tiles: DataFrame, radius: int, by: tuple[str,
     offsets = [(x, y) for x in range(-radius, radius + 1) for y in range(-radius, radius + 1) if x * x + y * y <= radius * radius]
     reach = lambda c: F.sequence(F.floor((F.col(c) - radius) / TILE), F.floor((F.col(c) + radius) / TILE))
     near = points.select("id", *by, "u", "w", F.explode(reach("u")).alias("tx")).withColumn("ty", F.explode(reach("w")))
-    source = tiles.select(*by, F.col("tx").cast("long"), F.col("ty").cast("long"), F.col("w").alias("tw"), F.col("h").alias("th"), "payload")
+    source = needed(tiles.select(*by, F.col("tx").cast("long"), F.col("ty").cast("long"), F.col("w").alias("tw"), F.col("h").alias("th"), "payload"), near, (*by, "tx", "ty"))
 
     def look(p, t):
         import pandas as pd
@@ -283,8 +295,8 @@ def disk_stain(points: DataFrame, tiles: DataFrame, radius: int, by: tuple[str,
 
 def pixel_at(tiles: DataFrame, points: DataFrame) -> DataFrame:
     """(id, r, g, b) of points (id, x, y) of a level's tiles; white outside: an equi join by tile, then the bytes of the pixel."""
-    t = tiles.select(F.col("tx").cast("long"), F.col("ty").cast("long"), "w", "h", "payload")
     own = points.withColumns({"tx": F.floor(F.col("x") / TILE), "ty": F.floor(F.col("y") / TILE)})
+    t = needed(tiles.select(F.col("tx").cast("long"), F.col("ty").cast("long"), "w", "h", "payload"), own, ("tx", "ty"))
 
     def look(p, s):
         import pandas as pd

@@ -237,6 +237,17 @@ def test_built_tiles_equal_one_block(spark, monkeypatch):
     assert px and (made == whole).all()
 
 
+@pytest.mark.parametrize("named", [slides.NAMED, 1])
+def test_samplers_move_needed_tiles_alone(spark, monkeypatch, named):
+    monkeypatch.setattr(slides, "NAMED", named)
+    tiles = spark.range(10_000).select((F.col("id") % 100).alias("tx"), F.floor(F.col("id") / 100).alias("ty"), F.lit(b"p").alias("payload"))
+    places = spark.createDataFrame([(3, 4), (3, 4), (99, 0), (500, 1), (None, 1)], "tx long, ty long")
+    got = slides.needed(tiles, places, ("tx", "ty"))
+    assert sorted((r["tx"], r["ty"]) for r in got.collect()) == [(3, 4), (99, 0)]
+    if named > 1:
+        assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_oversize_is_refused():
     one = slides.Map.axes(1, 0, 1, 0)
     with pytest.raises(ValueError, match="too large"):
