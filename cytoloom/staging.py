@@ -8,7 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_ours: dict[str, SparkSession] = {}
+#: Paths alone: modules that use this one are pickled with their functions, which sessions can't be.
+_ours: set[str] = set()
 
 
 def folder(spark: SparkSession) -> str:
@@ -25,7 +26,7 @@ def folder(spark: SparkSession) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet and read again, so that a lost executor costs its tasks alone. The table goes with the process, or by drop()."""
     path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    _ours[path] = df.sparkSession
+    _ours.add(path)
     df.write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back.staged_at = path
@@ -33,7 +34,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def _delete(path: str) -> None:
-    spark = _ours.pop(path)
+    _ours.discard(path)
+    spark = SparkSession.active()
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
