@@ -76,13 +76,17 @@ def _remove() -> None:
 atexit.register(_remove)
 
 
-def small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+def small(df: DataFrame, rows: int = 200_000, size: Column | None = None, most: int = 16 * 2**20) -> DataFrame:
     """df with a broadcast hint if it has at most so many (narrow) rows, else df as it is.
 
-    df should be staged, as this counts it. Without the hint Spark joins by shuffle, where
-    adaptive execution splits hot keys.
+    size: bytes of what has no bound in a row, as texts and lists; their sum is then at most
+    `most` too. df should be staged, as this counts it. Without the hint Spark joins by
+    shuffle, where adaptive execution splits hot keys.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    if size is None:
+        return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    n, total = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and total <= most else df
 
 
 def null_safe(a: DataFrame, b: DataFrame, on: str, how: str = "inner") -> DataFrame:

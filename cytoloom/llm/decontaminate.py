@@ -183,10 +183,10 @@ def _joined(rows: DataFrame, keep: list[str], items: DataFrame, size: int) -> Da
     start = F.col("at") - F.col("offset")
     length = F.size(F.split("win", " "))
     same = (start >= F.col("base")) & (F.array_join(F.slice(F.split("near", " "), F.greatest(start - F.col("base") + 1, F.lit(1)), length), " ") == F.col("win"))
-    occur = staged(candidates.join(small(prefixes), "h").where(same).select("key", start.alias("a"), (start + length).alias("b"), "win").distinct(), "decontaminate-hits")
+    occur = staged(candidates.join(small(prefixes, size=F.octet_length("win")), "h").where(same).select("key", start.alias("a"), (start + length).alias("b"), "win").distinct(), "decontaminate-hits")
     # one row for each word of a document that is hit, so the lists hold a document at most
     hit = occur.select("key", F.explode(F.sequence("a", F.col("b") - 1)).alias("x")).groupBy("key").agg(F.count_distinct("x").alias("n_hit"))
-    of = occur.select("key", "win").distinct().join(small(windows), "win").groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    of = occur.select("key", "win").distinct().join(small(windows, size=F.octet_length("win") + F.octet_length("item")), "win").groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
     result = staged(hit.join(of, "key"), "decontaminate-result")
 
     def count(batches):
@@ -196,7 +196,7 @@ def _joined(rows: DataFrame, keep: list[str], items: DataFrame, size: int) -> Da
 
     counted = rows.select(*keep, "__text", key.alias("key")).mapInArrow(count, T.StructType([*rows.select(*keep).schema.fields, T.StructField("key", T.BinaryType()), T.StructField("n_words", T.LongType())]))
     none = F.array().cast("array<string>")
-    return counted.join(small(result), "key", "left").select(*keep, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items"))
+    return counted.join(small(result, size=F.octet_length(F.array_join("items", ","))), "key", "left").select(*keep, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items"))
 
 
 def mark(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = 10, most: int = SMALL, keep: list[str] | None = None) -> DataFrame:

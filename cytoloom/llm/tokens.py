@@ -49,6 +49,7 @@ class Counter:
         for piece, score in pieces:
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
+        self.longest = max(len(p) for p, _ in pieces)
         self.single = {p for p, _ in pieces if len(p) == 1}
         self.unknown = min(s for _, s in pieces) - PENALTY
         self.by_word = not any(re.search(f"[^{MARK}]{MARK}", p) for p, _ in pieces)
@@ -56,50 +57,40 @@ class Counter:
         self.words: dict[str, complex] = {}
 
     def solve(self, s: str) -> complex:
-        """Best score and piece count of a normalised string."""
-        n, single, unknown = len(s), self.single, self.unknown
-        best: list[float | None] = [None] * (n + 1)
-        count = [0] * (n + 1)
-        best[0] = 0.0
-        done = 0
-        fallback = [i for i, c in enumerate(s) if c not in single]
-        lone = set(fallback)
-
-        def settle(upto: int) -> None:
-            """Unknown characters that end at or before upto and have no match ending there."""
-            nonlocal done
-            while done < upto:
-                if done in lone and best[done + 1] is None and best[done] is not None:
-                    best[done + 1] = best[done] + unknown
-                    count[done + 1] = count[done] + len(s[done].encode("utf-8", "surrogatepass"))
-                done += 1
-
-        last = -1
+        """Best score and piece count of a normalised string, from a window of as many places as the longest piece spans."""
+        n, single, unknown, w = len(s), self.single, self.unknown, min(self.longest, len(s)) + 1
+        best: list[float | None] = [None] * w
+        count = [0] * w
+        best[0], at = 0.0, 0
+
+        def close() -> None:
+            """The unknown edge into the place comes last, as it begins last."""
+            c, before, here = s[at - 1], (at - 1) % w, at % w
+            if c not in single and best[before] is not None:
+                x = best[before] + unknown
+                if best[here] is None or x > best[here]:
+                    best[here], count[here] = x, count[before] + len(c.encode("utf-8", "surrogatepass"))
+
         for end, (length, score) in self.automaton.iter(s):
-            end += 1
-            if end != last:
-                if last >= 0:
-                    self._unknown(s, last, lone, best, count)
-                settle(end - 1)
-                done = end
-                last = end
-            start = end - length
+            while at <= end:
+                if at:
+                    close()
+                at += 1
+                best[at % w] = None
+            start, here = (at - length) % w, at % w
             if best[start] is None:
                 continue
             x = best[start] + score
-            if best[end] is None or x > best[end]:
-                best[end], count[end] = x, count[start] + 1
-        if last >= 0:
-            self._unknown(s, last, lone, best, count)
-        settle(n)
-        return complex(best[n], count[n])
-
-    def _unknown(self, s, end, lone, best, count) -> None:
-        """The unknown edge into a place with matches comes last, as it begins last."""
-        if end - 1 in lone and best[end - 1] is not None:
-            x = best[end - 1] + self.unknown
-            if best[end] is None or x > best[end]:
-                best[end], count[end] = x, count[end - 1] + len(s[end - 1].encode("utf-8", "surrogatepass"))
+            if best[here] is None or x > best[here]:
+                best[here], count[here] = x, count[start] + 1
+        while at < n:
+            if at:
+                close()
+            at += 1
+            best[at % w] = None
+        if n:
+            close()
+        return complex(best[n % w], count[n % w])
 
     def word(self, s: str) -> complex:
         got = self.words.get(s)
