@@ -37,6 +37,17 @@ def morton(x: Column, y: Column) -> Column:
     return spread(x).bitwiseOR(F.shiftleft(spread(y), 1))
 
 
+def product_u32(*factors: Column) -> Column:
+    """Remainder of the product of whole numbers by 2^32, as a long, however large the product is."""
+    m = 1 << 32
+    out = factors[0].cast("long") % m
+    for f in factors[1:]:
+        f = f.cast("long") % m
+        high, low = (f - f % 65536) / 65536, f % 65536  # steps of 48 bits at most
+        out = (out * high.cast("long") % m * 65536 + out * low) % m
+    return out
+
+
 def varint_length(v: Column) -> Column:
     """Bytes of v (below 2^32) in unsigned LEB128."""
     n = F.lit(1)

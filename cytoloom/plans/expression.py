@@ -59,7 +59,7 @@ def k8(spark, d):
 
 @query("c1_varints", f"with e as (select l_orderkey, l_linenumber, (l_orderkey*l_orderkey*l_partkey) % 4294967296 as delta from lineitem) select l_orderkey, l_linenumber, {_BYTES} as code from e")
 def c1(spark, d):
-    v = (F.col("l_orderkey") * F.col("l_orderkey") * F.col("l_partkey")) % 4294967296
+    v = codec.product_u32(F.col("l_orderkey"), F.col("l_orderkey"), F.col("l_partkey"))
     return warehouse.read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey").select("l_orderkey", "l_linenumber", F.lower(codec.varint_hex(v)).alias("code"))
 
 

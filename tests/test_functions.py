@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cytoloom.functions import affine, codec, text
+from cytoloom.plans import catalog
 
 
 def column(spark, values, kind="long"):
@@ -69,6 +70,18 @@ def test_varints(spark):
     assert spark.range(1).select(codec.varint_decode(F.lit(""))).first()[0] == []
 
 
+def test_remainders_of_products_past_64_bits(spark):
+    values = [0, 1, 65535, 65536, 2**32 - 1, 2**32, 9_000_000, 2**40 + 12345, 2**63 - 1]
+    got = column(spark, values).select("v", codec.product_u32(F.col("v"), F.col("v"), F.lit(1_200_007)).alias("p")).collect()
+    assert [(r["v"], r["p"]) for r in got] == [(v, v * v * 1_200_007 % 2**32) for v in values]
+
+
+def test_varint_query_of_large_keys(spark, tmp_path):
+    spark.createDataFrame([(9_000_000, 1, 1_200_000), (7, 2, 3)], "l_orderkey long, l_linenumber int, l_partkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {r["l_orderkey"]: r["code"] for r in catalog.QUERIES["c1_varints"](spark, str(tmp_path)).collect()}
+    assert got == {k: leb128(k * k * p % 2**32) for k, p in ((9_000_000, 1_200_000), (7, 3))}
+
+
 def test_affine_inverse(spark):
     m = [2.0, 0.5, 10.0, -0.25, 3.0, -7.0, 0.0, 0.0, 1.0]
     df = spark.createDataFrame([(m,)], "m array<double>")
