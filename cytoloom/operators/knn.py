@@ -15,6 +15,10 @@ BLOCK = 2048
 
 #: Pivots at most, the rows that they are picked from, and rings around a pivot at most.
 PIVOTS, PICKED, RINGS = 256, 4096, 256
+#: Products that a task holds at once, pairs of which it takes the distances at once, numbers of a block where all rows meet, and parts of the rows that ask there at least.
+PRODUCT, CHOSEN, WHOLE, ASKING = 2**22, 2**16, 2**22, 16
+#: Share of all comparisons from which on the bounds aren't worth their rows.
+LOOSE = 0.125
 _PAIRS = "a long, b long, d2 double"
 
 
@@ -23,26 +27,73 @@ def _vectors(lists) -> np.ndarray:
     return np.asarray(lists.flatten(), float).reshape(len(lists), -1)
 
 
+def _targets(ids: np.ndarray, v: np.ndarray, k: int) -> np.ndarray:
+    """Indexes of rows without those that can't be a nearest one: of equal rows all but the k + 1 least ids."""
+    h = (v * np.random.default_rng(0).standard_normal(v.shape[1])).sum(axis=1)
+    order = np.lexsort((ids, h))
+    new = np.ones(len(v), bool)
+    new[1:] = (v[order[1:]] != v[order[:-1]]).any(axis=1)
+    nth = np.arange(len(v)) - np.maximum.accumulate(np.where(new, np.arange(len(v)), 0))
+    return order[nth <= k]
+
+
+def _within(a: np.ndarray, b: np.ndarray, k: int, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row of a, row of b) among which are the k nearest of b of every row of a, ties included, as far as within its reach: by products of matrices, with room for their error."""
+    middle = b.mean(axis=0)
+    a, b = a - middle, b - middle
+    a2, b2 = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    d = a @ b.T
+    d *= -2
+    d += a2[:, None]
+    d += b2
+    room = 16 * (a.shape[1] + 8) * np.finfo(float).eps * (a2 + b2.max())
+    if k >= len(b):
+        most = np.full(len(a), np.inf)
+    elif np.isfinite(reach).all():
+        row, col = np.nonzero(~(d > (reach + room)[:, None]))  # what isn't a number is left to the distances
+        near = d[row, col]
+        order = np.lexsort((near, row))
+        first = np.searchsorted(row, np.arange(len(a) + 1))
+        at = first[:-1] + k
+        kth = np.where(at < first[1:], near[order][np.minimum(at, max(0, len(near) - 1))] if len(near) else np.inf, np.inf)
+        keep = ~(near > (kth + 2 * room)[row])
+        return row[keep], col[keep]
+    else:
+        most = np.partition(d, k, axis=1)[:, k] + 2 * room  # the k + 1 nearest, as the row itself may be one
+    return np.nonzero(~(d > most[:, None]))
+
+
 def _compare(k: int):
-    """A function of a group of rows (id, v, side): of each row of side 0 the k nearest of side 1, of equal distances the least id first."""
+    """A function of a group of rows (id, v, side[, reach]): of each row of side 0 the k nearest of side 1, of equal distances the least id first.
+
+    Products of matrices leave few pairs; the distances of these are sums of squared differences.
+    """
 
     def best(group: pa.Table) -> pa.Table:
-        side, ids, v = group["side"].to_numpy(), group["id"].to_numpy(), _vectors(group["v"])
-        order = np.argsort(ids, kind="stable")
-        side, ids, v = side[order], ids[order], v[order]
+        side, ids = group["side"].to_numpy(), group["id"].to_numpy()
+        reach = group["reach"].to_numpy() if "reach" in group.column_names else np.full(len(ids), np.inf)
+        v = _vectors(group["v"])
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        b = b[_targets(ids[b], v[b], k)] if len(b) else b
+        a_ids, b_ids, reach, va, vb = ids[a], ids[b], reach[a], v[a], v[b]
+        del v
         out_a, out_b, out_d = [], [], []
-        for at in range(0, len(a), 256):
-            rows_ = a[at : at + 256]
-            d = ((v[rows_][:, None, :] - v[b][None, :, :]) ** 2).sum(axis=2) if v.shape[1] * len(b) < 400_000 else np.stack([((v[b] - v[r]) ** 2).sum(axis=1) for r in rows_])
-            d[ids[rows_][:, None] == ids[b][None, :]] = np.inf
-            m = min(k, len(b))
-            near = np.argsort(d, axis=1, kind="stable")[:, :m]
-            dist = np.take_along_axis(d, near, axis=1)
-            keep = np.isfinite(dist)
-            out_a.append(np.repeat(ids[rows_], m)[keep.ravel()])
-            out_b.append(ids[b][near].ravel()[keep.ravel()])
-            out_d.append(dist.ravel()[keep.ravel()])
+        step = max(1, min(1024, PRODUCT // max(1, len(b))))
+        for at in range(0, len(a) if len(b) else 0, step):
+            with np.errstate(all="ignore"):
+                row, col = _within(va[at : at + step], vb, k, reach[at : at + step])
+                row += at
+                other = a_ids[row] != b_ids[col]
+                row, col = row[other], col[other]
+                d = np.concatenate([((vb[col[i : i + CHOSEN]] - va[row[i : i + CHOSEN]]) ** 2).sum(axis=1) for i in range(0, max(1, len(row)), CHOSEN)])
+            keep = np.isfinite(d)
+            row, col, d = row[keep], col[keep], d[keep]
+            order = np.lexsort((b_ids[col], d, row))
+            row, col, d = row[order], col[order], d[order]
+            top = np.arange(len(row)) - np.searchsorted(row, row) < k
+            out_a.append(a_ids[row[top]])
+            out_b.append(b_ids[col[top]])
+            out_d.append(d[top])
         join = lambda x, t: pa.array(np.concatenate(x) if x else np.zeros(0), t)
         return pa.table({"a": join(out_a, pa.int64()), "b": join(out_b, pa.int64()), "d2": join(out_d, pa.float64())})
 
@@ -68,6 +119,21 @@ def _distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.stack([np.sqrt(((v - p) ** 2).sum(axis=1)) for p in pivots], axis=1) if len(v) else np.zeros((0, len(pivots)))
 
 
+def _all_pairs(rows: DataFrame, n: int, k: int) -> DataFrame:
+    """Pairs among which are the k nearest of each of the n rows (id, v, reach), all within its reach: every block with every block, a task each.
+
+    A block is of WHOLE numbers at most or so, whatever n; rows move once for each block of the other side.
+    """
+    width = rows.select(F.size("v")).first()[0]
+    targets = -(-n * max(1, width) // WHOLE)
+    asking = max(targets, ASKING)
+    part = lambda m: F.pmod(F.xxhash64("id"), F.lit(m)).cast("int")
+    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
+    asked = rows.select("id", "v", "reach", part(asking).alias("i"), every(targets).alias("j"), F.lit(0).alias("side"))
+    there = rows.select("id", "v", "reach", every(asking).alias("i"), part(targets).alias("j"), F.lit(1).alias("side"))
+    return asked.unionByName(there).repartition(asking * targets, "i", "j").groupBy("i", "j").applyInArrow(_compare(k), _PAIRS)
+
+
 def knn(points: DataFrame, k: int = 15, id_col: str = "id", vec_col: str = "vec", blocks: int | None = None, block: int = BLOCK, report: dict | None = None) -> DataFrame:
     """(a, b, d2, rk): the k nearest other rows of every row, of equal distances the least id first.
 
@@ -75,7 +141,7 @@ def knn(points: DataFrame, k: int = 15, id_col: str = "id", vec_col: str = "vec"
     it, and where a ring still has too many (copies of one row) dealt by hash. A row finds its
     nearest in its own block; the distance to the k-th of them, and the row's distances to
     the pivots, rule out whole rings by the triangle inequality, and only the others are
-    compared. Results are those of all pairs. Both sides of a comparison are of `block` rows
+    compared. Where that rules out little, as in many dimensions, all larger blocks meet. Results are those of all pairs. Both sides of a comparison are of `block` rows
     or so, whatever is near to what. Pivots and rings, some 65,000 at most, are all that tasks
     are sent; blocks only get more by the hash.
 
@@ -147,6 +213,17 @@ def knn(points: DataFrame, k: int = 15, id_col: str = "id", vec_col: str = "vec"
             join = lambda x, t: pa.array(np.concatenate(x) if x else np.zeros(0), t)
             yield pa.RecordBatch.from_arrays([join(out_id, pa.int64()), join(out_blk, pa.int32())], names=["id", "blk"])
 
+    def count(batches):
+        for b in visit(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["c"])
+
+    queries = staged(queries, "knn-queries")
+    seen = queries.mapInArrow(count, "c long").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    if seen > LOOSE * n * int(parts.sum()):
+        if report is not None:
+            report.update(blocks=int(parts.sum()), visits=n * int(parts.sum()), of=n * int(parts.sum()))
+        reach = F.col("reach") * F.col("reach") * (1 + 1e-12)
+        return _top(_all_pairs(queries.select("id", "v", reach.alias("reach")), n, k), k)
     visits = staged(queries.mapInArrow(visit, "id long, blk int"), "knn-visits")
     groups = visits.groupBy("blk").agg(F.ceil(F.count("*") / block).cast("int").alias("groups"))
     if report is not None:

@@ -43,6 +43,29 @@ def test_copies_ties_and_far_rows(spark):
     assert report["blocks"] >= 10
 
 
+@pytest.mark.parametrize("whole", [2**22, 2000])
+def test_rows_of_many_dimensions_move_once_for_each_large_block(spark, monkeypatch, whole):
+    """Bounds rule out nothing there, so no row is sent to each of the small blocks."""
+    monkeypatch.setattr(knn, "WHOLE", whole)
+    rng = np.random.default_rng(7)
+    points = rng.standard_normal((700, 32))
+    points[600:] = points[5]
+    points = list(enumerate((points / np.linalg.norm(points, axis=1, keepdims=True)).tolist()))
+    asked = []
+    all_pairs = knn._all_pairs
+    monkeypatch.setattr(knn, "_all_pairs", lambda *a: asked.append(1) or all_pairs(*a))
+    assert found(spark, points, 6, block=40) == brute(points, 6) and asked
+
+
+def test_targets_far_from_the_origin_and_copies(spark):
+    rng = np.random.default_rng(8)
+    v = 1e7 + rng.standard_normal((300, 8))
+    v[100:200] = v[0]
+    assert len(knn._targets(np.arange(300), v, 4)) == 204
+    points = list(enumerate(v.tolist()))
+    assert found(spark, points, 5, block=30) == brute(points, 5)
+
+
 @pytest.mark.parametrize(("n", "k", "block"), [(1, 3, 10), (4, 9, 2), (30, 12, 5), (60, 3, 60)])
 def test_few_points(spark, n, k, block):
     points = clustered(n, 3, 4, n)
