@@ -1,4 +1,4 @@
-"""Closest names by edits: an index of deletions joined by key, and all distances for what it can't settle."""
+"""Closest names by edits: an index of deletions joined by key, and bounds by shared characters for what it can't settle."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from ..staging import staged
 
 #: Edits that the index answers, and the first characters of a name that its keys are of.
 EDITS, PREFIX = 2, 12
+#: Names that bound an open name's distance, and bits of a set of characters.
+SEEDS, BITS = 512, 256
 
 
 def deletions(c: Column, edits: int = EDITS, prefix: int = PREFIX) -> Column:
@@ -31,12 +33,52 @@ def index(names: DataFrame, name: str = "symbol", edits: int = EDITS) -> DataFra
     return known.select(F.explode(deletions(F.col("known"), edits)).alias("key"), "known")
 
 
+def _letters(c: Column) -> Column:
+    """A name's characters in order, the same of all names that have the same ones."""
+    return F.array_join(F.array_sort(F.split(c, "")), "")
+
+
+def _sets(df: DataFrame, letters: str, name: str) -> DataFrame:
+    """Adds the length of letters, its characters' bits (first of a kind, second of a kind, ...) and how many characters got no bit of their own."""
+    every = F.split(letters, "")
+    slots = F.transform(every, lambda x, i: F.pmod(F.xxhash64(x, i - F.array_position(every, x)), F.lit(BITS)).cast("int"))
+    df = df.withColumn("__slots", slots).withColumns({f"{name}_n": F.length(letters), f"{name}_more": F.size("__slots") - F.size(F.array_distinct("__slots"))})
+    word = lambda i: F.aggregate("__slots", F.lit(0).cast("long"), lambda a, x: F.when((x >= 64 * i) & (x < 64 * i + 64), a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), x - 64 * i))).otherwise(a))
+    return df.withColumns({f"{name}_{i}": word(i) for i in range(BITS // 64)}).drop("__slots")
+
+
+def _far(every: DataFrame, open_: DataFrame, n: int) -> DataFrame:
+    """(wanted, known, distance): pairs among which are the n closest known names of each open one.
+
+    Of two names one has at least as many edits from the other as the longer has characters
+    that both don't share, which is the same for all names of the same characters. So only
+    kinds of names meet all others, and a name's distances are taken where that bound is
+    within the distance of the n-th of some short names and some others.
+    """
+    seeds = every.orderBy(F.length("known"), "known").limit(SEEDS // 2).unionByName(every.orderBy(F.xxhash64("known"), "known").limit(SEEDS // 2)).distinct()
+    nth = F.element_at(F.sort_array(F.collect_list("d")), n)
+    first = Window.partitionBy("wanted").orderBy("d")
+    met = open_.join(F.broadcast(seeds), F.levenshtein("wanted", "known") >= 0).select("wanted", F.levenshtein("wanted", "known").alias("d"))
+    met = met.withColumn("r", F.row_number().over(first)).where(F.col("r") <= n).groupBy("wanted").agg(F.when(F.count("*") >= n, nth).alias("most"))
+    asked = staged(open_.join(met, "wanted", "left").select("wanted", F.coalesce("most", F.lit(2**31 - 1)).alias("most"), _letters(F.col("wanted")).alias("w")), "lookup-open")
+    named = staged(every.select("known", _letters(F.col("known")).alias("k")), "lookup-kinds")
+    tasks = 4 * every.sparkSession.sparkContext.defaultParallelism
+    a = staged(_sets(asked.groupBy("w").agg(F.max("most").alias("w_most")), "w", "w"), "lookup-asked-sets")
+    b = staged(_sets(named.select("k").distinct(), "k", "k"), "lookup-known-sets").repartition(tasks)
+    both = sum((F.bit_count(F.col(f"w_{i}").bitwiseAND(F.col(f"k_{i}"))) for i in range(1, BITS // 64)), F.bit_count(F.col("w_0").bitwiseAND(F.col("k_0"))))
+    bound = F.greatest("w_n", "k_n") - both - F.least("w_more", "k_more")
+    kinds = b.join(F.broadcast(a), bound <= F.col("w_most")).select("w", "k", bound.alias("bound"))
+    pairs = kinds.join(asked, "w").where(F.col("bound") <= F.col("most")).select("wanted", "most", "k").join(named, "k")
+    return pairs.select("wanted", "known", "most", F.levenshtein("wanted", "known").alias("distance")).where(F.col("distance") <= F.col("most")).drop("most")
+
+
 def closest(table: DataFrame, wanted: DataFrame, n: int = 1, name: str = "wanted", edits: int = EDITS) -> DataFrame:
     """(wanted, known, distance, rank, by_key): the n closest known names of each distinct wanted one, by distance, then name.
 
     table: index() with the same edits. A wanted name with n known ones within its edits has
-    its answer, as the index misses none of these. The others are measured against all known
-    names, spread over tasks, each of which keeps n of a wanted name before the shuffle.
+    its answer, as the index misses none of these. The others are measured against the known
+    names that enough characters are shared with, spread over tasks, each of which keeps n of
+    a wanted name before the shuffle.
     by_key tells which way an answer came. Null names and an empty index give no rows; case is
     ignored; of fewer than n known names all are given.
     """
@@ -46,8 +88,6 @@ def closest(table: DataFrame, wanted: DataFrame, n: int = 1, name: str = "wanted
     order = Window.partitionBy("wanted").orderBy("distance", "known")  # each task keeps n of a name before it shuffles
     ranked = staged(near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n), "lookup-near")
     settled = ranked.groupBy("wanted").agg(F.count("*").alias("c")).where(F.col("c") >= n)
-    open_ = asked.join(settled, "wanted", "left_anti")
-    every = table.select("known").distinct()
-    far = every.join(open_, F.levenshtein("wanted", "known") >= 0)  # the asked names that are open against all known ones
-    far = far.select("wanted", "known", F.levenshtein("wanted", "known").alias("distance")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    open_ = staged(asked.join(settled, "wanted", "left_anti"), "lookup-unsettled")
+    far = _far(staged(table.select("known").distinct(), "lookup-known"), open_, n).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
     return ranked.join(settled, "wanted", "left_semi").withColumn("by_key", F.lit(True)).unionByName(far.withColumn("by_key", F.lit(False)))

@@ -43,6 +43,19 @@ def test_few_candidates_and_nothing_missed(spark):
     assert near <= met and len(met) < 0.05 * len(known) * len(wanted)
 
 
+def test_names_unlike_any_meet_few(spark, monkeypatch):
+    """Numbered copies of few names, as symbols are: the distances taken of unlike names are a small part of all."""
+    known = [f"{a} {b}-{i}" for a in ("old", "large") for b in ("gear", "bolt") for i in range(2, 700)] + ["new rod", "hot rod", "old rod", "a\U0001f600b"]
+    wanted = [f"g{i}q" for i in range(1000, 1040)] + ["\U0001f600", "zzz"]
+    monkeypatch.setattr(lookup, "SEEDS", 20)
+    df = lambda values, name: spark.createDataFrame([(v,) for v in values], f"{name} string")
+    met = lookup._far(df(known, "known"), df(wanted, "wanted"), 3)
+    assert met.count() < 0.1 * len(known) * len(wanted)
+    got = lookup.closest(lookup.index(df(known, "symbol")), df(wanted, "wanted"), 3).collect()
+    want = {(w, k, d, r) for w in wanted for r, (d, k) in enumerate(sorted((distance(w, k), k) for k in known)[:3], 1)}
+    assert {(r["wanted"], r["known"], r["distance"], r["rank"]) for r in got} == want and len(got) == len(want)
+
+
 def test_long_names_and_nothing_known(spark):
     a, b = "x" * 5000, "x" * 2500 + "y" + "x" * 2500
     table = lookup.index(spark.createDataFrame([(a,), ("z",)], "symbol string"))
