@@ -64,9 +64,11 @@ def coverage(candidates: DataFrame, occupied: DataFrame, radius_bins: int, key:
     """(key, covered, share) of candidates at bins (bx, by): occupied bins of the disk around them over all of its bins. by: columns that must be equal."""
     disk = stencil(candidates.sparkSession, radius_bins)
     n = sum((2 * int((radius_bins**2 - x * x) ** 0.5) + 1) for x in range(-radius_bins, radius_bins + 1))
-    around = candidates.crossJoin(F.broadcast(disk)).select(key, *by, (F.col("bx") + F.col("dx")).alias("bx"), (F.col("by") + F.col("dy")).alias("by"))  # the disk is a constant
-    hits = around.join(occupied.select(*by, "bx", "by"), [*by, "bx", "by"], "left_semi").groupBy(key).agg(F.count("*").alias("covered"))
-    return candidates.select(key).join(hits, key, "left").select(key, F.coalesce("covered", F.lit(0)).alias("covered"), (F.coalesce("covered", F.lit(0)) / n).alias("share"))
+    at = [*by, "bx", "by"]
+    bins = candidates.select(*at).distinct().withColumns({"cx": F.col("bx"), "cy": F.col("by")})  # candidates of one bin have the same answer
+    around = bins.crossJoin(F.broadcast(disk)).select(*by, "cx", "cy", (F.col("bx") + F.col("dx")).alias("bx"), (F.col("by") + F.col("dy")).alias("by"))  # the disk is a constant
+    hits = around.join(occupied.select(*at), at, "left_semi").groupBy(*by, F.col("cx").alias("bx"), F.col("cy").alias("by")).agg(F.count("*").alias("covered"))
+    return candidates.select(key, *at).join(hits, at, "left").select(key, F.coalesce("covered", F.lit(0)).alias("covered"), (F.coalesce("covered", F.lit(0)) / n).alias("share"))
 
 
 def spaced(points: DataFrame, apart: float, id_col: str = "id", px: str = "x_um", py: str = "y_um", by: tuple[str, ...] = ()) -> DataFrame:
