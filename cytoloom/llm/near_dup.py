@@ -14,7 +14,8 @@
    it, by length, bag, sets of neighbouring words, which feel order, and, for the latter,
    the distances of both from the leader, which bound that between them: blocks of a bounded
    number of rows, each pair of blocks a task. Bags and sets move here, texts don't. Pairs that may
-   be near are aligned as above. Where a task finds very many, as in a second class, each
+   be near are aligned in tiles: a task has the texts of some rows and columns of the pairs'
+   matrix, each once, so what moves and comes out are texts and links, not pairs. Where a task finds very many, as in a second class, each
    text has its best partner first, and the group comes again, with the pairs left between
    classes that these links didn't join; after some such rounds all that is left comes at
    once, in a stream. No bucket is capped or dropped.
@@ -43,8 +44,8 @@ BLOCK = 4096
 SHARE = 256
 #: Pairs for each text above which a task of the comparison gives the best ones first, and the rounds in which it may.
 DENSE, ROUNDS = 256, 8
-#: Pairs that a task hands on at once.
-PAIRS = 100_000
+#: Texts of a side of a tile, and their words, at most (one text may have more).
+TILE, WORDS = 128, 2**19
 
 
 def key_of(text: Column) -> Column:
@@ -172,8 +173,10 @@ def _leftovers(led: DataFrame, tested: DataFrame, roots: DataFrame) -> DataFrame
 
 
 def _candidates(items: DataFrame, bags: DataFrame, roots: DataFrame, dense: int | None) -> DataFrame:
-    """(a, b, g), staged: pairs of items of a group that are of different classes and may be similar by length, bag and order; g is null.
+    """(tile, d, label, at, partners, g), staged: tiles of pairs of items of a group that are of different classes and may be similar by length, bag and order.
 
+    A tile's row is a text, by its place `at`, with the places of its partners: rows are texts,
+    not pairs, of which there may be as many as the square of a class. g is null there.
     bags (d, n, bag, grams, buckets): buckets are the groups of side 0 that a text is in. A pair comes
     from the least of those that both are in, from others only if there is none. A task that
     finds more than `dense` pairs for each text gives the best of each, and a row
@@ -204,6 +207,7 @@ def _candidates(items: DataFrame, bags: DataFrame, roots: DataFrame, dense: int
         label = np.unique(np.array([r.hex() for r in root]), return_inverse=True)[1]
         each = side[0] == 0
         first = np.flatnonzero(own == group["i"][0].as_py() if each else side == 1)
+        first = first[np.argsort(n[first], kind="stable")]
         second = np.flatnonzero(own == group["j"][0].as_py() if each else side == 2)
         second = second[np.argsort(n[second], kind="stable")]
         lengths = n[second]
@@ -229,32 +233,100 @@ def _candidates(items: DataFrame, bags: DataFrame, roots: DataFrame, dense: int
                 if len(near):
                     fits = sketches.in_order(x, near, grams, n, SIMILARITY)
                     near, moved = near[fits], moved[fits]
-                mine = np.array([min(buckets(x) & buckets(y), default=None) == bucket for y in near], bool)
-                if mine.any():
-                    yield x, near[mine], moved[mine]
-
-        def rows_of(pairs: list[tuple[int, int]], again: bool = False) -> pa.RecordBatch:
-            out = [(min(d[x], d[y]), max(d[x], d[y]), None) for x, y in pairs] + [(None, None, group["g"][0].as_py())] * again
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.binary(), pa.binary(), pa.string()))], names=["a", "b", "g"])
-
-        found, bests, many = [], [], False
+                own_pairs = np.array([min(buckets(x) & buckets(y), default=None) == bucket for y in near], bool)
+                if own_pairs.any():
+                    yield x, near[own_pairs], moved[own_pairs]
+
+        def blocks(texts: np.ndarray) -> dict[int, int]:
+            """The number of each text's part of a side: TILE texts, or WORDS words, at most."""
+            out, number, count, held = {}, 0, 0, 0
+            for x in texts.tolist():
+                if count == TILE or count and held + n[x] > WORDS:
+                    number, count, held = number + 1, 0, 0
+                out[x], count, held = number, count + 1, held + int(n[x])
+            return out
+
+        def tiles(pairs: dict[tuple[int, int], set[tuple[int, int]]], again: bool = False) -> pa.RecordBatch:
+            """A row for each text of a tile, with the places of its partners there."""
+            out = []
+            for (p, q), both in pairs.items():
+                at: dict[int, int] = {}
+                others: dict[int, list[int]] = {}
+                for x, y in sorted(both):
+                    for z in (x, y):
+                        at.setdefault(z, len(at))
+                    others.setdefault(x, []).append(at[y])
+                out += [(f"{name}/{p}/{q}", d[x], int(label[x]), i, others.get(x, []), None) for x, i in at.items()]
+            out += [(None, None, None, None, None, group["g"][0].as_py())] * again
+            types = (pa.string(), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.string())
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=["tile", "d", "label", "at", "partners", "g"])
+
+        name = "/".join(str(group[c][0].as_py()) for c in ("g", "i", "j"))
+        mine, other = blocks(first), blocks(second)
+        rank = {x: i for i, x in enumerate(second.tolist())}
+        found: dict[tuple[int, int], set[tuple[int, int]]] = {}
+        bests: dict[tuple[int, int], set[tuple[int, int]]] = {}
+
+        def add(into: dict, x: int, y: int) -> None:
+            if twice and rank[x] > rank[y]:
+                x, y = y, x
+            into.setdefault((mine[x], other[y]), set()).add((x, y))
+
+        total, many, part = 0, False, 0
         for x, near, moved in partners():
+            x = int(x)
             if dense is not None:
-                bests.append((x, near[np.argmin(moved / np.maximum(n[near], n[x]))]))
-            if not many:
-                found += [(x, y) for y in near.tolist() if not twice or d[x] < d[y]]
-            if dense is not None:
-                many = many or len(found) > dense * len(first)
-            elif len(found) > PAIRS:
-                yield rows_of(found)
-                found = []
-        yield rows_of(bests if many else found, many)
-
-    out = staged(rows.groupBy("g", "i", "j").applyInArrow(compare, "a binary, b binary, g string").distinct(), "near-candidates")
+                add(bests, x, int(near[np.argmin(moved / np.maximum(n[near], n[x]))]))
+                total += len(near)
+                many = many or total > (2 if twice else 1) * dense * len(first)
+            elif mine[x] != part:  # all that is left goes in a stream
+                yield tiles(found)
+                found, part = {}, mine[x]
+            if many:
+                found = {}
+                continue
+            for y in near.tolist():
+                if not twice or rank[x] < rank[y]:
+                    add(found, x, y)
+        yield tiles(bests if many else found, many)
+
+    out = staged(rows.groupBy("g", "i", "j").applyInArrow(compare, "tile string, d binary, label int, at int, partners array<int>, g string"), "near-candidates")
     discard(texts, wanted)
     return out
 
 
+def _tile_links(tiles: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
+    """(u, v), staged: similar texts of the staged tiles of _candidates(), each tile in a task. A pair that the links of its tile already join isn't aligned."""
+    needed = staged(tiles.select("d").distinct(), "near-needed")
+    texts = _identified(df, text_col).join(small(needed), "d", "left_semi").dropDuplicates(["d"])
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        d, label, split, partners = {}, {}, {}, {}
+        for batch in batches:  # TILE texts, or WORDS words, of two sides
+            for at, k, c, t, p in zip(*(batch.column(i).to_pylist() for i in range(1, 6))):
+                d[at], label[at], split[at], partners[at] = k, c, words(t), p
+        parent = {c: c for c in label.values()}
+
+        def top(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        links = []
+        for x in sorted(partners):
+            for y in partners[x]:
+                one, two = top(label[x]), top(label[y])
+                if one != two and sketches.edits(split[x], split[y], SIMILARITY)[0]:
+                    parent[one] = two
+                    links.append((d[x], d[y]))
+        yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in links], pa.binary()) for i in (0, 1)], names=["u", "v"])
+
+    rows = tiles.join(texts, "d").select("tile", "at", "d", "label", "t", "partners")
+    out = staged(rows.groupBy("tile").applyInArrow(align, "u binary, v binary"), "near-links")
+    discard(needed)
+    return out
+
+
 def _classes(df: DataFrame, text_col: str) -> DataFrame:
     """(u, v): every distinct text that isn't the least of its class, by identity, with that least one."""
     found = sketched(df, text_col)
@@ -264,7 +336,6 @@ def _classes(df: DataFrame, text_col: str) -> DataFrame:
     tested = _aligned(pairs, df, text_col)
     discard(pairs)
     links = lambda rows: rows.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    sorted_ = lambda rows: rows.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     roots = components(links(tested))
     items = staged(_leftovers(led, tested, roots), "near-leftovers")
     discard(led)
@@ -275,23 +346,22 @@ def _classes(df: DataFrame, text_col: str) -> DataFrame:
     bags = distinct.select("d", "n", "bag").join(needed, "d", "left_semi").join(_ordered(df, text_col, needed), "d")
     bags = staged(bags.join(buckets, "d", "left").withColumn("buckets", F.coalesce("buckets", F.array().cast("array<bigint>"))), "near-bags")
     discard(distinct)
-    done, found, round_ = staged(sorted_(tested).distinct(), "near-done"), True, 0
+    found, round_ = True, 0
     discard(tested)
     while items.limit(1).count():
         # without a link the next round would find the same again, so it takes all pairs, as the last one does
-        pairs = _candidates(items, bags, roots, DENSE if found and round_ < ROUNDS else None)
-        new = staged(pairs.where("g is null").select("a", "b").join(done, ["a", "b"], "left_anti"), "near-new")
-        aligned = _aligned(new, df, text_col)
-        found = aligned.where("ok").limit(1).count() > 0
+        tiles = _candidates(items, bags, roots, DENSE if found and round_ < ROUNDS else None)
+        new = _tile_links(tiles.where("g is null"), df, text_col)
+        found = new.limit(1).count() > 0
         if found:
-            before, roots = roots, components(roots.unionByName(links(aligned)))
+            before, roots = roots, components(roots.unionByName(new))
             discard(before)
-        again = staged(pairs.where("g is not null").select("g").distinct(), "near-again")
-        old = (items, done, pairs, new, aligned, again)
-        items, done = staged(items.join(small(again), "g", "left_semi"), "near-leftovers"), staged(done.unionByName(new), "near-done")
+        again = staged(tiles.where("g is not null").select("g").distinct(), "near-again")
+        old = (items, tiles, new, again)
+        items = staged(items.join(small(again), "g", "left_semi"), "near-leftovers")
         discard(*old)
         round_ += 1
-    discard(items, done, needed, bags)
+    discard(items, needed, bags)
     return roots
 
 

@@ -490,3 +490,26 @@ def test_stages_pass_odd_rows_and_clashing_columns(spark, sf):
                 assert out.columns == df.columns and all(r["score"] == "mine" and r["rest"] == "mine" for r in got), name
             else:
                 assert len(got) == rows.count() and set(df.columns) <= set(out.columns)
+
+
+def test_candidates_are_rows_of_texts_not_of_pairs(spark, monkeypatch):
+    """300 texts, each some 13 % off one, so that hardly any two are near but all bounds leave many pairs: what leaves the comparison grows with texts and tiles, not with pairs."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(w if rng.random() > 0.13 else f"x{rng.randrange(40)}" for w in base) for _ in range(300)]
+    made = []
+
+    def candidates(*a, f=near_dup._candidates):
+        out = f(*a)
+        made.append(out.agg(F.count("d"), F.coalesce(F.sum(F.size("partners")), F.lit(0))).first())
+        return out
+
+    monkeypatch.setattr(near_dup, "_candidates", candidates)
+    monkeypatch.setattr(near_dup, "TILE", 64)
+    real = near_dup.sketched
+    monkeypatch.setattr(near_dup, "sketched", lambda *a: real(*a).withColumn("keys", F.array(F.lit(1).cast("long"))))  # one bucket
+    got = near_dup.near_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).orderBy("doc_id").collect()
+    rows, pairs = (sum(x) for x in zip(*made))
+    print("rows", rows, "pairs", pairs)
+    assert pairs > 5000 and rows < pairs / 4
+    assert [r["class_id"] for r in got] == brute_classes(texts)
