@@ -50,9 +50,9 @@ def core_ranges(placed_: DataFrame) -> DataFrame:
     return g.select("core_id", "first", "end", (F.col("end") - F.col("first") == F.col("n")).alias("contiguous"))
 
 
-def _coded_embedding(cells: DataFrame) -> DataFrame:
-    """Cells with the embedding's extent and their codes ux, uy."""
-    fit = cells.where("has_umap").agg(*[f(c).cast("double").alias(f"{c}_{n}") for c in ("umap_x", "umap_y") for f, n in ((F.min, "lo"), (F.max, "hi"))])
+def _coded_embedding(cells: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """Cells with the embedding's extent and their codes ux, uy. of: the same cells, if they are made with less work for the extent alone."""
+    fit = (cells if of is None else of).where("has_umap").agg(*[f(c).cast("double").alias(f"{c}_{n}") for c in ("umap_x", "umap_y") for f, n in ((F.min, "lo"), (F.max, "hi"))])
     both = cells.crossJoin(F.broadcast(fit))  # one row
     code = lambda c: F.when(F.col("has_umap"), quant_encode(F.col(c).cast("double"), F.col(f"{c}_lo"), quant_scale(F.col(f"{c}_lo"), F.col(f"{c}_hi"), U16 - 1))).otherwise(NO_EMBEDDING)
     return both.withColumns({"ux": code("umap_x"), "uy": code("umap_y")})
@@ -85,4 +85,5 @@ def typed_columns(ds: Dataset) -> DataFrame:
     """
     clusters = ds.clusters.select("cluster_id", (F.row_number().over(Window.orderBy("order")) - 1).alias("cluster"))
     gate = F.when(F.col("cluster") > 254, F.raise_error(F.lit("more than 255 clusters do not fit a byte")).cast("int")).otherwise(F.col("cluster"))
-    return _coded_embedding(placed(ds)).join(clusters, "cluster_id").select("idx", "qx", "qy", "ux", "uy", gate.alias("cluster"), F.col("core_rank").alias("core"), F.least("n_transcripts", F.lit(U16)).alias("ntx"))
+    known = ds.cells.join(ds.sections.select("section_id"), "section_id", "left_semi").join(ds.cores.select("core_id"), "core_id", "left_semi")  # those that have a place
+    return _coded_embedding(placed(ds), known).join(clusters, "cluster_id").select("idx", "qx", "qy", "ux", "uy", gate.alias("cluster"), F.col("core_rank").alias("core"), F.least("n_transcripts", F.lit(U16)).alias("ntx"))
