@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codec import u32_hex, varint_hex, varint_length
@@ -27,6 +27,12 @@ def display_values(expression: DataFrame, scale_factor: float = 1e4) -> DataFram
     return expression.withColumn("total", total).withColumn("v", F.when(F.col("total") > 0, F.ln(1 + scale_factor * F.col("count") / F.col("total"))).otherwise(0.0)).drop("total")
 
 
+def quantum() -> Column:
+    """q of a value v whose gene has max_v at most."""
+    q = F.greatest(F.lit(1.0), F.least(F.lit(255.0), F.rint(255.0 * F.col("v") / F.col("max_v"))))
+    return F.when(F.col("max_v") > 0, q).otherwise(0.0).cast("int")
+
+
 def quantised(values: DataFrame) -> DataFrame:
     """Adds max_v of the gene and q in 0..255; 0 is kept for genes without positive values.
 
@@ -34,8 +40,7 @@ def quantised(values: DataFrame) -> DataFrame:
     not one task.
     """
     most = values.groupBy("gene_id").agg(F.max("v").alias("max_v"))
-    q = F.greatest(F.lit(1.0), F.least(F.lit(255.0), F.rint(255.0 * F.col("v") / F.col("max_v"))))
-    return values.join(most, "gene_id").withColumn("q", F.when(F.col("max_v") > 0, q).otherwise(0.0).cast("int")).withColumn("max_v", F.greatest("max_v", F.lit(0.0)))
+    return values.join(most, "gene_id").withColumn("q", quantum()).withColumn("max_v", F.greatest("max_v", F.lit(0.0)))
 
 
 def detection(expression: DataFrame, genes: DataFrame) -> DataFrame:
@@ -58,6 +63,21 @@ def deltas(quantised_: DataFrame, positions: DataFrame, segment: int = SEGMENT)
     return dealt.withColumn("prior", prior).join(before, ["gene_id", "seg"]).select("gene_id", "idx", (F.col("idx") - F.coalesce("prior", "before")).alias("delta"), "q")
 
 
+def quantised_deltas(values: DataFrame, positions: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """deltas(quantised(values), positions) with two exchanges of the values: by cell, as display_values() leaves them, and by gene and segment.
+
+    A gene's greatest value is that of its segments, so it comes by the join that brings the
+    place before a segment. All other sides have a row for each cell, or for each gene and segment.
+    """
+    rows = values.join(positions.select("cell_id", "idx"), "cell_id").select("gene_id", "idx", "v", F.expr(f"cast(idx div {segment} as int)").alias("seg"))
+    dealt = rows.repartition("gene_id", "seg")  # both sides below read all its columns, so it is made once
+    own = dealt.groupBy("gene_id", "seg").agg(F.max("idx").alias("last"), F.max("v").alias("most"))
+    gene = Window.partitionBy("gene_id")
+    facts = own.select("gene_id", "seg", F.lag("last", 1, 0).over(gene.orderBy("seg")).alias("before"), F.max("most").over(gene).alias("max_v"))
+    prior = F.lag("idx").over(Window.partitionBy("gene_id", "seg").orderBy("idx"))
+    return dealt.withColumn("prior", prior).join(facts, ["gene_id", "seg"]).select("gene_id", "idx", (F.col("idx") - F.coalesce("prior", "before")).alias("delta"), quantum().alias("q"))
+
+
 def blob_sizes(deltas_: DataFrame, n_cells: int) -> DataFrame:
     """(gene_id, nnz, fmt, bytes): sparse if its codes and values are fewer than the cells, else dense; a header of five bytes."""
     sizes = deltas_.groupBy("gene_id").agg(F.count("*").alias("nnz"), F.sum(varint_length(F.col("delta"))).alias("codes"))

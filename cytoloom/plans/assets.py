@@ -101,8 +101,8 @@ def v41(spark, d):
     ds = warehouse.load(spark, d)
 
     def made(counts, cells):
-        q = expression.quantised(expression.display_values(counts))
-        blobs = expression.blobs(expression.deltas(q, ordering.placed(ds.having(cells=cells))), cells.count())
+        d = expression.quantised_deltas(expression.display_values(counts), ordering.placed(ds.having(cells=cells)))
+        blobs = expression.blobs(d, cells.count())
         return integrity.assets(blobs.select(F.col("gene_id").alias("rel"), F.lit("expression").alias("family"), "payload"))
 
     one, two = made(ds.expression, ds.cells), made(ds.expression.repartition(7, F.rand(3)), ds.cells.repartition(5, F.rand(4)))

@@ -29,7 +29,7 @@ def a11(spark, d):
 
 def _deltas(spark, d):
     ds = warehouse.load(spark, d)
-    return expression.deltas(expression.quantised(expression.display_values(ds.expression)), ordering.placed(ds))
+    return expression.quantised_deltas(expression.display_values(ds.expression), ordering.placed(ds))
 
 
 @query("c3_deltas", canon("delta") + "select gene_id, idx, delta, q from delta")

@@ -78,8 +78,8 @@ def tile_assets(built: DataFrame) -> DataFrame:
 def build(ds: Dataset, scale_factor: float = 1e4, images: bool = False) -> DataFrame:
     """(rel, family, payload) of every asset but images. images: whether there will be tiles."""
     spark, n = ds.cells.sparkSession, ds.cells.count()
-    q = expression.quantised(expression.display_values(ds.expression, scale_factor))
-    blobs = expression.blobs(expression.deltas(q, ordering.placed(ds)), n).select(F.concat(F.lit("expr/"), "gene_id", F.lit(".bin")).alias("rel"), F.lit("expression").alias("family"), "payload")
+    deltas = expression.quantised_deltas(expression.display_values(ds.expression, scale_factor), ordering.placed(ds))
+    blobs = expression.blobs(deltas, n).select(F.concat(F.lit("expr/"), "gene_id", F.lit(".bin")).alias("rel"), F.lit("expression").alias("family"), "payload")
     tables = spark.createDataFrame([(a, b, bytearray(c)) for a, b, c in _tables(ds, scale_factor, images)], "rel string, family string, payload binary")
     return blobs.unionByName(_typed(ds)).unionByName(tables)
 

@@ -83,11 +83,10 @@ def genes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
-    return conform(
-        items.groupBy("l_orderkey", "l_partkey").agg(F.sum("l_quantity").cast("int").alias("count")).select(F.col("l_orderkey").cast("string").alias("cell_id"), F.concat(F.lit("G"), F.col("l_partkey").cast("string")).alias("gene_id"), "count"),
-        EXPRESSION,
-    )
+    items = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity").withColumn("cell_id", F.col("l_orderkey").cast("string"))
+    # dealt by cell, as nearly all that follows needs it: one exchange then serves sums, totals and joins by cell
+    counts = items.select("cell_id", "l_partkey", "l_quantity").repartition("cell_id").groupBy("cell_id", "l_partkey").agg(F.sum("l_quantity").cast("int").alias("count"))
+    return conform(counts.select("cell_id", F.concat(F.lit("G"), F.col("l_partkey").cast("string")).alias("gene_id"), "count"), EXPRESSION)
 
 
 def cluster_table(cells_: DataFrame, labels: DataFrame) -> DataFrame:
