@@ -8,9 +8,15 @@ at most and the hash of their names and hashes. All hashes are SHA-256.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import staged
+
 #: Rows of a leaf, about; digits of a leaf's name at most.
 LEAF, DEEPEST = 4096, 8
 
@@ -39,11 +45,36 @@ def depth_for(rows: int, leaf: int = LEAF) -> int:
     return depth
 
 
+def _leaves(rows: DataFrame) -> DataFrame:
+    """(node, rows, hash) of the leaves: rows come sorted by Spark, and a leaf's hash takes them in as they pass, so no task holds a leaf."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leaf, total, sha = None, 0, None
+        for batch in batches:
+            done = []
+            for name, row, times in zip(*(c.to_pylist() for c in batch.columns)):
+                if name != leaf:
+                    if sha:
+                        done.append((leaf, total, sha.hexdigest()))
+                    leaf, total, sha = name, 0, hashlib.sha256()
+                else:
+                    sha.update(b"\n")
+                total += times
+                sha.update(f"{row} {times}".encode())
+            if done:
+                yield made(done)
+        if sha:
+            yield made([(leaf, total, sha.hexdigest())])
+
+    def made(done: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in done], t) for i, t in enumerate((pa.string(), pa.int64(), pa.string()))], names=["node", "rows", "hash"])
+
+    return rows.repartition("leaf").sortWithinPartitions("leaf", "row").select("leaf", "row", "times").mapInArrow(run, "node string, rows bigint, hash string")
+
+
 def tree(df: DataFrame, key: list[str], depth: int) -> DataFrame:
     """(level, node, rows, hash) of all nodes, the root at level 0 with an empty name. An empty table has a root alone, of no children."""
-    line = F.concat("row", F.lit(" "), F.col("times").cast("string"))
-    lists = hashed(df, key, depth).groupBy(F.col("leaf").alias("node")).agg(F.sum("times").alias("rows"), F.sort_array(F.collect_list(line)).alias("l"))
-    level = lists.select("node", "rows", _sha(F.array_join("l", "\n")).alias("hash"))
+    level = staged(_leaves(hashed(df, key, depth)), "merkle-leaves")  # every level above is made of it
     out = level.select(F.lit(depth).alias("level"), "node", "rows", "hash")
     for d in range(depth - 1, -1, -1):
         line = F.concat("node", F.lit(" "), "hash")

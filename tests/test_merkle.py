@@ -58,3 +58,17 @@ def test_roots_tell_values_repeats_and_nulls_apart(spark):
     seen = [of(), of(("a", "b", 1)), of(("a", "b", 1), ("a", "b", 1)), of(("ab", "", 1)), of(("a", None, 1)), of(("a", "n", 1)), of(("a", "b", 1), ("c", "d", 2))]
     assert len(set(seen)) == len(seen) and of(("c", "d", 2), ("a", "b", 1)) == seen[-1] and of() == hashlib.sha256(b"").hexdigest()
     assert [merkle.depth_for(n, 10) for n in (0, 10, 11, 160, 161, 10**12)] == [0, 0, 1, 1, 2, 8]
+
+
+def test_a_leaf_is_never_one_list(spark, monkeypatch):
+    """Rows of a leaf pass in order through its hash; no aggregate gathers them."""
+    import hashlib
+
+    from cytoloom.operators import merkle
+
+    gathered = []
+    monkeypatch.setattr(merkle.F, "collect_list", lambda c, f=merkle.F.collect_list: gathered.append(c) or f(c))
+    df = spark.range(3000).selectExpr("id % 700 as a", "id % 3 as b").repartition(5)
+    root = merkle.tree(df, ["a"], 0).collect()
+    rows = sorted(f"{r['row']} {r['times']}" for r in merkle.hashed(df, ["a"], 0).collect())
+    assert not gathered and [(r["rows"], r["hash"]) for r in root] == [(3000, hashlib.sha256("\n".join(rows).encode()).hexdigest())]
