@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def slug(c: Column) -> Column:
     """Lower case; runs of anything but letters and digits become one dash; none at the ends."""
-    return F.regexp_replace(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", "-"), "^-|-$", "")
+    return F.btrim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", "-"), F.lit("-"))
 
 
 def number_repeats(df: DataFrame, col: str, *order: str, into: str = "symbol") -> DataFrame:

@@ -1,18 +1,21 @@
 """The validation engine: schema and cross-table rules as one report.
 
-Rules are sums of aggregations over a table joined with the small tables it refers to: the
-row rules of a table are one aggregation, keys and references some more. A rule's row says
-how many rows break it.
+Rules are sums of aggregations over a table joined with the small tables it refers to. Cells
+meet the small tables, then their counts, and fold to a row for each core and cluster, from
+which all rules of cells follow; so cells are gone through once and counts twice, by cell and
+by gene. A rule's row says how many rows break it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import SCHEMAS, Dataset
+from ..staging import staged
 from . import spatial
 
 RADIUS_SLACK_UM = 50.0
@@ -79,30 +82,51 @@ def affine_ok(he: str = "he_image") -> Column:
 
 def report(ds: Dataset, expected: Expected = Expected(), name: str | None = None) -> DataFrame:
     """(ord, rule, ok, n_bad), a row for each rule; always the same rules, then those of `expected`."""
-    spark = ds.cells.sparkSession
+    shape = {t: F.lit(_shape(getattr(ds, t), t)) for t in SCHEMAS}
+    # small, but often made from all cells, and read by several rules
+    ds = ds.having(**{t: staged(getattr(ds, t), f"validation-{t}") for t in ("sections", "cores", "clusters")})
     cores = ds.cores.select("core_id", F.col("section_id").alias("k_section"), F.col("patient_id").alias("k_patient"), "kind", "center_x_um", "center_y_um", "radius_um", "bbox_x0", "bbox_y0", "bbox_x1", "bbox_y1", F.lit(1).alias("k"))
     secs = ds.sections.select("section_id", *[f"bounds_{x}" for x in ("x0", "y0", "x1", "y1")], F.lit(1).alias("s"))
     known = ds.clusters.select("cluster_id", F.lit(1).alias("c"))
     one = lambda df, key: df.dropDuplicates([key])  # noqa: E731  a repeated key is a rule of its own and must not multiply cells
-    sums = ds.expression.groupBy("cell_id").agg(F.sum("count").alias("e"))
-    joined = ds.cells.join(one(cores, "core_id"), "core_id", "left").join(one(secs, "section_id"), "section_id", "left").join(one(known, "cluster_id"), "cluster_id", "left").join(sums, "cell_id", "left")
+    joined = ds.cells.join(one(cores, "core_id"), "core_id", "left").join(one(secs, "section_id"), "section_id", "left")
     inside = F.col("x_um").between(F.col("bbox_x0"), F.col("bbox_x1")) & F.col("y_um").between(F.col("bbox_y0"), F.col("bbox_y1"))
     near = F.hypot(F.col("x_um") - F.col("center_x_um"), F.col("y_um") - F.col("center_y_um")) <= F.col("radius_um") + RADIUS_SLACK_UM
     has = finite(F.col("umap_x")) & finite(F.col("umap_y"))
     umap = lambda c: F.isnan(c) | finite(F.col(c))
-    cell = joined.agg(
-        bad(_not_null(ds.cells) & finite(F.col("x_um")) & finite(F.col("y_um")) & umap("umap_x") & umap("umap_y") & (F.col("n_transcripts") >= 0)).alias("cell_rows"),
-        bad(F.col("s") == 1).alias("section_fk"),
-        bad(F.col("k") == 1).alias("core_fk"),
-        bad(F.col("c") == 1).alias("cluster_fk"),
-        bad(F.col("has_umap") == has).alias("umap"),
-        bad(F.col("patient_id") == F.col("k_patient")).alias("patient"),
-        bad(F.col("section_id") == F.col("k_section")).alias("core_section"),
-        bad(F.when(F.col("kind") == "core", near & inside).otherwise(inside)).alias("in_core"),
-        bad(F.col("x_um").between(F.col("bounds_x0"), F.col("bounds_x1")) & F.col("y_um").between(F.col("bounds_y0"), F.col("bounds_y1"))).alias("in_section"),
-        bad(F.col("n_transcripts") == F.coalesce("e", F.lit(0))).alias("row_sum"),
-        F.count("*").alias("n_cells"),
-        F.coalesce(F.median("n_transcripts"), F.lit(0.0)).alias("median_n"),
+    row_rules = {
+        "cell_rows": _not_null(ds.cells) & finite(F.col("x_um")) & finite(F.col("y_um")) & umap("umap_x") & umap("umap_y") & (F.col("n_transcripts") >= 0),
+        "section_fk": F.col("s") == 1,
+        "core_fk": F.col("k") == 1,
+        "umap": F.col("has_umap") == has,
+        "patient": F.col("patient_id") == F.col("k_patient"),
+        "core_section": F.col("section_id") == F.col("k_section"),
+        "in_core": F.when(F.col("kind") == "core", near & inside).otherwise(inside),
+        "in_section": F.col("x_um").between(F.col("bounds_x0"), F.col("bounds_x1")) & F.col("y_um").between(F.col("bounds_y0"), F.col("bounds_y1")),
+    }
+    # a bit for each broken rule, so that few bytes of a cell meet its counts
+    broken = reduce(Column.__add__, [F.when(F.coalesce(ok, F.lit(False)), 0).otherwise(2**i) for i, ok in enumerate(row_rules.values())])
+    again = F.row_number().over(Window.partitionBy("cell_id").orderBy("cell_id")) > 1  # dealt and sorted as the join needs it
+    flagged = joined.select("cell_id", "core_id", "cluster_id", "n_transcripts", broken.alias("broken")).withColumns({"again": again, "here": F.lit(1)})
+    sums = ds.expression.groupBy("cell_id").agg(F.sum("count").alias("e"), F.count("*").alias("entries"))
+    here = F.col("here") == 1
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    # a row for each core and cluster, from which all rules of cells follow, and one of the rules of counts by gene:
+    # both read cells' counts whole, so in one plan these are dealt once
+    groups = flagged.join(sums, "cell_id", "full_outer").groupBy("core_id", "cluster_id").agg(
+        count("here").alias("n"),
+        *[count(F.shiftright("broken", i).bitwiseAND(1)).alias(r) for i, r in enumerate(row_rules)],
+        count(F.when(here & ~F.col("n_transcripts").eqNullSafe(F.coalesce("e", F.lit(0))), 1)).alias("row_sum"),
+        count(F.when(F.col("again"), 1)).alias("cells_repeats"),
+        count(F.when(F.col("here").isNull(), F.col("entries"))).alias("stray_cells"),
+    )
+    genes = one(ds.genes.select("gene_id", F.lit(1).alias("g")), "gene_id")
+    counts = ds.expression.join(genes, "gene_id", "left").agg(bad(F.col("g") == 1).alias("stray_genes"), bad(F.col("count") >= 0).alias("negative"))
+    groups = staged(groups.unionByName(counts, allowMissingColumns=True), "validation-groups")
+    cell = groups.join(one(known, "cluster_id"), "cluster_id", "left").agg(
+        *[count(r).alias(r) for r in (*row_rules, "row_sum", "cells_repeats", "stray_cells", "stray_genes", "negative")],
+        count(F.when(F.col("c").isNull(), F.col("n"))).alias("cluster_fk"),
+        count("n").alias("n_cells"),
     )
     core = ds.cores.join(one(secs, "section_id"), "section_id", "left").agg(
         bad(_not_null(ds.cores) & F.col("kind").isin("core", "region") & F.col("patient_id").rlike(r"^P\d{2,}$") & (F.col("radius_um") > 0)).alias("core_rows"),
@@ -111,9 +135,9 @@ def report(ds: Dataset, expected: Expected = Expected(), name: str | None = None
         F.count("*").alias("n_cores"),
         F.count_distinct("patient_id").alias("n_patients"),
     )
-    empty = ds.cores.join(ds.cells.select("core_id").distinct(), "core_id", "left_anti").agg(F.count("*").alias("empty_cores"))
+    empty = ds.cores.join(groups.where("n > 0").select("core_id").distinct(), "core_id", "left_anti").agg(F.count("*").alias("empty_cores"))
     gene = ds.genes.agg(bad(_not_null(ds.genes) & F.col("panel").isin("predesigned", "custom")).alias("gene_rows"))
-    observed = ds.cells.groupBy("cluster_id").agg(F.count("*").alias("seen"))
+    observed = groups.groupBy("cluster_id").agg(F.sum("n").alias("seen"))
     cluster = ds.clusters.join(observed, "cluster_id", "left").agg(
         bad(_not_null(ds.clusters) & F.col("color").rlike("^#[0-9A-Fa-f]{6}$") & (F.col("n_cells") >= 0)).alias("cluster_rows"),
         bad(F.col("n_cells") == F.coalesce("seen", F.lit(0))).alias("cluster_n"),
@@ -124,17 +148,15 @@ def report(ds: Dataset, expected: Expected = Expected(), name: str | None = None
         bad(affine_ok()).alias("affine"),
         F.count("*").alias("n_sections"),
     )
-    stray = ds.expression.join(ds.cells.select("cell_id"), "cell_id", "left_anti").agg(F.count("*").alias("stray_cells"))
-    stray_gene = ds.expression.join(ds.genes.select("gene_id"), "gene_id", "left_anti").agg(F.count("*").alias("stray_genes"))
-    counts = ds.expression.agg(bad(F.col("count") >= 0).alias("negative"))
     facts = cell
-    for part in (core, empty, gene, cluster, section, stray, stray_gene, counts, no_overlap(ds.cores).withColumnRenamed("n", "overlaps")):
+    for part in (core, empty, gene, cluster, section, no_overlap(ds.cores).withColumnRenamed("n", "overlaps")):
         facts = facts.crossJoin(part)  # one row each
-    for table, key in (("cells", "cell_id"), ("genes", "gene_id"), ("clusters", "cluster_id"), ("cores", "core_id"), ("sections", "section_id")):
+    if expected.median_transcripts is not None:
+        facts = facts.crossJoin(ds.cells.agg(F.coalesce(F.median("n_transcripts"), F.lit(0.0)).alias("median_n")))
+    for table, key in (("genes", "gene_id"), ("clusters", "cluster_id"), ("cores", "core_id"), ("sections", "section_id")):
         facts = facts.crossJoin(_repeats(getattr(ds, table), F.col(key)).withColumnRenamed("n", f"{table}_repeats"))
     facts = facts.crossJoin(_repeats(ds.clusters, F.col("order")).withColumnRenamed("n", "order_repeats")).crossJoin(_repeats(ds.genes, F.lower("symbol")).withColumnRenamed("n", "symbol_repeats"))
 
-    shape = {t: F.lit(_shape(getattr(ds, t), t)) for t in SCHEMAS}
     col = F.col
     # fixed values: the names of the rules
     rules: list[tuple[str, Column]] = [
@@ -176,7 +198,6 @@ def report(ds: Dataset, expected: Expected = Expected(), name: str | None = None
             rules.append((label.format(value), F.when(ok(value), 0).otherwise(1)))
     rules.append(("dataset.name matches config", F.lit(int(name is not None and ds.record.name != name))))
     rows = F.array(*[F.struct(F.lit(i + 1).alias("ord"), F.lit(r).alias("rule"), n.cast("long").alias("n_bad")) for i, (r, n) in enumerate(rules)])
-    del spark
     return facts.select(F.explode(rows).alias("r")).select("r.ord", "r.rule", (F.col("r.n_bad") == 0).alias("ok"), "r.n_bad")
 
 
