@@ -21,6 +21,7 @@ from cytoloom.model import Dataset
 from cytoloom.operators.expression import display_values
 from cytoloom.operators.validation import require_valid
 from cytoloom.sources import warehouse
+from cytoloom.staging import staged
 
 from . import common
 
@@ -42,15 +43,16 @@ class Config:
 def profiles(ds: Dataset, scale_factor: float = 1e4, min_cells: int = 1) -> DataFrame:
     """(section_id, core_id, cluster_id, gene_id, n_cells, counts, share, mean_value): share and mean are over all cells of the core's cluster.
 
-    Counts fold by core, cluster and gene before they are shuffled; the sizes of the groups
-    are some thousands of rows, which join by what Spark finds cheapest.
+    The groups, some thousands, get numbers, so that a value takes a number and not three names
+    through the shuffle. Values fold by group and gene before it, and it is the last one: sizes
+    and names are a small table, which joins by what Spark finds cheapest.
     """
     group = ["section_id", "core_id", "cluster_id"]
-    cells = ds.cells.select("cell_id", *group)
-    sizes = cells.groupBy(*group).agg(F.count("*").alias("of"))
-    values = display_values(ds.expression.where("count > 0"), scale_factor).join(cells, "cell_id")
-    sums = values.groupBy(*group, "gene_id").agg(F.count("*").alias("n_cells"), F.sum("count").alias("counts"), F.sum("v").alias("v"))
-    return sums.where(F.col("n_cells") >= min_cells).join(sizes, group).select(*group, "gene_id", "n_cells", "counts", F.round(F.col("n_cells") / F.col("of"), 6).alias("share"), F.round(F.col("v") / F.col("of"), 6).alias("mean_value"))
+    cells = staged(ds.cells.select("cell_id", *group), "profile-cells")  # read for sizes and for names
+    sizes = staged(cells.groupBy(*group).agg(F.count("*").alias("of")).withColumn("g", F.monotonically_increasing_id()), "profile-sizes")
+    values = display_values(ds.expression.where("count > 0"), scale_factor).join(cells.join(sizes, group).select("cell_id", "g"), "cell_id")
+    sums = values.groupBy("g", "gene_id").agg(F.count("*").alias("n_cells"), F.sum("count").alias("counts"), F.sum("v").alias("v"))
+    return sums.where(F.col("n_cells") >= min_cells).join(sizes, "g").select(*group, "gene_id", "n_cells", "counts", F.round(F.col("n_cells") / F.col("of"), 6).alias("share"), F.round(F.col("v") / F.col("of"), 6).alias("mean_value"))
 
 
 def run(spark: SparkSession, tables: str, out: str, config: Config = Config()) -> DataFrame:
@@ -68,8 +70,8 @@ def run(spark: SparkSession, tables: str, out: str, config: Config = Config()) -
         cells = ds.cells.where(F.col("section_id").isin(*config.sections))
         ds = ds.having(cells=cells, expression=ds.expression.join(cells.select("cell_id"), "cell_id", "left_semi"))
     rows = profiles(ds, config.scale_factor, config.min_cells)
-    # rows of a section are spread over tasks by core and cluster, so its files are many and even
-    rows.repartition("section_id", "core_id", "cluster_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("section_id").parquet(out)
+    # rows of a section are spread over all tasks by group and gene, so its files are many and even without another shuffle
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("section_id").parquet(out)
     back = spark.read.schema(rows.schema).parquet(out)
     for r in back.groupBy("section_id").agg(F.count("*").alias("n"), F.count_distinct("core_id").alias("cores")).orderBy("section_id").collect():
         log.info("wrote %s section_id=%s: %d rows of %d cores%s", out, r["section_id"], r["n"], r["cores"], "" if not config.sections or r["section_id"] in config.sections else " (from before)")

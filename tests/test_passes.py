@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cytoloom.operators import validation
 from cytoloom.sources import warehouse
+from jobs import core_profiles
 
 
 def watched(df):
@@ -40,3 +41,9 @@ def test_report_of_repeated_stray_and_nameless_rows(spark, sf):
     assert got["expression dtype int32, ≥ 0"] == plain["expression dtype int32, ≥ 0"] + 1
     none = {r["rule"]: r["n_bad"] for r in validation.report(ds.having(cells=ds.cells.limit(0), expression=ds.expression.limit(0))).collect()}
     assert none["every core has ≥ 1 cell"] == ds.cores.count() and none["cells inside their core"] == 0
+
+
+def test_profiles_shuffle_values_twice(spark, sf):
+    rows = core_profiles.profiles(warehouse.load(spark, sf))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(section_id" not in plan and plan.count("Exchange hashpartitioning") == 2  # by cell, by group and gene; cells are few here
