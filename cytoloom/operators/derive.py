@@ -120,7 +120,7 @@ def derive(ds: Dataset, plan: Plan) -> Dataset:
         raise ValueError("no core fits the tissue")
     cells, labels = split_largest(ds, plan.split_largest, plan.seed)
     places = spark.createDataFrame([(i, *c) for i, c in enumerate(centers)], "base int, cx double, cy double")
-    members = spatial.within(cells, places, plan.radius).drop("d")
+    members = staged(spatial.within(cells, places, plan.radius).drop("d"), "derive-members")  # read for sizes, boxes, clusters, cells and counts; made from all cells
     sizes = {r["base"]: r["n"] for r in members.groupBy("base").agg(F.count("*").alias("n")).collect()}
     bases = spark.createDataFrame([(i, sizes.get(i, 0)) for i in range(len(centers))], "base int, n long")
     reps = sorted((r["rep"], r["base"]) for r in spatial.replicas(bases, plan.target_cells, plan.min_cores).collect())
@@ -135,7 +135,7 @@ def derive(ds: Dataset, plan: Plan) -> Dataset:
     turn = F.when(F.col("rep") > 0, 2 * math.pi * unit(F.lit("turn"), "core_id")).otherwise(0.0)
     dx, dy = F.col("x_um") - F.col("cx"), F.col("y_um") - F.col("cy")
     m = m.withColumns({"dx": F.when(F.col("rep") > 0, dx * F.cos(turn) - dy * F.sin(turn) + normal("x")).otherwise(dx), "dy": F.when(F.col("rep") > 0, dx * F.sin(turn) + dy * F.cos(turn) + normal("y")).otherwise(dy)})
-    reach = m.groupBy("core_id").agg(F.max(F.hypot("dx", "dy")).alias("reach"))
+    reach = staged(m.groupBy("core_id").agg(F.max(F.hypot("dx", "dy")).alias("reach")), "derive-reach")  # a row for each core
     m = m.join(reach, "core_id").withColumn("k", F.when(F.col("rep") > 0, plan.radius / F.greatest("reach", F.lit(plan.radius))).otherwise(1.0))
     m = m.withColumns({"x_um": F.col("nx") + F.col("dx") * F.col("k"), "y_um": F.col("ny") + F.col("dy") * F.col("k"), "source_id": F.col("cell_id")})
     m = m.withColumn("cell_id", F.concat("core_id", F.lit("-"), replica(F.col("cell_id"), F.col("rep"))))

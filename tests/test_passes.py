@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cytoloom.operators import validation
+from cytoloom.operators import derive, validation
 from cytoloom.sources import warehouse
 from jobs import core_profiles
 
@@ -43,6 +43,15 @@ def test_report_of_repeated_stray_and_nameless_rows(spark, sf):
     assert none["every core has ≥ 1 cell"] == ds.cores.count() and none["cells inside their core"] == 0
 
 
+def test_derived_cells_are_cut_once(spark, sf):
+    ds = warehouse.load(spark, sf)
+    cells, seen = watched(ds.cells)
+    made = derive.derive(ds.having(cells=cells), derive.Plan(seed=3, radius=250.0, sections=2, min_cores=6))
+    before = seen.value
+    validation.report(made).collect()
+    assert seen.value == before
+
+
 def test_profiles_shuffle_values_twice(spark, sf):
     rows = core_profiles.profiles(warehouse.load(spark, sf))
     plan = rows._jdf.queryExecution().executedPlan().toString()
