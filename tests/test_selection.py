@@ -34,3 +34,27 @@ def test_nan_is_above_all(spark):
     assert got["median"] == 2.0
     only = selection.median(spark.createDataFrame([(float("nan"),)], "v double").withColumn("g", F.lit(1)), ["g"], "v").first()
     assert math.isnan(only["median"])
+
+
+def test_first_round_leaves_few_of_distinct_values(spark, monkeypatch):
+    kept, real = [], selection.staged
+
+    def watch(df, name):
+        back = real(df, name)
+        if name == "selection-left":
+            kept.append(back.count())
+        return back
+
+    monkeypatch.setattr(selection, "staged", watch)
+    df = spark.range(20_000).select((F.col("id") % 2).alias("g"), (F.pmod(F.xxhash64("id"), F.lit(10**9)) / 7).alias("v"))
+    got = {r["g"]: r["median"] for r in selection.median(df, ["g"], "v").collect()}
+    rows = df.collect()
+    assert got == {g: pytest.approx(statistics.median(r["v"] for r in rows if r["g"] == g), rel=1e-15) for g in (0, 1)}
+    assert max(kept) < 20_000 / 8
+
+
+def test_nearly_all_values_equal_and_zeros_of_both_signs(spark):
+    rows = [("a", 5.0)] * 2000 + [("a", 1.0), ("a", 2.0), ("z", -0.0), ("z", 0.0), ("z", -0.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {(r["g"], r["place"]): repr(r["x"]) for r in selection.order_statistics(df, ["g"], "v", lambda n: F.array(F.lit(0), F.lit(1), F.lit(2))).collect()}
+    assert got == {("a", 0): "1.0", ("a", 1): "2.0", ("a", 2): "5.0", ("z", 0): "0.0", ("z", 1): "0.0", ("z", 2): "0.0"}
