@@ -11,6 +11,8 @@ from ..staging import staged
 EDITS, PREFIX = 2, 12
 #: Names that bound an open name's distance, and bits of a set of characters.
 SEEDS, BITS = 512, 256
+#: Kinds of open names that are sent to all tasks at most; more meet the known ones as a product of partitions.
+KINDS = 2**16
 
 
 def deletions(c: Column, edits: int = EDITS, prefix: int = PREFIX) -> Column:
@@ -27,10 +29,19 @@ def deletions(c: Column, edits: int = EDITS, prefix: int = PREFIX) -> Column:
     return every
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Dealt to four tasks for each core: names are few bytes, so Spark would make some hundred thousands one task's, and what is made of them takes long."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
+def distinct(names: DataFrame, name: str = "symbol") -> DataFrame:
+    """(known): the distinct names, case ignored, without null."""
+    return names.where(F.col(name).isNotNull()).select(F.lower(name).alias("known")).distinct()
+
+
 def index(names: DataFrame, name: str = "symbol", edits: int = EDITS) -> DataFrame:
     """(key, known): deletions of the distinct names, case ignored; null names have none. Worth keeping as a table for many lookups."""
-    known = names.where(F.col(name).isNotNull()).select(F.lower(name).alias("known")).distinct()
-    return known.select(F.explode(deletions(F.col("known"), edits)).alias("key"), "known")
+    return _spread(distinct(names, name)).select(F.explode(deletions(F.col("known"), edits)).alias("key"), "known")
 
 
 def _letters(c: Column) -> Column:
@@ -52,42 +63,53 @@ def _far(every: DataFrame, open_: DataFrame, n: int) -> DataFrame:
 
     Of two names one has at least as many edits from the other as the longer has characters
     that both don't share, which is the same for all names of the same characters. So only
-    kinds of names meet all others, and a name's distances are taken where that bound is
-    within the distance of the n-th of some short names and some others.
+    kinds of names meet all others, and a name's distances are taken where that bound and the
+    known name come before the distance and name of the n-th of some short names and some
+    others. A kind's first name stands for its names in that order.
     """
     seeds = every.orderBy(F.length("known"), "known").limit(SEEDS // 2).unionByName(every.orderBy(F.xxhash64("known"), "known").limit(SEEDS // 2)).distinct()
-    nth = F.element_at(F.sort_array(F.collect_list("d")), n)
-    first = Window.partitionBy("wanted").orderBy("d")
-    met = open_.join(F.broadcast(seeds), F.levenshtein("wanted", "known") >= 0).select("wanted", F.levenshtein("wanted", "known").alias("d"))
-    met = met.withColumn("r", F.row_number().over(first)).where(F.col("r") <= n).groupBy("wanted").agg(F.when(F.count("*") >= n, nth).alias("most"))
-    asked = staged(open_.join(met, "wanted", "left").select("wanted", F.coalesce("most", F.lit(2**31 - 1)).alias("most"), _letters(F.col("wanted")).alias("w")), "lookup-open")
-    named = staged(every.select("known", _letters(F.col("known")).alias("k")), "lookup-kinds")
-    tasks = 4 * every.sparkSession.sparkContext.defaultParallelism
+    seeds = seeds.agg(F.collect_list("known").alias("seeds"))  # one row
+    met = F.sort_array(F.transform("seeds", lambda s: F.struct(F.levenshtein(F.col("wanted"), s).alias("d"), s.alias("known"))))
+    nth = _spread(open_).crossJoin(F.broadcast(seeds)).select("wanted", F.try_element_at(met, F.lit(n)).alias("nth"))
+    most = F.when(F.col("nth").isNull(), F.struct(F.lit(2**31 - 1).alias("d"), F.lit("").alias("known"))).otherwise(F.col("nth"))
+    asked = staged(nth.select("wanted", most.alias("most"), _letters(F.col("wanted")).alias("w")), "lookup-open")
+    named = staged(_spread(every).select("known", _letters(F.col("known")).alias("k")), "lookup-kinds")
     a = staged(_sets(asked.groupBy("w").agg(F.max("most").alias("w_most")), "w", "w"), "lookup-asked-sets")
-    b = staged(_sets(named.select("k").distinct(), "k", "k"), "lookup-known-sets").repartition(tasks)
+    b = _spread(staged(_sets(named.groupBy("k").agg(F.min("known").alias("first")), "k", "k"), "lookup-known-sets"))
     both = sum((F.bit_count(F.col(f"w_{i}").bitwiseAND(F.col(f"k_{i}"))) for i in range(1, BITS // 64)), F.bit_count(F.col("w_0").bitwiseAND(F.col("k_0"))))
     bound = F.greatest("w_n", "k_n") - both - F.least("w_more", "k_more")
-    kinds = b.join(F.broadcast(a), bound <= F.col("w_most")).select("w", "k", bound.alias("bound"))
-    pairs = kinds.join(asked, "w").where(F.col("bound") <= F.col("most")).select("wanted", "most", "k").join(named, "k")
-    return pairs.select("wanted", "known", "most", F.levenshtein("wanted", "known").alias("distance")).where(F.col("distance") <= F.col("most")).drop("most")
+    within = lambda d, known, most: (d < F.col(f"{most}.d")) | ((d == F.col(f"{most}.d")) & (F.col(known) <= F.col(f"{most}.known")))
+    sent = F.broadcast(a) if a.count() <= KINDS else _spread(a).hint("shuffle_replicate_nl")
+    kinds = b.join(sent, within(bound, "first", "w_most")).select("w", "k", "first", bound.alias("bound"))
+    pairs = asked.hint("merge").join(kinds, "w").where(within(F.col("bound"), "first", "most")).select("wanted", "most", "k", "bound")
+    pairs = named.hint("merge").join(pairs, "k").where(within(F.col("bound"), "known", "most"))
+    return pairs.select("wanted", "known", "most", F.levenshtein("wanted", "known").alias("distance")).where(within(F.col("distance"), "known", "most")).drop("most")
 
 
-def closest(table: DataFrame, wanted: DataFrame, n: int = 1, name: str = "wanted", edits: int = EDITS) -> DataFrame:
+def closest(table: DataFrame, wanted: DataFrame, n: int = 1, name: str = "wanted", edits: int = EDITS, known: DataFrame | None = None) -> DataFrame:
     """(wanted, known, distance, rank, by_key): the n closest known names of each distinct wanted one, by distance, then name.
 
-    table: index() with the same edits. A wanted name with n known ones within its edits has
-    its answer, as the index misses none of these. The others are measured against the known
+    table: index() with the same edits. known: distinct() of the same names, where it is at
+    hand; else they are taken from the table. A wanted name with n known ones within its edits
+    has its answer, as the index misses none of these. The others are measured against the known
     names that enough characters are shared with, spread over tasks, each of which keeps n of
     a wanted name before the shuffle.
     by_key tells which way an answer came. Null names and an empty index give no rows; case is
     ignored; of fewer than n known names all are given.
+
+    Joins by key or name are never broadcasts: a table of names is small, and its deletions,
+    which Spark takes for as small, are not. Keys meet by their hashes; the distance tells those
+    apart that only share a hash.
     """
     asked = staged(wanted.where(F.col(name).isNotNull()).select(F.lower(name).alias("wanted")).distinct(), "lookup-wanted")
-    keys = asked.select("wanted", F.explode(deletions(F.col("wanted"), edits)).alias("key"))
-    near = keys.join(table, "key").select("wanted", "known").distinct().withColumn("distance", F.levenshtein("wanted", "known")).where(F.col("distance") <= edits)
+    hashed = F.xxhash64("key").alias("h")
+    keys = _spread(asked).select("wanted", F.explode(deletions(F.col("wanted"), edits)).alias("key")).select("wanted", hashed)
+    close = F.levenshtein("wanted", "known", edits)  # -1 beyond
+    near = table.select(hashed, "known").hint("merge").join(keys, "h").select("wanted", "known", close.alias("distance")).where("distance >= 0").distinct()
     order = Window.partitionBy("wanted").orderBy("distance", "known")  # each task keeps n of a name before it shuffles
     ranked = staged(near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n), "lookup-near")
     settled = ranked.groupBy("wanted").agg(F.count("*").alias("c")).where(F.col("c") >= n)
-    open_ = staged(asked.join(settled, "wanted", "left_anti"), "lookup-unsettled")
-    far = _far(staged(table.select("known").distinct(), "lookup-known"), open_, n).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
-    return ranked.join(settled, "wanted", "left_semi").withColumn("by_key", F.lit(True)).unionByName(far.withColumn("by_key", F.lit(False)))
+    open_ = staged(asked.join(settled.hint("merge"), "wanted", "left_anti"), "lookup-unsettled")
+    every = table.select("known").distinct() if known is None else known
+    far = _far(staged(every, "lookup-known"), open_, n).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    return ranked.join(settled.hint("merge"), "wanted", "left_semi").withColumn("by_key", F.lit(True)).unionByName(far.withColumn("by_key", F.lit(False)))

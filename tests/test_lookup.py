@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from cytoloom.operators import lookup
+from cytoloom.staging import staged
 
 
 def distance(a, b):
@@ -62,3 +63,41 @@ def test_long_names_and_nothing_known(spark):
     asked = spark.createDataFrame([(b,)], "wanted string")
     assert [(r["known"], r["distance"], r["by_key"]) for r in lookup.closest(table, asked).collect()] == [(a, 1, True)]
     assert lookup.closest(table.limit(0), asked, 3).count() == 0
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_deletions_are_no_broadcast(spark, monkeypatch):
+    """A small table of names has many times as many deletions: the driver must not hold them, nor names."""
+    plans = []
+    monkeypatch.setattr(lookup, "staged", lambda df, name: plans.append(plan(df)) or staged(df, name))
+    table = lookup.index(spark.createDataFrame([(f"name {i}",) for i in range(50)], "symbol string"))
+    got = lookup.closest(table, spark.createDataFrame([("name 1x",), ("unlike",)], "wanted string"), 2)
+    assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastHashJoin" in p for p in [*plans, plan(got)])
+    assert got.count() == 4
+
+
+def test_kinds_too_many_to_send(spark, monkeypatch):
+    rng = random.Random(5)
+    known, wanted = sorted(set(names(rng, 80, "abcd", 9))), sorted(set(names(rng, 30, "xyab", 9)))
+    df = lambda values, name: spark.createDataFrame([(v,) for v in values], f"{name} string")
+    monkeypatch.setattr(lookup, "KINDS", 1)
+    monkeypatch.setattr(lookup, "SEEDS", 8)
+    far = lookup._far(df(known, "known"), df(wanted, "wanted"), 3)
+    assert "CartesianProduct" in plan(far)
+    got = lookup.closest(lookup.index(df(known, "symbol")), df(wanted, "wanted"), 3, known=df(known, "known")).collect()
+    want = {(w, k, d, r) for w in wanted for r, (d, k) in enumerate(sorted((distance(w, k), k) for k in known)[:3], 1)}
+    assert {(r["wanted"], r["known"], r["distance"], r["rank"]) for r in got} == want and len(got) == len(want)
+
+
+def test_ties_come_by_name(spark):
+    """Numbered names tie at a distance; only those before the n-th found so far are measured."""
+    known = [f"{a} rod-{i}" for a in ("hot", "old", "new") for i in range(2, 900)] + ["hot rod", "old rod", "new rod"]
+    wanted = [f"g{i}q" for i in range(134560, 134600)]
+    df = lambda values, name: spark.createDataFrame([(v,) for v in values], f"{name} string")
+    met = lookup._far(df(known, "known"), df(wanted, "wanted"), 3).collect()
+    assert len(met) < 10 * len(wanted)
+    best = {w: sorted((distance(w, k), k) for k in known)[:3] for w in wanted}
+    assert {w: sorted((r["distance"], r["known"]) for r in met if r["wanted"] == w)[:3] for w in wanted} == best
