@@ -110,8 +110,7 @@ def g12(spark, d):
     genes = warehouse.genes(spark, d).select("gene_id", F.expr("row_number() over (order by gene_id) - 1").alias("j"))
     values = expression.display_values(warehouse.expression(spark, d)).join(genes, "gene_id").select(F.col("cell_id").alias("row"), "j", "v")
     rows = staged(factor.sparse_rows(values, warehouse.cells(spark, d).select(F.col("cell_id").alias("row"))), "leading-rows")
-    found = factor.truncated_svd(rows, genes.count(), 5, rounds=8)
-    return factor.project(rows, found).select(F.col("row").alias("cell_id"), *[F.round(F.col("p")[i], 6).alias(f"p{i + 1}") for i in range(5)])
+    return factor.places(rows, genes.count(), 5, rounds=8).select(F.col("row").alias("cell_id"), *[F.round(F.col("p")[i], 6).alias(f"p{i + 1}") for i in range(5)])
 
 
 @query("m3_neighbour_map")
