@@ -82,7 +82,7 @@ def split_largest(ds: Dataset, n: int, seed: int, starts: int = STARTS) -> tuple
         own = cells.where(F.col("cluster_id") == c)
         ids = own.select(F.col("cell_id").alias("row"))
         rows = staged(factor.sparse_rows(values.join(ids, "row", "left_semi"), ids), "split-rows")
-        places = factor.project(rows, factor.truncated_svd(rows, n_genes, LEADING, seed=seed))
+        places = factor.places(rows, n_genes, LEADING, seed=seed)
         places = staged(places.withColumn("p", array_to_vector("p")), "split-places")
         drop(rows)
         best = min((KMeans(k=2, seed=seed + i, featuresCol="p").fit(places) for i in range(starts)), key=lambda m: m.summary.trainingCost)

@@ -24,7 +24,7 @@ def principal(expression: DataFrame, genes: DataFrame, k: int, cells: DataFrame
     index = genes.select("gene_id", F.expr("cast(row_number() over (order by gene_id) - 1 as int)").alias("j"))
     values = display_values(expression, scale_factor).join(index, "gene_id").select(F.col("cell_id").alias("row"), "j", "v")
     rows = staged(factor.sparse_rows(values, cells.select(F.col("cell_id").alias("row")) if cells is not None else None), "embedding-rows")
-    places = staged(factor.project(rows, factor.truncated_svd(rows, genes.count(), k, centred=True, seed=seed)), "embedding-components")
+    places = staged(factor.places(rows, genes.count(), k, centred=True, seed=seed), "embedding-components")
     drop(rows)
     return places
 

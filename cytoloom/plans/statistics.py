@@ -119,7 +119,7 @@ def m3(spark, d):
     points = staged(_points(spark, d), "map-points")
     entries = points.select(F.col("id").alias("row"), F.posexplode("vec").alias("j", "v"))
     rows = staged(factor.sparse_rows(entries), "map-rows")
-    first = factor.project(rows, factor.truncated_svd(rows, points.agg(F.max(F.size("vec"))).first()[0] or 1, 2, centred=True))
+    first = factor.places(rows, points.agg(F.max(F.size("vec"))).first()[0] or 1, 2, centred=True)
     start = staged(first.select(F.col("row").alias("id"), F.col("p")[0].alias("x"), F.col("p")[1].alias("y")), "map-components")
     graph = staged(neighbour_map.fuzzy_graph(knn.knn(points, 14), 15), "map-graph")
     return neighbour_map.layout(graph, start).select("id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
